@@ -68,14 +68,17 @@ def _signed_us(d) -> int:
 
 
 def reconcile(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
-              left_ts: str, right_ts: str, tolerance=None, left_seq: str | None = None,
-              right_seq: str | None = None, bucket=DEFAULT_BUCKET, key_name: str = "key") -> DataFrame:
+              left_ts: str, right_ts: str, tolerance=None, left_seq=None, right_seq=None, bucket=DEFAULT_BUCKET, key_name: str = "key") -> DataFrame:
     """Full reconciliation; returns ``outcome, <key_name>, <left cols>, <right cols>``.
 
     Left and right column names must be distinct (rename first).
     """
-    l = ordered_context(left, [left_key], left_ts, left_seq, bucket, rank=True).withColumnRenamed("rank", "_lo")
-    r = ordered_context(right, [right_key], right_ts, right_seq, bucket, rank=True).withColumnRenamed("rank", "_ro")
+    # Without an explicit tiebreak, order equal-time rows by all their columns
+    # so the pairing (and so the result) is deterministic.
+    lseq = left_seq if left_seq is not None else [c for c in left.columns if c not in (left_key, left_ts)]
+    rseq = right_seq if right_seq is not None else [c for c in right.columns if c not in (right_key, right_ts)]
+    l = ordered_context(left, [left_key], left_ts, lseq, bucket, rank=True).withColumnRenamed("rank", "_lo")
+    r = ordered_context(right, [right_key], right_ts, rseq, bucket, rank=True).withColumnRenamed("rank", "_ro")
     j = l.join(r, (l[left_key] == r[right_key]) & (F.col("_lo") == F.col("_ro")), "full_outer")
     paired = F.col("_lo").isNotNull() & F.col("_ro").isNotNull()
     ok = paired

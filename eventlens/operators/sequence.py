@@ -39,11 +39,13 @@ def _cond(c) -> Column:
     return F.expr(c) if isinstance(c, str) else c
 
 
-def ordered_context(df: DataFrame, keys, ts: str = "ts", seq: str | None = "seq",
+def ordered_context(df: DataFrame, keys, ts: str = "ts", seq="seq",
                     bucket=DEFAULT_BUCKET, prev=(), next=(), first_next_where=None,
                     running_count=None, rank: bool = False) -> DataFrame:
     """Add context columns in (ts, seq) order within ``keys``.
 
+    ``seq`` is a tiebreak column name or a list of them.
+
     * ``prev=[c..]`` -> ``prev_<c>`` from the previous row (null on the first)
     * ``next=[c..]`` -> ``next_<c>`` from the next row (null on the last)
     * ``first_next_where={name: (cond, [c..])}`` -> ``<name>_<c>`` from the
@@ -53,7 +55,8 @@ def ordered_context(df: DataFrame, keys, ts: str = "ts", seq: str | None = "seq"
     * ``rank=True`` -> ``rank``: 1-based position of the row in its key
     """
     keys = list(keys)
-    order_names = [ts] + ([seq] if seq and seq in df.columns else [])
+    seqs = [seq] if isinstance(seq, str) else list(seq or [])
+    order_names = [ts] + [c for c in seqs if c in df.columns and c != ts]
     order = [F.col(c) for c in order_names]
     fnw = dict(first_next_where or {})
     rcs = dict(running_count or {})
@@ -127,5 +130,7 @@ def ordered_context(df: DataFrame, keys, ts: str = "ts", seq: str | None = "seq"
         out = out.withColumn(n, F.col(f"_rco_{n}") + F.col(f"_rcv_{n}"))
     if rank:
         out = out.withColumn("rank", (F.col("_off") + F.col("_rib")).cast("long"))
-    drop = [c for c in out.columns if c.startswith("_") and c not in df.columns]
+    produced = {f"prev_{c}" for c in prev} | {f"next_{c}" for c in next} | set(rcs) | {"rank"}
+    produced |= {f"{n}_{c}" for n, (_, cols) in fnw.items() for c in cols}
+    drop = [c for c in out.columns if c.startswith("_") and c not in df.columns and c not in produced]
     return out.drop(*drop)

@@ -302,10 +302,10 @@ def interval_join_orders(spark, sf_dir):
 
 @query("reconcile", """
 WITH l AS (SELECT o_orderkey, o_orderdate, o_totalprice,
-                  row_number() OVER (PARTITION BY o_orderkey ORDER BY o_orderdate) AS occ
+                  row_number() OVER (PARTITION BY o_orderkey ORDER BY o_orderdate, o_totalprice) AS occ
            FROM orders WHERE o_orderstatus = 'O'),
 r AS (SELECT l_orderkey, l_shipdate, l_quantity,
-             row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate) AS occ
+             row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate, l_quantity) AS occ
       FROM lineitem WHERE l_linenumber = 1)
 SELECT CASE WHEN l.o_orderkey IS NULL THEN 'right_only' WHEN r.l_orderkey IS NULL THEN 'left_only'
             ELSE 'matched' END AS outcome,
