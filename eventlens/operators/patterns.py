@@ -85,13 +85,13 @@ def match_outcomes(df: DataFrame, keys, is_create, is_pay, bound, grace=None, ts
                        .otherwise(F.lit("timeout")))
     prev_is_create = F.col("prev__cr").isNotNull() & F.col("prev__cr")
     pay_consumed = prev_is_create & consumed(pts, t)
-    creates = ctx.filter("_cr").select(
-        *keys, create_outcome.alias("outcome"), t.alias("create_ts"),
-        F.when(create_outcome != F.lit("timeout"), nts).alias("pay_ts"))
-    pays = ctx.filter(~F.col("_cr") & ~pay_consumed).select(
-        *keys, F.lit("pay_without_create").alias("outcome"),
-        F.lit(None).cast(dict(ctx.dtypes)[ts]).alias("create_ts"), t.alias("pay_ts"))
-    return creates.unionByName(pays)
+    # One pass: every create gives a row; a pay gives one unless consumed.
+    is_cr = F.col("_cr")
+    return (ctx.filter(is_cr | ~pay_consumed).select(
+        *keys,
+        F.when(is_cr, create_outcome).otherwise(F.lit("pay_without_create")).alias("outcome"),
+        F.when(is_cr, t).alias("create_ts"),
+        F.when(is_cr, F.when(create_outcome != F.lit("timeout"), nts)).otherwise(t).alias("pay_ts")))
 
 
 def fail_bursts(df: DataFrame, keys, is_fail, span, min_count: int = 2, ts: str = "ts",

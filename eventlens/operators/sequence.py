@@ -33,6 +33,19 @@ from pyspark.sql import functions as F
 from eventlens.functions.time import bucket_of
 
 DEFAULT_BUCKET = "1 hour"
+_INTEGRAL = ("bigint", "int", "smallint", "tinyint")
+
+
+def _packed_order(df: DataFrame, ts: str, seqs: list) -> Column | None:
+    """(ts, seq) as one DECIMAL(38,0) preserving their order, or None."""
+    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    if not seqs:
+        return micros.cast("decimal(38,0)")
+    if len(seqs) > 1 or dict(df.dtypes)[seqs[0]] not in _INTEGRAL:
+        return None
+    shift = F.expr("CAST('9223372036854775808' AS DECIMAL(38,0))")
+    scale = F.expr("CAST('100000000000000000000' AS DECIMAL(38,0))")
+    return micros.cast("decimal(38,0)") * scale + (F.col(seqs[0]).cast("decimal(38,0)") + shift)
 
 
 def _cond(c) -> Column:
@@ -86,13 +99,36 @@ def ordered_context(df: DataFrame, keys, ts: str = "ts", seq="seq",
         y = y.withColumn(f"_rcv_{n}", F.sum(f"_rc_{n}").over(upto))
 
     # Per-bucket summary from the same partitioned rows (no window needed).
+    # With a single integral tiebreak, (ts, seq) is packed into one
+    # fixed-width DECIMAL(38,0) so max_by/min_by stay in a HashAggregate;
+    # otherwise fall back to struct min/max (sort-based aggregate).
+    ok = _packed_order(x, ts, order_names[1:])
     aggs = [F.count(F.lit(1)).alias("_n")]
-    if prev:
-        aggs.append(F.max(F.struct(*order, F.struct(*prev).alias("v"))).alias("_last"))
-    if next:
-        aggs.append(F.min(F.struct(*order, F.struct(*next).alias("v"))).alias("_first"))
-    for n, (_, cols) in fnw.items():
-        aggs.append(F.min(F.when(F.col(f"_fc_{n}"), F.struct(*order, F.struct(*cols).alias("v")))).alias(f"_ffb_{n}"))
+    if ok is not None:
+        x = x.withColumn("_ord", ok)
+        for c in prev:
+            aggs.append(F.max_by(c, "_ord").alias(f"_last_{c}"))
+        for c in next:
+            aggs.append(F.min_by(c, "_ord").alias(f"_first_{c}"))
+        for n, (_, cols) in fnw.items():
+            o = F.when(F.col(f"_fc_{n}"), F.col("_ord"))
+            aggs.append(F.min(o).alias(f"_ffx_{n}"))
+            aggs += [F.min_by(c, o).alias(f"_ffb_{n}_{c}") for c in cols]
+        last = lambda c: F.col(f"_last_{c}")
+        first = lambda c: F.col(f"_first_{c}")
+        ffb = lambda n, cols: F.when(F.col(f"_ffx_{n}").isNotNull(),
+                                     F.struct(*[F.col(f"_ffb_{n}_{c}").alias(c) for c in cols]))
+    else:
+        if prev:
+            aggs.append(F.max(F.struct(*order, F.struct(*prev).alias("v"))).alias("_last"))
+        if next:
+            aggs.append(F.min(F.struct(*order, F.struct(*next).alias("v"))).alias("_first"))
+        for n, (_, cols) in fnw.items():
+            aggs.append(F.min(F.when(F.col(f"_fc_{n}"), F.struct(*order, F.struct(*cols).alias("v"))))
+                        .alias(f"_ffb_{n}"))
+        last = lambda c: F.col(f"_last.v.{c}")
+        first = lambda c: F.col(f"_first.v.{c}")
+        ffb = lambda n, cols: F.col(f"_ffb_{n}.v")
     for n in rcs:
         aggs.append(F.sum(f"_rc_{n}").alias(f"_rcb_{n}"))
     s = x.groupBy(*keys, "_b").agg(*aggs)
@@ -102,13 +138,13 @@ def ordered_context(df: DataFrame, keys, ts: str = "ts", seq="seq",
     later = sw.rowsBetween(1, Window.unboundedFollowing)
     sel = [*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_b").alias("_sb")]
     if prev:
-        sel.append(F.lag(F.col("_last.v")).over(sw).alias("_pl"))
+        sel.append(F.struct(*[F.lag(last(c)).over(sw).alias(c) for c in prev]).alias("_pl"))
     if next:
-        sel.append(F.lead(F.col("_first.v")).over(sw).alias("_nf"))
+        sel.append(F.struct(*[F.lead(first(c)).over(sw).alias(c) for c in next]).alias("_nf"))
     if rank:
         sel.append(F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    for n in fnw:
-        sel.append(F.first(F.col(f"_ffb_{n}.v"), ignorenulls=True).over(later).alias(f"_ffn_{n}"))
+    for n, (_, cols) in fnw.items():
+        sel.append(F.first(ffb(n, cols), ignorenulls=True).over(later).alias(f"_ffn_{n}"))
     for n in rcs:
         sel.append(F.coalesce(F.sum(f"_rcb_{n}").over(before), F.lit(0)).alias(f"_rco_{n}"))
     s2 = s.select(*sel)
