@@ -62,6 +62,30 @@ def epoch_micros(ts) -> Column:
     return F.unix_micros(c.cast("timestamp"))
 
 
+_NTZ_EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+
+
+def to_micros(c, dtype: str) -> Column:
+    """TIMESTAMP / TIMESTAMP_NTZ -> epoch µs (a long), for cheap arithmetic."""
+    c = F.col(c) if isinstance(c, str) else c
+    if dtype == "timestamp_ntz":
+        return F.timestamp_diff("MICROSECOND", F.expr(_NTZ_EPOCH), c)
+    return F.unix_micros(c)
+
+
+def from_micros(c, dtype: str) -> Column:
+    """Inverse of :func:`to_micros`, back to the same timestamp type."""
+    c = F.col(c) if isinstance(c, str) else c
+    if dtype == "timestamp_ntz":
+        return F.timestamp_add("MICROSECOND", c, F.expr(_NTZ_EPOCH))
+    return F.timestamp_micros(c)
+
+
+def floor_to(us: Column, step_us: int) -> Column:
+    """Exact integer floor of epoch µs to a multiple of ``step_us``."""
+    return us - F.pmod(us, F.lit(int(step_us)))
+
+
 def bucket_of(ts, width) -> Column:
     """Integer time bucket of ``width``; used to split a hot key by time."""
     return F.floor(epoch_micros(ts) / F.lit(duration_us(width))).cast("long")

@@ -25,7 +25,7 @@ from math import gcd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventlens.functions.time import _interval, duration_us
+from eventlens.functions.time import duration_us, floor_to, from_micros, to_micros
 
 PANE_THRESHOLD = 8
 
@@ -100,32 +100,34 @@ def _agg_on_window(df, w, keys, specs):
                       *keys, *[n for n, _, _ in specs]))
 
 
-def _expand_panes(panes: DataFrame, size_us: int, slide_us: int, carry: list[str]) -> DataFrame:
-    """Each pane row -> one row per window containing it, as window_start/window_end."""
+def _expand_panes(panes: DataFrame, size_us: int, slide_us: int, carry: list[str], dtype: str) -> DataFrame:
+    """Pane rows (``_p`` = pane start, epoch µs) -> one row per window holding
+    the pane, keyed by window end (µs).  Windows start at multiples of
+    ``slide``; a pane [p, p + g) lies in [s, s + size) iff
+    p + g - size <= s <= p, so its windows are a contiguous range of starts."""
     g = gcd(size_us, slide_us)
-    if slide_us % g == 0 and size_us % slide_us == 0:
-        k = size_us // slide_us
-        j = F.explode(F.sequence(F.lit(1), F.lit(k))).alias("_j")
-        x = panes.select(*carry, F.col("_p.start").alias("_ps"), j)
-        end = F.timestamp_add("MICROSECOND", F.col("_j").cast("long") * F.lit(slide_us), F.col("_ps"))
-        x = x.select(*carry, end.alias("window_end"))
-        return x.select((F.col("window_end") - _interval(size_us)).alias("window_start"), "window_end", *carry)
-    # size is not a multiple of slide: let F.window place the pane (its last instant).
-    w = F.window(F.window_time("_p"), f"{size_us} microseconds", f"{slide_us} microseconds")
-    return panes.select(w.alias("_w2"), *carry).select(
-        F.col("_w2.start").alias("window_start"), F.col("_w2.end").alias("window_end"), *carry)
+    p = F.col("_p")
+    first = floor_to(p + F.lit(g - size_us) + F.lit(slide_us - 1), slide_us)   # ceil to a slide multiple
+    last = floor_to(p, slide_us)
+    ends = F.explode(F.sequence(first + F.lit(size_us), last + F.lit(size_us), F.lit(slide_us))).alias("_e")
+    return panes.select(*carry, ends)
+
+
+def _finish(df: DataFrame, size_us: int, dtype: str, keys, names) -> DataFrame:
+    return df.select(from_micros(F.col("_e") - F.lit(size_us), dtype).alias("window_start"),
+                     from_micros("_e", dtype).alias("window_end"), *keys, *names)
 
 
 def _pane_rollup(df, ts, size, slide, keys, specs):
     size_us, slide_us = duration_us(size), duration_us(slide)
+    dtype = dict(df.dtypes)[ts]
     pane_us = gcd(size_us, slide_us)
-    pane = F.window(ts, f"{pane_us} microseconds")
     partial = [_MERGE[k][0](c).alias(n) for n, k, c in specs]
-    panes = df.groupBy(pane.alias("_p"), *keys).agg(*partial)
+    panes = df.groupBy(floor_to(to_micros(ts, dtype), pane_us).alias("_p"), *keys).agg(*partial)
     names = [n for n, _, _ in specs]
-    x = _expand_panes(panes, size_us, slide_us, keys + names)
+    x = _expand_panes(panes, size_us, slide_us, keys + names, dtype)
     merged = [_final_cast(k, _MERGE[k][1](F.col(n))).alias(n) for n, k, _ in specs]
-    return x.groupBy("window_start", "window_end", *keys).agg(*merged)
+    return _finish(x.groupBy("_e", *keys).agg(*merged), size_us, dtype, keys, names)
 
 
 def window_counts(df: DataFrame, ts: str, size, slide=None, keys=(), method: str = "auto",
@@ -172,7 +174,8 @@ def window_distinct(df: DataFrame, ts: str, size, slide=None, distinct_col: str
         return (df.groupBy(w.alias("_w"), *keys).agg(agg)
                   .select(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), *keys, name))
     size_us, slide_us = duration_us(size), duration_us(slide)
-    pane = F.window(ts, f"{gcd(size_us, slide_us)} microseconds")
+    dtype = dict(df.dtypes)[ts]
+    pane = floor_to(to_micros(ts, dtype), gcd(size_us, slide_us))
     panes = df.select(pane.alias("_p"), *keys, distinct_col).distinct()
-    x = _expand_panes(panes, size_us, slide_us, keys + [distinct_col])
-    return x.groupBy("window_start", "window_end", *keys).agg(agg)
+    x = _expand_panes(panes, size_us, slide_us, keys + [distinct_col], dtype)
+    return _finish(x.groupBy("_e", *keys).agg(agg), size_us, dtype, keys, [name])
