@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventlens.functions.time import add_duration
+from eventlens.functions.time import add_duration, duration_us, to_micros
 from eventlens.operators.sequence import DEFAULT_BUCKET, ordered_context
 
 
@@ -102,16 +102,27 @@ def fail_bursts(df: DataFrame, keys, is_fail, span, min_count: int = 2, ts: str
     ts <= t0 + span.  Returns ``*keys, first_ts, last_ts, n_fails``.
 
     The run id is a running count of non-fail rows; runs are aggregated
-    (partial aggregates, so a long run is never one task's list).
+    with partial aggregates, and the count inside t0 + span joins on
+    (key, run, time bucket), so a long run is never one task's list.
     """
     keys = list(keys)
     x = df.withColumn("_f", _c(is_fail))
     ctx = ordered_context(x, keys, ts, seq, bucket, running_count={"_run": ~F.col("_f")})
-    fails = ctx.filter("_f").select(*keys, "_run", ts)
+    dtype = dict(x.dtypes)[ts]
+    span_us = duration_us(span)
+    width = max(span_us, 1_000_000)
+    us = to_micros(ts, dtype)
+    fails = ctx.filter("_f").select(*keys, "_run", ts, F.floor(us / width).cast("long").alias("_jb"))
     runs = fails.groupBy(*keys, "_run").agg(F.min(ts).alias("_t0"))
+    # Only fails with ts <= t0 + span count; they lie in the (at most two)
+    # event-time buckets from t0 to t0 + span.  Joining on the bucket too
+    # keeps a very long run from landing in one task.
+    t0us = to_micros("_t0", dtype)
+    runs_x = runs.select(*keys, "_run", "_t0", F.explode(F.sequence(
+        F.floor(t0us / width).cast("long"), F.floor((t0us + F.lit(span_us)) / width).cast("long"))).alias("_jb"))
     breakers = ctx.filter(~F.col("_f")).select(*keys, (F.col("_run") - 1).alias("_run"), F.col(ts).alias("_bk"))
     limit = add_duration(F.col("_t0"), span)
-    inside = (fails.join(runs, [*keys, "_run"])
+    inside = (fails.join(runs_x, [*keys, "_run", "_jb"])
                    .filter(F.col(ts) <= limit)
                    .groupBy(*keys, "_run", "_t0")
                    .agg(F.count(F.lit(1)).alias("n_fails"), F.max(ts).alias("last_ts")))
