@@ -194,21 +194,22 @@ class Cap(Machine):
     The group's day is part of the key; at the day's end (event time) the
     state is dropped.
     """
-    fields = ("day_end",)
-    out_fields = (("tag", "string"), ("ts_out", "long"), ("seq_out", "long"))
-
-    def __init__(self, cap: int):
+    def __init__(self, cap: int, carry=()):
         self.cap = cap
+        self.carry = tuple(carry)
+        self.fields = ("day_end",) + self.carry
+        # carried columns keep their input type (None = same as input)
+        self.out_fields = (("tag", "string"), ("ts_out", "long"), ("seq_out", "long")) + \
+            tuple((c, None) for c in self.carry)
 
     def step(self, c, r):
         n = c.get("n", 0) + 1
         c["n"] = n
         c["day_end"] = r["day_end"]
-        if n <= self.cap:
-            return [{"tag": "passed", "ts_out": r["ts"], "seq_out": r["seq"]}]
-        if n == self.cap + 1:
-            return [{"tag": "warning", "ts_out": r["ts"], "seq_out": r["seq"]}]
-        return []
+        tag = "passed" if n <= self.cap else "warning" if n == self.cap + 1 else None
+        if tag is None:
+            return []
+        return [{"tag": tag, "ts_out": r["ts"], "seq_out": r["seq"], **{k: r[k] for k in self.carry}}]
 
     def advance(self, c, wm):
         if c.get("day_end") is not None and c["day_end"] <= wm:

@@ -17,11 +17,12 @@ provider; the checkpoint goes under the session's ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 import json
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from eventlens.functions.time import duration_us, event_time
 from eventlens.session import ship_package
@@ -30,12 +31,16 @@ from eventlens.streaming import machines as M
 _DDL = {"long": LongType(), "string": StringType()}
 
 
+_EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
+
+
 class OrderedReplay(StatefulProcessor):
-    def __init__(self, machine: M.Machine, key_names: list, payload_types: dict):
+    def __init__(self, machine: M.Machine, key_names: list, payload_types: dict, event_time_field=None):
         self.machine = machine
         self.key_names = list(key_names)
         self.payload = list(machine.fields)
         self.payload_types = payload_types
+        self.event_time_field = event_time_field
 
     def init(self, handle):
         self.handle = handle
@@ -46,8 +51,13 @@ class OrderedReplay(StatefulProcessor):
 
     def _rows_out(self, key, outs):
         kv = dict(zip(self.key_names, key))
+        et = self.event_time_field
         for o in outs:
-            yield Row(**kv, **{n: o.get(n) for n, _ in self.machine.out_fields})
+            vals = {n: o.get(n) for n, _ in self.machine.out_fields}
+            if et is not None and vals[et] is not None:
+                # a zone-aware instant converts exactly, whatever the worker's zone
+                vals[et] = _EPOCH + timedelta(microseconds=vals[et])
+            yield Row(**kv, **vals)
 
     def _drain(self, key, wm_ms: int):
         wm = wm_ms * 1000
@@ -93,9 +103,13 @@ class OrderedReplay(StatefulProcessor):
         pass
 
 
-def _replay(df: DataFrame, keys, ts: str, seq, delay, machine: M.Machine, payload: dict) -> DataFrame:
+def _replay(df: DataFrame, keys, ts: str, seq, delay, machine: M.Machine, payload: dict,
+            event_time_field: str | None = None) -> DataFrame:
     """Run ``machine`` per key over a watermarked stream; returns key columns +
-    the machine's outputs (``*_ts`` longs turned back into timestamps)."""
+    the machine's outputs (``*_ts`` longs turned back into timestamps).
+
+    ``event_time_field`` names an output that becomes the event time of the
+    result (``eventTimeColumnName``), so a windowed aggregation can follow."""
     keys = list(keys)
     ship_package(df.sparkSession)
     x = event_time(df, ts).withWatermark(ts, delay)
@@ -104,11 +118,14 @@ def _replay(df: DataFrame, keys, ts: str, seq, delay, machine: M.Machine, payloa
                  *[c.alias(n) for n, c in payload.items()])
     types = {f.name: f.dataType for f in x.schema.fields}
     out_schema = StructType([StructField(k, types[k]) for k in keys] +
-                            [StructField(n, _DDL[t]) for n, t in machine.out_fields])
-    proc = OrderedReplay(machine, keys, {n: types[n] for n in machine.fields})
-    out = x.groupBy(*keys).transformWithState(proc, out_schema, "Append", "EventTime")
+                            [StructField(n, TimestampType() if n == event_time_field else
+                                         types[n] if t is None else _DDL[t])
+                             for n, t in machine.out_fields])
+    proc = OrderedReplay(machine, keys, {n: types[n] for n in machine.fields}, event_time_field)
+    out = x.groupBy(*keys).transformWithState(proc, out_schema, "Append", "EventTime",
+                                              eventTimeColumnName=event_time_field or "")
     for n, t in machine.out_fields:
-        if t == "long" and (n.endswith("_ts") or n == "ts_out"):
+        if n != event_time_field and t == "long" and (n.endswith("_ts") or n == "ts_out"):
             out = out.withColumn(n, F.timestamp_micros(n))
     return out
 
@@ -139,16 +156,31 @@ def stream_match_outcomes(df, keys, is_create, is_pay, bound, grace=None, ts="ts
     return _replay(kept, keys, ts, seq, delay, M.MatchOutcomes(duration_us(bound), g), {"cr": is_create})
 
 
-def stream_click_cap(df, keys, cap=100, ts="ts", seq="seq", delay="0 seconds"):
+def stream_click_cap(df, keys, cap=100, ts="ts", seq="seq", delay="0 seconds", carry=()):
     """Streaming D1: tagged rows ``passed`` / ``warning`` per (keys, UTC day).
 
-    Returns ``*keys, day, tag, ts, seq``; split with
-    :func:`eventlens.sources.sinks.split_by_tag` or a tagged sink.
+    Returns ``*keys, day, tag, ts, seq, *carry``; ``ts`` is the result's
+    event time.  Split with :func:`eventlens.sources.sinks.split_by_tag` or
+    a tagged sink.
     """
     x = event_time(df, ts)
     # the day key travels as epoch µs (a long), like every time value here
     x = x.withColumn("_day", F.unix_micros(F.date_trunc("day", F.col(ts))))
     day_end = F.col("_day") + F.lit(86_400_000_000)
-    out = _replay(x, list(keys) + ["_day"], ts, seq, delay, M.Cap(cap), {"day_end": day_end})
+    carry = [c for c in carry if c not in keys]
+    out = _replay(x, list(keys) + ["_day"], ts, seq, delay, M.Cap(cap, carry),
+                  {"day_end": day_end, **{c: F.col(c) for c in carry}}, event_time_field="ts_out")
     return out.select(*keys, F.timestamp_micros("_day").alias("day"), "tag",
-                      F.col("ts_out").alias("ts"), F.col("seq_out").alias("seq"))
+                      F.col("ts_out").alias("ts"), F.col("seq_out").alias("seq"), *carry)
+
+
+def stream_capped_window_counts(df, cap_keys, count_keys, size, slide=None, cap=100, ts="ts", seq="seq",
+                                delay="0 seconds", carry=()) -> DataFrame:
+    """Streaming D1b: passed rows of the cap feed a windowed count in the same
+    query (the cap's output carries event time).  ``count_keys`` not among
+    ``cap_keys`` travel through the cap as carried columns."""
+    from eventlens.streaming.windows import stream_window_counts
+    carry = list(carry) + [k for k in count_keys if k not in cap_keys and k not in carry]
+    capped = stream_click_cap(df, cap_keys, cap, ts, seq, delay, carry=carry)
+    passed = capped.filter(F.col("tag") == "passed")
+    return stream_window_counts(passed, "ts", size, slide, count_keys, delay=None)

@@ -41,10 +41,20 @@ def _flat(df, win="_w"):
 
 
 def watermarked(df: DataFrame, ts: str, delay) -> DataFrame:
-    """T2/T2'/T3: bounded out-of-orderness (delay 0 = ascending timestamps)."""
+    """T2/T2'/T3: bounded out-of-orderness (delay 0 = ascending timestamps).
+
+    ``delay=None`` keeps an event time set upstream (e.g. by a stateful
+    operator's output) instead of adding a watermark."""
+    if delay is None:
+        return df
     return event_time(df, ts).withWatermark(ts, f"{duration_us(delay)} microseconds")
 
 
+def lateness_delay(out_of_order, lateness) -> str:
+    """T4: a window's final answer waits for out-of-orderness + allowed lateness."""
+    return f"{duration_us(out_of_order) + duration_us(lateness)} microseconds"
+
+
 def stream_window_counts(df: DataFrame, ts: str, size, slide=None, keys=(), delay="0 seconds",
                          method: str = "auto", name: str = "cnt") -> DataFrame:
     keys = list(keys)

@@ -144,3 +144,30 @@ def test_stream_interval_join(spark, split_events):
     bc, bp = sides(batch)
     exp = interval_join(bc, bp, [("user_id", "p_user")], "c_ts", "p_ts", "-6 hours", "6 hours")
     assert same(run_to_memory(s, name()), exp, ["c_id", "p_id"])
+
+
+def test_stream_capped_window_counts(spark, split_events):
+    """D1b in one streaming query: cap output carries event time into a window count."""
+    from eventlens.streaming import stream_capped_window_counts
+    _, _, batch = split_events
+    s = stream_capped_window_counts(stream_of(spark, split_events), ["user_id"], ["event_type"], "1 day",
+                                    "6 hours", cap=5, delay=DELAY)
+    got = run_to_memory(s, name())
+    passed, _ = click_cap(batch, ["user_id"], cap=5)
+    assert same(got, window_counts(passed, "ts", "1 day", "6 hours", ["event_type"]))
+
+
+def test_update_mode_refines_with_lateness(spark, split_events):
+    """T4: update mode emits a window early and again when more rows arrive."""
+    from eventlens.streaming import lateness_delay
+    s = stream_window_counts(stream_of(spark, split_events), "ts", "7 days", None, [],
+                             delay=lateness_delay("1 hour", "1 hour"))
+    got = run_to_memory(s, name(), output_mode="update")
+    per_window = {}
+    for r in got.collect():
+        per_window.setdefault(r.window_start, []).append(r.cnt)
+    assert any(len(v) > 1 for v in per_window.values())        # refinements
+    final = {k: max(v) for k, v in per_window.items()}
+    _, _, batch = split_events
+    exp = {r.window_start: r.cnt for r in window_counts(batch, "ts", "7 days").collect()}
+    assert all(final[k] == v for k, v in exp.items())
