@@ -320,3 +320,145 @@ def reconcile_orders(spark, sf_dir):
           .select("l_orderkey", "l_shipdate", "l_quantity"))
     return reconcile(o, li, "o_orderkey", "l_orderkey", "o_orderdate", "l_shipdate", key_name="orderkey",
                      bucket="30 days")
+
+
+# ------------------------------------------------------------ streaming forms
+# Each runs a Structured Streaming query over the ``events`` table read as a
+# file stream, to completion (availableNow), into a parquet sink under the
+# session's checkpoint folder, and returns the sink read back.  All rows
+# arrive in one micro-batch, so the final watermark W is the largest event
+# time the operator saw (delay 0); the oracles keep what W has closed.
+
+def _event_stream(spark, sf_dir):
+    schema = load_table(spark, sf_dir, "events").schema
+    # a glob: the file source needs a directory or pattern, not a file path
+    src = spark.readStream.schema(schema).parquet(f"{sf_dir.rstrip('/')}/events[.]parquet")
+    return src.withColumn("seq", F.col("event_id"))
+
+
+def _to_ntz(df: DataFrame) -> DataFrame:
+    """Stream outputs are TIMESTAMP; report them like the batch forms (UTC wall clock)."""
+    return df.select(*[F.col(c).cast("timestamp_ntz").alias(c) if t == "timestamp" else F.col(c)
+                       for c, t in df.dtypes])
+
+
+def _run(stream: DataFrame, name: str) -> DataFrame:
+    from eventlens.streaming.runner import run_to_parquet
+    return _to_ntz(run_to_parquet(stream, name))
+
+
+_W_VIEW = "(SELECT max(ts) FROM events WHERE event_type = 'view')"
+_W_ALL = "(SELECT max(ts) FROM events)"
+_W_PAIR = "(SELECT max(ts) FROM events WHERE event_type IN ('signup', 'purchase'))"
+
+
+@query("stream_hot_keys_topn", f"SELECT * FROM ({HOT_KEYS_SQL}) WHERE window_end <= {_W_VIEW}")
+def stream_hot_keys_topn(spark, sf_dir):
+    """Streaming N1: windowed counts in append mode, ranked per micro-batch."""
+    from eventlens.session import scratch_path
+    from eventlens.streaming.windows import start_stream_topn, stream_window_counts
+    counts = stream_window_counts(_event_stream(spark, sf_dir).filter(F.col("event_type") == "view"),
+                                  "ts", "1 day", "6 hours", ["user_id"])
+    out = scratch_path(spark, "stream_hot_keys_topn")
+    start_stream_topn(counts, "user_id", 3, out).awaitTermination()
+    return _to_ntz(spark.read.parquet(out).drop("batch"))
+
+
+@query("stream_unique_users_hourly",
+       f"SELECT * FROM ({ORACLE['unique_users_hourly']}) WHERE window_end <= {_W_VIEW}")
+def stream_unique_users_hourly(spark, sf_dir):
+    """Streaming A5: chained aggregations (window, user) then (window)."""
+    from eventlens.streaming.windows import stream_window_distinct
+    s = stream_window_distinct(_event_stream(spark, sf_dir).filter(F.col("event_type") == "view"),
+                               "ts", "1 hour", distinct_col="user_id")
+    return _run(s, "stream_unique_users_hourly")
+
+
+@query("stream_region_counts_sliding",
+       f"SELECT * FROM ({ORACLE['region_counts_sliding']}) WHERE window_end <= {_W_ALL}")
+def stream_region_counts_sliding(spark, sf_dir):
+    """Streaming W1 A1 with 60 overlaps: pane counts, then the sliding window over panes."""
+    from eventlens.streaming.windows import stream_window_counts
+    s = stream_window_counts(_event_stream(spark, sf_dir), "ts", "1 hour", "1 minute", ["event_type"])
+    return _run(s, "stream_region_counts_sliding")
+
+
+@query("stream_consecutive_errors", f"SELECT * FROM ({ORACLE['consecutive_errors']}) WHERE last_ts < {_W_ALL}")
+def stream_consecutive_errors(spark, sf_dir):
+    """Streaming D3 / C1 (transformWithState, replay in event-time order)."""
+    from eventlens.streaming.stateful import stream_consecutive_pairs
+    s = stream_consecutive_pairs(_event_stream(spark, sf_dir), ["user_id"], F.col("event_type") == "error", "1 day")
+    return _run(s, "stream_consecutive_errors")
+
+
+@query("stream_error_burst",
+       f"SELECT * FROM ({ORACLE['error_burst']}) WHERE first_ts + INTERVAL 1 DAY < {_W_ALL}")
+def stream_error_burst(spark, sf_dir):
+    """Streaming D2: decided when the watermark passes t0 + span."""
+    from eventlens.streaming.stateful import stream_fail_bursts
+    s = stream_fail_bursts(_event_stream(spark, sf_dir), ["user_id"], F.col("event_type") == "error", "1 day", 2)
+    return _run(s, "stream_error_burst")
+
+
+@query("stream_followed_within", f"""
+SELECT user_id, first_ts, CASE WHEN nts < first_ts + INTERVAL 1 DAY THEN nts END AS then_ts,
+       CASE WHEN nts < first_ts + INTERVAL 1 DAY THEN 'matched' ELSE 'timeout' END AS outcome
+FROM (
+  SELECT s.user_id, s.ts AS first_ts,
+         (SELECT min(p.ts) FROM events p WHERE p.event_type = 'purchase' AND p.user_id = s.user_id
+            AND (p.ts > s.ts OR (p.ts = s.ts AND p.event_id > s.event_id))) AS nts
+  FROM events s WHERE s.event_type = 'signup')
+WHERE nts < {_W_ALL} OR first_ts + INTERVAL 1 DAY <= {_W_ALL}""")
+def stream_followed_within(spark, sf_dir):
+    """Streaming C2: timeouts come out when the watermark passes first + 1 day."""
+    from eventlens.streaming.stateful import stream_followed_by
+    ev = _event_stream(spark, sf_dir)
+    s = stream_followed_by(ev, ["user_id"], F.col("event_type") == "signup", F.col("event_type") == "purchase",
+                           "1 day")
+    return _run(s, "stream_followed_within")
+
+
+@query("stream_pay_match_outcomes", f"""
+WITH x AS (SELECT user_id, ts, event_id, event_type = 'signup' AS cr FROM events
+           WHERE event_type IN ('signup', 'purchase')),
+o AS (SELECT *, lead(cr) OVER w AS ncr, lead(ts) OVER w AS nts, lag(cr) OVER w AS pcr, lag(ts) OVER w AS pts
+      FROM x WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+SELECT user_id,
+       CASE WHEN ncr = false AND nts < ts + INTERVAL 1 DAY THEN 'paid'
+            WHEN ncr = false AND nts < ts + INTERVAL 2 DAY THEN 'paid_late' ELSE 'timeout' END AS outcome,
+       ts AS create_ts,
+       CASE WHEN ncr = false AND nts < ts + INTERVAL 2 DAY THEN nts END AS pay_ts
+FROM o WHERE cr AND (nts < {_W_PAIR} OR ts + INTERVAL 2 DAY <= {_W_PAIR})
+UNION ALL
+SELECT user_id, 'pay_without_create' AS outcome, CAST(NULL AS TIMESTAMP) AS create_ts, ts AS pay_ts
+FROM o WHERE NOT cr AND NOT (pcr IS NOT NULL AND pcr AND ts < pts + INTERVAL 2 DAY) AND ts < {_W_PAIR}""")
+def stream_pay_match_outcomes(spark, sf_dir):
+    """Streaming D4 with deadline timers (bound 1 day, grace 1 day)."""
+    from eventlens.streaming.stateful import stream_match_outcomes
+    ev = _event_stream(spark, sf_dir)
+    s = stream_match_outcomes(ev, ["user_id"], F.col("event_type") == "signup", F.col("event_type") == "purchase",
+                              "1 day", "1 day")
+    return _run(s, "stream_pay_match_outcomes")
+
+
+@query("stream_click_cap_passed", f"SELECT * FROM ({ORACLE['click_cap_passed']}) WHERE ts < {_W_ALL}")
+def stream_click_cap_passed(spark, sf_dir):
+    """Streaming D1: the passed side output of the cap."""
+    from eventlens.streaming.stateful import stream_click_cap
+    s = stream_click_cap(_event_stream(spark, sf_dir), ["user_id", "event_type"], cap=CAP,
+                         carry=["event_id", "value", "props"])
+    s = s.filter(F.col("tag") == "passed").select("event_id", "ts", "user_id", "event_type", "value", "props")
+    return _run(s, "stream_click_cap_passed")
+
+
+@query("stream_interval_join", ORACLE["interval_join"])
+def stream_interval_join(spark, sf_dir):
+    """Streaming J1: stream-stream interval join with watermarks on both sides."""
+    from eventlens.streaming.joins import stream_interval_join as sij
+    ev = _event_stream(spark, sf_dir)
+    clicks = ev.filter(F.col("event_type") == "click").select(
+        "user_id", F.col("event_id").alias("click_id"), F.col("ts").alias("click_ts"))
+    buys = ev.filter(F.col("event_type") == "purchase").select(
+        F.col("user_id").alias("p_user_id"), F.col("event_id").alias("purchase_id"), F.col("ts").alias("purchase_ts"))
+    j = sij(clicks, buys, [("user_id", "p_user_id")], "click_ts", "purchase_ts", "-6 hours", "6 hours")
+    return _run(j.select("user_id", "click_id", "click_ts", "purchase_id", "purchase_ts"), "stream_interval_join")

@@ -111,7 +111,12 @@ def _replay(df: DataFrame, keys, ts: str, seq, delay, machine: M.Machine, payloa
     ``event_time_field`` names an output that becomes the event time of the
     result (``eventTimeColumnName``), so a windowed aggregation can follow."""
     keys = list(keys)
-    ship_package(df.sparkSession)
+    spark = df.sparkSession
+    ship_package(spark)
+    # transformWithState needs the RocksDB state store; set it only if unset
+    prov = "spark.sql.streaming.stateStore.providerClass"
+    if "RocksDB" not in (spark.conf.get(prov, "") or ""):
+        spark.conf.set(prov, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     x = event_time(df, ts).withWatermark(ts, delay)
     seq_col = F.col(seq).cast("long") if seq and seq in df.columns else F.lit(0).cast("long")
     x = x.select(*keys, F.col(ts), F.unix_micros(F.col(ts)).alias("_ts_us"), seq_col.alias("_seq"),
