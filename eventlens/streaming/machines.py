@@ -189,32 +189,36 @@ class MatchOutcomes(Machine):
 
 
 class Cap(Machine):
-    """Per (key, day) group pass the first ``cap`` rows, warn on cap+1.
+    """Per key and UTC day pass the first ``cap`` rows, warn on cap+1.
 
-    The group's day is part of the key; at the day's end (event time) the
-    state is dropped.
+    Rows arrive in time order, so a new day simply restarts the count; once
+    the watermark passes the day's end the state is dropped.
     """
+    DAY = 86_400_000_000
+
     def __init__(self, cap: int, carry=()):
         self.cap = cap
         self.carry = tuple(carry)
-        self.fields = ("day_end",) + self.carry
+        self.fields = ("day",) + self.carry
         # carried columns keep their input type (None = same as input)
-        self.out_fields = (("tag", "string"), ("ts_out", "long"), ("seq_out", "long")) + \
-            tuple((c, None) for c in self.carry)
+        self.out_fields = (("tag", "string"), ("ts_out", "long"), ("seq_out", "long"),
+                           ("day_out", "long")) + tuple((c, None) for c in self.carry)
 
     def step(self, c, r):
-        n = c.get("n", 0) + 1
-        c["n"] = n
-        c["day_end"] = r["day_end"]
+        if c.get("day") != r["day"]:
+            c["day"], c["n"] = r["day"], 0
+        c["n"] += 1
+        n = c["n"]
         tag = "passed" if n <= self.cap else "warning" if n == self.cap + 1 else None
         if tag is None:
             return []
-        return [{"tag": tag, "ts_out": r["ts"], "seq_out": r["seq"], **{k: r[k] for k in self.carry}}]
+        return [{"tag": tag, "ts_out": r["ts"], "seq_out": r["seq"], "day_out": r["day"],
+                 **{k: r[k] for k in self.carry}}]
 
     def advance(self, c, wm):
-        if c.get("day_end") is not None and c["day_end"] <= wm:
+        if c.get("day") is not None and c["day"] + self.DAY <= wm:
             c.clear()
         return []
 
     def deadline(self, c):
-        return c.get("day_end")
+        return c["day"] + self.DAY if c.get("day") is not None else None

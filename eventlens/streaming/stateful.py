@@ -3,9 +3,10 @@
 ``OrderedReplay`` buffers each key's rows in list state until the
 watermark passes them, then replays them in (ts, seq) order through a
 machine from :mod:`eventlens.streaming.machines`; the machine's carry
-lives in value state.  Timers are set at each buffered row (ts + 1 ms)
-and at the machine's deadline, so results come out as soon as the
-watermark allows and state is dropped when a key goes idle.  Rows older
+lives in value state.  Each key holds at most one timer -- at its
+earliest buffered row (+1 ms) or the machine's deadline -- so a key costs
+one timer call per micro-batch, not one per row; results come out as
+soon as the watermark allows and state is dropped when a key goes idle.  Rows older
 than the watermark on arrival are late and dropped, as Spark's own
 stateful operators do.
 
@@ -47,7 +48,9 @@ class OrderedReplay(StatefulProcessor):
         buf = StructType([StructField("ts", LongType()), StructField("seq", LongType())] +
                          [StructField(f, self.payload_types[f]) for f in self.payload])
         self.buf = handle.getListState("buf", buf)
-        self.carry = handle.getValueState("carry", StructType([StructField("json", StringType())]))
+        # one value per key: machine carry, pending timer and buffer size as JSON,
+        # so a key costs a handful of state calls per micro-batch
+        self.state = handle.getValueState("state", StructType([StructField("json", StringType())]))
 
     def _rows_out(self, key, outs):
         kv = dict(zip(self.key_names, key))
@@ -59,28 +62,44 @@ class OrderedReplay(StatefulProcessor):
                 vals[et] = _EPOCH + timedelta(microseconds=vals[et])
             yield Row(**kv, **vals)
 
-    def _drain(self, key, wm_ms: int):
+    def _drain(self, key, wm_ms: int, fresh=(), fired: bool = False):
         wm = wm_ms * 1000
-        pending = list(self.buf.get()) if self.buf.exists() else []
+        raw = self.state.get()
+        st = json.loads(raw[0]) if raw else {"m": self.machine.init(), "tm": None, "nb": 0}
+        if fired:
+            st["tm"] = None
+        pending = (list(self.buf.get()) if st["nb"] else []) + list(fresh)
         ready = sorted((r for r in pending if r[0] < wm), key=lambda r: (r[0], r[1] if r[1] is not None else 0))
-        rest = [r for r in pending if r[0] >= wm]
-        c = json.loads(self.carry.get()[0]) if self.carry.exists() else self.machine.init()
+        rest = [r for r in pending if r[0] >= wm] if ready else pending
+        c = st["m"]
         outs = []
         for r in ready:
             outs += self.machine.step(c, dict(zip(["ts", "seq", *self.payload], r)))
-        outs += self.machine.advance(c, wm)
-        if ready:
+        if wm_ms > 0:
+            outs += self.machine.advance(c, wm)
+        if ready or fresh:
             if rest:
                 self.buf.put(rest)
-            else:
+            elif st["nb"]:
                 self.buf.clear()
-        if self.machine.idle(c):
-            self.carry.clear()
+        st["nb"] = len(rest)
+        # one timer per key: the earliest buffered row (+1 ms) or the deadline
+        want = [min(r[0] for r in rest) // 1000 + 1] if rest else []
+        idle = self.machine.idle(c)
+        d = None if idle else self.machine.deadline(c)
+        if d is not None:
+            want.append(-(-d // 1000))
+        if want and (st["tm"] is None or min(want) < st["tm"]):
+            if st["tm"] is not None:
+                self.handle.deleteTimer(st["tm"])
+            st["tm"] = min(want)
+            self.handle.registerTimer(st["tm"])
+        if idle and not rest and st["tm"] is None:
+            if raw:
+                self.state.clear()
         else:
-            self.carry.update((json.dumps(c),))
-            d = self.machine.deadline(c)
-            if d is not None:
-                self.handle.registerTimer(-(-d // 1000))
+            st["m"] = c if not idle else self.machine.init()
+            self.state.update((json.dumps(st),))
         return self._rows_out(key, outs)
 
     def handleInputRows(self, key, rows, timerValues):
@@ -91,13 +110,10 @@ class OrderedReplay(StatefulProcessor):
             if wm_ms > 0 and t < wm_ms * 1000:
                 continue  # late
             fresh.append((t, r["_seq"], *[r[f] for f in self.payload]))
-            self.handle.registerTimer(t // 1000 + 1)
-        if fresh:
-            self.buf.appendList(fresh)
-        return self._drain(key, wm_ms) if wm_ms > 0 else iter([])
+        return self._drain(key, max(wm_ms, 0), fresh)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        return self._drain(key, timerValues.getCurrentWatermarkInMs())
+        return self._drain(key, timerValues.getCurrentWatermarkInMs(), fired=True)
 
     def close(self):
         pass
@@ -169,13 +185,13 @@ def stream_click_cap(df, keys, cap=100, ts="ts", seq="seq", delay="0 seconds", c
     a tagged sink.
     """
     x = event_time(df, ts)
-    # the day key travels as epoch µs (a long), like every time value here
-    x = x.withColumn("_day", F.unix_micros(F.date_trunc("day", F.col(ts))))
-    day_end = F.col("_day") + F.lit(86_400_000_000)
+    # keyed by ``keys`` only; the machine resets its count at each UTC day
+    # (rows replay in time order), so state is one small value per key
+    day = F.unix_micros(F.date_trunc("day", F.col(ts)))
     carry = [c for c in carry if c not in keys]
-    out = _replay(x, list(keys) + ["_day"], ts, seq, delay, M.Cap(cap, carry),
-                  {"day_end": day_end, **{c: F.col(c) for c in carry}}, event_time_field="ts_out")
-    return out.select(*keys, F.timestamp_micros("_day").alias("day"), "tag",
+    out = _replay(x, list(keys), ts, seq, delay, M.Cap(cap, carry),
+                  {"day": day, **{c: F.col(c) for c in carry}}, event_time_field="ts_out")
+    return out.select(*keys, F.timestamp_micros("day_out").alias("day"), "tag",
                       F.col("ts_out").alias("ts"), F.col("seq_out").alias("seq"), *carry)
 
 
