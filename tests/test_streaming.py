@@ -171,3 +171,18 @@ def test_update_mode_refines_with_lateness(spark, split_events):
     _, _, batch = split_events
     exp = {r.window_start: r.cnt for r in window_counts(batch, "ts", "7 days").collect()}
     assert all(final[k] == v for k, v in exp.items())
+
+
+def test_row_interface_same_as_arrow(spark, split_events):
+    """OrderedReplay runs on transformWithStateInPandas by default; the Row
+    interface (transformWithState) gives the same answer."""
+    from eventlens.streaming import stateful
+    _, _, batch = split_events
+    err = F.col("event_type") == "error"
+    stateful.ARROW = False
+    try:
+        s = stream_fail_bursts(stream_of(spark, split_events), ["user_id"], err, "1 day", 2, delay=DELAY)
+        got = run_to_memory(s, name())
+    finally:
+        stateful.ARROW = True
+    assert same(got, fail_bursts(batch, ["user_id"], err, "1 day", 2))
