@@ -43,9 +43,16 @@ def _as_col(c):
 
 
 def _norm_aggs(aggs) -> list[tuple[str, str, Column | None]]:
-    """{'cnt': 'count', 'total': ('sum', 'value')} -> [(name, kind, col)]."""
+    """{'cnt': 'count', 'total': ('sum', 'value'), 'p50': <aggregate Column>}
+    -> [(name, kind, col)].  A Column is any aggregate expression, e.g. a
+    grouped-agg pandas_udf (the UDAF surface); it cannot be merged across
+    panes, so it forces the direct form.  Spark evaluates pandas aggregates
+    in their own aggregation, so don't mix them with built-ins in one call."""
     out = []
     for name, spec in (aggs or {"cnt": "count"}).items():
+        if isinstance(spec, Column):
+            out.append((name, "custom", spec))
+            continue
         if isinstance(spec, str):
             kind, col = spec, None
         else:
@@ -58,6 +65,10 @@ def _norm_aggs(aggs) -> list[tuple[str, str, Column | None]]:
     return out
 
 
+def _partial(kind: str, c):
+    return c if kind == "custom" else _MERGE[kind][0](c)
+
+
 def _final_cast(kind: str, c: Column) -> Column:
     return c.cast("long") if kind == "count" else c
 
@@ -82,6 +93,8 @@ def window_agg(df: DataFrame, ts: str, size, slide=None, keys=(), aggs=None,
         slide = None
     if method == "auto":
         method = choose_method(size, slide)
+    if method == "panes" and any(k == "custom" for _, k, _ in specs):
+        method = "direct"   # a custom aggregate cannot be merged across panes
     if slide is None or method == "tumbling":
         w = F.window(ts, f"{duration_us(size)} microseconds")
         return _agg_on_window(df, w, keys, specs)
@@ -94,7 +107,7 @@ def window_agg(df: DataFrame, ts: str, size, slide=None, keys=(), aggs=None,
 
 
 def _agg_on_window(df, w, keys, specs):
-    parts = [_final_cast(k, _MERGE[k][0](c)).alias(n) for n, k, c in specs]
+    parts = [_final_cast(k, _partial(k, c)).alias(n) for n, k, c in specs]
     return (df.groupBy(w.alias("_w"), *keys).agg(*parts)
               .select(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"),
                       *keys, *[n for n, _, _ in specs]))
