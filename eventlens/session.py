@@ -26,39 +26,29 @@ BASE_CONF = {
 }
 
 
-_PKG_ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 _SHIPPED: set = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make ``eventlens`` importable in Python workers (stateful processors and
-    foreachBatch functions are pickled by module reference).  Zips the
-    package once per application into the shared checkpoint folder and adds
-    it with ``addPyFile``."""
-    sc = spark.sparkContext
-    app = sc.applicationId
-    if app in _SHIPPED:
+    """Make eventlens code usable in Python workers without installing it.
+
+    Stateful processors and foreachBatch functions are pickled; registering
+    the package with cloudpickle's ``register_pickle_by_value`` sends its
+    classes and functions by value, so executors need nothing installed."""
+    del spark  # the registration is per driver process
+    if _SHIPPED:
         return
-    _SHIPPED.add(app)
-    root = ensure_checkpoint_dir(spark)
-    if root.startswith("file:"):
-        root = root[len("file:"):]
-    if not root.startswith("/"):
-        return  # remote file system: deployments ship the package with --py-files
-    import shutil
-    dest = os.path.join(root, "eventlens", f"pkg-{app}-{uuid.uuid4().hex[:8]}")
-    os.makedirs(dest, exist_ok=True)
-    sc.addPyFile(shutil.make_archive(os.path.join(dest, "eventlens"), "zip", _PKG_ROOT, "eventlens"))
+    import sys
+
+    from pyspark import cloudpickle
+    cloudpickle.register_pickle_by_value(sys.modules["eventlens"])
+    _SHIPPED.add(True)
 
 
 def build_session(master: str = "local[*]", app: str = "eventlens",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
     """Local/test session with the eventlens defaults."""
-    # Local workers inherit the environment of the JVM started below.
-    pp = os.environ.get("PYTHONPATH", "")
-    if _PKG_ROOT not in pp.split(os.pathsep):
-        os.environ["PYTHONPATH"] = _PKG_ROOT + (os.pathsep + pp if pp else "")
     b = SparkSession.builder.master(master).appName(app)
     conf = dict(BASE_CONF)
     if shuffle_partitions is not None:
