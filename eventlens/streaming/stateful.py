@@ -151,11 +151,16 @@ class OrderedReplayArrow(OrderedReplay):
         pass
 
 
-def _replay(df: DataFrame, keys, ts: str, seq, delay, machine: M.Machine, payload: dict,
+def replay(df: DataFrame, keys, ts: str, seq, delay, machine: M.Machine, payload: dict,
             event_time_field: str | None = None) -> DataFrame:
     """Run ``machine`` per key over a watermarked stream; returns key columns +
     the machine's outputs (``*_ts`` longs turned back into timestamps).
 
+    This is the user-level form of a keyed process function: subclass
+    :class:`eventlens.streaming.machines.Machine` (``step`` per row in
+    event-time order, ``advance`` when the watermark moves, ``deadline`` for
+    timers) and pass the payload columns it reads.
+
     ``event_time_field`` names an output that becomes the event time of the
     result (``eventTimeColumnName``), so a windowed aggregation can follow."""
     keys = list(keys)
@@ -190,17 +195,17 @@ def _replay(df: DataFrame, keys, ts: str, seq, delay, machine: M.Machine, payloa
 
 def stream_consecutive_pairs(df, keys, is_event, within, ts="ts", seq="seq", delay="0 seconds"):
     """Streaming D3 / C1."""
-    return _replay(df, keys, ts, seq, delay, M.Pairs(duration_us(within)), {"m": is_event})
+    return replay(df, keys, ts, seq, delay, M.Pairs(duration_us(within)), {"m": is_event})
 
 
 def stream_fail_bursts(df, keys, is_fail, span, min_count=2, ts="ts", seq="seq", delay="0 seconds"):
     """Streaming D2."""
-    return _replay(df, keys, ts, seq, delay, M.Bursts(duration_us(span), min_count), {"f": is_fail})
+    return replay(df, keys, ts, seq, delay, M.Bursts(duration_us(span), min_count), {"f": is_fail})
 
 
 def stream_followed_by(df, keys, first, then, within, ts="ts", seq="seq", delay="0 seconds"):
     """Streaming C2: timeouts come out when the watermark passes first + within."""
-    return _replay(df, keys, ts, seq, delay, M.FollowedBy(duration_us(within)), {"a": first, "b": then})
+    return replay(df, keys, ts, seq, delay, M.FollowedBy(duration_us(within)), {"a": first, "b": then})
 
 
 def stream_match_outcomes(df, keys, is_create, is_pay, bound, grace=None, ts="ts", seq="seq",
@@ -211,7 +216,7 @@ def stream_match_outcomes(df, keys, is_create, is_pay, bound, grace=None, ts="ts
     stream (a pay may still come); give a finite grace to close it."""
     kept = df.filter(is_create | is_pay)
     g = None if grace is None else duration_us(grace)
-    return _replay(kept, keys, ts, seq, delay, M.MatchOutcomes(duration_us(bound), g), {"cr": is_create})
+    return replay(kept, keys, ts, seq, delay, M.MatchOutcomes(duration_us(bound), g), {"cr": is_create})
 
 
 def stream_click_cap(df, keys, cap=100, ts="ts", seq="seq", delay="0 seconds", carry=()):
@@ -226,7 +231,7 @@ def stream_click_cap(df, keys, cap=100, ts="ts", seq="seq", delay="0 seconds", c
     # (rows replay in time order), so state is one small value per key
     day = F.unix_micros(F.date_trunc("day", F.col(ts)))
     carry = [c for c in carry if c not in keys]
-    out = _replay(x, list(keys), ts, seq, delay, M.Cap(cap, carry),
+    out = replay(x, list(keys), ts, seq, delay, M.Cap(cap, carry),
                   {"day": day, **{c: F.col(c) for c in carry}}, event_time_field="ts_out")
     return out.select(*keys, F.timestamp_micros("day_out").alias("day"), "tag",
                       F.col("ts_out").alias("ts"), F.col("seq_out").alias("seq"), *carry)

@@ -186,3 +186,34 @@ def test_row_interface_same_as_arrow(spark, split_events):
     finally:
         stateful.ARROW = True
     assert same(got, fail_bursts(batch, ["user_id"], err, "1 day", 2))
+
+
+def test_user_defined_machine(spark, split_events):
+    """KeyedProcessFunction surface: a user machine -- running count of views
+    per user, emitted on every 10th view -- equals the batch answer."""
+    from pyspark.sql import Window
+
+    from eventlens.streaming import replay
+    from eventlens.streaming.machines import Machine
+
+    class EveryTenth(Machine):
+        fields = ("v",)
+        out_fields = (("n", "long"), ("at_ts", "long"))
+
+        def step(self, c, r):
+            if not r["v"]:
+                return []
+            c["n"] = c.get("n", 0) + 1
+            return [{"n": c["n"], "at_ts": r["ts"]}] if c["n"] % 10 == 0 else []
+
+        def idle(self, c):
+            return False
+
+    _, _, batch = split_events
+    s = replay(stream_of(spark, split_events).filter("user_id >= 0"), ["user_id"], "ts", "seq", DELAY,
+               EveryTenth(), {"v": F.col("event_type") == "view"})
+    got = run_to_memory(s, name())
+    w = Window.partitionBy("user_id").orderBy("ts", "seq")
+    exp = (batch.filter("event_type = 'view'").withColumn("n", F.row_number().over(w).cast("long"))
+           .filter("n % 10 = 0").select("user_id", "n", F.col("ts").alias("at_ts")))
+    assert same(got, exp)
