@@ -11,8 +11,10 @@ Here a key is split into event-time buckets of width ``bucket``:
 1. rows are hash-partitioned by (key, bucket) -- a hot key spreads over
    its buckets -- and window functions run inside each bucket;
 2. a one-row-per-(key, bucket) summary (last row, first row, row count,
-   first matching row, condition count) is built from the *same*
-   shuffle output (the exchange is reused, no second scan);
+   first matching row, condition count) is aggregated map-side (partial
+   HashAggregate on max_by/min_by) before its own shuffle, so only one
+   small row per bucket and map task moves -- never a second copy of the
+   data;
 3. a window over the summary -- one row per non-empty bucket, so its
    size is bounded by time span / bucket, not by data volume -- carries
    values across bucket boundaries (previous non-empty bucket's last row,
@@ -80,8 +82,6 @@ def ordered_context(df: DataFrame, keys, ts: str = "ts", seq="seq",
         x = x.withColumn(f"_fc_{n}", _cond(c))
     for n, c in rcs.items():
         x = x.withColumn(f"_rc_{n}", F.when(_cond(c), 1).otherwise(0).cast("long"))
-    # One explicit exchange on (key, bucket), shared by both branches below.
-    x = x.repartition(*keys, "_b")
 
     w = Window.partitionBy(*keys, "_b").orderBy(*order)
     after = w.rowsBetween(1, Window.unboundedFollowing)
@@ -98,7 +98,7 @@ def ordered_context(df: DataFrame, keys, ts: str = "ts", seq="seq",
     for n in rcs:
         y = y.withColumn(f"_rcv_{n}", F.sum(f"_rc_{n}").over(upto))
 
-    # Per-bucket summary from the same partitioned rows (no window needed).
+    # Per-bucket summary, aggregated map-side before its own (small) shuffle.
     # With a single integral tiebreak, (ts, seq) is packed into one
     # fixed-width DECIMAL(38,0) so max_by/min_by stay in a HashAggregate;
     # otherwise fall back to struct min/max (sort-based aggregate).

@@ -45,11 +45,13 @@ def test_panes_aggregate_before_expanding(spark):
     assert "partial_count" in p[gen:]              # pane partial aggregate below the explode
 
 
-def test_ordered_scan_spreads_keys_and_reuses_exchange(spark):
-    p = plan(catalog.QUERIES["consecutive_errors"](spark, SF), final=True)
-    assert "hashpartitioning(user_id" in p and ", _b" in p
-    assert "ReusedExchange" in p
+@pytest.mark.parametrize("name", ["consecutive_errors", "reconcile", "pay_match_outcomes"])
+def test_ordered_scan_spreads_keys_and_preaggregates_summary(spark, name):
+    p = plan(catalog.QUERIES[name](spark, SF), final=True)
+    assert "_b#" in p.split("hashpartitioning(")[1].split(")")[0] or ", _b" in p   # (key, bucket) exchange
+    assert "partial_" in p                      # summary aggregated before its shuffle
     assert "SortAggregate" not in p
+    assert "REPARTITION_BY_COL" not in p        # no forced full repartition
 
 
 def test_interval_join_keys_include_time_bucket(spark):
