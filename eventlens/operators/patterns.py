@@ -112,21 +112,25 @@ def fail_bursts(df: DataFrame, keys, is_fail, span, min_count: int = 2, ts: str
     span_us = duration_us(span)
     width = max(span_us, 1_000_000)
     us = to_micros(ts, dtype)
+    # One aggregation gives each run its first fail (t0) and its breaker: the
+    # breaker of run r is the non-fail row whose running count is r + 1.
+    grp = F.when(F.col("_f"), F.col("_run")).otherwise(F.col("_run") - 1)
+    runs = (ctx.groupBy(*keys, grp.alias("_run"))
+               .agg(F.min(F.when(F.col("_f"), F.col(ts))).alias("_t0"),
+                    F.min(F.when(~F.col("_f"), F.col(ts))).alias("_bk"))
+               .filter(F.col("_t0").isNotNull()))
     fails = ctx.filter("_f").select(*keys, "_run", ts, F.floor(us / width).cast("long").alias("_jb"))
-    runs = fails.groupBy(*keys, "_run").agg(F.min(ts).alias("_t0"))
     # Only fails with ts <= t0 + span count; they lie in the (at most two)
     # event-time buckets from t0 to t0 + span.  Joining on the bucket too
     # keeps a very long run from landing in one task.
     t0us = to_micros("_t0", dtype)
-    runs_x = runs.select(*keys, "_run", "_t0", F.explode(F.sequence(
+    runs_x = runs.select(*keys, "_run", "_t0", "_bk", F.explode(F.sequence(
         F.floor(t0us / width).cast("long"), F.floor((t0us + F.lit(span_us)) / width).cast("long"))).alias("_jb"))
-    breakers = ctx.filter(~F.col("_f")).select(*keys, (F.col("_run") - 1).alias("_run"), F.col(ts).alias("_bk"))
     limit = add_duration(F.col("_t0"), span)
-    inside = (fails.join(runs_x, [*keys, "_run", "_jb"])
-                   .filter(F.col(ts) <= limit)
-                   .groupBy(*keys, "_run", "_t0")
-                   .agg(F.count(F.lit(1)).alias("n_fails"), F.max(ts).alias("last_ts")))
-    res = inside.join(breakers, [*keys, "_run"], "left")
+    res = (fails.join(runs_x, [*keys, "_run", "_jb"])
+                .filter(F.col(ts) <= limit)
+                .groupBy(*keys, "_run", "_t0", "_bk")
+                .agg(F.count(F.lit(1)).alias("n_fails"), F.max(ts).alias("last_ts")))
     ok = (F.col("n_fails") >= min_count) & (F.col("_bk").isNull() | (F.col("_bk") > limit))
     return res.filter(ok).select(*keys, F.col("_t0").alias("first_ts"), "last_ts",
                                  F.col("n_fails").cast("long").alias("n_fails"))
