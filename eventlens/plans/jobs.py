@@ -16,77 +16,101 @@ from eventlens.operators.patterns import consecutive_pairs, fail_bursts, followe
 from eventlens.operators.topn import hot_keys, window_report
 from eventlens.operators.windows import window_counts, window_distinct, window_sum
 
-
-def hot_items(behavior: DataFrame, n: int = 3, size="2 minutes", slide="1 minute") -> DataFrame:
+# ---------------------------------------------------------------------------
+# Literals and parameters of the reference's jobs, kept equal
+# so results match (event-type words, window sizes, bounds, caps, sizes n).
+PAGE_VIEW = "pv"                          # behaviour counted as a page view
+UNINSTALL = "UNINSTALL"                   # marketing behaviour left out
+LOGIN_FAIL = "fail"                       # login event type that fails
+ORDER_CREATE = "create"                   # order event types
+ORDER_PAY = "pay"
+HOT_ITEMS_WINDOW = ("2 minutes", "1 minute")
+HOT_ITEMS_N = 3
+HOT_URLS_WINDOW = ("10 minutes", "5 seconds")
+HOT_URLS_N = 5
+HOURLY = "1 hour"
+AD_WINDOW = ("1 hour", "5 seconds")
+CLICK_CAP = 100
+MARKETING_WINDOW = ("1 hour", "10 seconds")
+LOGIN_SPAN = "2 seconds"
+LOGIN_MIN_FAILS = 2
+ORDER_BOUND = "15 minutes"
+TX_BOUNDS = ("-5 seconds", "5 seconds")
+OUT_OF_ORDER = {"hot_items": "5 seconds", "hot_urls": "5 seconds", "logins": "2 seconds", "others": "0 seconds"}
+URL_LATENESS = "60 seconds"
+# ---------------------------------------------------------------------------
+
+
+def hot_items(behavior: DataFrame, n: int = HOT_ITEMS_N, size=HOT_ITEMS_WINDOW[0], slide=HOT_ITEMS_WINDOW[1]) -> DataFrame:
     """Top-n items by page views per sliding window."""
-    pv = behavior.filter(F.col("behavior") == "pv")
+    pv = behavior.filter(F.col("behavior") == PAGE_VIEW)
     return hot_keys(pv, "ts", "item_id", size, slide, n)
 
 
-def hot_items_report(behavior: DataFrame, n: int = 3) -> DataFrame:
+def hot_items_report(behavior: DataFrame, n: int = HOT_ITEMS_N) -> DataFrame:
     """M5: the text form of :func:`hot_items`."""
     return window_report(hot_items(behavior, n), "item_id")
 
 
-def hot_urls(web_log: DataFrame, n: int = 5, size="10 minutes", slide="5 seconds") -> DataFrame:
+def hot_urls(web_log: DataFrame, n: int = HOT_URLS_N, size=HOT_URLS_WINDOW[0], slide=HOT_URLS_WINDOW[1]) -> DataFrame:
     """Top-n urls per 10 min window sliding by 5 s (120 panes)."""
     return hot_keys(web_log, "ts", "url", size, slide, n)
 
 
-def page_views(behavior: DataFrame, size="1 hour") -> DataFrame:
+def page_views(behavior: DataFrame, size=HOURLY) -> DataFrame:
     """Page views per hour."""
-    return window_counts(behavior.filter(F.col("behavior") == "pv"), "ts", size, name="pv")
+    return window_counts(behavior.filter(F.col("behavior") == PAGE_VIEW), "ts", size, name="pv")
 
 
-def unique_visitors(behavior: DataFrame, size="1 hour") -> DataFrame:
+def unique_visitors(behavior: DataFrame, size=HOURLY) -> DataFrame:
     """Exact distinct users per hour."""
-    return window_distinct(behavior.filter(F.col("behavior") == "pv"), "ts", size,
+    return window_distinct(behavior.filter(F.col("behavior") == PAGE_VIEW), "ts", size,
                            distinct_col="user_id", name="uv")
 
 
-def ad_clicks_by_province(clicks: DataFrame, size="1 hour", slide="5 seconds") -> DataFrame:
+def ad_clicks_by_province(clicks: DataFrame, size=AD_WINDOW[0], slide=AD_WINDOW[1]) -> DataFrame:
     """Clicks per province, 1 h sliding by 5 s (720 panes)."""
     return window_counts(clicks, "ts", size, slide, ["province"])
 
 
-def ad_clicks_with_blacklist(clicks: DataFrame, cap: int = 100, size="1 hour", slide="5 seconds"):
+def ad_clicks_with_blacklist(clicks: DataFrame, cap: int = CLICK_CAP, size=AD_WINDOW[0], slide=AD_WINDOW[1]):
     """D1 + D1b: cap clicks per (user, ad, day); count passed clicks per
     province.  Returns (province counts, blacklist warnings)."""
     passed, warnings = click_cap(clicks, ["user_id", "ad_id"], cap)
     return window_counts(passed, "ts", size, slide, ["province"]), warnings
 
 
-def marketing_totals(mkt: DataFrame, size="1 hour", slide="10 seconds") -> DataFrame:
+def marketing_totals(mkt: DataFrame, size=MARKETING_WINDOW[0], slide=MARKETING_WINDOW[1]) -> DataFrame:
     """F2 M1 M4 A2: all non-uninstall behaviour under one key, labels 'all'."""
-    kept = mkt.filter(F.col("behavior") != "UNINSTALL")
+    kept = mkt.filter(F.col("behavior") != UNINSTALL)
     return window_sum(kept, "ts", size, slide, name="cnt", labels={"channel": "all", "behavior": "all"})
 
 
-def marketing_by_channel(mkt: DataFrame, size="1 hour", slide="10 seconds") -> DataFrame:
+def marketing_by_channel(mkt: DataFrame, size=MARKETING_WINDOW[0], slide=MARKETING_WINDOW[1]) -> DataFrame:
     """F2 M2 A4: counts per (channel, behavior)."""
-    kept = mkt.filter(F.col("behavior") != "UNINSTALL")
+    kept = mkt.filter(F.col("behavior") != UNINSTALL)
     return window_counts(kept, "ts", size, slide, ["channel", "behavior"])
 
 
-def login_fail_bursts(logins: DataFrame, min_fails: int = 2, span="2 seconds") -> DataFrame:
+def login_fail_bursts(logins: DataFrame, min_fails: int = LOGIN_MIN_FAILS, span=LOGIN_SPAN) -> DataFrame:
     """At least ``min_fails`` fails of one run within ``span`` of its start."""
-    return fail_bursts(logins, ["user_id"], F.col("event_type") == "fail", span, min_fails)
+    return fail_bursts(logins, ["user_id"], F.col("event_type") == LOGIN_FAIL, span, min_fails)
 
 
-def login_fail_pairs(logins: DataFrame, within="2 seconds") -> DataFrame:
+def login_fail_pairs(logins: DataFrame, within=LOGIN_SPAN) -> DataFrame:
     """Fail directly followed by fail less than ``within`` later."""
-    return consecutive_pairs(logins, ["user_id"], F.col("event_type") == "fail", within)
+    return consecutive_pairs(logins, ["user_id"], F.col("event_type") == LOGIN_FAIL, within)
 
 
-def order_timeouts(orders: DataFrame, within="15 minutes") -> DataFrame:
+def order_timeouts(orders: DataFrame, within=ORDER_BOUND) -> DataFrame:
     """Create followed by pay within 15 min -> matched, else timeout."""
-    return followed_by(orders, ["order_id"], F.col("event_type") == "create", F.col("event_type") == "pay",
+    return followed_by(orders, ["order_id"], F.col("event_type") == ORDER_CREATE, F.col("event_type") == ORDER_PAY,
                        within).withColumnRenamed("first_ts", "create_ts").withColumnRenamed("then_ts", "pay_ts")
 
 
-def order_pay_outcomes(orders: DataFrame, bound="15 minutes", grace=None) -> DataFrame:
+def order_pay_outcomes(orders: DataFrame, bound=ORDER_BOUND, grace=None) -> DataFrame:
     """Paid / paid_late / timeout / pay_without_create."""
-    return match_outcomes(orders, ["order_id"], F.col("event_type") == "create", F.col("event_type") == "pay",
+    return match_outcomes(orders, ["order_id"], F.col("event_type") == ORDER_CREATE, F.col("event_type") == ORDER_PAY,
                           bound, grace)
 
 
@@ -104,7 +128,7 @@ def _receipt_side(receipts: DataFrame) -> DataFrame:
     return receipts.filter(F.col("tx_id") != "").select(*cols)
 
 
-def tx_match_interval(orders: DataFrame, receipts: DataFrame, lower="-5 seconds", upper="5 seconds") -> DataFrame:
+def tx_match_interval(orders: DataFrame, receipts: DataFrame, lower=TX_BOUNDS[0], upper=TX_BOUNDS[1]) -> DataFrame:
     """Order rows with a tx id x receipts, receipt within [-5 s, +5 s]."""
     j = interval_join(_order_side(orders), _receipt_side(receipts), [("o_tx_id", "r_tx_id")],
                       "o_ts", "r_ts", lower, upper)
@@ -113,7 +137,7 @@ def tx_match_interval(orders: DataFrame, receipts: DataFrame, lower="-5 seconds"
 
 def tx_reconcile(orders: DataFrame, receipts: DataFrame, tolerance=None) -> DataFrame:
     """Matched / left_only (order, no receipt) / right_only (receipt, no order)."""
-    o = _order_side(orders).filter(F.col("event_type") == "pay")
+    o = _order_side(orders).filter(F.col("event_type") == ORDER_PAY)
     r = _receipt_side(receipts)
     return reconcile(o, r, "o_tx_id", "r_tx_id", "o_ts", "r_ts", tolerance=tolerance,
                      left_seq="o_seq" if "o_seq" in o.columns else None,

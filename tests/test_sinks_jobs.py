@@ -89,3 +89,55 @@ def test_ad_and_marketing_jobs(spark):
     ch = {(r.channel, r.behavior): r.cnt for r in jobs.marketing_by_channel(mkt)
           .filter(F.col("window_end") == ts(T + 10)).collect()}
     assert ch == {("wechat", "CLICK"): 1, ("wechat", "INSTALL"): 1, ("appstore", "CLICK"): 1}
+
+
+def test_streaming_jobs_match_batch(spark):
+    """Streaming forms of the login and order jobs equal the batch forms."""
+    from eventlens.streaming import jobs as sjobs
+    from eventlens.streaming import run_to_memory
+    root = scratch_path(spark, "jobs-in")
+    login_lines = [f"1035,1.1.1.1,fail,{1558430840 + d}" for d in (2, 4, 3, 5, 6, 1)] + \
+        ["1035,1.1.1.1,success,1558430870", "7,1.1.1.1,success,1558430843", "9,1.1.1.1,success,1558439999"]
+    logins = P.parse_logins(lines_df(spark, login_lines))
+    logins.write.parquet(f"{root}/logins")
+    s = spark.readStream.schema(logins.schema).parquet(f"{root}/logins")
+    got = run_to_memory(sjobs.login_fail_pairs(s), "jobs_pairs").collect()
+    exp = jobs.login_fail_pairs(logins).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, exp)) and len(got) == 5
+    order_lines = ["1,create,,100", "1,pay,t1,500", "2,create,,100", "2,pay,t2,1200", "3,create,,200",
+                   "4,pay,t4,300", "99,create,,99999"]
+    orders = P.parse_orders(lines_df(spark, order_lines))
+    orders.write.parquet(f"{root}/orders")
+    s = spark.readStream.schema(orders.schema).parquet(f"{root}/orders")
+    got = sorted((r.order_id, r.outcome) for r in run_to_memory(sjobs.order_pay_outcomes(s), "jobs_d4").collect())
+    exp = sorted((r.order_id, r.outcome) for r in jobs.order_pay_outcomes(orders, grace="0 seconds").collect()
+                 if r.order_id != 99)
+    assert got == exp
+
+
+def test_streaming_jobs_build(spark):
+    """Every streaming job form analyses on streaming input; hot items runs."""
+    from eventlens.streaming import jobs as sjobs
+    import os
+    root = scratch_path(spark, "jobs-build")
+    for d in ("none-c", "none-m", "none-o", "none-r"):
+        os.makedirs(f"{root}/{d}", exist_ok=True)      # empty stream sources (local test folder)
+    b = _behavior(spark)
+    b.write.parquet(f"{root}/b")
+    sb = spark.readStream.schema(b.schema).parquet(f"{root}/b")
+    clicks = spark.readStream.schema("user_id long, ad_id long, province string, city string, ts timestamp, "
+                                     "seq long").parquet(f"{root}/none-c")
+    mkt = spark.readStream.schema("user_id string, behavior string, channel string, ts timestamp").parquet(f"{root}/none-m")
+    orders = spark.readStream.schema("order_id long, event_type string, tx_id string, ts timestamp, seq long") \
+        .parquet(f"{root}/none-o")
+    receipts = spark.readStream.schema("tx_id string, pay_channel string, ts timestamp, seq long").parquet(f"{root}/none-r")
+    built = [sjobs.page_views(sb), sjobs.unique_visitors(sb), sjobs.ad_clicks_by_province(clicks),
+             *sjobs.ad_clicks_with_blacklist(clicks), sjobs.marketing_totals(mkt), sjobs.marketing_by_channel(mkt),
+             sjobs.order_timeouts(orders), sjobs.tx_match_interval(orders, receipts),
+             sjobs.tx_reconcile(orders, receipts)]
+    assert all(d.isStreaming for d in built)
+    out = scratch_path(spark, "jobs-hot")
+    sjobs.start_hot_items(sb, out, n=2, trigger={"availableNow": True}).awaitTermination()
+    # the last rows stay inside the 5 s watermark delay; closed windows are ranked
+    got = spark.read.parquet(out).filter(F.col("window_end") == ts(T + 60)).orderBy("rank").collect()
+    assert [(r.item_id, r.cnt) for r in got] == [(100, 2), (200, 1)]
