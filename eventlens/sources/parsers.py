@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventlens.functions.time import from_epoch_ms, from_epoch_s, parse_text_time
+from eventlens.functions.time import from_epoch_ms, from_epoch_s
 
 # A field spec: (output name, position, kind).  Kinds: "long", "string",
 # "epoch_s", "epoch_ms", "text_time".

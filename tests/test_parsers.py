@@ -2,7 +2,6 @@
 
 import pytest
 from pyspark.errors import PySparkException
-from pyspark.sql.utils import AnalysisException  # noqa: F401
 
 from conftest import lines_df, ts
 from eventlens.sources import parsers as P
