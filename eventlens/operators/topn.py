@@ -35,13 +35,15 @@ def hot_keys(df: DataFrame, ts: str, key: str, size, slide, n: int, method: str
     return top_n_per_window(window_counts(df, ts, size, slide, [key], method), key, n)
 
 
-def window_report(ranked: DataFrame, key: str, cnt: str = "cnt", rank_col: str = "rank") -> DataFrame:
+def window_report(ranked: DataFrame, key: str, cnt: str = "cnt", rank_col: str = "rank",
+                  window_cols=("window_start", "window_end")) -> DataFrame:
     """M5: one text block per window end from the ranked rows.
 
     The group holds at most n rows (already limited), so collecting it is
-    bounded.
+    bounded.  Grouping by the same window columns as the ranking reuses its
+    partitioning (no extra shuffle).
     """
-    return (ranked.groupBy("window_end")
+    return (ranked.groupBy(*window_cols)
                   .agg(F.collect_list(F.struct(F.col(rank_col).alias("rank"), F.col(key).alias("key"),
                                                F.col(cnt).alias("cnt"))).alias("_r"))
                   .select("window_end", ranked_report("window_end", "_r").alias("report")))

@@ -45,6 +45,31 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(True)
 
 
+def scale_conf(input_bytes: int, executors: int, cores_per_executor: int,
+               target_partition_bytes: int = 256 << 20) -> dict:
+    """Settings sized for the input volume (e.g. 100 TB on 1000 executors).
+
+    Shuffle partitions start at input / target (at least 2x the task
+    slots), so each reduce task holds about ``target_partition_bytes``; AQE
+    coalesces small ones and splits skewed join partitions at run time.
+    File splits match the same size, so scan tasks and shuffle tasks are
+    alike.
+    """
+    slots = executors * cores_per_executor
+    parts = max(2 * slots, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        # broadcast only what the optimizer/AQE measures as small
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
 def build_session(master: str = "local[*]", app: str = "eventlens",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:

@@ -63,3 +63,10 @@ def test_entry_runs(spark):
     df = entry.entry(spark)
     assert df.columns == ["window_start", "window_end", "user_id", "cnt", "rank"]
     assert df.count() > 0
+
+
+def test_scale_conf_sizes_partitions():
+    from eventlens.session import scale_conf
+    c = scale_conf(100 * (1 << 40), executors=1000, cores_per_executor=4)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600        # 100 TiB / 256 MiB
+    assert int(scale_conf(1 << 30, 10, 4)["spark.sql.shuffle.partitions"]) == 80   # at least 2x slots
