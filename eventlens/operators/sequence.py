@@ -22,7 +22,9 @@ Here a key is split into event-time buckets of width ``bucket``:
 4. the summary is joined back on (key, bucket); the big side keeps its
    partitioning, and AQE broadcasts the summary when it is small.
 
-Results equal the single-window form exactly, whatever the bucket width.
+A (key, bucket) that is itself hot (a burst) is range-split further, see
+:func:`_split_hot_buckets`.  Results equal the single-window form exactly,
+whatever the bucket width or split.
 """
 
 from __future__ import annotations
@@ -35,9 +37,45 @@ from pyspark.sql import functions as F
 from eventlens.functions.time import bucket_of
 
 DEFAULT_BUCKET = "1 hour"
+DEFAULT_SPLIT_ROWS = 4_000_000   # a (key, bucket) above this is range-split
+_SPLIT = 1 << 20                 # sub-ranges per bucket at most
 _INTEGRAL = ("bigint", "int", "smallint", "tinyint")
 
 
+def _split_hot_buckets(x: DataFrame, keys: list, ts: str, seqs: list, split_rows) -> DataFrame:
+    """Range-split any (key, bucket) with more than ``split_rows`` rows.
+
+    One extra pass (partial aggregate: count, min and max of the order key
+    per (key, bucket)) finds the hot groups.  Their number is at most
+    rows / split_rows, so the table is small by construction and is
+    broadcast.  Each row of a hot group gets the sub-range
+    floor((ord - min) / (max - min + 1) * parts), monotone in the order key,
+    so sub-buckets are contiguous, ordered ranges: time-proportional when
+    timestamps spread, tiebreak-proportional when they coincide.  The
+    bucket id becomes bucket * SPLIT + sub, which keeps the time order.
+    """
+    if not split_rows:
+        return x
+    ordc = _packed_order(x, ts, seqs)
+    if ordc is None:
+        ordc = F.unix_micros(F.col(ts).cast("timestamp")).cast("decimal(38,0)")
+    x = x.withColumn("_o", ordc)
+    hot = (x.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_hn"), F.min("_o").alias("_hlo"),
+                                      F.max("_o").alias("_hhi"))
+             .filter(F.col("_hn") > F.lit(int(split_rows)))
+             .select(*[F.col(k).alias(f"_hk{i}") for i, k in enumerate(keys)], F.col("_b").alias("_hb"),
+                     F.least(F.ceil(F.col("_hn") / F.lit(int(split_rows))), F.lit(_SPLIT)).cast("long").alias("_hp"),
+                     "_hlo", "_hhi"))
+    cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_hk{i}")) for i, k in enumerate(keys)]
+                  + [F.col("_b") == F.col("_hb")])
+    j = x.join(F.broadcast(hot), cond, "left")
+    frac = (F.col("_o") - F.col("_hlo")).cast("double") / (F.col("_hhi") - F.col("_hlo") + F.lit(1)).cast("double")
+    sub = F.when(F.col("_hp").isNull(), F.lit(0)).otherwise(
+        F.least(F.floor(frac * F.col("_hp")).cast("long"), F.col("_hp") - 1))
+    out = j.withColumn("_b", F.col("_b") * F.lit(_SPLIT) + sub)
+    return out.drop("_o", "_hb", "_hp", "_hlo", "_hhi", *[f"_hk{i}" for i in range(len(keys))])
+
+
 def _packed_order(df: DataFrame, ts: str, seqs: list) -> Column | None:
     """(ts, seq) as one DECIMAL(38,0) preserving their order, or None."""
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
@@ -56,10 +94,12 @@ def _cond(c) -> Column:
 
 def ordered_context(df: DataFrame, keys, ts: str = "ts", seq="seq",
                     bucket=DEFAULT_BUCKET, prev=(), next=(), first_next_where=None,
-                    running_count=None, rank: bool = False) -> DataFrame:
+                    running_count=None, rank: bool = False, split_rows="default") -> DataFrame:
     """Add context columns in (ts, seq) order within ``keys``.
 
-    ``seq`` is a tiebreak column name or a list of them.
+    ``seq`` is a tiebreak column name or a list of them.  A (key, bucket)
+    holding more than ``split_rows`` rows is range-split further
+    (``None`` turns that off).
 
     * ``prev=[c..]`` -> ``prev_<c>`` from the previous row (null on the first)
     * ``next=[c..]`` -> ``next_<c>`` from the next row (null on the last)
@@ -77,7 +117,9 @@ def ordered_context(df: DataFrame, keys, ts: str = "ts", seq="seq",
     rcs = dict(running_count or {})
     prev, next = list(prev), list(next)
 
-    x = df.withColumn("_b", bucket_of(ts, bucket))
+    if split_rows == "default":
+        split_rows = DEFAULT_SPLIT_ROWS
+    x = _split_hot_buckets(df.withColumn("_b", bucket_of(ts, bucket)), keys, ts, order_names[1:], split_rows)
     for n, (c, _) in fnw.items():
         x = x.withColumn(f"_fc_{n}", _cond(c))
     for n, c in rcs.items():

@@ -113,9 +113,10 @@ def test_ordered_context_matches_plain_window(spark):
                          .over(w.rowsBetween(1, Window.unboundedFollowing))))
     cols = ["seq", "prev_seq", "next_seq", "rank", "n_f", "nf_seq"]
     expect = sorted(tuple(r) for r in ref.select(*cols).collect())
-    for bucket, seq in [("1 minute", "seq"), ("17 minutes", "seq"), ("100 days", "seq"), ("5 minutes", ["seq"])]:
+    for bucket, seq, split in [("1 minute", "seq", None), ("17 minutes", "seq", None), ("100 days", "seq", None),
+                               ("5 minutes", ["seq"], None), ("100 days", "seq", 7), ("1 hour", ["seq"], 3)]:
         got = ordered_context(df, ["k"], "ts", seq, bucket, prev=["seq"], next=["seq"],
                               first_next_where={"nf": (F.col("f"), ["seq"])}, running_count={"n_f": F.col("f")},
-                              rank=True)
+                              rank=True, split_rows=split)
         got = sorted(tuple(r) for r in got.select(*cols).collect())
-        assert got == expect, bucket
+        assert got == expect, (bucket, split)

@@ -52,3 +52,27 @@ def test_interval_join_spreads_hot_key(spark):
     exp = left.join(right, (F.col("k") == F.col("rk")) & (F.col("rt") >= F.col("lt") - F.expr("INTERVAL 1 HOUR"))
                     & (F.col("rt") <= F.col("lt") + F.expr("INTERVAL 1 HOUR")))
     assert sorted(j.select("lseq", "rseq").collect()) == sorted(exp.select("lseq", "rseq").collect())
+
+
+def test_hot_bucket_is_range_split(spark):
+    """One (key, bucket) with a third of all rows -- half of them at the very
+    same instant -- is split into ordered sub-ranges; results stay exact."""
+    rnd = random.Random(4)
+    rows = []
+    for i in range(3000):
+        if i % 3 == 0:
+            t = T0 + 100 if i % 2 == 0 else T0 + rnd.randint(0, 3599)     # key 0: inside one hour
+            rows.append((0, ts(t), i))
+        else:
+            rows.append((rnd.randint(1, 200), ts(T0 + rnd.randint(0, 30 * 86400)), i))
+    df = spark.createDataFrame(rows, "k long, ts timestamp, seq long")
+    ctx = ordered_context(df, ["k"], "ts", "seq", "1 day", prev=["seq"], next=["seq"], rank=True,
+                          running_count={"n_even": F.col("seq") % 2 == 0}, split_rows=100)
+    assert ctx.filter("k = 0").select(F.spark_partition_id()).distinct().count() > 1
+    w = Window.partitionBy("k").orderBy("ts", "seq")
+    exp = df.select("seq", F.lag("seq").over(w).alias("prev_seq"), F.lead("seq").over(w).alias("next_seq"),
+                    F.row_number().over(w).cast("long").alias("rank"),
+                    F.sum(F.when(F.col("seq") % 2 == 0, 1).otherwise(0)).over(
+                        w.rowsBetween(Window.unboundedPreceding, 0)).cast("long").alias("n_even"))
+    cols = ["seq", "prev_seq", "next_seq", "rank", "n_even"]
+    assert sorted(ctx.select(*cols).collect()) == sorted(exp.select(*cols).collect())
