@@ -462,3 +462,14 @@ def stream_interval_join(spark, sf_dir):
         F.col("user_id").alias("p_user_id"), F.col("event_id").alias("purchase_id"), F.col("ts").alias("purchase_ts"))
     j = sij(clicks, buys, [("user_id", "p_user_id")], "click_ts", "purchase_ts", "-6 hours", "6 hours")
     return _run(j.select("user_id", "click_id", "click_ts", "purchase_id", "purchase_ts"), "stream_interval_join")
+
+
+@query("stream_capped_region_counts",
+       f"SELECT * FROM ({ORACLE['capped_region_counts']}) WHERE window_end <= {_W_ALL}")
+def stream_capped_region_counts(spark, sf_dir):
+    """Streaming D1b in one query: the cap's passed rows carry event time into
+    a 1 h / 1 min window count (pane rollup over the capped stream)."""
+    from eventlens.streaming.stateful import stream_capped_window_counts
+    s = stream_capped_window_counts(_event_stream(spark, sf_dir), ["user_id", "event_type"], ["event_type"],
+                                    "1 hour", "1 minute", cap=CAP)
+    return _run(s, "stream_capped_region_counts")
