@@ -473,3 +473,30 @@ def stream_capped_region_counts(spark, sf_dir):
     s = stream_capped_window_counts(_event_stream(spark, sf_dir), ["user_id", "event_type"], ["event_type"],
                                     "1 hour", "1 minute", cap=CAP)
     return _run(s, "stream_capped_region_counts")
+
+
+@query("stream_reconcile", """
+WITH c AS (SELECT user_id, event_id AS click_id, ts AS click_ts FROM events WHERE event_type = 'click'),
+p AS (SELECT user_id AS p_user_id, event_id AS purchase_id, ts AS purchase_ts FROM events WHERE event_type = 'purchase'),
+j AS (SELECT * FROM c FULL OUTER JOIN p ON c.user_id = p.p_user_id
+      AND p.purchase_ts BETWEEN c.click_ts - INTERVAL 6 HOUR AND c.click_ts + INTERVAL 6 HOUR),
+w AS (SELECT least((SELECT max(ts) FROM events WHERE event_type = 'click'),
+                   (SELECT max(ts) FROM events WHERE event_type = 'purchase')) AS w)
+SELECT CASE WHEN user_id IS NULL THEN 'right_only' WHEN p_user_id IS NULL THEN 'left_only' ELSE 'matched' END AS outcome,
+       coalesce(user_id, p_user_id) AS key, user_id, click_id, click_ts, p_user_id, purchase_id, purchase_ts
+FROM j, w
+WHERE (user_id IS NOT NULL AND p_user_id IS NOT NULL)
+   OR (p_user_id IS NULL AND click_ts + INTERVAL 6 HOUR < w.w)
+   OR (user_id IS NULL AND purchase_ts + INTERVAL 6 HOUR < w.w)""")
+def stream_reconcile_events(spark, sf_dir):
+    """Streaming J2: clicks vs purchases per user within +-6 h, full outer
+    stream-stream join; an unmatched row comes out once the (min of both
+    sides') watermark passes its ts + 6 h."""
+    from eventlens.streaming.joins import stream_reconcile
+    ev = _event_stream(spark, sf_dir)
+    clicks = ev.filter(F.col("event_type") == "click").select(
+        "user_id", F.col("event_id").alias("click_id"), F.col("ts").alias("click_ts"))
+    buys = ev.filter(F.col("event_type") == "purchase").select(
+        F.col("user_id").alias("p_user_id"), F.col("event_id").alias("purchase_id"), F.col("ts").alias("purchase_ts"))
+    return _run(stream_reconcile(clicks, buys, "user_id", "p_user_id", "click_ts", "purchase_ts", "6 hours"),
+                "stream_reconcile")
