@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from eventlens.plans import catalog
 from eventlens.sources.tables import TABLES
 
 SF = "/root/testdata/sf0.001"
@@ -29,7 +30,7 @@ def _norm(rows):
     return sorted((tuple(v(x) for x in r) for r in rows), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(n for n in entry.queries() if not n.startswith("stream_")))
+@pytest.mark.parametrize("name", sorted(n for n in catalog.QUERIES if not n.startswith("stream_")))
 def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF)
     rel = con.sql(entry.oracle_sql()[name])
@@ -40,4 +41,6 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.QUERIES) == set(catalog.ORACLE)
+    assert set(catalog.QUERIES) <= set(entry.queries())
+    assert set(catalog.ORACLE) <= set(entry.oracle_sql())
