@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import common, simhash
+from . import common, simhash, substrings
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -12,8 +12,38 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(common.table(spark, sf_dir, "documents"), shingle=4, radius=4)
 
 
+def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words left after removing every repeated 20-word window but the first."""
+    return substrings.remove_repeats(common.table(spark, sf_dir, "documents"), window=20, digest=True)
+
+
+OP4_SQL = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+win AS (
+  SELECT doc_id, i AS start, list_aggregate(words[i:i + 19], 'string_agg', ' ') AS phrase
+  FROM w, unnest(range(1, greatest(len(words) - 18, 1))) AS r(i)),
+rep AS (
+  SELECT doc_id, start FROM (
+    SELECT doc_id, start, row_number() OVER (PARTITION BY phrase ORDER BY doc_id, start) AS k FROM win) WHERE k > 1),
+gone AS (
+  SELECT DISTINCT doc_id, start + j AS pos FROM rep, unnest(range(0, 20)) AS r(j)),
+every_word AS (
+  SELECT doc_id, i AS pos, words[i] AS word FROM w, unnest(range(1, len(words) + 1)) AS r(i)),
+kept AS (
+  SELECT e.doc_id, string_agg(word, ' ' ORDER BY e.pos) AS body, count(*) AS n
+  FROM every_word e ANTI JOIN gone g ON e.doc_id = g.doc_id AND e.pos = g.pos GROUP BY e.doc_id)
+SELECT w.doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(k.n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(k.body, '')) AS kept_sha256
+FROM w LEFT JOIN kept k ON w.doc_id = k.doc_id
+"""
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op4_substrings": op4_substrings,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_substrings": OP4_SQL,
+}
