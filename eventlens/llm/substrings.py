@@ -80,7 +80,7 @@ def _with_block(docs: DataFrame, blocks: int) -> DataFrame:
     return d.select("doc_id", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block"))
 
 
-def _anchor_rows(docs: DataFrame, window: int) -> DataFrame:
+def _anchor_rows(docs: DataFrame, window: int, gram: int) -> DataFrame:
     """(anchor, block, n): counted within a task before anything is shuffled."""
     def run(batches):
         held, rows = [], 0
@@ -92,7 +92,7 @@ def _anchor_rows(docs: DataFrame, window: int) -> DataFrame:
                 ["anchor", "block", "n"])
         for b in batches:
             for text, block in zip(b.column("text"), b.column("block")):
-                a, _, _ = anchors((text.as_py() or "").encode().split(), window)
+                a, _, _ = anchors((text.as_py() or "").encode().split(), window, gram)
                 if len(a):
                     held.append(np.stack([a, np.full(len(a), block.as_py())], 1))
                     rows += len(a)
@@ -139,7 +139,7 @@ def _unpack(blob: bytes) -> tuple[np.ndarray, bytes]:
     return np.frombuffer(raw, np.int64, r * c, 16).reshape(r, c), raw[16 + 8 * r * c:]
 
 
-def _segments(docs: pa.Table, recurring: pa.Table, window: int, shards: int) -> pa.Table:
+def _segments(docs: pa.Table, recurring: pa.Table, window: int, gram: int, shards: int) -> pa.Table:
     """A block's first copies of segments by shard, and the ranges of the later copies."""
     rec = np.unique(recurring.column("anchor").to_numpy())
     block = docs.column("block")[0].as_py() if docs.num_rows else None
@@ -147,7 +147,7 @@ def _segments(docs: pa.Table, recurring: pa.Table, window: int, shards: int) ->
     out: dict[int, tuple[list, list]] = {}
     later: list[tuple] = []
     for (doc, tie), words in _documents(docs) if len(rec) else ():
-        a, lo, hi = anchors(words, window)
+        a, lo, hi = anchors(words, window, gram)
         if not len(a):
             continue
         found = np.flatnonzero(rec[np.minimum(np.searchsorted(rec, a), len(rec) - 1)] == a)
@@ -267,14 +267,14 @@ def remove_repeats(docs: DataFrame, window: int = 20, gram: int = GRAM, block_by
     size = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(2 * slots, math.ceil(size / block_bytes))
     docs = _with_block(docs, blocks)
-    seen = _anchor_rows(docs, window)
+    seen = _anchor_rows(docs, window, gram)
     every = Window.partitionBy("anchor")
     recurring = common.materialise(
         seen.withColumn("all", F.sum("n").over(every)).where("all > 1").select("block", "anchor"), "repeat-anchors")
     shards = max(2 * slots, math.ceil(recurring.count() / shard_segments))
     packed = _packed(docs)
     segments = (packed.groupBy("block").cogroup(recurring.groupBy("block"))
-                .applyInArrow(lambda a, b: _segments(a, b, window, shards), "shard int, block int, done boolean, blob binary"))
+                .applyInArrow(lambda a, b: _segments(a, b, window, gram, shards), "shard int, block int, done boolean, blob binary"))
     ranges = segments.groupBy("shard").applyInArrow(lambda t: _locate(t, window), "block int, ranges binary")
     last = "kept_sha256 string" if digest else "kept string"
     return packed.groupBy("block").cogroup(ranges.groupBy("block")).applyInArrow(
