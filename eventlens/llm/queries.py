@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import common, simhash, substrings
+from . import common, packing, simhash, substrings, token_files
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -12,6 +13,18 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(common.table(spark, sf_dir, "documents"), shingle=4, radius=4)
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 2048 ids, each ending with id 0."""
+    return packing.pack(common.table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end=0, size=2048)
+
+
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Huffman-coded token files of all documents, each ending with id 2, read back."""
+    path = common.new_path(spark, "token-files")
+    token_files.write(common.table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end=2)
+    return token_files.summary(token_files.read(spark, path))
+
+
 def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words left after removing every repeated 20-word window but the first."""
     return substrings.remove_repeats(common.table(spark, sf_dir, "documents"), window=20, digest=True)
@@ -41,6 +54,8 @@ FROM w LEFT JOIN kept k ON w.doc_id = k.doc_id
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_packing": op2_packing,
+    "op3_token_files": op3_token_files,
     "op4_substrings": op4_substrings,
 }
 
