@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import common, packing, simhash, substrings, token_files
+from . import common, decontaminate, packing, simhash, substrings, token_files
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,13 +53,49 @@ FROM w LEFT JOIN kept k ON w.doc_id = k.doc_id
 """
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents inside 10-word windows of benchmark items."""
+    found = decontaminate.contamination(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"), window=10)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+OP8_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+item_windows AS (
+  SELECT DISTINCT item_id, least(10, len(words)) AS n, array_to_string(words[i:i + least(10, len(words)) - 1], ' ') AS phrase
+  FROM b, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS r(i) WHERE len(words) > 0),
+sizes AS (SELECT DISTINCT n FROM item_windows),
+doc_windows AS (
+  SELECT doc_id, n, i AS start, array_to_string(words[i:i + n - 1], ' ') AS phrase
+  FROM d, sizes, unnest(range(1, greatest(len(words) - n + 2, 1))) AS r(i)),
+hits AS (
+  SELECT DISTINCT doc_id, item_id, w.n, start FROM doc_windows w JOIN item_windows i ON w.phrase = i.phrase AND w.n = i.n),
+places AS (
+  SELECT doc_id, count(DISTINCT start + j) AS n_hit FROM hits, unnest(range(0, n)) AS r(j) GROUP BY doc_id),
+names AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN places p ON d.doc_id = p.doc_id LEFT JOIN names m ON d.doc_id = m.doc_id
+"""
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
     "op3_token_files": op3_token_files,
     "op4_substrings": op4_substrings,
+    "op8_decontamination": op8_decontamination,
 }
 
 ORACLE: dict[str, str] = {
     "op4_substrings": OP4_SQL,
+    "op8_decontamination": OP8_SQL,
 }
