@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, decontaminate, packing, simhash, substrings, token_files
+from . import common, decontaminate, packing, simhash, substrings, token_files, url_filter
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,6 +53,39 @@ FROM w LEFT JOIN kept k ON w.doc_id = k.doc_id
 """
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url by host rules and the weighted vocabulary."""
+    return url_filter.judge(common.table(spark, sf_dir, "pages"))
+
+
+def _terms(terms: list[str], weight: int) -> str:
+    return ", ".join(f"('{t}', {weight})" for t in terms)
+
+
+OP5_SQL = r"""
+WITH u AS (
+  SELECT page_id, coalesce(url, '') AS url, strpos(coalesce(url, ''), '://') AS p FROM pages),
+cut AS (
+  SELECT page_id, url, CASE WHEN p > 0 THEN regexp_extract(substr(url, p + 3), '^[^?#]*') ELSE '' END AS rest FROM u),
+parts AS (
+  SELECT page_id, translate(url, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
+    translate(regexp_extract(rest, '^[^/]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_replace(rest, '^[^/]*', '') AS path FROM cut),
+rules(verdict, host, path) AS (
+  VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')),
+fit AS (
+  SELECT p.page_id, arg_max(r.host || r.path, length(r.host || r.path)) AS rule, arg_max(r.verdict, length(r.host || r.path)) AS verdict
+  FROM parts p JOIN rules r ON (p.host = r.host OR suffix(p.host, '.' || r.host)) AND prefix(p.path, r.path) GROUP BY p.page_id),
+terms(term, weight) AS (VALUES @TERMS@),
+hits AS (
+  SELECT page_id, count(*) FILTER (weight = 2) AS n_strict, count(*) FILTER (weight = 1) AS n_soft
+  FROM parts JOIN terms ON regexp_matches(low, '(^|[^a-z0-9])' || term || '([^a-z0-9]|$)') GROUP BY page_id)
+SELECT p.page_id, p.host, p.path, f.rule, coalesce(n_strict, 0)::BIGINT AS n_strict, coalesce(n_soft, 0)::BIGINT AS n_soft,
+  coalesce(f.verdict, CASE WHEN 2 * coalesce(n_strict, 0) + coalesce(n_soft, 0) >= 2 THEN 'block' ELSE 'allow' END) AS verdict
+FROM parts p LEFT JOIN fit f ON p.page_id = f.page_id LEFT JOIN hits h ON p.page_id = h.page_id
+""".replace("@TERMS@", f"{_terms(url_filter.STRICT, 2)}, {_terms(url_filter.SOFT, 1)}")
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all documents inside 10-word windows of benchmark items."""
     found = decontaminate.contamination(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"), window=10)
@@ -92,10 +125,12 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op3_token_files": op3_token_files,
     "op4_substrings": op4_substrings,
+    "op5_url_filter": op5_url_filter,
     "op8_decontamination": op8_decontamination,
 }
 
 ORACLE: dict[str, str] = {
     "op4_substrings": OP4_SQL,
+    "op5_url_filter": OP5_SQL,
     "op8_decontamination": OP8_SQL,
 }
