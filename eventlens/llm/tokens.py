@@ -15,7 +15,8 @@ import re
 from array import array
 
 #: Unicode White_Space, as the pre-tokenizer's ``\s`` has it (fixed values).
-SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
+SPACE = ("\t\n\x0b\x0c\r \x85\xa0            "
+         "    　")
 _PART = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 MAX_PARTS, MAX_PART, GROUP_CHARS = 500_000, 64, 1 << 22
 _WORKER: dict[str, "Encoder"] = {}
