@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, decontaminate, packing, simhash, substrings, token_files, url_filter
+from . import common, decontaminate, packing, simhash, substrings, token_counts, token_files, url_filter
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,6 +120,11 @@ FROM d LEFT JOIN places p ON d.doc_id = p.doc_id LEFT JOIN names m ON d.doc_id =
 """
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of all documents; over the limit beyond 1024 tokens."""
+    return token_counts.token_counts(common.table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
@@ -127,6 +132,7 @@ QUERIES = {
     "op4_substrings": op4_substrings,
     "op5_url_filter": op5_url_filter,
     "op8_decontamination": op8_decontamination,
+    "op9_token_counts": op9_token_counts,
 }
 
 ORACLE: dict[str, str] = {

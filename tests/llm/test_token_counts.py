@@ -5,7 +5,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from eventlens.llm import token_counts, tokens
+from eventlens.llm import token_counts, words
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 SCHEMA = "doc_id long, text string, n_bytes string, n_tokens string"
@@ -19,7 +19,7 @@ def library():
 
 def _texts(seed, n):
     rng = random.Random(seed)
-    tricky = tokens.SPACE + "\x1c\x1d᠎​﻿ab1'sé٣²,!\U0001F600relvdtm--"
+    tricky = words.SPACE_CHARS + "\x1c\x1d᠎​﻿ab1'sé٣²,!\U0001F600relvdtm--"
     wide = [*range(32, 127)] * 3 + [*range(160, 0x3000), *range(0xA000, 0xA800)]
     out = ["".join(rng.choice(tricky) for _ in range(rng.randint(0, 16))) for _ in range(n)]
     out += ["".join(chr(rng.choice(wide)) for _ in range(rng.randint(0, 40))) for _ in range(n)]
@@ -38,6 +38,7 @@ def test_chunk_and_block_sizes_do_not_matter(library, monkeypatch):
     want = library(texts)
     for chunk, block, cells in ((1, 64, 1 << 20), (7, 1000, 70_000), (64, 1 << 20, 1 << 30)):
         monkeypatch.setattr(token_counts, "CHUNK", chunk)
+        monkeypatch.setattr(words, "CHUNK", chunk)
         monkeypatch.setattr(token_counts, "BLOCK_CHARS", block)
         monkeypatch.setattr(token_counts, "MAX_CELLS", cells)  # the table is dropped and compiled anew
         assert token_counts.count_texts(PATH, texts) == want
@@ -46,7 +47,7 @@ def test_chunk_and_block_sizes_do_not_matter(library, monkeypatch):
 def test_scan_composes_like_a_loop():
     rng = np.random.default_rng(0)
     maps = rng.integers(0, 11, (37, 11))
-    got = token_counts.compose(maps)
+    got = words.compose(maps)
     state = np.arange(11)
     for i in range(37):
         state = maps[i][state]

@@ -6,7 +6,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from eventlens.llm import token_files, tokens
+from eventlens.llm import token_files, tokens, words
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 SCHEMA = "doc_id long, text string, part string, ids string"
@@ -47,7 +47,7 @@ def test_round_trip_of_a_block(n):
 def test_word_cache_gives_the_library_ids():
     import random
     rng = random.Random(7)
-    letters = tokens.SPACE + "\x1c\x1dab1'sé٣²,!\U0001F600​"
+    letters = words.SPACE_CHARS + "\x1c\x1dab1'sé٣²,!\U0001F600​"
     texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 16))) for _ in range(3000)]
     texts += ["a <|endoftext|>b<|endoftext|>", "x" * 500, "don't we'll 'special", None]
     t = Tokenizer.from_file(PATH)
