@@ -12,10 +12,11 @@ its word sequence (smallest document, then start) marks its words.
    shard.  Within a block only the first copy of a segment travels:
    the later ones are repeats whatever the others hold.  A passage that
    a third of all documents share is thus one small row per block.
-3. *Automata.*  A shard confirms the recurring passages word by word,
-   compiles them into one Aho-Corasick automaton (a word is one letter
-   of the shard's own alphabet) whose values are first occurrences, and
-   streams all its segments through it to locate every occurrence.
+3. *Automata.*  A shard confirms the recurring passages (runs of windows
+   that occur again) word by word, compiles them into one Aho-Corasick
+   automaton (a word is one letter of the shard's own alphabet) whose
+   values are first occurrences, and streams all its segments through
+   it to locate every occurrence.
 4. *Removal.*  Blocks gather the ranges and cut their documents.
 
 Shards and blocks are sized by counts, so both grow in number, not in
@@ -178,36 +179,70 @@ def _locate(t: pa.Table, window: int) -> pa.Table:
             packs.append((block, *_unpack(blob)))
     segments, width = _spelled(packs)
     size = window * width
+    # equal segments have equal windows: each text is read once, under its earliest place
+    texts: dict[str, list] = {}
+    for _, doc, tie, start, s in segments:
+        known = texts.setdefault(s, [(doc, tie, start), 0])
+        known[0] = min(known[0], (doc, tie, start))
+        known[1] += 1
     first: dict[str, tuple] = {}
     repeated = set()
-    for _, doc, tie, start, s in segments:
+    for s, ((doc, tie, start), n) in texts.items():
         for i in range(0, len(s) - size + 1, width):
             w, here = s[i:i + size], (doc, tie, start + i // width)
             was = first.setdefault(w, here)
-            if was is not here:
+            if was is not here or n > 1:
                 repeated.add(w)
                 if here < was:
                     first[w] = here
+    # a passage is a run of repeated windows; its value tells where its windows start first
+    passages: dict[str, list] = {}
+    for s in texts:
+        for a, b in _runs([s[i:i + size] in repeated for i in range(0, len(s) - size + 1, width)]):
+            p = s[a * width:b * width + size]
+            if p not in passages:
+                passages[p] = _origins([first[p[i:i + size]] for i in range(0, len(p) - size + 1, width)])
     ranges: dict[int, list] = {}
-    if repeated:
+    if passages:
         automaton = ahocorasick.Automaton()
-        for w in repeated:
-            automaton.add_word(w, first[w])
-        del first, repeated
+        for p, origins in passages.items():
+            automaton.add_word(p, (len(p) // width, origins))
+        del first, repeated, passages
         automaton.make_automaton()
+        located = {s: [((end + 1) // width - n + k, m, origin) for end, (n, origins) in automaton.iter(s) for k, m, origin in origins]
+                   for s in texts}
         for block, doc, tie, start, s in segments:
-            found = ranges.setdefault(block, [])
-            for end, origin in automaton.iter(s):
-                at = start + (end + 1) // width - window
-                if origin != (doc, tie, at):
-                    if found and found[-1][:2] == (doc, tie) and found[-1][3] == at - 1:
-                        found[-1] = (doc, tie, found[-1][2], at)
-                    else:
-                        found.append((doc, tie, at, at))
+            for at, m, origin in located[s]:
+                if origin != (doc, tie, start + at):
+                    ranges.setdefault(block, []).append((doc, tie, start + at, start + at + m - 1))
     out += [(block, _pack(found)) for block, found in ranges.items() if found]
     return pa.table({"block": pa.array([o[0] for o in out], pa.int32()), "ranges": pa.array([o[1] for o in out], pa.binary())})
 
 
+def _runs(flags: list[bool]):
+    """(first, last) of each run of true flags."""
+    at = None
+    for i, f in enumerate([*flags, False]):
+        if f and at is None:
+            at = i
+        elif not f and at is not None:
+            yield at, i - 1
+            at = None
+
+
+def _origins(places: list[tuple]) -> list[tuple]:
+    """(window, windows, place) of each run of windows whose first places follow each other."""
+    out: list[tuple] = []
+    for k, (doc, tie, start) in enumerate(places):
+        if out:
+            at, m, origin = out[-1]
+            if (doc, tie, start) == (*origin[:2], origin[2] + m):
+                out[-1] = (at, m + 1, origin)
+                continue
+        out.append((k, 1, (doc, tie, start)))
+    return out
+
+
 def _spelled(packs: list[tuple], width: int = 1) -> tuple[list[tuple], int]:
     """Segments with each word as ``width`` letters of an alphabet of their own."""
     letters: dict[bytes, str] = {}
