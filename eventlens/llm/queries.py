@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, decontaminate, packing, simhash, substrings, token_counts, token_files, url_filter
+from . import common, decontaminate, packing, quality, simhash, substrings, token_counts, token_files, url_filter
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,6 +86,14 @@ FROM parts p LEFT JOIN fit f ON p.page_id = f.page_id LEFT JOIN hits h ON p.page
 """.replace("@TERMS@", f"{_terms(url_filter.STRICT, 2)}, {_terms(url_filter.SOFT, 1)}")
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base limits and a decision list learned from ``labels``, over all documents."""
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    rules = quality.learn(docs, common.table(spark, sf_dir, "labels"))
+    return quality.judge(docs, rules).select(
+        "doc_id", "q.n_words", "q.word_chars", "q.n_symbols", "q.n_dup_lines", "q.n_repeat_words", "base_failed", "kept", "rule")
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all documents inside 10-word windows of benchmark items."""
     found = decontaminate.contamination(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"), window=10)
@@ -131,6 +139,7 @@ QUERIES = {
     "op3_token_files": op3_token_files,
     "op4_substrings": op4_substrings,
     "op5_url_filter": op5_url_filter,
+    "op7_quality": op7_quality,
     "op8_decontamination": op8_decontamination,
     "op9_token_counts": op9_token_counts,
 }
