@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, decontaminate, packing, quality, simhash, substrings, token_counts, token_files, url_filter
+from . import common, decontaminate, langid, packing, quality, simhash, substrings, token_counts, token_files, url_filter
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,6 +86,14 @@ FROM parts p LEFT JOIN fit f ON p.page_id = f.page_id LEFT JOIN hits h ON p.page
 """.replace("@TERMS@", f"{_terms(url_filter.STRICT, 2)}, {_terms(url_filter.SOFT, 1)}")
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; learned from those whose crc32(doc_id) mod 5 is not 0."""
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    model = langid.train(docs.where(~held_out))
+    return langid.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base limits and a decision list learned from ``labels``, over all documents."""
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -139,6 +147,7 @@ QUERIES = {
     "op3_token_files": op3_token_files,
     "op4_substrings": op4_substrings,
     "op5_url_filter": op5_url_filter,
+    "op6_language": op6_language,
     "op7_quality": op7_quality,
     "op8_decontamination": op8_decontamination,
     "op9_token_counts": op9_token_counts,
