@@ -23,7 +23,7 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Huffman-coded token files of all documents, each ending with id 2, read back."""
     path = common.new_path(spark, "token-files")
     token_files.write(common.table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end=2)
-    return token_files.summary(token_files.read(spark, path))
+    return token_files.read(spark, path, digest=True)
 
 
 def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:

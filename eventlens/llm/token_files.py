@@ -82,18 +82,20 @@ def canonical(lengths: np.ndarray) -> np.ndarray:
 
 def pack(ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, bytes]:
     """(checkpoints, bits) of a run of ids."""
-    n = lengths[ids].astype(np.int64)
-    ends = np.cumsum(n)
+    n = lengths[ids]
+    ends = np.cumsum(n, dtype=np.int64)
     starts = ends - n
     total = int(ends[-1]) if len(ids) else 0
     words = np.zeros(total // 32 + 3, np.uint64)
-    # a code of at most 32 bits touches two 32-bit words; bits of different codes never overlap, so adding is or-ing
-    shifted = codes[ids] << (np.uint64(64) - (starts & 31).astype(np.uint64) - n.astype(np.uint64))
+    # a code of at most 32 bits lies in the 64 bits from its first 32-bit word on; bits of
+    # different codes never overlap, so adding the codes that begin in a word is or-ing them
+    left = codes << (np.uint64(64) - np.maximum(lengths, 1).astype(np.uint64))
     at = starts >> 5
     cut = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]])) if len(ids) else np.empty(0, np.int64)
     if len(cut):
-        words[at[cut]] += np.add.reduceat(shifted >> np.uint64(32), cut)
-        words[at[cut] + 1] += np.add.reduceat(shifted & np.uint64(0xFFFFFFFF), cut)
+        both = np.add.reduceat(left[ids] >> (starts & 31).astype(np.uint64), cut)
+        words[at[cut]] = both >> np.uint64(32)
+        words[at[cut] + 1] += both & np.uint64(0xFFFFFFFF)
     return starts[::STRIDE].astype("<u8"), words.astype(">u4").tobytes()[:(total + 7) // 8]
 
 
@@ -213,8 +215,9 @@ def write(docs: DataFrame, path: str, tokenizer: str, end: int) -> None:
     blocks.mapInArrow(encode, BLOCK_SCHEMA).write.parquet(f"{path}/blocks")
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """(doc_id, start, ids): every document of the files, decoded.
+def read(spark: SparkSession, path: str, digest: bool = False) -> DataFrame:
+    """(doc_id, start, ids): every document of the files, decoded; with
+    ``digest`` (doc_id, start, n_tokens, ids_crc32) of those ids.
 
     ``start`` counts the ids of all documents before it.  Only one row
     per part (a write task) comes to the driver for the offsets."""
@@ -238,18 +241,9 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                 ids = decoder.unpack(row["bits"], np.frombuffer(row["checkpoints"], "<u8"), total)
                 ends = np.cumsum(sizes)
                 starts = ends - sizes
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(docs, mask=null), pa.array(starts + base[row["part"]] + row["before"]),
-                    pa.array([ids[s:e].astype("<u4").tobytes() for s, e in zip(starts, ends)], pa.binary())],
-                    ["doc_id", "start", "ids"])
-    return blocks.mapInArrow(decode, "doc_id long, start long, ids binary")
-
-
-def summary(read_back: DataFrame) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of documents read back."""
-    def batch(b: pa.RecordBatch) -> pa.RecordBatch:
-        ids = [x.as_py() for x in b.column("ids")]
-        return pa.RecordBatch.from_arrays(
-            [b.column("doc_id"), b.column("start"), pa.array([len(i) // 4 for i in ids], pa.int64()),
-             pa.array([zlib.crc32(i) for i in ids], pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
-    return read_back.mapInArrow(common.per_batch(batch), "doc_id long, start long, n_tokens long, ids_crc32 long")
+                plain = [ids[s:e].astype("<u4").tobytes() for s, e in zip(starts, ends)]
+                last = [pa.array(sizes), pa.array([zlib.crc32(p) for p in plain], pa.int64())] if digest else [pa.array(plain, pa.binary())]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(docs, mask=null), pa.array(starts + base[row["part"]] + row["before"]), *last],
+                    ["doc_id", "start", *(("n_tokens", "ids_crc32") if digest else ("ids",))])
+    return blocks.mapInArrow(decode, "doc_id long, start long, " + ("n_tokens long, ids_crc32 long" if digest else "ids binary"))

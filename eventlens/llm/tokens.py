@@ -19,6 +19,8 @@ from .words import SEP, WordStarts, byte_letters
 #: Longest word kept (bytes), words kept, and the text encoded at a time.
 KEEP, MAX_WORDS, GROUP_CHARS = 24, 1_000_000, 1 << 20
 _SLOT_BITS = 22
+#: Bytes of a key that belong to a word of each length.
+_MASK = ((np.arange(KEEP) < np.arange(KEEP + 1)[:, None]) * np.uint8(255)).view(np.uint64)
 _WORKER: dict[str, "Encoder"] = {}
 
 
@@ -98,9 +100,8 @@ class Encoder:
         first, count = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
         short = np.flatnonzero(size <= KEEP)
         n = size[short]
-        key = np.lib.stride_tricks.sliding_window_view(data, KEEP)[at[short]]
-        key[np.arange(KEEP) >= n[:, None]] = 0
-        key = key.view(np.uint64)
+        eight = np.lib.stride_tricks.sliding_window_view(data, 8)
+        key = np.stack([eight[at[short] + k].view(np.uint64)[:, 0] for k in range(0, KEEP, 8)], 1) & _MASK[n]
         h = _hash(key, n)
         entry = self._find(h, key, n)
         missing = np.flatnonzero(entry < 0)

@@ -60,7 +60,7 @@ def test_files_round_trip(spark, tmp_path, monkeypatch):
     rows = [(i * 7 % 101, f"Text number {i} é\n" * (i % 9), "p", "i") for i in range(101)]
     rows += [(None, "no id", None, None), (5000, None, None, None), (5001, "long " * 60_000, None, None), (7, rows[1][1], None, None)]
     token_files.write(spark.createDataFrame(rows, SCHEMA).repartition(3), str(tmp_path), PATH, 2)
-    got = sorted(token_files.summary(token_files.read(spark, str(tmp_path))).collect(), key=lambda r: r.start)
+    got = sorted(token_files.read(spark, str(tmp_path), digest=True).collect(), key=lambda r: r.start)
     t = Tokenizer.from_file(PATH)
     ids = {(i, text): t.encode(text or "", add_special_tokens=False).ids + [2] for i, text, _, _ in rows}
     assert [r.doc_id for r in got] == sorted((r[0] for r in rows), key=lambda i: -1 if i is None else i)
@@ -68,6 +68,8 @@ def test_files_round_trip(spark, tmp_path, monkeypatch):
     for r in got:
         assert r.start == at
         at += r.n_tokens
+    assert {(r.doc_id, r.start, len(r.ids) // 4) for r in token_files.read(spark, str(tmp_path)).collect()} == {
+        (r.doc_id, r.start, r.n_tokens) for r in got}
     want = sorted((repr(i), len(ids[i, x]), zlib.crc32(np.array(ids[i, x], "<u4").tobytes())) for i, x, _, _ in rows)
     assert sorted((repr(r.doc_id), r.n_tokens, r.ids_crc32) for r in got) == want
 
