@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, decontaminate, langid, packing, quality, simhash, substrings, token_counts, token_files, url_filter
+from . import common, decontaminate, langid, packing, pii, quality, simhash, substrings, token_counts, token_files, url_filter
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,6 +141,16 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(common.table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents; the four counts are those of the base patterns."""
+    docs = common.table(spark, sf_dir, "documents")
+    found = pii.detect(docs, pii.train(docs))
+
+    def count(kind: str):
+        return F.regexp_count("base", F.lit(f"{kind}:")).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *(count(k) for k in pii.KINDS), F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
@@ -151,6 +161,7 @@ QUERIES = {
     "op7_quality": op7_quality,
     "op8_decontamination": op8_decontamination,
     "op9_token_counts": op9_token_counts,
+    "op10_pii": op10_pii,
 }
 
 ORACLE: dict[str, str] = {
