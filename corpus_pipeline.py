@@ -2,26 +2,58 @@
 
 Each stage is ``(spark, docs, sf_dir) -> DataFrame``; ``run`` writes every
 stage's result as Parquet to the shared folder and rereads it as the next
-one's documents.
+one's documents.  All stages but the last keep the columns of
+``documents``.
 """
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlens.llm import common, simhash
+from eventlens.llm import common, decontaminate, packing, pii, quality, simhash
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the documents that meet the base limits and no learned rule for low quality."""
+    rules = quality.learn(docs, common.table(spark, sf_dir, "labels"))
+    return quality.keep(docs, rules)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each SimHash component: the smallest doc_id."""
+    """Keep one document of each SimHash component: the one with the smallest doc_id.
+
+    Rows that share that doc_id count as copies too: the first by text stays."""
     groups = simhash.near_duplicates(docs, shingle=4, radius=4)
-    keep = groups.where("doc_id <=> component_id").select("doc_id").distinct()
-    return docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    chosen = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
+    kept = docs.join(chosen, docs.doc_id.eqNullSafe(F.col("__id")), "left_semi")
+    first = kept.groupBy("doc_id").agg(F.min(F.struct(*kept.columns)).alias("first"))
+    return first.select("first.*").select(*docs.columns)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that hold a 10-word window of a benchmark item."""
+    return decontaminate.decontaminate(docs, common.table(spark, sf_dir, "benchmark"), window=10)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Mask personal data; ``n_chars`` follows the text."""
+    out = pii.mask(docs, pii.train(docs))
+    return out.withColumn("n_chars", F.length("text").cast(out.schema["n_chars"].dataType)) if "n_chars" in out.columns else out
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pack the texts into sequences of 2048 ids."""
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), end=0, size=2048)
 
 
 STAGES = [
+    ("quality_rules", quality_rules),
     ("simhash_near_dedup", near_duplicates),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("pii", personal_data),
+    ("best_fit_packing", best_fit_packing),
 ]
 
 #: A learned list and a trained model take part: no SQL form.

@@ -201,3 +201,10 @@ def judge(docs: DataFrame, rules: list[Rule], text_col: str = "text") -> DataFra
     """All columns, ``q`` (statistics), ``base_failed``, ``rule`` (that rejects) and ``kept``."""
     d = with_stats(docs, text_col).withColumns({"base_failed": base_failed(), "rule": fired(rules)})
     return d.withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull())
+
+
+def keep(docs: DataFrame, rules: list[Rule], text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that are kept."""
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    d = docs.select(row, F.col(f"`{text_col}`").alias("text"))
+    return judge(d, rules).where("kept").select("row.*")
