@@ -10,14 +10,11 @@ is (key, bucket), so a hot key spreads over time and each task only
 tests rows that are near in time.  Every right row lives in exactly one
 bucket, so each pair is produced once.
 
-J2 (``reconcile``): every row ends in exactly one of ``matched``,
-``left_only``, ``right_only``.  Rows of a key are paired one-to-one in
-event-time order (the k-th left row of a key with its k-th right row);
-with unique keys this is the full outer join.  Pairing by occurrence
-keeps the output linear -- duplicate keys never multiply -- and the join
-key (key, occurrence) is unique on both sides, so a hot key spreads over
-tasks.  An optional ``tolerance`` splits a pair whose times differ by
-more than it into a left_only and a right_only row.
+J2 (``reconcile``): rows of equal keys pair as in SQL (every left with
+every right row); a row without a partner comes out alone.  With a
+``tolerance`` the pairs are those of the interval join, and the rows
+without one come from two anti joins on the same (key, bucket).  A row
+with a null key or time has no partner and is kept.
 """
 
 from __future__ import annotations
@@ -27,8 +24,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlens.functions.time import _interval, add_duration, duration_us, epoch_micros, sub_duration
-from eventlens.operators.sequence import DEFAULT_BUCKET, ordered_context
+from eventlens.functions.time import _interval, duration_us, epoch_micros
 
 
 def _pairs(on):
@@ -67,32 +63,45 @@ def _signed_us(d) -> int:
     return duration_us(d)
 
 
+def _anti(left: DataFrame, right: DataFrame, left_key: str, right_key: str, left_ts: str, right_ts: str, us: int) -> DataFrame:
+    """Left rows without a right row of the key within ``us``: the right side
+    is copied to the buckets its interval touches, so each left row meets
+    all its possible partners in its own bucket."""
+    width = max(2 * us, 1_000_000)
+    rt = epoch_micros(right_ts)
+    lx = left.withColumn("_jb", F.floor(epoch_micros(left_ts) / width).cast("long"))
+    rx = right.select(F.col(right_key).alias("_rk"), F.col(right_ts).alias("_rt"), F.explode(F.sequence(
+        F.floor((rt - F.lit(us)) / width).cast("long"), F.floor((rt + F.lit(us)) / width).cast("long"))).alias("_jb2"))
+    cond = ((F.col(left_key) == F.col("_rk")) & (F.col("_jb") == F.col("_jb2"))
+            & (F.col("_rt") >= F.col(left_ts) - _interval(us)) & (F.col("_rt") <= F.col(left_ts) + _interval(us)))
+    return lx.join(rx, cond, "left_anti").drop("_jb")
+
+
 def reconcile(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
-              left_ts: str, right_ts: str, tolerance=None, left_seq=None, right_seq=None, bucket=DEFAULT_BUCKET, key_name: str = "key") -> DataFrame:
+              left_ts: str, right_ts: str, tolerance=None, key_name: str = "key") -> DataFrame:
     """Full reconciliation; returns ``outcome, <key_name>, <left cols>, <right cols>``.
 
-    Left and right column names must be distinct (rename first).
+    ``outcome`` is ``matched`` (one row per pair), ``left_only`` or
+    ``right_only``.  Left and right column names must be distinct.
     """
-    # Without an explicit tiebreak, order equal-time rows by all their columns
-    # so the pairing (and so the result) is deterministic.
-    lseq = left_seq if left_seq is not None else [c for c in left.columns if c not in (left_key, left_ts)]
-    rseq = right_seq if right_seq is not None else [c for c in right.columns if c not in (right_key, right_ts)]
-    l = ordered_context(left, [left_key], left_ts, lseq, bucket, rank=True).withColumnRenamed("rank", "_lo")
-    r = ordered_context(right, [right_key], right_ts, rseq, bucket, rank=True).withColumnRenamed("rank", "_ro")
-    j = l.join(r, (l[left_key] == r[right_key]) & (F.col("_lo") == F.col("_ro")), "full_outer")
-    paired = F.col("_lo").isNotNull() & F.col("_ro").isNotNull()
-    ok = paired
-    if tolerance is not None:
-        ok = paired & (F.col(right_ts) >= sub_duration(F.col(left_ts), tolerance)) \
-                    & (F.col(right_ts) <= add_duration(F.col(left_ts), tolerance))
-    # One pass over the join: a pair outside the tolerance yields two rows.
-    tags = (F.when(ok, F.array(F.lit("matched")))
-             .when(paired, F.array(F.lit("left_only"), F.lit("right_only")))
-             .when(F.col("_ro").isNull(), F.array(F.lit("left_only")))
-             .otherwise(F.array(F.lit("right_only"))))
-    x = j.select("*", F.explode(tags).alias("outcome"))
-    is_l, is_r = F.col("outcome") == "left_only", F.col("outcome") == "right_only"
-    key = F.when(is_r, F.col(right_key)).otherwise(F.col(left_key)).alias(key_name)
-    lcols = [F.when(is_r, F.lit(None).cast(t)).otherwise(F.col(c)).alias(c) for c, t in left.dtypes]
-    rcols = [F.when(is_l, F.lit(None).cast(t)).otherwise(F.col(c)).alias(c) for c, t in right.dtypes]
-    return x.select("outcome", key, *lcols, *rcols)
+    lcols, rcols = left.columns, right.columns
+
+    def shaped(df: DataFrame, outcome, key, have_left: bool = True, have_right: bool = True) -> DataFrame:
+        return df.select(
+            outcome.alias("outcome"), key.alias(key_name),
+            *[F.col(c) if have_left else F.lit(None).cast(t).alias(c) for c, t in left.dtypes],
+            *[F.col(c) if have_right else F.lit(None).cast(t).alias(c) for c, t in right.dtypes])
+    if tolerance is None:
+        # markers, not keys, tell which sides a row has: keys may be null
+        j = (left.withColumn("_l", F.lit(True)).join(right.withColumn("_r", F.lit(True)),
+                                                     F.col(left_key) == F.col(right_key), "full_outer"))
+        outcome = (F.when(F.col("_l").isNull(), F.lit("right_only")).when(F.col("_r").isNull(), F.lit("left_only"))
+                   .otherwise(F.lit("matched")))
+        return shaped(j, outcome, F.when(F.col("_l").isNull(), F.col(right_key)).otherwise(F.col(left_key)))
+    us = duration_us(tolerance)
+    pairs = interval_join(left, right, [(left_key, right_key)], left_ts, right_ts, -us, us)
+    alone_l = _anti(left, right, left_key, right_key, left_ts, right_ts, us)
+    alone_r = _anti(right, left, right_key, left_key, right_ts, left_ts, us)
+    return (shaped(pairs.select(*lcols, *rcols), F.lit("matched"), F.col(left_key))
+            .unionByName(shaped(alone_l, F.lit("left_only"), F.col(left_key), have_right=False))
+            .unionByName(shaped(alone_r, F.lit("right_only"), F.col(right_key), have_left=False)))

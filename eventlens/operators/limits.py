@@ -5,11 +5,12 @@ rest are dropped, and the first dropped row raises one warning.  The
 reference's reset timer is computed from the processing clock; ours resets
 at each event-time UTC midnight (``reset=None``: a lifetime cap).
 
-Ranking uses ``row_number() <= cap + 1`` which Spark plans with a
-partial WindowGroupLimit before the shuffle: each map task forwards at
-most cap + 1 rows per group, so a group holding a third of all rows is
-cut down map-side.  Caps above the optimizer threshold go through the
-bucketed ordered scan instead.
+A row can only be among the first ``cap + 1`` of its group if it is
+among the first ``cap + 1`` of its (group, time bucket), so rows are
+ranked there first -- a hot group, or ``reset=None``, spreads over its
+buckets -- and only the rows left meet in the group.  Where Spark plans a
+partial WindowGroupLimit, map tasks already forward at most cap + 1 rows
+per bucket.  The plan is the same for every cap.
 """
 
 from __future__ import annotations
@@ -17,45 +18,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventlens.functions.time import utc_day
-from eventlens.operators.sequence import DEFAULT_BUCKET, ordered_context
+from eventlens.functions.time import bucket_of, utc_day
+from eventlens.operators.sequence import DEFAULT_BUCKET
 from eventlens.operators.windows import window_counts
 
-GROUP_LIMIT_THRESHOLD = 1000  # spark.sql.optimizer.windowGroupLimitThreshold default
-
-
 def _ranked(df: DataFrame, keys, cap: int, ts: str, seq: str | None, reset, bucket) -> tuple[DataFrame, list]:
-    keys = list(keys)
-    group = keys[:]
+    group = list(keys)
     if reset == "day":
-        df = df.withColumn("day", utc_day(ts).cast(dict(df.dtypes)[ts]))
-        group.append("day")
+        df = df.withColumn("_day", utc_day(ts).cast(dict(df.dtypes)[ts]))
+        group.append("_day")
     elif reset is not None:
         raise ValueError("reset must be 'day' or None")
-    order = [F.col(ts)] + ([F.col(seq)] if seq and seq in df.columns else [])
-    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold",
-                                         str(GROUP_LIMIT_THRESHOLD)))
-    if cap + 1 <= limit:
-        w = Window.partitionBy(*group).orderBy(*order)
-        r = (df.withColumn("_rank", F.row_number().over(w))
-               .filter(F.col("_rank") <= cap + 1))
-    else:
-        r = (ordered_context(df, group, ts, seq, bucket, rank=True)
-             .withColumnRenamed("rank", "_rank").filter(F.col("_rank") <= cap + 1))
-    return r, group
+    if seq and seq not in df.columns:
+        raise ValueError(f"no tiebreak column {seq}")
+    order = [F.col(ts), *([F.col(seq)] if seq else [])]
+    r = df.withColumn("_b", bucket_of(ts, bucket))
+    for part in ([*group, "_b"], group):
+        r = r.withColumn("_rank", F.row_number().over(Window.partitionBy(*part).orderBy(*order))).filter(F.col("_rank") <= cap + 1)
+    return r.drop("_b"), group
 
 
 def click_cap(df: DataFrame, keys, cap: int = 100, ts: str = "ts", seq: str | None = "seq",
               reset: str | None = "day", bucket=DEFAULT_BUCKET) -> tuple[DataFrame, DataFrame]:
     """Return (passed rows, warnings).
 
-    warnings: ``*keys, [day,] ts, clicks_before, msg`` -- one per group that
-    exceeds the cap, at its first dropped row.
+    warnings: ``*keys, [day,] ts, msg`` -- one per group that exceeds the
+    cap, at its first dropped row.
     """
-    r, group = _ranked(df, keys, cap, ts, seq, reset, bucket)
-    passed = r.filter(F.col("_rank") <= cap).drop("_rank", "day")
+    r, _ = _ranked(df, keys, cap, ts, seq, reset, bucket)
+    passed = r.filter(F.col("_rank") <= cap).drop("_rank", "_day")
     warn = (r.filter(F.col("_rank") == cap + 1)
-             .select(*group, F.col(ts).alias("ts"),
+             .select(*keys, *([F.col("_day").alias("day")] if reset else []), F.col(ts).alias("ts"),
                      F.concat(F.lit("click over "), F.lit(str(cap)), F.lit(" times")).alias("msg")))
     return passed, warn
 

@@ -8,6 +8,8 @@ sends a whole key to one task.  No Python runs per row.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,10 +17,16 @@ from eventlens.functions.time import add_duration, duration_us, to_micros
 from eventlens.operators.sequence import DEFAULT_BUCKET, ordered_context
 
 
-def _c(c) -> Column:
+def _p(c) -> Column:
+    """A predicate as written: what a filter can push to the scan (null drops the row)."""
     return F.expr(c) if isinstance(c, str) else c
 
 
+def _c(c) -> Column:
+    """A predicate as a flag: null counts as false."""
+    return F.coalesce(_p(c), F.lit(False))
+
+
 def consecutive_pairs(df: DataFrame, keys, is_event, within, ts: str = "ts", seq: str | None = "seq",
                       bucket=DEFAULT_BUCKET, carry=()) -> DataFrame:
     """An event immediately followed (strict contiguity, any other
@@ -47,7 +55,8 @@ def followed_by(df: DataFrame, keys, first, then, within, ts: str = "ts", seq: s
     the partial match).  A ``then`` with no ``first`` is ignored.
     """
     keys = list(keys)
-    x = df.withColumn("_a", _c(first))
+    # other rows take no part: they are dropped at the scan
+    x = df.filter(_p(first) | _p(then)).withColumn("_a", _c(first))
     ctx = ordered_context(x, keys, ts, seq, bucket, first_next_where={"_nx": (_c(then), [ts])})
     nxt = F.col(f"_nx_{ts}")
     ok = nxt.isNotNull() & (nxt < add_duration(F.col(ts), within))
@@ -69,7 +78,7 @@ def match_outcomes(df: DataFrame, keys, is_create, is_pay, bound, grace=None, ts
     ``grace=None`` means unlimited.  Returns ``*keys, outcome, create_ts, pay_ts``.
     """
     keys = list(keys)
-    x = (df.filter(_c(is_create) | _c(is_pay))
+    x = (df.filter(_p(is_create) | _p(is_pay))
            .withColumn("_cr", _c(is_create)))
     ctx = ordered_context(x, keys, ts, seq, bucket, prev=["_cr", ts], next=["_cr", ts])
 
@@ -127,7 +136,12 @@ def fail_bursts(df: DataFrame, keys, is_fail, span, min_count: int = 2, ts: str
     runs_x = runs.select(*keys, "_run", "_t0", "_bk", F.explode(F.sequence(
         F.floor(t0us / width).cast("long"), F.floor((t0us + F.lit(span_us)) / width).cast("long"))).alias("_jb"))
     limit = add_duration(F.col("_t0"), span)
-    res = (fails.join(runs_x, [*keys, "_run", "_jb"])
+    # null keys are keys too; every other join column is never null
+    runs_x = runs_x.select(*[F.col(k).alias(f"_rk{i}") for i, k in enumerate(keys)], F.col("_run").alias("_rr"), "_t0", "_bk",
+                           F.col("_jb").alias("_rj"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_rk{i}")) for i, k in enumerate(keys)],
+                  (F.col("_run") == F.col("_rr")) & (F.col("_jb") == F.col("_rj")))
+    res = (fails.join(runs_x, same)
                 .filter(F.col(ts) <= limit)
                 .groupBy(*keys, "_run", "_t0", "_bk")
                 .agg(F.count(F.lit(1)).alias("n_fails"), F.max(ts).alias("last_ts")))

@@ -1,91 +1,111 @@
-"""Ordered context within a key, without sending a key to one task.
+"""Ordered context within a key, without sending a hot key to one task.
 
 Per-key detectors need, for every row in (ts, seq) order within its key:
 the previous row, the next row, the first later row matching a
-condition, a running count, or the row's position.  A plain
-``Window.partitionBy(key)`` would sort every row of a key in one task; a
-key holding a third of all rows would then stall the job.
-
-Here a key is split into event-time buckets of width ``bucket``:
-
-1. rows are hash-partitioned by (key, bucket) -- a hot key spreads over
-   its buckets -- and window functions run inside each bucket;
-2. a one-row-per-(key, bucket) summary (last row, first row, row count,
-   first matching row, condition count) is aggregated map-side (partial
-   HashAggregate on max_by/min_by) before its own shuffle, so only one
-   small row per bucket and map task moves -- never a second copy of the
-   data;
-3. a window over the summary -- one row per non-empty bucket, so its
-   size is bounded by time span / bucket, not by data volume -- carries
-   values across bucket boundaries (previous non-empty bucket's last row,
-   next bucket's first row, prefix counts);
-4. the summary is joined back on (key, bucket); the big side keeps its
-   partitioning, and AQE broadcasts the summary when it is small.
-
-A (key, bucket) that is itself hot (a burst) is range-split further, see
-:func:`_split_hot_buckets`.  Results equal the single-window form exactly,
-whatever the bucket width or split.
+condition, a running count, or the row's position.  Ordinary keys get a
+plain window: one shuffle of the data on the key.  A key holding a third
+of all rows would stall that task, so hot keys are spread further:
+
+1. a partial aggregate counts rows per key; the (at most ``MAX_HOT``)
+   largest keys above ``split_rows`` are hot, a bounded table;
+2. every row gets its place: ordinary keys have one place, a hot key one
+   per event-time bucket of width ``bucket``; a bucket that is itself hot
+   is cut at measured quantiles of ``ts``, and rows that share an instant
+   at measured quantiles of the tiebreak;
+3. the window functions run inside (key, place) -- the only shuffle of
+   the data;
+4. hot rows alone are summarised to one row per (key, place), aggregated
+   map-side, and a window over that summary carries values across places;
+5. the summary is joined back on the columns the data is partitioned by.
+
+Without hot keys steps 2, 4 and 5 see empty tables, which adaptive
+execution removes.  Results equal the single-window form exactly,
+whatever the bucket width or limit.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlens.functions.time import bucket_of
 
 DEFAULT_BUCKET = "1 hour"
-DEFAULT_SPLIT_ROWS = 4_000_000   # a (key, bucket) above this is range-split
-_SPLIT = 1 << 20                 # sub-ranges per bucket at most
+DEFAULT_SPLIT_ROWS = 4_000_000   # a key, or a place of a hot key, above this is split
+MAX_HOT = 50_000                 # hot keys, the largest first; any other has fewer than rows / MAX_HOT rows
+MAX_CUT = 4_000                  # places cut at quantiles, the largest first
+QUANTILES = 256
 _INTEGRAL = ("bigint", "int", "smallint", "tinyint")
-
-
-def _split_hot_buckets(x: DataFrame, keys: list, ts: str, seqs: list, split_rows) -> DataFrame:
-    """Range-split any (key, bucket) with more than ``split_rows`` rows.
-
-    One extra pass (partial aggregate: count, min and max of the order key
-    per (key, bucket)) finds the hot groups.  Their number is at most
-    rows / split_rows, so the table is small by construction and is
-    broadcast.  Each row of a hot group gets the sub-range
-    floor((ord - min) / (max - min + 1) * parts), monotone in the order key,
-    so sub-buckets are contiguous, ordered ranges: time-proportional when
-    timestamps spread, tiebreak-proportional when they coincide.  The
-    bucket id becomes bucket * SPLIT + sub, which keeps the time order.
-    """
+_NUMERIC = (*_INTEGRAL, "float", "double")
+_EARLIEST = -(10 ** 17)          # micros before any timestamp: a null ts sorts first
+_PLACE = ["_b", "_s", "_t"]
+
+
+def _key_columns(df: DataFrame, keys: list) -> tuple[DataFrame, list]:
+    """Plain non-null columns that identify a key, so that joins and windows
+    on them share one partitioning."""
+    types = dict(df.dtypes)
+    names = []
+    for i, k in enumerate(keys):
+        c = F.col(f"`{k}`")
+        plain = F.lit(0).cast(types[k]) if types[k] in _INTEGRAL else F.lit("")
+        c = c if types[k] in _INTEGRAL else c.cast("string")
+        df = df.withColumns({f"_kc{i}": F.coalesce(c, plain), f"_kn{i}": F.col(f"`{k}`").isNull()})
+        names += [f"_kc{i}", f"_kn{i}"]
+    return df, names
+
+
+def _cut(x: DataFrame, kc: list, at: list, value: Column, name: str, split_rows: int) -> DataFrame:
+    """Column ``name``: the quantile range of ``value`` a row lies in, for
+    (key, place) groups of hot keys above ``split_rows`` rows, else 0."""
+    share = F.array(*[F.lit(i / QUANTILES) for i in range(1, QUANTILES)])
+    cuts = (x.where("_hot").withColumn("_v", value).groupBy(*kc, *at)
+            .agg(F.count(F.lit(1)).alias("_hn"), F.array_distinct(F.percentile_approx("_v", share, F.lit(4096))).alias("_cuts"))
+            .where(F.col("_hn") > int(split_rows)).orderBy(F.col("_hn").desc(), *kc, *at).limit(MAX_CUT).drop("_hn"))
+    j = x.withColumn("_v", value).join(F.broadcast(cuts), [*kc, *at], "left")
+    return j.withColumn(name, F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col("_v"))), F.lit(0))).drop("_v", "_cuts")
+
+
+def _placed(df: DataFrame, keys: list, ts: str, seqs: list, bucket, split_rows) -> tuple[DataFrame, list]:
+    """Rows with their key columns, ``_hot`` and place."""
+    x, kc = _key_columns(df, keys)
+    one = {"_b": F.lit(0).cast("long"), "_s": F.lit(0), "_t": F.lit(0)}
     if not split_rows:
-        return x
-    ordc = _packed_order(x, ts, seqs)
-    if ordc is None:
-        ordc = F.unix_micros(F.col(ts).cast("timestamp")).cast("decimal(38,0)")
-    x = x.withColumn("_o", ordc)
-    hot = (x.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_hn"), F.min("_o").alias("_hlo"),
-                                      F.max("_o").alias("_hhi"))
-             .filter(F.col("_hn") > F.lit(int(split_rows)))
-             .select(*[F.col(k).alias(f"_hk{i}") for i, k in enumerate(keys)], F.col("_b").alias("_hb"),
-                     F.least(F.ceil(F.col("_hn") / F.lit(int(split_rows))), F.lit(_SPLIT)).cast("long").alias("_hp"),
-                     "_hlo", "_hhi"))
-    cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_hk{i}")) for i, k in enumerate(keys)]
-                  + [F.col("_b") == F.col("_hb")])
-    j = x.join(F.broadcast(hot), cond, "left")
-    frac = (F.col("_o") - F.col("_hlo")).cast("double") / (F.col("_hhi") - F.col("_hlo") + F.lit(1)).cast("double")
-    sub = F.when(F.col("_hp").isNull(), F.lit(0)).otherwise(
-        F.least(F.floor(frac * F.col("_hp")).cast("long"), F.col("_hp") - 1))
-    out = j.withColumn("_b", F.col("_b") * F.lit(_SPLIT) + sub)
-    return out.drop("_o", "_hb", "_hp", "_hlo", "_hhi", *[f"_hk{i}" for i in range(len(keys))])
+        return x.withColumns({"_hot": F.lit(False), **one}), kc
+    hot = (x.groupBy(*kc).agg(F.count(F.lit(1)).alias("_hn")).where(F.col("_hn") > int(split_rows))
+           .orderBy(F.col("_hn").desc(), *kc).limit(MAX_HOT).select(*kc, F.lit(True).alias("_hot")))
+    x = x.join(F.broadcast(hot), kc, "left").withColumn("_hot", F.coalesce("_hot", F.lit(False)))
+    x = x.withColumn("_b", F.when(F.col("_hot"), F.coalesce(bucket_of(ts, bucket), F.lit(-(1 << 62)))).otherwise(one["_b"]))
+    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    x = _cut(x, kc, ["_b"], F.coalesce(us, F.lit(_EARLIEST)), "_s", split_rows)
+    tie = seqs[0] if seqs and dict(df.dtypes)[seqs[0]] in _NUMERIC else None
+    if tie is None:
+        return x.withColumn("_t", one["_t"]), kc
+    # quantile ranges of ts end at an instant, so a range above the limit is mostly one instant;
+    # rows are cut by the tiebreak only where the range holds a single one
+    x = x.withColumn("_us", F.coalesce(us, F.lit(_EARLIEST)))
+    same = (x.where("_hot").groupBy(*kc, "_b", "_s").agg(F.count(F.lit(1)).alias("_hn"), F.max("_us").alias("_top"))
+            .where(F.col("_hn") > int(split_rows)).orderBy(F.col("_hn").desc(), *kc, "_b", "_s").limit(MAX_CUT).drop("_hn"))
+    x = x.join(F.broadcast(same), [*kc, "_b", "_s"], "left")
+    # the instant at the range's end, and what lies before it, are ranges of their own
+    x = x.withColumn("_s", F.when(F.col("_top").isNull(), 2 * F.col("_s"))
+                     .otherwise(2 * F.col("_s") + (F.col("_us") == F.col("_top")).cast("int")))
+    x = x.withColumn("_end", F.coalesce(F.col("_us") == F.col("_top"), F.lit(False))).drop("_top", "_us")
+    v = F.when(F.col("_end"), F.coalesce(F.col(tie).cast("double"), F.lit(float("-inf"))))
+    return _cut(x, kc, ["_b", "_s"], v, "_t", split_rows).drop("_end"), kc
 
 
 def _packed_order(df: DataFrame, ts: str, seqs: list) -> Column | None:
     """(ts, seq) as one DECIMAL(38,0) preserving their order, or None."""
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
     if not seqs:
-        return micros.cast("decimal(38,0)")
+        return F.coalesce(micros, F.lit(_EARLIEST)).cast("decimal(38,0)")
     if len(seqs) > 1 or dict(df.dtypes)[seqs[0]] not in _INTEGRAL:
         return None
     shift = F.expr("CAST('9223372036854775808' AS DECIMAL(38,0))")
     scale = F.expr("CAST('100000000000000000000' AS DECIMAL(38,0))")
-    return micros.cast("decimal(38,0)") * scale + (F.col(seqs[0]).cast("decimal(38,0)") + shift)
+    tie = F.coalesce(F.col(seqs[0]).cast("decimal(38,0)"), -shift)   # null first, as the windows sort
+    return F.coalesce(micros, F.lit(_EARLIEST)).cast("decimal(38,0)") * scale + (tie + shift)
 
 
 def _cond(c) -> Column:
@@ -97,9 +117,9 @@ def ordered_context(df: DataFrame, keys, ts: str = "ts", seq="seq",
                     running_count=None, rank: bool = False, split_rows="default") -> DataFrame:
     """Add context columns in (ts, seq) order within ``keys``.
 
-    ``seq`` is a tiebreak column name or a list of them.  A (key, bucket)
-    holding more than ``split_rows`` rows is range-split further
-    (``None`` turns that off).
+    ``seq`` is a tiebreak column name or a list of them; null sorts first.
+    A key holding more than ``split_rows`` rows is spread over event-time
+    buckets and measured quantile ranges (``None`` turns that off).
 
     * ``prev=[c..]`` -> ``prev_<c>`` from the previous row (null on the first)
     * ``next=[c..]`` -> ``next_<c>`` from the next row (null on the last)
@@ -111,7 +131,10 @@ def ordered_context(df: DataFrame, keys, ts: str = "ts", seq="seq",
     """
     keys = list(keys)
     seqs = [seq] if isinstance(seq, str) else list(seq or [])
-    order_names = [ts] + [c for c in seqs if c in df.columns and c != ts]
+    missing = [c for c in seqs if c not in df.columns]
+    if missing:
+        raise ValueError(f"no tiebreak column {', '.join(missing)}")
+    order_names = [ts] + [c for c in seqs if c != ts]
     order = [F.col(c) for c in order_names]
     fnw = dict(first_next_where or {})
     rcs = dict(running_count or {})
@@ -119,13 +142,14 @@ def ordered_context(df: DataFrame, keys, ts: str = "ts", seq="seq",
 
     if split_rows == "default":
         split_rows = DEFAULT_SPLIT_ROWS
-    x = _split_hot_buckets(df.withColumn("_b", bucket_of(ts, bucket)), keys, ts, order_names[1:], split_rows)
+    x, kc = _placed(df, keys, ts, order_names[1:], bucket, split_rows)
     for n, (c, _) in fnw.items():
         x = x.withColumn(f"_fc_{n}", _cond(c))
     for n, c in rcs.items():
         x = x.withColumn(f"_rc_{n}", F.when(_cond(c), 1).otherwise(0).cast("long"))
 
-    w = Window.partitionBy(*keys, "_b").orderBy(*order)
+    at = [*kc, *_PLACE]
+    w = Window.partitionBy(*at).orderBy(*order)
     after = w.rowsBetween(1, Window.unboundedFollowing)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     y = x
@@ -140,10 +164,11 @@ def ordered_context(df: DataFrame, keys, ts: str = "ts", seq="seq",
     for n in rcs:
         y = y.withColumn(f"_rcv_{n}", F.sum(f"_rc_{n}").over(upto))
 
-    # Per-bucket summary, aggregated map-side before its own (small) shuffle.
+    # Summary of the places of hot keys, aggregated map-side before its own (small) shuffle.
     # With a single integral tiebreak, (ts, seq) is packed into one
     # fixed-width DECIMAL(38,0) so max_by/min_by stay in a HashAggregate;
     # otherwise fall back to struct min/max (sort-based aggregate).
+    x = x.where("_hot")
     ok = _packed_order(x, ts, order_names[1:])
     aggs = [F.count(F.lit(1)).alias("_n")]
     if ok is not None:
@@ -173,27 +198,25 @@ def ordered_context(df: DataFrame, keys, ts: str = "ts", seq="seq",
         ffb = lambda n, cols: F.col(f"_ffb_{n}.v")
     for n in rcs:
         aggs.append(F.sum(f"_rc_{n}").alias(f"_rcb_{n}"))
-    s = x.groupBy(*keys, "_b").agg(*aggs)
+    s = x.groupBy(*at).agg(*aggs)
 
-    sw = Window.partitionBy(*keys).orderBy("_b")
+    sw = Window.partitionBy(*kc).orderBy(*_PLACE)
     before = sw.rowsBetween(Window.unboundedPreceding, -1)
     later = sw.rowsBetween(1, Window.unboundedFollowing)
-    sel = [*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_b").alias("_sb")]
+    sel = [F.col(c) for c in at]
     if prev:
         sel.append(F.struct(*[F.lag(last(c)).over(sw).alias(c) for c in prev]).alias("_pl"))
     if next:
         sel.append(F.struct(*[F.lead(first(c)).over(sw).alias(c) for c in next]).alias("_nf"))
     if rank:
-        sel.append(F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+        sel.append(F.sum("_n").over(before).alias("_off"))
     for n, (_, cols) in fnw.items():
         sel.append(F.first(ffb(n, cols), ignorenulls=True).over(later).alias(f"_ffn_{n}"))
     for n in rcs:
         sel.append(F.coalesce(F.sum(f"_rcb_{n}").over(before), F.lit(0)).alias(f"_rco_{n}"))
     s2 = s.select(*sel)
 
-    cond = reduce(lambda a, b: a & b,
-                  [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)] + [F.col("_b") == F.col("_sb")])
-    j = y.join(s2, cond, "left")
+    j = y.join(s2, at, "left")
 
     out = j
     for c in prev:
@@ -205,9 +228,9 @@ def ordered_context(df: DataFrame, keys, ts: str = "ts", seq="seq",
             out = out.withColumn(f"{n}_{c}", F.when(F.col(f"_ff_{n}").isNull(), F.col(f"_ffn_{n}.{c}"))
                                  .otherwise(F.col(f"_ff_{n}.{c}")))
     for n in rcs:
-        out = out.withColumn(n, F.col(f"_rco_{n}") + F.col(f"_rcv_{n}"))
+        out = out.withColumn(n, F.coalesce(F.col(f"_rco_{n}"), F.lit(0)) + F.col(f"_rcv_{n}"))
     if rank:
-        out = out.withColumn("rank", (F.col("_off") + F.col("_rib")).cast("long"))
+        out = out.withColumn("rank", (F.coalesce("_off", F.lit(0)) + F.col("_rib")).cast("long"))
     produced = {f"prev_{c}" for c in prev} | {f"next_{c}" for c in next} | set(rcs) | {"rank"}
     produced |= {f"{n}_{c}" for n, (_, cols) in fnw.items() for c in cols}
     drop = [c for c in out.columns if c.startswith("_") and c not in df.columns and c not in produced]

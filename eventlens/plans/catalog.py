@@ -301,25 +301,43 @@ def interval_join_orders(spark, sf_dir):
 
 
 @query("reconcile", """
-WITH l AS (SELECT o_orderkey, o_orderdate, o_totalprice,
-                  row_number() OVER (PARTITION BY o_orderkey ORDER BY o_orderdate, o_totalprice) AS occ
-           FROM orders WHERE o_orderstatus = 'O'),
-r AS (SELECT l_orderkey, l_shipdate, l_quantity,
-             row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate, l_quantity) AS occ
-      FROM lineitem WHERE l_linenumber = 1)
 SELECT CASE WHEN l.o_orderkey IS NULL THEN 'right_only' WHEN r.l_orderkey IS NULL THEN 'left_only'
             ELSE 'matched' END AS outcome,
        coalesce(l.o_orderkey, r.l_orderkey) AS orderkey,
        l.o_orderkey, l.o_orderdate, l.o_totalprice, r.l_orderkey, r.l_shipdate, r.l_quantity
-FROM l FULL OUTER JOIN r ON l.o_orderkey = r.l_orderkey AND l.occ = r.occ""")
+FROM (SELECT * FROM orders WHERE o_orderstatus = 'O') l
+FULL OUTER JOIN (SELECT * FROM lineitem WHERE l_linenumber = 1) r ON l.o_orderkey = r.l_orderkey""")
 def reconcile_orders(spark, sf_dir):
     """Open orders against first lines: matched / left_only / right_only."""
     o = (load_table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "O")
          .select("o_orderkey", "o_orderdate", "o_totalprice"))
     li = (load_table(spark, sf_dir, "lineitem").filter(F.col("l_linenumber") == 1)
           .select("l_orderkey", "l_shipdate", "l_quantity"))
-    return reconcile(o, li, "o_orderkey", "l_orderkey", "o_orderdate", "l_shipdate", key_name="orderkey",
-                     bucket="30 days")
+    return reconcile(o, li, "o_orderkey", "l_orderkey", "o_orderdate", "l_shipdate", key_name="orderkey")
+
+
+RECONCILE_TOLERANCE_SQL = """
+WITH c AS (SELECT user_id, event_id AS click_id, ts AS click_ts FROM events WHERE event_type = 'click'),
+p AS (SELECT user_id AS p_user_id, event_id AS purchase_id, ts AS purchase_ts FROM events WHERE event_type = 'purchase')
+SELECT CASE WHEN click_id IS NULL THEN 'right_only' WHEN purchase_id IS NULL THEN 'left_only' ELSE 'matched' END AS outcome,
+       coalesce(user_id, p_user_id) AS key, user_id, click_id, click_ts, p_user_id, purchase_id, purchase_ts
+FROM c FULL OUTER JOIN p ON c.user_id = p.p_user_id
+ AND p.purchase_ts BETWEEN c.click_ts - INTERVAL 6 HOUR AND c.click_ts + INTERVAL 6 HOUR"""
+
+
+def _clicks_and_buys(ev: DataFrame) -> tuple[DataFrame, DataFrame]:
+    clicks = ev.filter(F.col("event_type") == "click").select(
+        "user_id", F.col("event_id").alias("click_id"), F.col("ts").alias("click_ts"))
+    buys = ev.filter(F.col("event_type") == "purchase").select(
+        F.col("user_id").alias("p_user_id"), F.col("event_id").alias("purchase_id"), F.col("ts").alias("purchase_ts"))
+    return clicks, buys
+
+
+@query("reconcile_tolerance", RECONCILE_TOLERANCE_SQL)
+def reconcile_tolerance(spark, sf_dir):
+    """J2 with a tolerance: clicks against purchases of the user within +-6 h."""
+    clicks, buys = _clicks_and_buys(events(spark, sf_dir))
+    return reconcile(clicks, buys, "user_id", "p_user_id", "click_ts", "purchase_ts", tolerance="6 hours")
 
 
 # ------------------------------------------------------------ streaming forms

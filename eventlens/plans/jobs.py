@@ -139,6 +139,4 @@ def tx_reconcile(orders: DataFrame, receipts: DataFrame, tolerance=None) -> Data
     """Matched / left_only (order, no receipt) / right_only (receipt, no order)."""
     o = _order_side(orders).filter(F.col("event_type") == ORDER_PAY)
     r = _receipt_side(receipts)
-    return reconcile(o, r, "o_tx_id", "r_tx_id", "o_ts", "r_ts", tolerance=tolerance,
-                     left_seq="o_seq" if "o_seq" in o.columns else None,
-                     right_seq="r_seq" if "r_seq" in r.columns else None, key_name="tx_id")
+    return reconcile(o, r, "o_tx_id", "r_tx_id", "o_ts", "r_ts", tolerance=tolerance, key_name="tx_id")

@@ -38,7 +38,7 @@ def test_reconcile_outcomes(spark):
     r = spark.createDataFrame([("a", "wechat", ts(C + 2), 0), ("c", "alipay", ts(C), 1),
                                ("d", "alipay", ts(C + 3), 2), ("", "wechat", ts(C), 3)], RECEIPT)
     out = sorted((x.outcome, x.tx_id, x.order_id) for x in jobs.tx_reconcile(o, r).collect())
-    assert out == [("left_only", "b", 2), ("left_only", "d", 4), ("matched", "a", 1), ("matched", "d", 3),
+    assert out == [("left_only", "b", 2), ("matched", "a", 1), ("matched", "d", 3), ("matched", "d", 4),   # as SQL pairs
                    ("right_only", "c", None)]
 
 
@@ -88,3 +88,37 @@ def test_blacklist_job_counts_only_passed(spark):
     top = {r.province: r.cnt for r in counts.filter(F.col("window_end") == ts(MIDNIGHT + 5)).collect()}
     assert top == {"beijing": 3, "henan": 1}
     assert warn.count() == 1
+
+
+def test_reconcile_keeps_null_times_and_pairs_within_tolerance(spark):
+    left = spark.createDataFrame([("k", ts(1000), 1), ("n", None, 2), (None, ts(5), 3)], "k string, lt timestamp, l long")
+    right = spark.createDataFrame([("k", ts(0), 1), ("k", ts(1001), 2), ("n", None, 3), (None, ts(5), 4)], "rk string, rt timestamp, r long")
+    got = sorted((x.outcome, x.l or 0, x.r or 0) for x in reconcile(left, right, "k", "rk", "lt", "rt", tolerance="5 seconds").collect())
+    assert got == [("left_only", 2, 0), ("left_only", 3, 0), ("matched", 1, 2), ("right_only", 0, 1), ("right_only", 0, 3), ("right_only", 0, 4)]
+    got = sorted((x.outcome, x.key or "", x.l or 0, x.r or 0) for x in reconcile(left, right, "k", "rk", "lt", "rt").collect())
+    assert got == [("left_only", "", 3, 0), ("matched", "k", 1, 1), ("matched", "k", 1, 2), ("matched", "n", 2, 3), ("right_only", "", 0, 4)]
+
+
+def test_reconcile_pairs_duplicates_as_sql(spark):
+    left = spark.createDataFrame([("k", ts(1), 1), ("k", ts(2), 2)], "k string, lt timestamp, l long")
+    right = spark.createDataFrame([("k", ts(1), 1), ("k", ts(2), 2), ("k", ts(99), 3)], "rk string, rt timestamp, r long")
+    assert reconcile(left, right, "k", "rk", "lt", "rt").count() == 6
+    got = reconcile(left, right, "k", "rk", "lt", "rt", tolerance="5 seconds").collect()
+    assert sorted(x.outcome for x in got) == ["matched"] * 4 + ["right_only"]
+
+
+def test_click_cap_keeps_a_column_called_day(spark):
+    df = spark.createDataFrame([(1, ts(10 * i), i, "mine") for i in range(5)], "u long, ts timestamp, seq long, day string")
+    for reset in ("day", None):
+        passed, warn = click_cap(df, ["u"], cap=3, reset=reset)
+        assert {r.day for r in passed.collect()} == {"mine"} and passed.count() == 3
+        assert warn.count() == 1
+
+
+def test_hot_group_without_reset_spreads_over_buckets(spark):
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([(0, ts(600 * i), i) for i in range(2000)], "u long, ts timestamp, seq long")
+    for cap in (7, 1500):
+        passed, warn = click_cap(df, ["u"], cap=cap, reset=None)
+        assert sorted(r.seq for r in passed.collect()) == list(range(cap))
+        assert warn.select(F.unix_timestamp("ts").alias("s")).first().s == 600 * cap

@@ -120,3 +120,12 @@ def test_ordered_context_matches_plain_window(spark):
                               rank=True, split_rows=split)
         got = sorted(tuple(r) for r in got.select(*cols).collect())
         assert got == expect, (bucket, split)
+
+
+def test_null_predicate_ends_a_run_and_null_keys_stay(spark):
+    from eventlens.operators.patterns import consecutive_pairs, fail_bursts
+    rows = [(1, ts(0), 0, True), (1, ts(1), 1, None), (1, ts(2), 2, True),
+            (None, ts(0), 3, True), (None, ts(1), 4, True)]
+    df = spark.createDataFrame(rows, "k long, ts timestamp, seq long, bad boolean")
+    assert [(r.k, r.n_fails) for r in fail_bursts(df, ["k"], "bad", "10 seconds", 2).collect()] == [(None, 2)]
+    assert [r.k for r in consecutive_pairs(df, ["k"], "bad", "10 seconds").collect()] == [None]

@@ -20,13 +20,15 @@ def test_no_pair_explosion_no_python(spark, name):
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
                 "FlatMapGroupsInPandas", "Exchange SinglePartition"):
         assert bad not in p, (name, bad)
-    # the only forced broadcast is the hot-bucket table of the ordered scan,
-    # bounded by construction (at most rows / split_rows entries); anything
-    # else is left to Spark's own size checks (static estimate or AQE)
+    # forced broadcasts are the ordered scan's tables of hot keys and cuts,
+    # each limited to a fixed number of rows; anything else is left to
+    # Spark's own size checks (static estimate or AQE)
     df = catalog.QUERIES[name](spark, SF)
-    for line in df._jdf.queryExecution().optimizedPlan().toString().splitlines():
+    tree = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    for i, line in enumerate(tree):
         if "strategy=broadcast" in line:
-            assert "_hb#" in line, (name, line)
+            depth = line.index("Join")
+            assert any("GlobalLimit" in below for below in tree[i + 1:] if len(below) > depth), (name, line)
 
 
 def test_filter_and_columns_reach_the_scan(spark):
@@ -48,13 +50,33 @@ def test_panes_aggregate_before_expanding(spark):
     assert "partial_count" in p[gen:]              # pane partial aggregate below the explode
 
 
-@pytest.mark.parametrize("name", ["consecutive_errors", "reconcile", "pay_match_outcomes"])
-def test_ordered_scan_spreads_keys_and_preaggregates_summary(spark, name):
-    p = plan(catalog.QUERIES[name](spark, SF), final=True)
-    assert "_b#" in p.split("hashpartitioning(")[1].split(")")[0] or ", _b" in p   # (key, bucket) exchange
-    assert "partial_" in p                      # summary aggregated before its shuffle
-    assert "SortAggregate" not in p
-    assert "REPARTITION_BY_COL" not in p        # no forced full repartition
+@pytest.mark.parametrize("name", ["consecutive_errors", "pay_match_outcomes", "followed_within"])
+def test_ordered_scan_shuffles_the_data_once(spark, name):
+    """Without hot keys the run has one shuffle of the rows, next to the
+    partial counts per key, and reads the table twice."""
+    p = plan(catalog.QUERIES[name](spark, SF), final=True).split("== Initial Plan ==")[0]
+    rows = [line for line in p.splitlines() if "Exchange hashpartitioning" in line and "Reused" not in line]
+    assert sum("_t#" in line or "_b#" in line for line in rows) == 1, rows
+    assert len(rows) <= 2 and p.count("Scan parquet") <= 2, (len(rows), p.count("Scan parquet"))
+    assert "SortAggregate" not in p and "SortMergeJoin" not in p
+
+
+def test_pattern_filters_reach_the_scan(spark):
+    p = plan(catalog.QUERIES["followed_within"](spark, SF))
+    assert "Or(EqualTo(event_type,signup),EqualTo(event_type,purchase))" in p
+
+
+def test_reconcile_is_one_join(spark):
+    p = plan(catalog.QUERIES["reconcile"](spark, SF))
+    assert p.count("FullOuter") == 1 and "Window" not in p
+
+
+@pytest.mark.parametrize("cap", [3, 5000])
+def test_cap_ranks_in_time_buckets_first(spark, cap):
+    from eventlens.operators.limits import click_cap
+    p = plan(click_cap(catalog.events(spark, SF), ["user_id"], cap=cap, reset=None)[0])
+    keys = [line for line in p.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(keys) == 2 and "_b#" in keys[1] and "_b#" not in keys[0]
 
 
 def test_interval_join_keys_include_time_bucket(spark):
