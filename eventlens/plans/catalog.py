@@ -341,17 +341,33 @@ def reconcile_tolerance(spark, sf_dir):
 
 
 # ------------------------------------------------------------ streaming forms
-# Each runs a Structured Streaming query over the ``events`` table read as a
-# file stream, to completion (availableNow), into a parquet sink under the
-# session's checkpoint folder, and returns the sink read back.  All rows
-# arrive in one micro-batch, so the final watermark W is the largest event
-# time the operator saw (delay 0); the oracles keep what W has closed.
+# Each runs a Structured Streaming query over the ``events`` table, staged
+# under the session's checkpoint folder as several files in event-time order
+# (rows up to DISORDER out of order) with end markers (streaming/bounded.py),
+# one file per micro-batch, into a parquet sink there, and returns the sink
+# read back.  The result is the whole batch answer.
+DISORDER = "1 hour"
+_STAGED: dict = {}
 
-def _event_stream(spark, sf_dir):
-    schema = load_table(spark, sf_dir, "events").schema
-    # a glob: the file source needs a directory or pattern, not a file path
-    src = spark.readStream.schema(schema).parquet(f"{sf_dir.rstrip('/')}/events[.]parquet")
-    return src.withColumn("seq", F.col("event_id"))
+
+def _markers(spark, sf_dir) -> list[dict]:
+    """One end marker per event type, each under a user of its own."""
+    types = [r.event_type for r in load_table(spark, sf_dir, "events").select("event_type").distinct().collect()]
+    return [{"event_id": -i, "user_id": -i, "event_type": t, "value": 0, "props": "{}", "seq": -i}
+            for i, t in enumerate(sorted(x for x in types if x is not None), 1)]
+
+
+def _event_stream(spark, sf_dir, disorder=DISORDER, late=None):
+    """``events`` as a bounded stream with ``seq`` = event_id."""
+    from eventlens.session import scratch_path
+    from eventlens.streaming.bounded import stage, staged_stream
+    ev = events(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+    key = (spark.sparkContext.applicationId, sf_dir, disorder, late is not None)
+    if key not in _STAGED:   # once per session: the streams only read it
+        path = scratch_path(spark, "events-staged")
+        stage(ev, "ts", path, _markers(spark, sf_dir), disorder=disorder, late=late)
+        _STAGED[key] = path
+    return staged_stream(spark, ev.schema, _STAGED[key])
 
 
 def _to_ntz(df: DataFrame) -> DataFrame:
@@ -365,105 +381,78 @@ def _run(stream: DataFrame, name: str) -> DataFrame:
     return _to_ntz(run_to_parquet(stream, name))
 
 
-_W_VIEW = "(SELECT max(ts) FROM events WHERE event_type = 'view')"
-_W_ALL = "(SELECT max(ts) FROM events)"
-_W_PAIR = "(SELECT max(ts) FROM events WHERE event_type IN ('signup', 'purchase'))"
-
-
-@query("stream_hot_keys_topn", f"SELECT * FROM ({HOT_KEYS_SQL}) WHERE window_end <= {_W_VIEW}")
+@query("stream_hot_keys_topn", HOT_KEYS_SQL)
 def stream_hot_keys_topn(spark, sf_dir):
     """Streaming N1: windowed counts in append mode, ranked per micro-batch."""
     from eventlens.session import scratch_path
     from eventlens.streaming.windows import start_stream_topn, stream_window_counts
     counts = stream_window_counts(_event_stream(spark, sf_dir).filter(F.col("event_type") == "view"),
-                                  "ts", "1 day", "6 hours", ["user_id"])
+                                  "ts", "1 day", "6 hours", ["user_id"], delay=DISORDER)
     out = scratch_path(spark, "stream_hot_keys_topn")
     start_stream_topn(counts, "user_id", 3, out).awaitTermination()
     return _to_ntz(spark.read.parquet(out).drop("batch"))
 
 
-@query("stream_unique_users_hourly",
-       f"SELECT * FROM ({ORACLE['unique_users_hourly']}) WHERE window_end <= {_W_VIEW}")
+@query("stream_unique_users_hourly", ORACLE["unique_users_hourly"])
 def stream_unique_users_hourly(spark, sf_dir):
     """Streaming A5: chained aggregations (window, user) then (window)."""
     from eventlens.streaming.windows import stream_window_distinct
     s = stream_window_distinct(_event_stream(spark, sf_dir).filter(F.col("event_type") == "view"),
-                               "ts", "1 hour", distinct_col="user_id")
+                               "ts", "1 hour", distinct_col="user_id", delay=DISORDER)
     return _run(s, "stream_unique_users_hourly")
 
 
-@query("stream_region_counts_sliding",
-       f"SELECT * FROM ({ORACLE['region_counts_sliding']}) WHERE window_end <= {_W_ALL}")
+@query("stream_region_counts_sliding", ORACLE["region_counts_sliding"])
 def stream_region_counts_sliding(spark, sf_dir):
     """Streaming W1 A1 with 60 overlaps: pane counts, then the sliding window over panes."""
     from eventlens.streaming.windows import stream_window_counts
-    s = stream_window_counts(_event_stream(spark, sf_dir), "ts", "1 hour", "1 minute", ["event_type"])
+    s = stream_window_counts(_event_stream(spark, sf_dir), "ts", "1 hour", "1 minute", ["event_type"], delay=DISORDER)
     return _run(s, "stream_region_counts_sliding")
 
 
-@query("stream_consecutive_errors", f"SELECT * FROM ({ORACLE['consecutive_errors']}) WHERE last_ts < {_W_ALL}")
+@query("stream_consecutive_errors", ORACLE["consecutive_errors"])
 def stream_consecutive_errors(spark, sf_dir):
     """Streaming D3 / C1 (transformWithState, replay in event-time order)."""
     from eventlens.streaming.stateful import stream_consecutive_pairs
-    s = stream_consecutive_pairs(_event_stream(spark, sf_dir), ["user_id"], F.col("event_type") == "error", "1 day")
+    s = stream_consecutive_pairs(_event_stream(spark, sf_dir), ["user_id"], F.col("event_type") == "error", "1 day",
+                                 delay=DISORDER)
     return _run(s, "stream_consecutive_errors")
 
 
-@query("stream_error_burst",
-       f"SELECT * FROM ({ORACLE['error_burst']}) WHERE first_ts + INTERVAL 1 DAY < {_W_ALL}")
+@query("stream_error_burst", ORACLE["error_burst"])
 def stream_error_burst(spark, sf_dir):
     """Streaming D2: decided when the watermark passes t0 + span."""
     from eventlens.streaming.stateful import stream_fail_bursts
-    s = stream_fail_bursts(_event_stream(spark, sf_dir), ["user_id"], F.col("event_type") == "error", "1 day", 2)
+    s = stream_fail_bursts(_event_stream(spark, sf_dir), ["user_id"], F.col("event_type") == "error", "1 day", 2,
+                           delay=DISORDER)
     return _run(s, "stream_error_burst")
 
 
-@query("stream_followed_within", f"""
-SELECT user_id, first_ts, CASE WHEN nts < first_ts + INTERVAL 1 DAY THEN nts END AS then_ts,
-       CASE WHEN nts < first_ts + INTERVAL 1 DAY THEN 'matched' ELSE 'timeout' END AS outcome
-FROM (
-  SELECT s.user_id, s.ts AS first_ts,
-         (SELECT min(p.ts) FROM events p WHERE p.event_type = 'purchase' AND p.user_id = s.user_id
-            AND (p.ts > s.ts OR (p.ts = s.ts AND p.event_id > s.event_id))) AS nts
-  FROM events s WHERE s.event_type = 'signup')
-WHERE nts < {_W_ALL} OR first_ts + INTERVAL 1 DAY <= {_W_ALL}""")
+@query("stream_followed_within", ORACLE["followed_within"])
 def stream_followed_within(spark, sf_dir):
     """Streaming C2: timeouts come out when the watermark passes first + 1 day."""
     from eventlens.streaming.stateful import stream_followed_by
     ev = _event_stream(spark, sf_dir)
     s = stream_followed_by(ev, ["user_id"], F.col("event_type") == "signup", F.col("event_type") == "purchase",
-                           "1 day")
+                           "1 day", delay=DISORDER)
     return _run(s, "stream_followed_within")
 
 
-@query("stream_pay_match_outcomes", f"""
-WITH x AS (SELECT user_id, ts, event_id, event_type = 'signup' AS cr FROM events
-           WHERE event_type IN ('signup', 'purchase')),
-o AS (SELECT *, lead(cr) OVER w AS ncr, lead(ts) OVER w AS nts, lag(cr) OVER w AS pcr, lag(ts) OVER w AS pts
-      FROM x WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
-SELECT user_id,
-       CASE WHEN ncr = false AND nts < ts + INTERVAL 1 DAY THEN 'paid'
-            WHEN ncr = false AND nts < ts + INTERVAL 2 DAY THEN 'paid_late' ELSE 'timeout' END AS outcome,
-       ts AS create_ts,
-       CASE WHEN ncr = false AND nts < ts + INTERVAL 2 DAY THEN nts END AS pay_ts
-FROM o WHERE cr AND (nts < {_W_PAIR} OR ts + INTERVAL 2 DAY <= {_W_PAIR})
-UNION ALL
-SELECT user_id, 'pay_without_create' AS outcome, CAST(NULL AS TIMESTAMP) AS create_ts, ts AS pay_ts
-FROM o WHERE NOT cr AND NOT (pcr IS NOT NULL AND pcr AND ts < pts + INTERVAL 2 DAY) AND ts < {_W_PAIR}""")
+@query("stream_pay_match_outcomes", ORACLE["pay_match_outcomes"])
 def stream_pay_match_outcomes(spark, sf_dir):
     """Streaming D4 with deadline timers (bound 1 day, grace 1 day)."""
     from eventlens.streaming.stateful import stream_match_outcomes
     ev = _event_stream(spark, sf_dir)
     s = stream_match_outcomes(ev, ["user_id"], F.col("event_type") == "signup", F.col("event_type") == "purchase",
-                              "1 day", "1 day")
+                              "1 day", "1 day", delay=DISORDER)
     return _run(s, "stream_pay_match_outcomes")
 
 
-@query("stream_click_cap_passed", f"SELECT * FROM ({ORACLE['click_cap_passed']}) WHERE ts < {_W_ALL}")
+@query("stream_click_cap_passed", ORACLE["click_cap_passed"])
 def stream_click_cap_passed(spark, sf_dir):
     """Streaming D1: the passed side output of the cap."""
     from eventlens.streaming.stateful import stream_click_cap
-    s = stream_click_cap(_event_stream(spark, sf_dir), ["user_id", "event_type"], cap=CAP,
+    s = stream_click_cap(_event_stream(spark, sf_dir), ["user_id", "event_type"], cap=CAP, delay=DISORDER,
                          carry=["event_id", "value", "props"])
     s = s.filter(F.col("tag") == "passed").select("event_id", "ts", "user_id", "event_type", "value", "props")
     return _run(s, "stream_click_cap_passed")
@@ -473,48 +462,120 @@ def stream_click_cap_passed(spark, sf_dir):
 def stream_interval_join(spark, sf_dir):
     """Streaming J1: stream-stream interval join with watermarks on both sides."""
     from eventlens.streaming.joins import stream_interval_join as sij
-    ev = _event_stream(spark, sf_dir)
-    clicks = ev.filter(F.col("event_type") == "click").select(
-        "user_id", F.col("event_id").alias("click_id"), F.col("ts").alias("click_ts"))
-    buys = ev.filter(F.col("event_type") == "purchase").select(
-        F.col("user_id").alias("p_user_id"), F.col("event_id").alias("purchase_id"), F.col("ts").alias("purchase_ts"))
-    j = sij(clicks, buys, [("user_id", "p_user_id")], "click_ts", "purchase_ts", "-6 hours", "6 hours")
+    clicks, buys = _clicks_and_buys(_event_stream(spark, sf_dir))
+    j = sij(clicks, buys, [("user_id", "p_user_id")], "click_ts", "purchase_ts", "-6 hours", "6 hours",
+            DISORDER, DISORDER)
     return _run(j.select("user_id", "click_id", "click_ts", "purchase_id", "purchase_ts"), "stream_interval_join")
 
 
-@query("stream_capped_region_counts",
-       f"SELECT * FROM ({ORACLE['capped_region_counts']}) WHERE window_end <= {_W_ALL}")
+@query("stream_capped_region_counts", ORACLE["capped_region_counts"])
 def stream_capped_region_counts(spark, sf_dir):
     """Streaming D1b in one query: the cap's passed rows carry event time into
     a 1 h / 1 min window count (pane rollup over the capped stream)."""
     from eventlens.streaming.stateful import stream_capped_window_counts
     s = stream_capped_window_counts(_event_stream(spark, sf_dir), ["user_id", "event_type"], ["event_type"],
-                                    "1 hour", "1 minute", cap=CAP)
+                                    "1 hour", "1 minute", cap=CAP, delay=DISORDER)
     return _run(s, "stream_capped_region_counts")
 
 
-@query("stream_reconcile", """
-WITH c AS (SELECT user_id, event_id AS click_id, ts AS click_ts FROM events WHERE event_type = 'click'),
-p AS (SELECT user_id AS p_user_id, event_id AS purchase_id, ts AS purchase_ts FROM events WHERE event_type = 'purchase'),
-j AS (SELECT * FROM c FULL OUTER JOIN p ON c.user_id = p.p_user_id
-      AND p.purchase_ts BETWEEN c.click_ts - INTERVAL 6 HOUR AND c.click_ts + INTERVAL 6 HOUR),
-w AS (SELECT least((SELECT max(ts) FROM events WHERE event_type = 'click'),
-                   (SELECT max(ts) FROM events WHERE event_type = 'purchase')) AS w)
-SELECT CASE WHEN user_id IS NULL THEN 'right_only' WHEN p_user_id IS NULL THEN 'left_only' ELSE 'matched' END AS outcome,
-       coalesce(user_id, p_user_id) AS key, user_id, click_id, click_ts, p_user_id, purchase_id, purchase_ts
-FROM j, w
-WHERE (user_id IS NOT NULL AND p_user_id IS NOT NULL)
-   OR (p_user_id IS NULL AND click_ts + INTERVAL 6 HOUR < w.w)
-   OR (user_id IS NULL AND purchase_ts + INTERVAL 6 HOUR < w.w)""")
+@query("stream_reconcile", RECONCILE_TOLERANCE_SQL)
 def stream_reconcile_events(spark, sf_dir):
     """Streaming J2: clicks vs purchases per user within +-6 h, full outer
     stream-stream join; an unmatched row comes out once the (min of both
     sides') watermark passes its ts + 6 h."""
     from eventlens.streaming.joins import stream_reconcile
-    ev = _event_stream(spark, sf_dir)
-    clicks = ev.filter(F.col("event_type") == "click").select(
-        "user_id", F.col("event_id").alias("click_id"), F.col("ts").alias("click_ts"))
-    buys = ev.filter(F.col("event_type") == "purchase").select(
-        F.col("user_id").alias("p_user_id"), F.col("event_id").alias("purchase_id"), F.col("ts").alias("purchase_ts"))
-    return _run(stream_reconcile(clicks, buys, "user_id", "p_user_id", "click_ts", "purchase_ts", "6 hours"),
-                "stream_reconcile")
+    clicks, buys = _clicks_and_buys(_event_stream(spark, sf_dir))
+    return _run(stream_reconcile(clicks, buys, "user_id", "p_user_id", "click_ts", "purchase_ts", "6 hours",
+                                 DISORDER, DISORDER), "stream_reconcile")
+
+
+@query("stream_click_cap_warnings", ORACLE["click_cap_warnings"])
+def stream_click_cap_warnings(spark, sf_dir):
+    """Streaming D1: the warning side output of the cap."""
+    from eventlens.streaming.stateful import stream_click_cap
+    s = stream_click_cap(_event_stream(spark, sf_dir), ["user_id", "event_type"], cap=CAP, delay=DISORDER)
+    s = s.filter(F.col("tag") == "warning").select("user_id", "event_type", "day", "ts",
+                                                   F.lit(f"click over {CAP} times").alias("msg"))
+    return _run(s, "stream_click_cap_warnings")
+
+
+@query("stream_page_views_5s", ORACLE["page_views_hourly"])
+def stream_page_views_5s(spark, sf_dir):
+    """Hourly page views, rows up to 5 s out of order."""
+    from eventlens.streaming.windows import stream_window_counts
+    s = stream_window_counts(_event_stream(spark, sf_dir, "5 seconds").filter(F.col("event_type") == "view"),
+                             "ts", "1 hour", delay="5 seconds", name="pv")
+    return _run(s, "stream_page_views_5s")
+
+
+@query("stream_consecutive_errors_2s", ORACLE["consecutive_errors"])
+def stream_consecutive_errors_2s(spark, sf_dir):
+    """T2' with D3: rows up to 2 s out of order."""
+    from eventlens.streaming.stateful import stream_consecutive_pairs
+    s = stream_consecutive_pairs(_event_stream(spark, sf_dir, "2 seconds"), ["user_id"],
+                                 F.col("event_type") == "error", "1 day", delay="2 seconds")
+    return _run(s, "stream_consecutive_errors_2s")
+
+
+@query("stream_hot_paths_lateness", ORACLE["hot_paths_topn"])
+def stream_hot_paths_lateness(spark, sf_dir):
+    """N2 with T4: 2 s out of order and an hour of allowed lateness, each
+    window's final ranking once."""
+    from eventlens.session import scratch_path
+    from eventlens.streaming.windows import lateness_delay, start_stream_topn, stream_window_counts
+    ev = _event_stream(spark, sf_dir).withColumn("k", F.get_json_object("props", "$.k").cast("long"))
+    counts = stream_window_counts(ev, "ts", "6 hours", "1 hour", ["k"], delay=lateness_delay("2 seconds", DISORDER))
+    out = scratch_path(spark, "stream_hot_paths_lateness")
+    start_stream_topn(counts, "k", 5, out).awaitTermination()
+    return _to_ntz(spark.read.parquet(out).drop("batch"))
+
+
+_LATE_SQL = ("event_id % 20 = 0 AND epoch_us(ts) < (SELECT min(epoch_us(ts)) + (max(epoch_us(ts)) - min(epoch_us(ts))) // 3 "
+             "- 86400000000 FROM events)")
+
+
+def _late(spark, sf_dir):
+    """Every 20th row of the first third (less a day) arrives with the last file."""
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    lo, hi = load_table(spark, sf_dir, "events").agg(F.min(us), F.max(us)).first()
+    return (F.col("event_id") % 20 == 0) & (us < F.lit(lo + (hi - lo) // 3 - 86_400_000_000))
+
+
+@query("stream_late_views_dropped", sql_window_count("", "", f"event_type = 'view' AND NOT ({_LATE_SQL})", "1 hour", cnt="pv"))
+def stream_late_views_dropped(spark, sf_dir):
+    """Rows later than the delay are dropped, all others counted."""
+    from eventlens.streaming.windows import stream_window_counts
+    ev = _event_stream(spark, sf_dir, late=_late(spark, sf_dir))
+    s = stream_window_counts(ev.filter(F.col("event_type") == "view"), "ts", "1 hour", delay=DISORDER, name="pv")
+    return _run(s, "stream_late_views_dropped")
+
+
+@query("stream_late_errors_dropped", f"""
+SELECT user_id, pts AS first_ts, ts AS last_ts FROM (
+  SELECT user_id, ts, event_type, lag(event_type) OVER w AS pt, lag(ts) OVER w AS pts
+  FROM events WHERE NOT ({_LATE_SQL}) WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+WHERE event_type = 'error' AND pt = 'error' AND ts < pts + INTERVAL 1 DAY""")
+def stream_late_errors_dropped(spark, sf_dir):
+    """T6 in a keyed process function: late rows are as if never sent."""
+    from eventlens.streaming.stateful import stream_consecutive_pairs
+    ev = _event_stream(spark, sf_dir, late=_late(spark, sf_dir))
+    s = stream_consecutive_pairs(ev, ["user_id"], F.col("event_type") == "error", "1 day", delay=DISORDER)
+    return _run(s, "stream_late_errors_dropped")
+
+
+@query("stream_restart", ORACLE["consecutive_errors"])
+def stream_restart(spark, sf_dir):
+    """D3 stopped after the first file and started again: buffers, timers and
+    the sink go on from the checkpoint."""
+    from eventlens.session import scratch_path
+    from eventlens.streaming.bounded import stage, staged_stream
+    from eventlens.streaming.runner import run_to_parquet
+    from eventlens.streaming.stateful import stream_consecutive_pairs
+    ev = events(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+    root = scratch_path(spark, "stream_restart")
+    for part in (range(1), range(1, 4)):
+        stage(ev, "ts", f"{root}/in", _markers(spark, sf_dir), disorder=DISORDER, only=part)
+        s = stream_consecutive_pairs(staged_stream(spark, ev.schema, f"{root}/in"), ["user_id"],
+                                     F.col("event_type") == "error", "1 day", delay=DISORDER)
+        out = run_to_parquet(s, "stream_restart", f"{root}/out", f"{root}/checkpoint")
+    return _to_ntz(out)
