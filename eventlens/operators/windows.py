@@ -69,8 +69,10 @@ def _partial(kind: str, c):
     return c if kind == "custom" else _MERGE[kind][0](c)
 
 
-def _final_cast(kind: str, c: Column) -> Column:
-    return c.cast("long") if kind == "count" else c
+def _final_cast(kind: str, c: Column, dtype: str | None = None) -> Column:
+    """``dtype``: the type of the direct aggregate, which a merged one takes
+    (a sum of decimal sums would be wider)."""
+    return c.cast("long") if kind == "count" else c.cast(dtype) if dtype else c
 
 
 def choose_method(size, slide) -> str:
@@ -139,7 +141,8 @@ def _pane_rollup(df, ts, size, slide, keys, specs):
     panes = df.groupBy(floor_to(to_micros(ts, dtype), pane_us).alias("_p"), *keys).agg(*partial)
     names = [n for n, _, _ in specs]
     x = _expand_panes(panes, size_us, slide_us, keys + names, dtype)
-    merged = [_final_cast(k, _MERGE[k][1](F.col(n))).alias(n) for n, k, _ in specs]
+    types = dict(panes.dtypes)
+    merged = [_final_cast(k, _MERGE[k][1](F.col(n)), types[n]).alias(n) for n, k, _ in specs]
     return _finish(x.groupBy("_e", *keys).agg(*merged), size_us, dtype, keys, names)
 
 

@@ -377,8 +377,8 @@ def _to_ntz(df: DataFrame) -> DataFrame:
 
 
 def _run(stream: DataFrame, name: str) -> DataFrame:
-    from eventlens.streaming.runner import run_to_parquet
-    return _to_ntz(run_to_parquet(stream, name))
+    from eventlens.streaming.runner import run_once
+    return _to_ntz(run_once(stream, name))
 
 
 @query("stream_hot_keys_topn", HOT_KEYS_SQL)

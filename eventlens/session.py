@@ -6,7 +6,7 @@ returns DataFrames.  These helpers are for tests, the bench and scripts.
 
 from __future__ import annotations
 
-import os
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -45,18 +45,24 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(True)
 
 
+WAVES = 8  # shuffle tasks per slot at most
+
+
 def scale_conf(input_bytes: int, executors: int, cores_per_executor: int,
                target_partition_bytes: int = 256 << 20) -> dict:
     """Settings sized for the input volume (e.g. 100 TB on 1000 executors).
 
-    Shuffle partitions start at input / target (at least 2x the task
-    slots), so each reduce task holds about ``target_partition_bytes``; AQE
-    coalesces small ones and splits skewed join partitions at run time.
+    Shuffle partitions start at input / target, between 2 and ``WAVES``
+    times the task slots; AQE coalesces small ones and splits skewed join
+    partitions at run time.  A streaming operator keeps one state store per
+    partition, so streams should set a small multiple of the slots.
     File splits match the same size, so scan tasks and shuffle tasks are
     alike.
     """
     slots = executors * cores_per_executor
-    parts = max(2 * slots, -(-input_bytes // target_partition_bytes))
+    # a shuffle has map tasks x partitions blocks, so partitions are capped at a few
+    # waves of tasks; AQE splits the skewed ones
+    parts = max(2 * slots, min(-(-input_bytes // target_partition_bytes), WAVES * slots))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
@@ -91,19 +97,34 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     """Return the shared checkpoint folder the cluster names.
 
     Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir) from
-    the session.  Only when neither is set -- local tests -- is a fallback
-    installed.
+    the session.  When neither is set, ``fallback`` is installed; without
+    one a local master gets a temporary folder, and any other master is
+    an error -- a machine-local folder would be lost with its machine.
     """
     sc = spark.sparkContext
-    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir() or fallback
     if not d:
-        d = fallback or os.path.join(os.environ.get("TMPDIR", "/tmp"), "eventlens-checkpoints")
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        d = tempfile.mkdtemp(prefix="eventlens-checkpoints-")
+    if not spark.conf.get("spark.checkpoint.dir", None):
         sc.setCheckpointDir(d)
         spark.conf.set("spark.checkpoint.dir", d)
     return d
 
 
+def stable_path(spark: SparkSession, name: str) -> str:
+    """A sub-folder of the shared checkpoint folder named after a query, so
+    that a restarted driver finds what it left."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/eventlens/{name}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder (never machine-local)."""
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/eventlens/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh sub-folder of the shared checkpoint folder, for one-shot runs."""
+    return f"{stable_path(spark, name)}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of a finished one-shot run."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

@@ -11,23 +11,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlens.session import scratch_path
+from eventlens.session import stable_path
 
 
 def split_by_tag(df: DataFrame, tag_col: str, tags) -> dict[str, DataFrame]:
     return {t: df.filter(F.col(tag_col) == F.lit(t)) for t in tags}
 
 
-def console_sink(df: DataFrame, label: str, output_mode: str = "append", **opts):
-    """Labelled print: batch shows rows, stream starts a console query."""
+def console_sink(df: DataFrame, label: str, output_mode: str = "append", n: int = 1000, **opts):
+    """Labelled print of at most ``n`` rows (per micro-batch on a stream); a
+    batch print says when rows are left out."""
     if df.isStreaming:
         return (df.writeStream.format("console").queryName(label)
                 .outputMode(output_mode).option("truncate", "false")
+                .option("numRows", n)
                 .option("checkpointLocation", opts.get("checkpoint") or
-                        scratch_path(df.sparkSession, f"console-{label}"))
+                        stable_path(df.sparkSession, f"console-{label}"))
                 .start())
     print(f"== {label} ==")
-    df.show(opts.get("n", 20), truncate=False)
+    df.show(n, truncate=False)
+    if len(df.limit(n + 1).take(n + 1)) > n:
+        print(f"== {label}: only the first {n} rows are shown ==")
     return None
 
 
@@ -44,7 +48,7 @@ def start_tagged_stream(df: DataFrame, tag_col: str, out_root: str, fmt: str = "
               .save(f"{out_root}/batch={batch_id}"))
 
     w = (df.writeStream.foreachBatch(write_batch).outputMode(output_mode)
-         .option("checkpointLocation", checkpoint or scratch_path(df.sparkSession, "tagged")))
+         .option("checkpointLocation", checkpoint or f"{out_root.rstrip('/')}-checkpoint"))
     if trigger:
         w = w.trigger(**trigger)
     return w.start()

@@ -20,12 +20,3 @@ def load_tables(spark: SparkSession, sf_dir: str, names=TABLES, register: bool =
             df.createOrReplaceTempView(n)
     return out
 
-
-def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files: int | None = None) -> DataFrame:
-    """The same table as a file stream (schema taken from the batch read)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    schema = spark.read.parquet(path).schema
-    r = spark.readStream.schema(schema)
-    if max_files:
-        r = r.option("maxFilesPerTrigger", max_files)
-    return r.parquet(path)

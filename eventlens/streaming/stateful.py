@@ -168,12 +168,15 @@ def replay(df: DataFrame, keys, ts: str, seq, delay, machine: M.Machine, payload
     keys = list(keys)
     spark = df.sparkSession
     ship_package(spark)
-    # transformWithState needs the RocksDB state store; set it only if unset
+    # transformWithState runs on the RocksDB state store only
     prov = "spark.sql.streaming.stateStore.providerClass"
     if "RocksDB" not in (spark.conf.get(prov, "") or ""):
         spark.conf.set(prov, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     x = event_time(df, ts).withWatermark(ts, delay)
-    seq_col = F.col(seq).cast("long") if seq and seq in df.columns else F.lit(0).cast("long")
+    if seq and seq not in df.columns:
+        raise ValueError(f"no tiebreak column {seq}; pass seq=None if event times never tie")
+    # a null tiebreak sorts first, as in batch
+    seq_col = F.coalesce(F.col(seq).cast("long"), F.lit(-(1 << 63))) if seq else F.lit(0).cast("long")
     x = x.select(*keys, F.col(ts), F.unix_micros(F.col(ts)).alias("evl_ts_us"), seq_col.alias("evl_seq"),
                  *[c.alias(n) for n, c in payload.items()])
     types = {f.name: f.dataType for f in x.schema.fields}

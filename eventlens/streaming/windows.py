@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from eventlens.functions.time import duration_us, event_time
 from eventlens.operators.topn import top_n_per_window
 from eventlens.operators.windows import PANE_THRESHOLD
-from eventlens.session import scratch_path, ship_package
+from eventlens.session import ship_package
 
 
 def _w(ts, size_us, slide_us=None):
@@ -91,12 +91,13 @@ def rank_batch(counts: DataFrame, key: str, n: int, cnt: str = "cnt") -> DataFra
 def start_stream_topn(counts: DataFrame, key: str, n: int, out_path: str, checkpoint: str | None = None,
                       trigger: dict | None = None, cnt: str = "cnt"):
     """N1/N2 on a stream of closed window counts; each micro-batch's ranking
-    is written to ``{out_path}/batch=<id>`` (overwrite -> idempotent on retry)."""
+    is written to ``{out_path}/batch=<id>`` (overwrite -> idempotent on retry).
+    The default checkpoint lies beside the output, so a restart resumes."""
     def write(batch: DataFrame, batch_id: int):
         rank_batch(batch, key, n, cnt).write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
 
     ship_package(counts.sparkSession)
     w = (counts.writeStream.outputMode("append").foreachBatch(write)
-         .option("checkpointLocation", checkpoint or scratch_path(counts.sparkSession, "topn-ckpt")))
+         .option("checkpointLocation", checkpoint or f"{out_path.rstrip('/')}-checkpoint"))
     w = w.trigger(**(trigger or {"availableNow": True}))
     return w.start()

@@ -93,5 +93,5 @@ def test_entry_runs(spark):
 def test_scale_conf_sizes_partitions():
     from eventlens.session import scale_conf
     c = scale_conf(100 * (1 << 40), executors=1000, cores_per_executor=4)
-    assert int(c["spark.sql.shuffle.partitions"]) == 409600        # 100 TiB / 256 MiB
+    assert int(c["spark.sql.shuffle.partitions"]) == 32000         # 8 waves of 4000 slots, not 100 TiB / 256 MiB
     assert int(scale_conf(1 << 30, 10, 4)["spark.sql.shuffle.partitions"]) == 80   # at least 2x slots

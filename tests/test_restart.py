@@ -47,3 +47,40 @@ def test_restart_from_checkpoint(spark):
     got_c = counts.filter("window_start < '2029-01-01'")
     assert sorted(got_c.collect()) == sorted(exp_c.collect())
     assert sorted(pairs.collect()) == sorted(consecutive_pairs(ev, ["user_id"], err, "1 day").collect())
+
+
+def test_restart_by_name_alone(spark):
+    """The default paths come from the query's name: a second run resumes."""
+    import uuid
+    name = f"by_name_{uuid.uuid4().hex[:8]}"
+    root = scratch_path(spark, "by-name-in")
+    ev = spark.read.parquet(f"{SF}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    half = ev.filter("event_id % 2 = 0")
+    half.coalesce(1).write.parquet(f"{root}/a")
+
+    def run():
+        s = spark.readStream.schema(ev.schema).option("recursiveFileLookup", "true").parquet(root)
+        return run_to_parquet(s.select("event_id"), name).count()
+    assert run() == half.count()
+    assert run() == half.count()                     # nothing new: nothing read again
+    ev.filter("event_id % 2 = 1").coalesce(1).write.parquet(f"{root}/b")
+    assert run() == ev.count()
+
+
+def test_no_machine_local_folder_off_a_local_master():
+    import pytest
+    from eventlens.session import ensure_checkpoint_dir
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda *a: None)
+    with pytest.raises(ValueError):
+        ensure_checkpoint_dir(Session())

@@ -94,3 +94,13 @@ def test_custom_aggregate_pandas_udaf(spark):
     assert got == [(ts(T0), 4.0), (ts(T0 + 3600), 0.0)]
     out2 = window_agg(df, "ts", "1 hour", "5 minutes", ["key"], {"spread": spread(F.col("value"))}, method="panes")
     assert out2.count() == 24
+
+
+def test_sum_type_does_not_depend_on_the_overlap(spark):
+    from decimal import Decimal
+    from eventlens.operators.windows import window_sum
+    df = spark.createDataFrame([(ts(0), Decimal("1.50")), (ts(61), Decimal("2.25"))], "ts timestamp, v decimal(10,2)")
+    a = window_sum(df, "ts", "1 hour", "10 minutes", value="v")
+    b = window_sum(df, "ts", "1 hour", "1 minute", value="v")
+    assert dict(a.dtypes)["total"] == dict(b.dtypes)["total"] == "decimal(20,2)"
+    assert max(r.total for r in b.collect()) == Decimal("3.75")
