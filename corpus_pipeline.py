@@ -26,10 +26,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Rows that share that doc_id count as copies too: the first by text stays."""
     groups = simhash.near_duplicates(docs, shingle=4, radius=4)
-    chosen = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
-    kept = docs.join(chosen, docs.doc_id.eqNullSafe(F.col("__id")), "left_semi")
-    first = kept.groupBy("doc_id").agg(F.min(F.struct(*kept.columns)).alias("first"))
-    return first.select("first.*").select(*docs.columns)
+    # plain columns that a null id has too: the join and the grouping share one shuffle of the documents
+    key = {"__id": F.coalesce("doc_id", F.lit(0)), "__none": F.col("doc_id").isNull()}
+    chosen = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).withColumns(key).select(*key).distinct()
+    kept = docs.withColumns(key).join(chosen, list(key), "left_semi")
+    first = kept.groupBy(*key).agg(F.min(F.struct(*docs.columns)).alias("first"))
+    return first.select("first.*")
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

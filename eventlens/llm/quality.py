@@ -177,7 +177,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
     label = (labels.where(F.col(label_col).isNotNull() & F.col(label_id_col).isNotNull())
              .groupBy(F.col(label_id_col).cast("long").alias("lid")).agg((F.min(label_col) <= 0).alias("low"))
              .orderBy(F.xxhash64("lid"), "lid").limit(sample))
-    d = common.id_text(docs, id_col, text_col).join(label, F.col("doc_id") == F.col("lid"))
+    # written first: otherwise the filter, and with it the statistics, moves below the join to all documents
+    d = common.materialise(common.id_text(docs, id_col, text_col).join(label, F.col("doc_id") == F.col("lid")), "quality-sample")
     d = with_stats(d).where(~base_failed())
     rows = [r.asDict() for r in d.select("doc_id", "low", *(c.alias(k) for k, c in features().items()),
                                          (F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(3)) == 0).alias("prune"))

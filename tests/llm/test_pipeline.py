@@ -1,5 +1,4 @@
 import random
-import zlib
 
 import duckdb
 import public_tokenizers
@@ -97,6 +96,6 @@ def test_empty_tables(spark, tmp_path):
 def test_on_the_driver_tables(spark):
     sf = "/root/testdata/sf0.001"
     out = corpus_pipeline.run(spark, sf).collect()
-    n = duckdb.sql(f"SELECT count(*) FROM read_parquet('{sf}/documents.parquet')").fetchone()[0]
+    n = duckdb.sql(f"SELECT count(*) FROM read_parquet('{sf}/documents.parquet')").fetchall()[0][0]
     ids = {r.doc_id for r in out}
-    assert 0.5 * n < len(ids) < n and zlib.crc32(b"") == 0
+    assert 0.5 * n < len(ids) < n

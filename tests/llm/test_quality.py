@@ -60,7 +60,8 @@ def test_covering_finds_the_rules():
     assert wrong < 15
     assert quality.cover([r | {"low": False} for r in rows], []) == []
     noise = [r | {"low": rng.random() < 0.1} for r in rows]
-    assert sum(any(all(c.holds(r) for c in rule) for rule in quality.cover(noise[:2000], noise[2000:])) for r in noise) < 60
+    rules = quality.cover(noise[:2000], noise[2000:])
+    assert sum(any(all(c.holds(r) for c in rule) for rule in rules) for r in noise) < 60
 
 
 def test_decision_list_is_ordered_and_learned_end_to_end(spark):
