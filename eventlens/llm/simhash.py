@@ -152,7 +152,9 @@ def links(nodes: DataFrame, radius: int, groups: int) -> DataFrame:
         g = t.column("g").to_numpy()
         u, v = link_forest(fp[g == i], None if i == j else fp[g == j], radius)
         return pa.table({"u": u.view(np.int64), "v": v.view(np.int64)})
-    return dealt.groupBy("i", "j").applyInArrow(block, "u long, v long")
+    # the rows are few bytes for much work: a task per group pair, whatever their size
+    tasks = groups * (groups + 1) // 2
+    return dealt.repartition(tasks, "i", "j").groupBy("i", "j").applyInArrow(block, "u long, v long")
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
@@ -208,8 +210,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, group_ro
     linked = classes.join(member, classes.fp == member.node).select("fp", "root", "low")
     low = linked.groupBy("root").agg(F.min("low").alias("component_id"))
     named = linked.join(low, "root").select(F.col("fp").alias("lfp"), "component_id")
-    all_classes = (classes.join(named, classes.fp == named.lfp, "left")
-                   .select(F.col("fp").alias("cfp"), F.coalesce("component_id", "low").alias("component_id")))
-    # a hot fingerprint is a skewed join key, which AQE splits
+    all_classes = common.materialise(
+        classes.join(named, classes.fp == named.lfp, "left")
+        .select(F.col("fp").alias("cfp"), F.coalesce("component_id", "low").alias("component_id")), "simhash-components")
+    # a hot fingerprint is a skewed join key, which AQE splits: both sides are plain shuffles here
     return (fps.join(all_classes, fps.fp == all_classes.cfp)
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
