@@ -29,6 +29,8 @@ from . import common
 DIMS = 4096
 SAMPLE = 600
 CENTROIDS = 4
+#: Languages that can be learned, the most frequent first.
+LANGUAGES = 1000
 SLICE = 1 << 20
 BATCH = 256
 UNKNOWN = "und"
@@ -143,9 +145,10 @@ def train(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_co
     that bounded sample."""
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                     F.col(lang_col).cast("string").alias("lang")).where("doc_id is not null and lang is not null and text is not null")
-    sizes = d.groupBy("lang").agg(F.count("*").alias("of"))
+    # a bounded table, so the texts stay where they are: the most frequent languages
+    sizes = d.groupBy("lang").agg(F.count("*").alias("of")).orderBy(F.col("of").desc(), "lang").limit(LANGUAGES)
     draw = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1_000_000)) / F.lit(1_000_000.0)
-    d = d.join(sizes, "lang").where(draw * F.col("of") < sample).select("doc_id", "text", "lang")
+    d = d.join(F.broadcast(sizes), "lang").where(draw * F.col("of") < sample).select("doc_id", "text", "lang")
 
     def batch(b: pa.RecordBatch) -> pa.RecordBatch:
         counts = ngram_counts(b.column("text").to_pylist())
