@@ -8,6 +8,7 @@ check results.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -340,6 +341,144 @@ def reconcile_tolerance(spark, sf_dir):
     return reconcile(clicks, buys, "user_id", "p_user_id", "click_ts", "purchase_ts", tolerance="6 hours")
 
 
+def _to_ntz(df: DataFrame) -> DataFrame:
+    """Stream outputs are TIMESTAMP; report them like the batch forms (UTC wall clock)."""
+    return df.select(*[F.col(c).cast("timestamp_ntz").alias(c) if t == "timestamp" else F.col(c)
+                       for c, t in df.dtypes])
+
+
+# --------------------------------------------------- text records
+# Rows of the tables rendered in the reference's line layouts, every 50th cut
+# short, and parsed back: split, trim, numbers, epoch seconds, date text.
+_LONG_K = F.get_json_object("props", "$.k").cast("long")
+_K_SQL = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
+_SECOND_SQL = "make_timestamp((epoch_us({0}) // 1000000) * 1000000)"
+
+
+def _lines(df: DataFrame, sep: str, key: str, *fields) -> DataFrame:
+    """One ``value`` per row; fields padded with a blank, which parsing trims."""
+    line = F.concat_ws(sep, *[F.coalesce(f.cast("string"), F.lit("")) for f in fields])
+    return df.select(F.when(F.col(key) % 50 == 0, F.substring(line, 1, 3)).otherwise(line).alias("value"))
+
+
+def _seconds(c: str):
+    return F.floor(F.unix_micros(F.col(c).cast("timestamp")) / 1_000_000)
+
+
+def _orders_text(spark, sf_dir) -> DataFrame:
+    """R5 lines: an order's transaction id is its key, empty for every third."""
+    o = load_table(spark, sf_dir, "orders")
+    tx = F.when(F.col("o_orderkey") % 3 == 0, F.lit("")).otherwise(F.col("o_orderkey").cast("string"))
+    return _lines(o, " ,", "o_orderkey", F.col("o_orderkey"), F.col("o_orderstatus"), tx, _seconds("o_orderdate"))
+
+
+def _receipts_text(spark, sf_dir) -> DataFrame:
+    """R6 lines from first lines of orders."""
+    li = load_table(spark, sf_dir, "lineitem").filter("l_linenumber = 1")
+    return _lines(li, ",", "l_orderkey", F.col("l_orderkey"), F.col("l_returnflag"), _seconds("l_shipdate"))
+
+
+@query("parse_user_behavior", f"""
+SELECT user_id, event_id AS item_id, {_K_SQL} AS category_id, event_type AS behavior, {_SECOND_SQL.format('ts')} AS ts
+FROM events WHERE event_id % 50 <> 0""")
+def parse_user_behavior_events(spark, sf_dir):
+    """User, item, category, behaviour, epoch seconds."""
+    from eventlens.sources.parsers import parse_user_behavior
+    lines = _lines(events(spark, sf_dir), ", ", "event_id", F.col("user_id"), F.col("event_id"), _LONG_K,
+                   F.col("event_type"), _seconds("ts"))
+    return _to_ntz(parse_user_behavior(lines, on_error="drop"))
+
+
+@query("parse_web_log", f"""
+SELECT '10.0.0.' || (user_id % 256) AS ip, CAST(user_id AS VARCHAR) AS user_id, {_SECOND_SQL.format('ts')} AS ts,
+       upper(event_type) AS method, '/' || event_type || '/' || event_id AS url
+FROM events WHERE event_id % 50 <> 0""")
+def parse_web_log_events(spark, sf_dir):
+    """R2: log lines with a date in text."""
+    from eventlens.sources.parsers import parse_web_log
+    lines = _lines(events(spark, sf_dir), " ", "event_id", F.concat(F.lit("10.0.0."), (F.col("user_id") % 256).cast("string")),
+                   F.col("user_id"), F.lit("-"), F.date_format(F.col("ts").cast("timestamp"), "dd/MM/yyyy:HH:mm:ss"), F.lit("+0000"),
+                   F.upper("event_type"), F.concat(F.lit("/"), F.col("event_type"), F.lit("/"), F.col("event_id").cast("string")))
+    return _to_ntz(parse_web_log(lines, on_error="drop"))
+
+
+@query("parse_ad_clicks", f"""
+SELECT user_id, event_id AS ad_id, event_type AS province, CAST({_K_SQL} AS VARCHAR) AS city, {_SECOND_SQL.format('ts')} AS ts
+FROM events WHERE event_id % 50 <> 0""")
+def parse_ad_clicks_events(spark, sf_dir):
+    """User, ad, province, city, epoch seconds."""
+    from eventlens.sources.parsers import parse_ad_clicks
+    lines = _lines(events(spark, sf_dir), ",", "event_id", F.col("user_id"), F.col("event_id"), F.col("event_type"), _LONG_K, _seconds("ts"))
+    return _to_ntz(parse_ad_clicks(lines, on_error="drop"))
+
+
+@query("parse_logins", f"""
+SELECT user_id, '10.0.0.' || (user_id % 256) AS ip, event_type, {_SECOND_SQL.format('ts')} AS ts
+FROM events WHERE event_id % 50 <> 0""")
+def parse_logins_events(spark, sf_dir):
+    """User, ip, event type, epoch seconds."""
+    from eventlens.sources.parsers import parse_logins
+    lines = _lines(events(spark, sf_dir), ",", "event_id", F.col("user_id"), F.concat(F.lit("10.0.0."), (F.col("user_id") % 256).cast("string")),
+                   F.col("event_type"), _seconds("ts"))
+    return _to_ntz(parse_logins(lines, on_error="drop"))
+
+
+_ORDER_ROWS_SQL = f"""
+SELECT o_orderkey AS order_id, o_orderstatus AS event_type,
+       CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE CAST(o_orderkey AS VARCHAR) END AS tx_id,
+       {_SECOND_SQL.format('CAST(o_orderdate AS TIMESTAMP)')} AS ts
+FROM orders WHERE o_orderkey % 50 <> 0"""
+_RECEIPT_ROWS_SQL = f"""
+SELECT CAST(l_orderkey AS VARCHAR) AS tx_id, l_returnflag AS pay_channel, {_SECOND_SQL.format('CAST(l_shipdate AS TIMESTAMP)')} AS ts
+FROM lineitem WHERE l_linenumber = 1 AND l_orderkey % 50 <> 0"""
+
+
+@query("parse_orders", _ORDER_ROWS_SQL)
+def parse_orders_lines(spark, sf_dir):
+    """Order, event type, transaction id (may be empty), epoch seconds."""
+    from eventlens.sources.parsers import parse_orders
+    return _to_ntz(parse_orders(_orders_text(spark, sf_dir), on_error="drop"))
+
+
+@query("parse_receipts", _RECEIPT_ROWS_SQL)
+def parse_receipts_lines(spark, sf_dir):
+    """Transaction id, channel, epoch seconds."""
+    from eventlens.sources.parsers import parse_receipts
+    return _to_ntz(parse_receipts(_receipts_text(spark, sf_dir), on_error="drop"))
+
+
+@query("tx_match_text", f"""
+SELECT o.order_id, o.event_type, o.tx_id, o.ts AS o_ts, r.pay_channel, r.ts AS r_ts
+FROM ({_ORDER_ROWS_SQL}) o JOIN ({_RECEIPT_ROWS_SQL}) r ON o.tx_id = r.tx_id
+ AND r.ts BETWEEN o.ts - INTERVAL 10 DAY AND o.ts + INTERVAL 10 DAY WHERE o.tx_id <> ''""")
+def tx_match_text(spark, sf_dir):
+    """F3 J1 from text to result: orders with a transaction id and their receipts."""
+    from eventlens.plans.jobs import tx_match_interval
+    from eventlens.sources.parsers import parse_orders, parse_receipts
+    return _to_ntz(tx_match_interval(parse_orders(_orders_text(spark, sf_dir), on_error="drop"),
+                                     parse_receipts(_receipts_text(spark, sf_dir), on_error="drop"), "-10 days", "10 days"))
+
+
+@query("total_value_sliding", f"""
+SELECT window_start, window_end, CAST(sum(k) AS BIGINT) AS total FROM (
+  {sql_window_rows(f'{_K_SQL} AS k', 'true', '1 hour', '10 minutes')}) GROUP BY window_start, window_end""")
+def total_value_sliding(spark, sf_dir):
+    """A2 as the sum of a value: props.k over all events, 1 h sliding by 10 min."""
+    return window_sum(events(spark, sf_dir).withColumn("k", _LONG_K), "ts", "1 hour", "10 minutes", value="k")
+
+
+@query("custom_aggregate_daily", f"""
+SELECT window_start, window_end, event_type, max(k) - min(k) AS spread FROM (
+  {sql_window_rows(f'event_type, {_K_SQL} AS k', 'true', '1 day')}) GROUP BY window_start, window_end, event_type""")
+def custom_aggregate_daily(spark, sf_dir):
+    """A user's own aggregate (a pandas UDAF) per type and day."""
+    @F.pandas_udf("long")
+    def spread(k: pd.Series) -> int:
+        return int(k.max() - k.min())
+    ev = events(spark, sf_dir).withColumn("k", _LONG_K)
+    return window_agg(ev, "ts", "1 day", keys=["event_type"], aggs={"spread": spread("k")})
+
+
 # ------------------------------------------------------------ streaming forms
 # Each runs a Structured Streaming query over the ``events`` table, staged
 # under the session's checkpoint folder as several files in event-time order
@@ -370,12 +509,6 @@ def _event_stream(spark, sf_dir, disorder=DISORDER, late=None):
     return staged_stream(spark, ev.schema, _STAGED[key])
 
 
-def _to_ntz(df: DataFrame) -> DataFrame:
-    """Stream outputs are TIMESTAMP; report them like the batch forms (UTC wall clock)."""
-    return df.select(*[F.col(c).cast("timestamp_ntz").alias(c) if t == "timestamp" else F.col(c)
-                       for c, t in df.dtypes])
-
-
 def _run(stream: DataFrame, name: str) -> DataFrame:
     from eventlens.streaming.runner import run_once
     return _to_ntz(run_once(stream, name))
