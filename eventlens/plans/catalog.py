@@ -350,11 +350,14 @@ def _to_ntz(df: DataFrame) -> DataFrame:
 # --------------------------------------------------- text records
 # Rows of the tables rendered in the reference's line layouts, every 50th cut
 # short, and parsed back: split, trim, numbers, epoch seconds, date text.
-_LONG_K = F.get_json_object("props", "$.k").cast("long")
 _K_SQL = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
 _SECOND_SQL = "make_timestamp((epoch_us({0}) // 1000000) * 1000000)"
 
 
+def _long_k():
+    return F.get_json_object("props", "$.k").cast("long")
+
+
 def _lines(df: DataFrame, sep: str, key: str, *fields) -> DataFrame:
     """One ``value`` per row; fields padded with a blank, which parsing trims."""
     line = F.concat_ws(sep, *[F.coalesce(f.cast("string"), F.lit("")) for f in fields])
@@ -384,7 +387,7 @@ FROM events WHERE event_id % 50 <> 0""")
 def parse_user_behavior_events(spark, sf_dir):
     """User, item, category, behaviour, epoch seconds."""
     from eventlens.sources.parsers import parse_user_behavior
-    lines = _lines(events(spark, sf_dir), ", ", "event_id", F.col("user_id"), F.col("event_id"), _LONG_K,
+    lines = _lines(events(spark, sf_dir), ", ", "event_id", F.col("user_id"), F.col("event_id"), _long_k(),
                    F.col("event_type"), _seconds("ts"))
     return _to_ntz(parse_user_behavior(lines, on_error="drop"))
 
@@ -408,7 +411,7 @@ FROM events WHERE event_id % 50 <> 0""")
 def parse_ad_clicks_events(spark, sf_dir):
     """User, ad, province, city, epoch seconds."""
     from eventlens.sources.parsers import parse_ad_clicks
-    lines = _lines(events(spark, sf_dir), ",", "event_id", F.col("user_id"), F.col("event_id"), F.col("event_type"), _LONG_K, _seconds("ts"))
+    lines = _lines(events(spark, sf_dir), ",", "event_id", F.col("user_id"), F.col("event_id"), F.col("event_type"), _long_k(), _seconds("ts"))
     return _to_ntz(parse_ad_clicks(lines, on_error="drop"))
 
 
@@ -464,7 +467,7 @@ SELECT window_start, window_end, CAST(sum(k) AS BIGINT) AS total FROM (
   {sql_window_rows(f'{_K_SQL} AS k', 'true', '1 hour', '10 minutes')}) GROUP BY window_start, window_end""")
 def total_value_sliding(spark, sf_dir):
     """A2 as the sum of a value: props.k over all events, 1 h sliding by 10 min."""
-    return window_sum(events(spark, sf_dir).withColumn("k", _LONG_K), "ts", "1 hour", "10 minutes", value="k")
+    return window_sum(events(spark, sf_dir).withColumn("k", _long_k()), "ts", "1 hour", "10 minutes", value="k")
 
 
 @query("custom_aggregate_daily", f"""
@@ -475,7 +478,7 @@ def custom_aggregate_daily(spark, sf_dir):
     @F.pandas_udf("long")
     def spread(k: pd.Series) -> int:
         return int(k.max() - k.min())
-    ev = events(spark, sf_dir).withColumn("k", _LONG_K)
+    ev = events(spark, sf_dir).withColumn("k", _long_k())
     return window_agg(ev, "ts", "1 day", keys=["event_type"], aggs={"spread": spread("k")})
 
 
