@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from eventlens.functions.text import warning_text
 from eventlens.operators.joins import interval_join, reconcile
 from eventlens.operators.limits import click_cap
 from eventlens.operators.patterns import consecutive_pairs, fail_bursts, followed_by, match_outcomes
@@ -93,13 +94,15 @@ def marketing_by_channel(mkt: DataFrame, size=MARKETING_WINDOW[0], slide=MARKETI
 
 
 def login_fail_bursts(logins: DataFrame, min_fails: int = LOGIN_MIN_FAILS, span=LOGIN_SPAN) -> DataFrame:
-    """At least ``min_fails`` fails of one run within ``span`` of its start."""
-    return fail_bursts(logins, ["user_id"], F.col("event_type") == LOGIN_FAIL, span, min_fails)
+    """At least ``min_fails`` fails of one run within ``span`` of its start, with the warning's text."""
+    return (fail_bursts(logins, ["user_id"], F.col("event_type") == LOGIN_FAIL, span, min_fails)
+            .withColumn("msg", warning_text("login failed ", F.col("n_fails"), " times")))
 
 
 def login_fail_pairs(logins: DataFrame, within=LOGIN_SPAN) -> DataFrame:
-    """Fail directly followed by fail less than ``within`` later."""
-    return consecutive_pairs(logins, ["user_id"], F.col("event_type") == LOGIN_FAIL, within)
+    """Fail directly followed by fail less than ``within`` later, with the warning's text."""
+    return (consecutive_pairs(logins, ["user_id"], F.col("event_type") == LOGIN_FAIL, within)
+            .withColumn("msg", warning_text("login failed twice in a row")))
 
 
 def order_timeouts(orders: DataFrame, within=ORDER_BOUND) -> DataFrame:

@@ -18,12 +18,20 @@ def read_lines(spark: SparkSession, path: str, with_seq: bool = True) -> DataFra
     return df
 
 
-def read_lines_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Directory of text files as a stream of lines (``value``)."""
+def read_lines_stream(spark: SparkSession, path: str, max_files: int | None = None, numbered: bool = False) -> DataFrame:
+    """Directory of text files as a stream of lines (``value``).
+
+    ``numbered`` adds ``seq``, the line's position in its file, so that
+    rows of one instant keep their order; each file is then read as one
+    value, so it suits files that fit in a task's memory."""
     r = spark.readStream.format("text")
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    return r.load(path)
+    if not numbered:
+        return r.load(path)
+    whole = r.option("wholetext", True).load(path)
+    lines = whole.select(F.posexplode(F.split("value", "\r?\n")).alias("seq", "value"))
+    return lines.filter("value <> ''").select("value", F.col("seq").cast("long").alias("seq"))
 
 
 def socket_stream(spark: SparkSession, host: str, port: int) -> DataFrame:

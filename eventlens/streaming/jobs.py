@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from eventlens.functions.text import warning_text
 from eventlens.plans.jobs import (
     AD_WINDOW, CLICK_CAP, HOT_ITEMS_N, HOT_ITEMS_WINDOW, HOT_URLS_N, HOT_URLS_WINDOW, HOURLY, LOGIN_FAIL,
     LOGIN_MIN_FAILS, LOGIN_SPAN, MARKETING_WINDOW, ORDER_BOUND, ORDER_CREATE, ORDER_PAY, OUT_OF_ORDER,
@@ -80,13 +81,15 @@ def marketing_by_channel(mkt: DataFrame) -> DataFrame:
 
 
 def login_fail_bursts(logins: DataFrame) -> DataFrame:
-    return stream_fail_bursts(logins, ["user_id"], F.col("event_type") == LOGIN_FAIL, LOGIN_SPAN,
-                              LOGIN_MIN_FAILS, delay=OUT_OF_ORDER["logins"])
+    return (stream_fail_bursts(logins, ["user_id"], F.col("event_type") == LOGIN_FAIL, LOGIN_SPAN,
+                               LOGIN_MIN_FAILS, delay=OUT_OF_ORDER["logins"])
+            .withColumn("msg", warning_text("login failed ", F.col("n_fails"), " times")))
 
 
 def login_fail_pairs(logins: DataFrame) -> DataFrame:
-    return stream_consecutive_pairs(logins, ["user_id"], F.col("event_type") == LOGIN_FAIL, LOGIN_SPAN,
-                                    delay=OUT_OF_ORDER["logins"])
+    return (stream_consecutive_pairs(logins, ["user_id"], F.col("event_type") == LOGIN_FAIL, LOGIN_SPAN,
+                                     delay=OUT_OF_ORDER["logins"])
+            .withColumn("msg", warning_text("login failed twice in a row")))
 
 
 def order_timeouts(orders: DataFrame) -> DataFrame:

@@ -30,10 +30,6 @@ from eventlens.session import ship_package
 from eventlens.streaming import machines as M
 
 _DDL = {"long": LongType(), "string": StringType()}
-# Row interface by default: measured faster when machines emit many rows
-# (a pandas frame per call costs ~1 ms); the pandas/Arrow interface is kept.
-ARROW = False
-
 
 _EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
@@ -118,37 +114,6 @@ class OrderedReplay(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         return self._drain(key, timerValues.getCurrentWatermarkInMs(), fired=True)
 
-
-class OrderedReplayArrow(OrderedReplay):
-    """Same processor on the Arrow/pandas interface: input arrives as pandas
-    batches per key and output leaves as one pandas frame per call, which
-    avoids building a Python Row per input and output row."""
-
-    def _rows_out(self, key, outs):
-        import pandas as pd
-        if not outs:
-            return iter([])
-        cols = {n: [o.get(n) for o in outs] for n, _ in self.machine.out_fields}
-        frame = pd.DataFrame({**{k: [v] * len(outs) for k, v in zip(self.key_names, key)}, **cols})
-        et = self.event_time_field
-        if et is not None:
-            frame[et] = pd.to_datetime(frame[et], unit="us", utc=True)
-        for n, t in self.machine.out_fields:
-            if t == "long" and n != et:
-                frame[n] = frame[n].astype("Int64")
-        return iter([frame])
-
-    def handleInputRows(self, key, rows, timerValues):
-        wm_ms = timerValues.getCurrentWatermarkInMs()
-        fresh = []
-        # (internal columns avoid a leading underscore: the pandas interface renames those)
-        names = ["evl_ts_us", "evl_seq", *self.payload]
-        for pdf in rows:
-            if wm_ms > 0:
-                pdf = pdf[pdf["evl_ts_us"] >= wm_ms * 1000]   # late rows dropped
-            fresh.extend(zip(*[pdf[c].tolist() for c in names]))   # native Python values
-        return self._drain(key, max(wm_ms, 0), fresh)
-
     def close(self):
         pass
 
@@ -184,14 +149,10 @@ def replay(df: DataFrame, keys, ts: str, seq, delay, machine: M.Machine, payload
                             [StructField(n, TimestampType() if n == event_time_field else
                                          types[n] if t is None else _DDL[t])
                              for n, t in machine.out_fields])
-    if ARROW:
-        proc = OrderedReplayArrow(machine, keys, {n: types[n] for n in machine.fields}, event_time_field)
-        out = x.groupBy(*keys).transformWithStateInPandas(proc, out_schema, "Append", "EventTime",
-                                                          eventTimeColumnName=event_time_field or "")
-    else:
-        proc = OrderedReplay(machine, keys, {n: types[n] for n in machine.fields}, event_time_field)
-        out = x.groupBy(*keys).transformWithState(proc, out_schema, "Append", "EventTime",
-                                                  eventTimeColumnName=event_time_field or "")
+    # the Row interface: a pandas frame per call costs more where machines emit many rows
+    proc = OrderedReplay(machine, keys, {n: types[n] for n in machine.fields}, event_time_field)
+    out = x.groupBy(*keys).transformWithState(proc, out_schema, "Append", "EventTime",
+                                              eventTimeColumnName=event_time_field or "")
     for n, t in machine.out_fields:
         if n != event_time_field and t == "long" and (n.endswith("_ts") or n == "ts_out"):
             out = out.withColumn(n, F.timestamp_micros(n))

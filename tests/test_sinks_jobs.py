@@ -8,6 +8,7 @@ from eventlens.plans import jobs
 from eventlens.session import scratch_path
 from eventlens.sources import parsers as P
 from eventlens.sources.sinks import split_by_tag, start_tagged_stream
+from eventlens.streaming import jobs as sjobs
 from eventlens.streaming import run_to_memory, stream_reconcile
 
 T = 1511658000
@@ -141,3 +142,15 @@ def test_streaming_jobs_build(spark):
     # the last rows stay inside the 5 s watermark delay; closed windows are ranked
     got = spark.read.parquet(out).filter(F.col("window_end") == ts(T + 60)).orderBy("rank").collect()
     assert [(r.item_id, r.cnt) for r in got] == [(100, 2), (200, 1)]
+
+
+def test_numbered_text_stream_keeps_lines_of_one_instant_in_order(spark):
+    """Create and pay of one order in the same second: the line position decides."""
+    from eventlens.sources.parsers import parse_orders
+    from eventlens.sources.text import read_lines_stream
+    root = scratch_path(spark, "numbered-in")
+    lines = ["34747,create,,1558430844", "34747,pay,a1,1558430844", "1,pay,b,1558430845", "1,create,,1558430845", "9,create,,1559999999"]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(root)
+    s = sjobs.order_pay_outcomes(parse_orders(read_lines_stream(spark, root, numbered=True)))
+    got = sorted((r.order_id, r.outcome) for r in run_to_memory(s, "numbered_orders").collect())
+    assert got == [(1, "pay_without_create"), (1, "timeout"), (34747, "paid")]

@@ -173,21 +173,6 @@ def test_update_mode_refines_with_lateness(spark, split_events):
     assert all(final[k] == v for k, v in exp.items())
 
 
-def test_arrow_interface_same_as_rows(spark, split_events):
-    """OrderedReplay runs on the Row interface by default; the pandas/Arrow
-    interface (transformWithStateInPandas) gives the same answer."""
-    from eventlens.streaming import stateful
-    _, _, batch = split_events
-    err = F.col("event_type") == "error"
-    stateful.ARROW = True
-    try:
-        s = stream_fail_bursts(stream_of(spark, split_events), ["user_id"], err, "1 day", 2, delay=DELAY)
-        got = run_to_memory(s, name())
-    finally:
-        stateful.ARROW = False
-    assert same(got, fail_bursts(batch, ["user_id"], err, "1 day", 2))
-
-
 def test_user_defined_machine(spark, split_events):
     """KeyedProcessFunction surface: a user machine -- running count of views
     per user, emitted on every 10th view -- equals the batch answer."""
