@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from . import common
 
 SEED = 42
-TILE_ROWS, TILE_COLS = 512, 4096
+TILE_ROWS, TILE_COLS = 128, 512
 GROUP_ROWS = 250_000
 
 
@@ -113,8 +113,7 @@ def link_forest(a: np.ndarray, b: np.ndarray | None, radius: int) -> tuple[np.nd
     lo_b, hi_b = _tiles(_quarters(b), TILE_COLS)
     shift = 0 if own else len(a)
     forest = _Forest(len(a) if own else len(a) + len(b))
-    x = np.empty((TILE_ROWS, TILE_COLS), np.uint64)
-    c = np.empty((TILE_ROWS, TILE_COLS), np.uint8)
+    x, c = np.empty(TILE_ROWS * TILE_COLS, np.uint64), np.empty(TILE_ROWS * TILE_COLS, np.uint8)
     for i in range(len(lo_a)):
         gap = np.maximum(0, np.maximum(lo_a[i] - hi_b, lo_b - hi_a[i])).sum(axis=1)
         left = a[i * TILE_ROWS:(i + 1) * TILE_ROWS]
@@ -122,10 +121,12 @@ def link_forest(a: np.ndarray, b: np.ndarray | None, radius: int) -> tuple[np.nd
             if own and (j + 1) * TILE_COLS <= i * TILE_ROWS:
                 continue  # the mirrored tile pair has been compared
             right = b[j * TILE_COLS:(j + 1) * TILE_COLS]
-            xs, cs = x[:len(left), :len(right)], c[:len(left), :len(right)]
-            np.bitwise_xor(left[:, None], right[None, :], out=xs)
-            np.bitwise_count(xs, out=cs)
-            u, v = np.nonzero(cs <= radius)
+            n = len(left) * len(right)
+            np.bitwise_xor(left[:, None], right[None, :], out=x[:n].reshape(len(left), -1))
+            near = np.flatnonzero(np.bitwise_count(x[:n], out=c[:n]) <= radius)
+            if not len(near):
+                continue
+            u, v = np.divmod(near, len(right))
             u, v = u + i * TILE_ROWS, v + j * TILE_COLS
             if own:
                 u, v = u[u < v], v[u < v]
@@ -203,7 +204,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, group_ro
     fps = common.materialise(fingerprints(docs, shingle), "simhash")
     classes = common.materialise(fps.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-classes")
     slots = spark.sparkContext.defaultParallelism
-    groups = max(math.ceil(classes.count() / group_rows), math.ceil(math.sqrt(4 * slots)))
+    groups = max(math.ceil(classes.count() / group_rows), math.ceil(math.sqrt(16 * slots)))
     star = components(links(classes, radius, groups), "simhash-links")
     # the component's smallest id: over its linked members and the root itself
     member = star.select("node", "root").union(star.select(F.col("root").alias("node"), "root").distinct())
