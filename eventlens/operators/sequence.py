@@ -18,8 +18,9 @@ of all rows would stall that task, so hot keys are spread further:
    map-side, and a window over that summary carries values across places;
 5. the summary is joined back on the columns the data is partitioned by.
 
-Without hot keys steps 2, 4 and 5 see empty tables, which adaptive
-execution removes.  Results equal the single-window form exactly,
+Whether any key is hot is looked up when the plan is built (a row count,
+and only above the limit a count per key); without one the plan is the
+plain window alone.  Results equal the single-window form exactly,
 whatever the bucket width or limit.
 """
 
@@ -66,11 +67,17 @@ def _cut(x: DataFrame, kc: list, at: list, value: Column, name: str, split_rows:
     return j.withColumn(name, F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col("_v"))), F.lit(0))).drop("_v", "_cuts")
 
 
+def _any_hot(df: DataFrame, keys: list, split_rows: int) -> bool:
+    if df.count() <= split_rows:
+        return False
+    return not df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_hn")).where(F.col("_hn") > int(split_rows)).isEmpty()
+
+
 def _placed(df: DataFrame, keys: list, ts: str, seqs: list, bucket, split_rows) -> tuple[DataFrame, list]:
     """Rows with their key columns, ``_hot`` and place."""
     x, kc = _key_columns(df, keys)
     one = {"_b": F.lit(0).cast("long"), "_s": F.lit(0), "_t": F.lit(0)}
-    if not split_rows:
+    if not split_rows or not _any_hot(df, keys, split_rows):
         return x.withColumns({"_hot": F.lit(False), **one}), kc
     hot = (x.groupBy(*kc).agg(F.count(F.lit(1)).alias("_hn")).where(F.col("_hn") > int(split_rows))
            .orderBy(F.col("_hn").desc(), *kc).limit(MAX_HOT).select(*kc, F.lit(True).alias("_hot")))
