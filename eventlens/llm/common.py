@@ -15,8 +15,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let Arrow batches hold ``8m`` of rows, unless the session names a size:
+    texts are long, and a task holds several batches at once."""
+    if spark.conf.get(_BATCH, "8m") == "67108864b":
+        spark.conf.set(_BATCH, "8m")
+
+
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The two columns an operator reads, under fixed names; others are pruned."""
+    small_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.col(text_col).cast("string").alias("text"))
 

@@ -154,6 +154,7 @@ def _blocks(docs: DataFrame, benchmark: DataFrame, window: int, block_bytes: int
     The index is built when asked for: its order counts the documents
     that the earlier blocks left."""
     spark = docs.sparkSession
+    common.small_batches(spark)
     bench = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text"))
     size = bench.select(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(size / block_bytes))

@@ -430,6 +430,7 @@ def masked(text: str, spans: list[Span]) -> str:
 
 def mask(docs: DataFrame, tagger: Tagger | None, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, with the spans in ``text_col`` masked."""
+    common.small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(tagger)
     at = docs.columns.index(text_col)
 
