@@ -50,12 +50,25 @@ def fingerprint(text: str | None, n: int = 4) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(raw)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, n: int = 4) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long, one row per input row."""
+def fingerprints(docs: DataFrame, n: int = 4, hashes: bool = False) -> DataFrame:
+    """(doc_id, fp): the fingerprint as a signed long, one row per input row;
+    with ``hashes`` also the two of ``text_hashes``."""
+    names = ["h1", "h2"] if hashes else []
+
     def batch(b: pa.RecordBatch) -> pa.RecordBatch:
         fps = np.array([fingerprint(t.as_py(), n) for t in b.column("text")], np.uint64)
-        return pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
-    return common.id_text(docs).mapInArrow(common.per_batch(batch), "doc_id long, fp long")
+        return pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fps.view(np.int64)), *(b.column(x) for x in names)],
+                                          ["doc_id", "fp", *names])
+    d = common.id_text(docs)
+    if hashes:
+        d = d.withColumns(text_hashes())
+    return d.mapInArrow(common.per_batch(batch), "doc_id long, fp long" + "".join(f", {x} long" for x in names))
+
+
+def text_hashes() -> dict:
+    """128 bits that tell one text from another, null apart from empty."""
+    t = F.col("text").cast("string")
+    return {"h1": F.xxhash64(t), "h2": F.xxhash64(F.lit(SEED), t)}
 
 
 def _quarters(fp: np.ndarray) -> np.ndarray:
@@ -195,19 +208,38 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
+def _members(classes: DataFrame, radius: int, group_rows: int) -> DataFrame:
+    """(node, root) of every fingerprint that has a link, the root itself included."""
+    slots = classes.sparkSession.sparkContext.defaultParallelism
+    groups = max(math.ceil(classes.count() / group_rows), math.ceil(math.sqrt(16 * slots)))
+    star = components(links(classes, radius, groups), "simhash-links")
+    return star.select("node", "root").union(star.select(F.col("root").alias("node"), "root").distinct())
+
+
+def representatives(docs: DataFrame, shingle: int = 4, radius: int = 4, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """(doc_id, h1, h2): the row that stands for each component, as its id and ``text_hashes``.
+
+    The smallest doc_id does, a null id last; of rows that share it, the
+    first by text hash.  One row per component, whatever the ids are."""
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h1", "h2")
+    classes = common.materialise(
+        fingerprints(docs, shingle, hashes=True).groupBy("fp").agg(F.min(first).alias("first")), "simhash-classes")
+    member = _members(classes, radius, group_rows)
+    # a component is named by its root fingerprint, which null or shared ids leave apart
+    return (classes.join(member, classes.fp == member.node, "left")
+            .groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
+            .select("first.doc_id", "first.h1", "first.h2"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, group_rows: int = GROUP_ROWS) -> DataFrame:
     """(doc_id, fingerprint, component_id), one row per input row.
 
     ``component_id`` is the smallest doc_id of all documents reachable
     over links of ``radius`` or fewer differing bits."""
-    spark = docs.sparkSession
     fps = common.materialise(fingerprints(docs, shingle), "simhash")
     classes = common.materialise(fps.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-classes")
-    slots = spark.sparkContext.defaultParallelism
-    groups = max(math.ceil(classes.count() / group_rows), math.ceil(math.sqrt(16 * slots)))
-    star = components(links(classes, radius, groups), "simhash-links")
     # the component's smallest id: over its linked members and the root itself
-    member = star.select("node", "root").union(star.select(F.col("root").alias("node"), "root").distinct())
+    member = _members(classes, radius, group_rows)
     linked = classes.join(member, classes.fp == member.node).select("fp", "root", "low")
     low = linked.groupBy("root").agg(F.min("low").alias("component_id"))
     named = linked.join(low, "root").select(F.col("fp").alias("lfp"), "component_id")

@@ -86,6 +86,19 @@ def test_every_stage_against_brute_force(spark, corpus):
     assert table(corpus_pipeline.run(spark, d)) == sorted(map(tuple, five), key=repr)
 
 
+def test_null_and_shared_ids_keep_a_row_of_each_component(spark):
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randint(0, 99999)}" for _ in range(60)) for _ in range(30)]
+    ids = [None] * 12 + [7] * 8 + list(range(100, 110))
+    rows = list(zip(ids, texts))
+    # copies: of a null id under an id, of null ids under null, of a shared id under a larger one, a whole row again
+    rows += [(500, texts[0]), (None, texts[1]), (600, texts[13]), rows[25], (None, texts[26])]
+    assert len({c for _, c in slow_components(list(enumerate(texts))).values()}) == 30
+    df = spark.createDataFrame([(i, t, "xx", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(((r.doc_id, r.text) for r in dict(corpus_pipeline.STAGES)["simhash_near_dedup"](spark, df, "").collect()), key=repr)
+    assert got == sorted([(500, texts[0]), *zip(ids[1:], texts[1:])], key=repr)
+
+
 def test_empty_tables(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
