@@ -7,9 +7,12 @@ its word sequence (smallest document, then start) marks its words.
    minimiser), so equal windows own equal anchors at equal offsets and
    nothing that recurs is missed.  Tasks count anchors before the
    shuffle; an anchor seen once in the corpus has no repeated window.
+   Anchors that may send more segments than a shard is sized for are hot
+   (a licence line between different neighbours); their windows are
+   nominated again, by the hash of the whole window, and travel one by one.
 2. *Segments.*  Documents are dealt into blocks; a block that holds
    recurring anchors sends the words of their windows to the anchor's
-   shard.  Within a block only the first copy of a segment travels:
+   shard, and recurring windows of hot anchors to the window's own shard.  Within a block only the first copy of a segment travels:
    the later ones are repeats whatever the others hold.  A passage that
    a third of all documents share is thus one small row per block.
 3. *Automata.*  A shard confirms the recurring passages (runs of windows
@@ -20,7 +23,9 @@ its word sequence (smallest document, then start) marks its words.
 4. *Removal.*  Blocks gather the ranges and cut their documents.
 
 Shards and blocks are sized by counts, so both grow in number, not in
-size, with the corpus.  Hashes only nominate candidates; what is removed
+size, with the corpus: an anchor brings a shard at most as many segments
+as a shard is sized for (or a millionth of all, as the list of hot
+anchors is bounded), a window of a hot anchor one row a block.  Hashes only nominate candidates; what is removed
 was equal word for word.
 
 Defined results: null or empty text has no words, and keeps the empty
@@ -49,60 +54,115 @@ BLOCK_BYTES = 6 << 20
 SHARD_SEGMENTS = 20_000
 NO_ID = -(1 << 63)
 ONE_LETTER = 900_000
-_MIX = [np.uint64(pow(0x9E3779B97F4A7C15, k + 1, 1 << 64)) for k in range(64)]
+HOT_ANCHORS = 1_000_000
 
 
 def _tie(text: bytes) -> int:
     return xxhash.xxh64_intdigest(text) - (1 << 63)
 
 
-def anchors(words: list[bytes], window: int, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor hash, first window, last window) of each run of windows with one anchor."""
-    n = len(words) - window + 1
-    if n < 1:
-        e = np.empty(0, np.int64)
-        return e, e, e
-    h = np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
-    m = len(words) - gram + 1
+def _hashes(words: list[bytes]) -> np.ndarray:
+    return np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
+
+
+def _grams(h: np.ndarray, size: int) -> np.ndarray:
+    """Hash of each run of ``size`` words, from the words' hashes."""
+    m = len(h) - size + 1
     g = np.zeros(m, np.uint64)
-    for k in range(gram):
-        g += h[k:k + m] * _MIX[k]
+    for k in range(size):
+        g += h[k:k + m] * np.uint64(pow(0x9E3779B97F4A7C15, k + 1, 1 << 64))
     g ^= g >> np.uint64(29)
     g *= np.uint64(0xBF58476D1CE4E5B9)
     g ^= g >> np.uint64(32)
+    return g
+
+
+def anchors(h: np.ndarray, window: int, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(anchor hash, first window, last window) of each run of windows with one anchor, from the words' hashes."""
+    n = len(h) - window + 1
+    if n < 1:
+        e = np.empty(0, np.int64)
+        return e, e, e
+    g = _grams(h, gram)
     view = np.lib.stride_tricks.sliding_window_view(g, window - gram + 1)
     at = np.concatenate([view[i:i + 65536].argmin(axis=1) + np.arange(i, min(i + 65536, n)) for i in range(0, n, 65536)])
     first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
     return g[at[first]].view(np.int64), first, np.append(first[1:], n) - 1
 
 
+def _among(x: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which of ``x`` are in the sorted ``known``."""
+    if not len(known):
+        return np.zeros(len(x), bool)
+    return known[np.minimum(np.searchsorted(known, x), len(known) - 1)] == x
+
+
+def _hot_windows(h: np.ndarray, window: int, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(window hash, window) of a document's runs ``lo`` to ``hi``."""
+    if not len(lo):
+        e = np.empty(0, np.int64)
+        return e, e
+    at = np.concatenate([np.arange(s, e + 1) for s, e in zip(lo.tolist(), hi.tolist())])
+    return _grams(h, window).view(np.int64)[at], at
+
+
 def _with_block(docs: DataFrame, blocks: int) -> DataFrame:
     d = common.id_text(docs)
     return d.select("doc_id", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block"))
 
 
-def _anchor_rows(docs: DataFrame, window: int, gram: int) -> DataFrame:
-    """(anchor, block, n): counted within a task before anything is shuffled."""
+def _anchor_rows(docs: DataFrame, window: int, gram: int, hot: np.ndarray | None = None) -> DataFrame:
+    """(anchor, block, n, d): occurrences and different segments, counted
+    within a task before anything is shuffled.
+
+    Given the ``hot`` anchors, the same of the hashes of their windows."""
+    def keys_of(words):
+        if len(words) < window:
+            return np.empty((2, 0), np.int64)
+        h = _hashes(words)
+        a, lo, hi = anchors(h, window, gram)
+        if hot is not None:
+            found = _among(a, hot)
+            a = _hot_windows(h, window, lo[found], hi[found])[0]
+            return np.stack([a, a])
+        # equal segments have equal sums of word hashes
+        upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h)])
+        return np.stack([a, (upto[hi + window] - upto[lo]).view(np.int64)])
+
     def run(batches):
         held, rows = [], 0
 
         def flush():
-            keys, n = np.unique(np.concatenate(held), axis=0, return_counts=True)
+            a, s, b = np.concatenate(held, axis=1)
+            order = np.lexsort((s, b, a))
+            a, s, b = a[order], s[order], b[order]
+            new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+            other = new.copy()
+            other[1:] |= s[1:] != s[:-1]
+            at = np.flatnonzero(new)
             return pa.RecordBatch.from_arrays(
-                [pa.array(keys[:, 0]), pa.array(keys[:, 1].astype(np.int32)), pa.array(n.astype(np.int64))],
-                ["anchor", "block", "n"])
-        for b in batches:
-            for text, block in zip(b.column("text"), b.column("block")):
-                a, _, _ = anchors((text.as_py() or "").encode().split(), window, gram)
-                if len(a):
-                    held.append(np.stack([a, np.full(len(a), block.as_py())], 1))
-                    rows += len(a)
+                [pa.array(a[at]), pa.array(b[at].astype(np.int32)), pa.array(np.diff(np.append(at, len(a)))),
+                 pa.array(np.add.reduceat(other.astype(np.int64), at))], ["anchor", "block", "n", "d"])
+        for batch in batches:
+            for text, block in zip(batch.column("text"), batch.column("block")):
+                k = keys_of((text.as_py() or "").encode().split())
+                if k.shape[1]:
+                    held.append(np.concatenate([k, np.full((1, k.shape[1]), block.as_py())]))
+                    rows += k.shape[1]
                 if rows > 1 << 19:
                     yield flush()
                     held, rows = [], 0
         if rows:
             yield flush()
-    return docs.select("text", "block").mapInArrow(run, "anchor long, block int, n long")
+    return docs.select("text", "block").mapInArrow(run, "anchor long, block int, n long, d long")
+
+
+def _recurring(seen: DataFrame, name: str) -> DataFrame:
+    """(block, anchor, d, segments) of the anchors that occur twice or more in the corpus."""
+    every = Window.partitionBy("anchor")
+    return common.materialise(
+        seen.withColumns({"all": F.sum("n").over(every), "segments": F.sum("d").over(every)})
+        .where("all > 1").select("block", "anchor", "d", "segments"), name)
 
 
 def _packed(docs: DataFrame) -> DataFrame:
@@ -140,22 +200,32 @@ def _unpack(blob: bytes) -> tuple[np.ndarray, bytes]:
     return np.frombuffer(raw, np.int64, r * c, 16).reshape(r, c), raw[16 + 8 * r * c:]
 
 
-def _segments(docs: pa.Table, recurring: pa.Table, window: int, gram: int, shards: int) -> pa.Table:
-    """A block's first copies of segments by shard, and the ranges of the later copies."""
+def _segments(docs: pa.Table, recurring: pa.Table, window: int, gram: int, shards: int, hot: np.ndarray) -> pa.Table:
+    """A block's first copies of segments by shard, and the ranges of the later copies.
+
+    A window of a hot anchor is a segment of its own, keyed by its hash."""
     rec = np.unique(recurring.column("anchor").to_numpy())
     block = docs.column("block")[0].as_py() if docs.num_rows else None
     sent: dict[bytes, None] = {}
     out: dict[int, tuple[list, list]] = {}
     later: list[tuple] = []
     for (doc, tie), words in _documents(docs) if len(rec) else ():
-        a, lo, hi = anchors(words, window, gram)
-        if not len(a):
+        if len(words) < window:
             continue
-        found = np.flatnonzero(rec[np.minimum(np.searchsorted(rec, a), len(rec) - 1)] == a)
-        for anchor, s, e in zip(a[found].tolist(), lo[found].tolist(), hi[found].tolist()):
+        h = _hashes(words)
+        a, lo, hi = anchors(h, window, gram)
+        warm = _among(a, hot)
+        own, at = _hot_windows(h, window, lo[warm], hi[warm])
+        found, again = _among(a, rec) & ~warm, _among(own, rec)
+        own, at = own[again], at[again]
+        for anchor, s, e in zip(np.concatenate([a[found], own]).tolist(), np.concatenate([lo[found], at]).tolist(),
+                                np.concatenate([hi[found], at]).tolist()):
             text = b" ".join(words[s:e + window])
             if text in sent:
-                later.append((doc, tie, s, e))
+                if later and later[-1][:2] == (doc, tie) and later[-1][3] == s - 1:
+                    later[-1] = (*later[-1][:3], e)
+                else:
+                    later.append((doc, tie, s, e))
             else:
                 sent[text] = None
                 keys, texts = out.setdefault(anchor % shards, ([], []))
@@ -289,6 +359,22 @@ def _digest(t: pa.Table) -> pa.Table:
     return t.drop_columns("kept").append_column("kept_sha256", pa.array([hashlib.sha256(k.encode()).hexdigest() for k in kept], pa.string()))
 
 
+def _sharded(docs: DataFrame, packed: DataFrame, window: int, gram: int, shard_segments: int) -> DataFrame:
+    """Segments by shard: (shard, block, done, blob)."""
+    spark = docs.sparkSession
+    recurring = _recurring(_anchor_rows(docs, window, gram), "repeat-anchors")
+    rows, most = recurring.agg(F.count("*"), F.sum("d")).first()
+    limit = max(shard_segments, (most or 0) // HOT_ANCHORS)
+    hot = np.sort(recurring.where(F.col("segments") > limit).select("anchor").distinct().toArrow()["anchor"].to_numpy())
+    recurring, keys = recurring.where(F.col("segments") <= limit).select("block", "anchor"), rows
+    if len(hot):
+        windows = _recurring(_anchor_rows(docs, window, gram, hot), "repeat-windows")
+        recurring, keys = recurring.union(windows.select("block", "anchor")), rows + windows.count()
+    shards = max(2 * spark.sparkContext.defaultParallelism, math.ceil(keys / shard_segments))
+    return (packed.groupBy("block").cogroup(recurring.groupBy("block"))
+            .applyInArrow(lambda a, b: _segments(a, b, window, gram, shards, hot), "shard int, block int, done boolean, blob binary"))
+
+
 def remove_repeats(docs: DataFrame, window: int = 20, gram: int = GRAM, block_bytes: int = BLOCK_BYTES,
                    shard_segments: int = SHARD_SEGMENTS, digest: bool = False) -> DataFrame:
     """(doc_id, n_words, n_removed, kept), or the SHA-256 of ``kept`` with ``digest``.
@@ -302,14 +388,8 @@ def remove_repeats(docs: DataFrame, window: int = 20, gram: int = GRAM, block_by
     size = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(2 * slots, math.ceil(size / block_bytes))
     docs = _with_block(docs, blocks)
-    seen = _anchor_rows(docs, window, gram)
-    every = Window.partitionBy("anchor")
-    recurring = common.materialise(
-        seen.withColumn("all", F.sum("n").over(every)).where("all > 1").select("block", "anchor"), "repeat-anchors")
-    shards = max(2 * slots, math.ceil(recurring.count() / shard_segments))
     packed = _packed(docs)
-    segments = (packed.groupBy("block").cogroup(recurring.groupBy("block"))
-                .applyInArrow(lambda a, b: _segments(a, b, window, gram, shards), "shard int, block int, done boolean, blob binary"))
+    segments = _sharded(docs, packed, window, gram, shard_segments)
     ranges = segments.groupBy("shard").applyInArrow(lambda t: _locate(t, window), "block int, ranges binary")
     last = "kept_sha256 string" if digest else "kept string"
     return packed.groupBy("block").cogroup(ranges.groupBy("block")).applyInArrow(

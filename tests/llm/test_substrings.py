@@ -42,6 +42,25 @@ def test_matches_brute_force(spark, vocab, window):
     assert got == brute(rows, window)
 
 
+def test_a_common_phrase_does_not_fill_a_shard(spark):
+    rng = random.Random(8)
+    phrase = [f"licence{i}" for i in range(19)]
+
+    def text(i):
+        words = [f"w{rng.randint(0, 10**6)}" for _ in range(50)]
+        return " ".join(words[:25] + phrase * (i % 2) + words[25:])
+    rows = [(i, text(i)) for i in range(400)]
+    rows += [(1000, rows[1][1]), (1001, "x " + " ".join(rows[3][1].split()[15:45]) + " y"), (1002, rows[2][1])]
+    df = spark.createDataFrame([(i, t, "x", "y") for i, t in rows], SCHEMA)
+    docs = substrings._with_block(df, 8)
+    sent = {}
+    for r in substrings._sharded(docs, substrings._packed(docs), 20, 6, 40).where("not done").collect():
+        sent[r.shard] = sent.get(r.shard, 0) + len(substrings._unpack(r.blob)[0])
+    assert max(sent.values()) < 100  # of the 200 documents with the phrase
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in substrings.remove_repeats(df, shard_segments=40).collect()}
+    assert got == brute(rows, 20)
+
+
 def test_two_letter_alphabet_gives_the_same(monkeypatch):
     import pyarrow as pa
     words = [f"w{i % 50}" for i in range(400)]
