@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, decontaminate, langid, packing, pii, quality, simhash, substrings, token_counts, token_files, url_filter
+from . import alignment, common, decontaminate, langid, packing, pii, quality, simhash, substrings, token_counts, token_files, url_filter
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,6 +151,13 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *(count(k) for k in pii.KINDS), F.sha2("base", 256).alias("base_sha256"), "spans")
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of the byte-level and the piece tokenizer over all documents."""
+    found = alignment.align(common.table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                            public_tokenizers.path("piece_bpe_32k.model"), digest=True)
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
@@ -162,6 +169,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_token_counts": op9_token_counts,
     "op10_pii": op10_pii,
+    "op12_alignment": op12_alignment,
 }
 
 ORACLE: dict[str, str] = {
