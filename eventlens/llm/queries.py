@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, common, decontaminate, langid, packing, pii, quality, simhash, substrings, token_counts, token_files, url_filter
+from . import alignment, common, decontaminate, langid, packing, periodic, pii, quality, simhash, substrings, token_counts, token_files, url_filter
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,6 +158,33 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("groups", "groups_sha256")
 
 
+def _planted(docs: DataFrame) -> DataFrame:
+    """``documents`` with the repetitions that op13's contract plants, by crc32 of the id."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+    words = F.array_remove(F.split(F.col("text"), "[\\x20\\x09-\\x0D]+"), "")
+
+    def repeated(w):
+        n = F.greatest(F.size(w), F.lit(1))  # no word: nothing to repeat
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        return F.array_join(F.transform(w, lambda x, i: F.when(i >= a, F.get(w, (a + (i - a) % p).cast("int"))).otherwise(x)), " ")
+    text = F.when(F.coalesce(h % 10 == 0, F.lit(False)) & F.col("text").isNotNull(), quality._let(words, repeated)).otherwise(F.col("text"))
+    return docs.select("doc_id", text.alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of four periods or more in all documents, repetitions planted by the contract included."""
+    found = periodic.runs(_planted(common.table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    top = F.col("strongest")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), top["start"].alias("start"), top["length"].alias("length"), top["period"].alias("period"),
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
@@ -170,6 +197,7 @@ QUERIES = {
     "op9_token_counts": op9_token_counts,
     "op10_pii": op10_pii,
     "op12_alignment": op12_alignment,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE: dict[str, str] = {
