@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, common, decontaminate, langid, packing, periodic, pii, quality, simhash, substrings, token_counts, token_files, url_filter
+from . import alignment, common, decontaminate, langid, packing, periodic, pii, quality, simhash, substrings, token_counts, token_files, toxicity, url_filter
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,6 +151,14 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *(count(k) for k in pii.KINDS), F.sha2("base", 256).alias("base_sha256"), "spans")
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; learned from labels whose crc32(doc_id) mod 5 is not 0."""
+    docs, labels = common.table(spark, sf_dir, "documents").select("doc_id", "text"), common.table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    model = toxicity.train(docs, labels.where(~held_out))
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups and links of the byte-level and the piece tokenizer over all documents."""
     found = alignment.align(common.table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
@@ -196,6 +204,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_token_counts": op9_token_counts,
     "op10_pii": op10_pii,
+    "op11_toxicity": op11_toxicity,
     "op12_alignment": op12_alignment,
     "op13_periodic_runs": op13_periodic_runs,
 }
