@@ -72,6 +72,15 @@ def drop_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def map_rows(docs: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch]) -> DataFrame:
+    """Batches of all columns through ``fn``, which keeps their number and types.
+
+    The columns are numbered meanwhile: Arrow functions do not take every name."""
+    names = docs.columns
+    numbered = docs.toDF(*(f"c{i}" for i in range(len(names))))
+    return numbered.mapInArrow(per_batch(fn), numbered.schema).toDF(*names)
+
+
 def per_batch(fn: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table | None]):
     """A mapInArrow function from one on a single batch; empty batches are skipped."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -205,14 +205,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, block
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_bytes: int = BLOCK_BYTES,
                   text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, that hold no benchmark window."""
-    schema = docs.schema
+    at = docs.columns.index(text_col)
     for last, index in _blocks(docs, benchmark, window, block_bytes, item_col, item_text_col):
-        shared = index(docs.select(F.col(text_col).cast("string").alias("text")))
+        shared = index(docs.select(F.col(f"`{text_col}`").cast("string").alias("text")))
 
         def batch(b: pa.RecordBatch, shared=shared) -> pa.RecordBatch:
-            clean = [not shared.value.join(_words(t))[0].any() for t in b.column(text_col).cast(pa.string()).to_pylist()]
+            clean = [not shared.value.join(_words(t))[0].any() for t in b.column(at).cast(pa.string()).to_pylist()]
             return b.filter(pa.array(clean, pa.bool_()))
-        docs = docs.mapInArrow(common.per_batch(batch), schema)
+        docs = common.map_rows(docs, batch)
         if not last:
             docs = common.materialise(docs, "decontaminate")
     return docs

@@ -23,7 +23,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
@@ -231,6 +231,29 @@ def representatives(docs: DataFrame, shingle: int = 4, radius: int = 4, group_ro
             .select("first.doc_id", "first.h1", "first.h2"))
 
 
+def _ordered(docs: DataFrame, column: str) -> Column:
+    """A column by name, or its JSON text where its type has a map, which has no hash."""
+    c = F.col(f"`{column}`")
+    return F.to_json(F.struct(c)) if "map<" in docs.schema[column].dataType.simpleString() else c
+
+
+def keep_first(docs: DataFrame, shingle: int = 4, radius: int = 4, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """One row of each component, all columns: that of the smallest doc_id, a null id last.
+
+    Of rows that share that id the first by text hash stays, and of those that
+    share the text, too, the first by the hash of the whole row.  Rows of
+    other components stay, whatever their ids.  Columns may have any name
+    and type: a row travels as one struct."""
+    key = {"id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "none": F.col("doc_id").isNull()}
+    chosen = representatives(docs, shingle, radius, group_rows).select(*(c.alias(k) for k, c in key.items()), "h1", "h2")
+    key |= text_hashes()
+    rows = docs.select(*(c.alias(k) for k, c in key.items()), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+                       F.xxhash64(*(_ordered(docs, c) for c in docs.columns)).alias("rank"))
+    # copies meet in their tasks first; the join then finds the rows where the grouping has put them
+    rows = rows.groupBy(*key).agg(F.min_by("row", "rank").alias("row"))
+    return rows.join(chosen, list(key), "left_semi").select("row.*")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, group_rows: int = GROUP_ROWS) -> DataFrame:
     """(doc_id, fingerprint, component_id), one row per input row.
 
