@@ -69,6 +69,12 @@ def _card(s: str) -> bool:
     return 12 <= len(d) <= 19 and luhn(d)
 
 
+def _byte(digits: str) -> bool:
+    """Whether a number, however many zeros it begins with, is at most 255."""
+    digits = digits.lstrip("0")
+    return len(digits) <= 3 and int(digits or "0") <= 255
+
+
 def base_spans(text: str | None) -> list[Span]:
     """Leftmost non-overlapping matches per kind, by start, then kind as listed."""
     text = text or ""
@@ -85,7 +91,7 @@ def base_spans(text: str | None) -> list[Span]:
             cursor = m.end()
         at = text.find("@", max(at + 1, cursor))
     if _DIGIT.search(text):
-        out += [("ip", *m.span()) for m in _IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
+        out += [("ip", *m.span()) for m in _IP.finditer(text) if all(_byte(p) for p in m[0].split("."))]
         out += [("card", *m.span()) for m in _CARD.finditer(text) if _card(m[0])]
         if "+" in text:
             out += [("phone", *m.span()) for m in _PHONE.finditer(text) if 9 <= len(_digits(m[0])) <= 15]
@@ -114,7 +120,7 @@ def plausible(kind: str, s: str) -> bool:
         return False
     if kind == "ip":
         numbers = _NUMBER.findall(s)
-        return len(numbers) == 4 and all(len(n) <= 3 and int(n) <= 255 for n in numbers) and "." in s
+        return len(numbers) == 4 and all(len(n) <= 3 and _byte(n) for n in numbers) and "." in s
     if kind == "card":
         return _card(s) and s[0].isdigit() and s[-1].isdigit()
     return 10 <= len(d) <= 15 and len(_NUMBER.findall(s)) >= 3 and s[-1].isdigit() and (s[0] in "+(" or s[0].isdigit())
@@ -336,12 +342,16 @@ def _cores(text: str) -> list[int]:
 
 
 def added_spans(tagger: Tagger, texts: list[str], every: bool = False) -> list[list[Span]]:
-    """Candidate spans of each text from all its windows, unreconciled."""
+    """Candidate spans of each text from all its windows, unreconciled.
+
+    A span that reaches its window's edge goes on as long as the windows
+    that follow find their characters inside the same kind."""
     windows = [(i, core) for i, t in enumerate(texts) for core in (range(0, len(t), CORE) if every else _cores(t))]
     found: list[list[Span]] = [[] for _ in texts]
     codes: dict[int, np.ndarray] = {}
-    for lo in range(0, len(windows), LANES):
-        part = windows[lo:lo + LANES]
+
+    def tagged(part: list[tuple[int, int]]) -> np.ndarray:
+        nonlocal codes
         x = np.zeros((len(part), WIDTH), np.uint8)
         for j, (i, core) in enumerate(part):
             if i not in codes:
@@ -349,14 +359,34 @@ def added_spans(tagger: Tagger, texts: list[str], every: bool = False) -> list[l
             a = max(0, core - LEFT)
             ids = codes[i][a:core + CORE + RIGHT]
             x[j, a - core + LEFT:a - core + LEFT + len(ids)] = ids
-        y = tagger.decode(x.T)
+        return tagger.decode(x.T)
+
+    def inside(y: np.ndarray, j: int, at: int, kind: int) -> int:
+        while at < WIDTH and y[at, j] == 2 + 2 * kind:
+            at += 1
+        return at
+    for lo in range(0, len(windows), LANES):
+        part = windows[lo:lo + LANES]
+        y = tagged(part)
+        open_ = []  # text, kind, start, core of the window read last
         for at, j in zip(*np.nonzero((y[LEFT:LEFT + CORE] % 2 == 1))):
-            kind, at = (y[LEFT + at, j] - 1) // 2, at + LEFT
-            end = at + 1
-            while end < WIDTH and y[end, j] == 2 + 2 * kind:
-                end += 1
+            kind, at = int(y[LEFT + at, j] - 1) // 2, int(at) + LEFT
+            end = inside(y, j, at + 1, kind)
             i, core = part[j]
-            found[i].append((KINDS[kind], core - LEFT + at, min(core - LEFT + end, len(texts[i]))))
+            if end == WIDTH and core + CORE + RIGHT < len(texts[i]):
+                open_.append((i, kind, core - LEFT + at, core))
+            else:
+                found[i].append((KINDS[kind], core - LEFT + at, min(core - LEFT + end, len(texts[i]))))
+        while open_:
+            batch, open_ = open_[:LANES], open_[LANES:]
+            y = tagged([(i, core + CORE) for i, _, _, core in batch])
+            for j, (i, kind, start, core) in enumerate(batch):
+                core += CORE
+                end = inside(y, j, WIDTH - CORE, kind)  # where the window before has ended
+                if end == WIDTH and core + CORE + RIGHT < len(texts[i]):
+                    open_.append((i, kind, start, core))
+                else:
+                    found[i].append((KINDS[kind], start, min(core - LEFT + end, len(texts[i]))))
     return found
 
 
@@ -380,9 +410,10 @@ def find(tagger: Tagger | None, texts: list[str | None]) -> list[tuple[list[Span
 
 
 def train(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> Tagger | None:
-    """Fit on at most ``sample`` labelled windows and a third as many without spans, by hash.
+    """Fit on at most ``sample`` labelled windows, as many of each kind, and a third as many without spans, by hash.
 
-    Windows without spans are drawn from a sixteenth of the texts."""
+    A window with several spans is labelled by the first of its kind.  Windows
+    without spans are the first ``WIDTH`` characters of a sixteenth of the texts."""
     def batch(b: pa.RecordBatch) -> pa.RecordBatch:
         rows = []
         for t in b.column("text").to_pylist():
@@ -399,9 +430,9 @@ def train(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_co
                                           ["kind", "s", "e", "t"])
     rows = common.id_text(docs, id_col, text_col).select("text").mapInArrow(common.per_batch(batch), "kind string, s long, e long, t string")
     rank = F.xxhash64("kind", "s", "e", "t")
-    some = rows.withColumn("r", F.when(F.col("kind") == "", F.lit(1)).otherwise(F.lit(0))).dropDuplicates(["kind", "t"])
+    some = rows.groupBy("kind", "t").agg(F.min(F.struct("s", "e")).alias("at")).select("kind", "at.s", "at.e", "t")
     some = common.materialise(some, "pii-windows")
-    picked = [some.where("r = 0").orderBy(rank, "t", "s").limit(sample), some.where("r = 1").orderBy(rank, "t").limit(sample // 3)]
+    picked = [some.where(F.col("kind") == k).orderBy(rank, "t").limit(sample // len(KINDS) if k else sample // 3) for k in [*KINDS, ""]]
     return fit([(r["kind"], r["s"], r["e"], r["t"]) for d in picked for r in d.collect()])
 
 
@@ -441,4 +472,4 @@ def mask(docs: DataFrame, tagger: Tagger | None, text_col: str = "text") -> Data
             part = texts.slice(lo, hi - lo).to_pylist()
             out += [t if t is None else masked(t, spans) for t, (_, spans) in zip(part, find(shared.value, part))]
         return pa.RecordBatch.from_arrays([*b.columns[:at], pa.array(out, texts.type), *b.columns[at + 1:]], b.schema.names)
-    return docs.mapInArrow(common.per_batch(batch), docs.schema)
+    return common.map_rows(docs, batch)

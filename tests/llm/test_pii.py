@@ -134,3 +134,35 @@ def test_detect_and_mask(spark, tagger):
 def test_nothing_to_learn_from(spark):
     df = spark.createDataFrame([(1, "plain words", None, None)], SCHEMA)
     assert pii.train(df) is None and pii.train(df.limit(0)) is None
+
+
+def test_long_digit_runs():
+    zeros = "0" * 5000
+    assert pii.base_spans(f"a {zeros}1.1.1.1 b") == [("ip", 2, 2 + len(zeros) + 7)]
+    assert pii.base_spans(f"{zeros}256.1.1.1 {'9' * 6000}.1.1.1 +{'1' * 5000}") == []
+    assert pii.base_spans("0.0.0.0") == [("ip", 0, 7)]
+
+
+def test_spans_go_on_behind_the_edge_of_a_window():
+    text = "x" * 70 + " someone [at] " + "long" * 60 + " [dot] example " + "y" * 100
+    start, end = 71, 71 + len("someone [at] " + "long" * 60 + " [dot] example")
+    gold = pii.tags(len(text), [("email", start, end)])
+
+    class Fixed:
+        """Gives each window the true tags of its place."""
+
+        def decode(self, x):
+            y = np.zeros(x.shape, np.int8)
+            for j in range(x.shape[1]):
+                row = x[:, j]
+                full = pii.encode(text)
+                for core in range(0, len(text), pii.CORE):
+                    a = max(0, core - pii.LEFT)
+                    own = full[a:core + pii.CORE + pii.RIGHT]
+                    at = a - core + pii.LEFT
+                    if (row[at:at + len(own)] == own).all() and not row[:at].any() and not row[at + len(own):].any():
+                        y[at:at + len(own), j] = gold[a:a + len(own)]
+                        break
+            return y
+    assert ("email", start, end) in pii.added_spans(Fixed(), [text], every=True)[0]
+    assert pii.reconcile(text, [], [("email", start, end)]) == [("email", start, end)]
