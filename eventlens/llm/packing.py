@@ -7,11 +7,15 @@ a list of fillings with multiplicities.
 
 ``best_fit`` (longest first, into the fullest sequence with room) gives
 the first incumbent.  ``complete`` is the branch-and-bound: it takes the
-longest length left, enumerates the undominated ways to complete a
-sequence around it, best first, applies one as often as the counts
-allow, and abandons a branch as soon as the waste so far exceeds what
-the incumbent allows.  It stops at the waste bound (no plan can have
-fewer sequences) or at its node budget, and the incumbent stands.
+longest length left and goes through all undominated ways to complete a
+sequence around it, by waste, each first as often as the counts allow
+and then less often; it abandons a branch as soon as the waste so far
+exceeds what the incumbent allows.  The fillings come one at a time from
+a search that is pruned by the sums the lengths can reach.  It ends at
+the waste bound (no plan can have fewer sequences), when every branch
+is done (the incumbent is then the optimum), or at its budget of
+``NODES`` fillings tried and ``STEPS`` steps of their search, and the
+incumbent stands.
 
 Spark does the rest: pieces are ranked within their length (hot lengths
 are split into even groups of a measured count first) and look their
@@ -27,6 +31,8 @@ from __future__ import annotations
 import math
 import zlib
 from bisect import bisect_right
+from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +42,9 @@ from pyspark.sql import functions as F
 from . import common, tokens
 
 NODES = 6000
-BRANCH = 3
+STEPS = 2_000_000
+#: Longest filling whose subsets are all tried for dominance; of longer ones, single lengths and pairs are.
+SUBSETS = 10
 RANK_GROUPS = 8192
 Filling = tuple[tuple[int, int], ...]  # ((length, copies), ...), longest first
 
@@ -129,65 +137,85 @@ def best_fit(counts: dict[int, int], size: int) -> list[tuple[Filling, int]]:
     return [(f, m) for room in rooms for f, m in by_room[room]]
 
 
-def _fillings(counts: dict[int, int], lengths: list[int], size: int) -> list[tuple[int, ...]]:
-    """Undominated completions of the longest length, by waste.
-
-    One, two or three lengths complete it; a completion that leaves room
-    for a length that is left is dropped, and so is a pair that one
-    single length not below its sum replaces."""
+def _reachable(lengths: list[int], size: int) -> dict[int, int]:
+    """For each length, a bit for every sum up to ``size`` of any number of lengths up to it."""
+    out, sums, full = {}, 1, (1 << size + 1) - 1
+    for x in lengths:
+        step = x
+        while step <= size:  # doubled: any number of copies
+            sums |= sums << step & full
+            step *= 2
+        out[x] = sums
+    return out
+
+
+class _Budget:
+    """Nodes and steps left; a search that is out of steps ends early."""
+
+    def __init__(self, nodes: int, steps: int):
+        self.nodes, self.steps = nodes, steps
+
+    def spent(self) -> bool:
+        return self.nodes <= 0 or self.steps <= 0
+
+
+def _exact(left: dict[int, int], lengths: list[int], reach: dict[int, int], top: int, total: int, budget: _Budget) -> Iterator[tuple[int, ...]]:
+    """All multisets of ``lengths[:top]`` (longest first) within ``left`` that sum to ``total``."""
+    if not total:
+        yield ()
+        return
+    i = min(top, bisect_right(lengths, total)) - 1
+    while i >= 0 and not budget.spent():
+        budget.steps -= 1
+        x = lengths[i]
+        if not reach[x] >> total & 1:
+            return  # nor do shorter lengths reach it
+        for k in range(min(left[x], total // x), 0, -1):
+            for rest in _exact(left, lengths, reach, i, total - k * x, budget):
+                yield (x,) * k + rest
+        i -= 1
+
+
+def _dominated(filling: tuple[int, ...], waste: int, left: dict[int, int], lengths: list[int]) -> bool:
+    """Whether a length that is left can take the place of some of the filling's and be at least their sum."""
+    most = len(filling) if len(filling) <= SUBSETS else 2
+    for n in range(most + 1):
+        for some in set(combinations(filling, n)):
+            total = sum(some)
+            i = bisect_right(lengths, total + waste) - 1
+            while i >= 0 and lengths[i] >= max(total, 1):
+                x = lengths[i]
+                # the same length alone changes nothing
+                if left[x] - filling.count(x) + some.count(x) > 0 and not (n == 1 and x == total):
+                    return True
+                i -= 1
+    return False
+
+
+def _fillings(counts: dict[int, int], lengths: list[int], size: int, reach: dict[int, int], waste: int, budget: _Budget) -> Iterator[tuple[int, ...]]:
+    """Undominated completions of the longest length that waste at most ``waste``, by waste."""
     first = lengths[-1]
+    left = {**counts, first: counts[first] - 1}
     room = size - first
+    for w in range(min(waste, room) + 1):
+        for f in _exact(left, lengths, reach, len(lengths), room - w, budget):
+            if not _dominated(f, w, left, lengths):
+                yield f
+        if budget.spent():
+            return
 
-    def left(x: int, used: tuple[int, ...]) -> int:
-        return counts[x] - used.count(x) - (x == first)
-
-    def fit(room: int, used: tuple[int, ...]) -> int:
-        i = bisect_right(lengths, room) - 1
-        while i >= 0 and left(lengths[i], used) <= 0:
-            i -= 1
-        return lengths[i] if i >= 0 else 0
-    single = fit(room, ())
-    if not single:
-        return [()]
-    found = {}
-    top = bisect_right(lengths, room)
-    # pairs by two pointers: the best partner of every length, kept if the waste beats the single's
-    tries = [(single,)]
-    lo, hi = 0, top - 1
-    best = room - single
-    while lo <= hi and best >= 0:
-        a, b = lengths[lo], lengths[hi]
-        if a + b > room:
-            hi -= 1
-            continue
-        if left(a, (b,)) > 0 and left(b, ()) > 0 and a + b > single and room - a - b <= best:
-            tries.append((b, a))
-            best = room - a - b
-        lo += 1
-    for head in list(tries)[-BRANCH:] + [(single,)]:
-        used = head
-        while (more := fit(room - sum(used), used)):
-            used = (*used, more)
-        found[tuple(sorted(used, reverse=True))] = room - sum(used)
-    # greedy descents from other heads, the longest that differ
-    i, heads = bisect_right(lengths, single) - 2, 0
-    while i >= 0 and heads < BRANCH:
-        used = (lengths[i],) if left(lengths[i], ()) > 0 else ()
-        while used and (more := fit(room - sum(used), used)):
-            used = (*used, more)
-        if used:
-            found.setdefault(tuple(sorted(used, reverse=True)), room - sum(used))
-        i, heads = i - 1, heads + 1
-    return sorted(found, key=lambda f: (found[f], tuple(-x for x in f)))[:BRANCH]
-
-
-def complete(counts: dict[int, int], size: int, incumbent: list[tuple[Filling, int]], nodes: int = NODES) -> list[tuple[Filling, int]]:
+
+def complete(counts: dict[int, int], size: int, incumbent: list[tuple[Filling, int]], nodes: int = NODES, steps: int = STEPS) -> list[tuple[Filling, int]]:
     """Bin completion: a plan of fewer sequences than the incumbent, or the incumbent."""
     bound = waste_bound(counts, size)
     total = sum(k * n for k, n in counts.items())
     best, best_n = incumbent, sum(m for _, m in incumbent)
     left = {k: n for k, n in counts.items() if n}
     lengths = sorted(left)
+    if best_n <= bound or not lengths:
+        return best
+    reach = _reachable(lengths, size)
+    budget = _Budget(nodes, steps)
     plan: list[tuple[Filling, int]] = []
     used_n, waste = 0, 0
 
@@ -205,20 +233,16 @@ def complete(counts: dict[int, int], size: int, incumbent: list[tuple[Filling, i
                 lengths.insert(bisect_right(lengths, x), x)
             left[x] += m * f.count(x)
 
-    def options():
+    def options() -> Iterator[tuple[tuple[int, ...], int]]:
         first = lengths[-1]
-        out = []
-        for f in _fillings(left, lengths, size):
+        own, at = dict(left), list(lengths)
+        for f in _fillings(own, at, size, reach, (best_n - 1) * size - total - waste, budget):
             f = (first, *f)
-            m = min(left[x] // f.count(x) for x in set(f))
-            out.append((f, m))
-        return iter(out)
-    stack = []
-    if best_n > bound and lengths:
-        stack.append((options(), None))
-    while stack and nodes and best_n > bound:
-        it, _ = stack[-1]
-        step = next(it, None)
+            for m in range(min(own[x] // f.count(x) for x in set(f)), 0, -1):
+                yield f, m
+    stack: list[list] = [[options(), None]]
+    while stack and best_n > bound and not budget.spent():
+        step = next(stack[-1][0], None)
         if step is None:
             stack.pop()
             if stack:
@@ -229,15 +253,15 @@ def complete(counts: dict[int, int], size: int, incumbent: list[tuple[Filling, i
             continue
         f, m = step
         w = (size - sum(f)) * m
-        nodes -= 1
+        budget.nodes -= 1
         if waste + w > (best_n - 1) * size - total:
             continue  # a plan with one sequence fewer cannot waste so much
         take(f, m)
         plan.append((tuple((x, f.count(x)) for x in sorted(set(f), reverse=True)), m))
         used_n, waste = used_n + m, waste + w
         if lengths:
-            stack[-1] = (it, (f, m, w))
-            stack.append((options(), None))
+            stack[-1][1] = (f, m, w)
+            stack.append([options(), None])
         else:
             if used_n < best_n:
                 best, best_n = list(plan), used_n
@@ -268,14 +292,15 @@ def _slots(plan: list[tuple[Filling, int]]) -> np.ndarray:
 def pack(docs: DataFrame, tokenizer: str, end: int = 0, size: int = 2048, nodes: int = NODES) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset), one row per piece."""
     spark = docs.sparkSession
-    cut = common.materialise(pieces(docs, tokenizer, end, size), "pieces")
+    # a row's number holds once the table is written
+    cut = common.materialise(pieces(docs, tokenizer, end, size).withColumn("row", F.monotonically_increasing_id()), "pieces")
     # at most ``size`` rows
     counts = {r.length: r.n for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
     slots = spark.sparkContext.broadcast(_slots(plan_lengths(counts, size, nodes)))
     # a length is ranked in groups of about ``target`` pieces: at most size + RANK_GROUPS groups in all
     target = max(1000, math.ceil(sum(counts.values()) / RANK_GROUPS))
     groups = spark.createDataFrame([(k, math.ceil(n / target)) for k, n in counts.items()], "length long, groups int")
-    key = F.xxhash64("doc_id", "piece", "ids_crc32")
+    key = F.xxhash64("row")  # rows that are equal in all columns are dealt, too
     dealt = cut.join(F.broadcast(groups), "length").withColumn("part", F.pmod(key, F.col("groups")).cast("int")).drop("groups")
     sums = sorted((r.length, r.part, r.n) for r in dealt.groupBy("length", "part").agg(F.count("*").alias("n")).collect())
     before, last, at = {}, None, 0

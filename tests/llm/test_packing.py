@@ -105,3 +105,46 @@ def test_pieces_and_places(spark):
 
 def test_empty_table(spark):
     assert packing.pack(spark.createDataFrame([], SCHEMA), PATH).count() == 0
+
+
+def test_small_cases_reach_the_optimum():
+    nine = {k: n for k, n in ((12, 1), (15, 1), (17, 1), (26, 1), (35, 1), (39, 1), (42, 1), (55, 2))}
+    assert check_plan(packing.best_fit(nine, 100), nine, 100) == 4
+    assert check_plan(packing.plan_lengths(nine, 100), nine, 100) == 3
+    rng = random.Random(8)
+    for _ in range(150):
+        items = [rng.randint(8, 60) for _ in range(rng.randint(5, 10))]
+        counts = {k: items.count(k) for k in items}
+        assert check_plan(packing.plan_lengths(counts, 100), counts, 100) == fewest(items, 100)
+
+
+def test_fillings_are_all_undominated_ones_by_waste():
+    rng = random.Random(9)
+    for _ in range(60):
+        items = [rng.randint(3, 30) for _ in range(8)]
+        counts = {k: items.count(k) for k in items}
+        lengths = sorted(counts)
+        left = {**counts, lengths[-1]: counts[lengths[-1]] - 1}
+        room = 40 - lengths[-1]
+        pool = [k for k, n in left.items() for _ in range(n)]
+        every = {tuple(sorted((x for j, x in enumerate(pool) if m >> j & 1), reverse=True)) for m in range(1 << len(pool))}
+        every = {f for f in every if sum(f) <= room}
+        want = {f for f in every if not packing._dominated(f, room - sum(f), left, lengths)}
+        reach = packing._reachable(lengths, 40)
+        got = list(packing._fillings(counts, lengths, 40, reach, 40, packing._Budget(10 ** 9, 10 ** 9)))
+        assert set(got) == want and len(got) == len(want)
+        waste = [room - sum(f) for f in got]
+        assert waste == sorted(waste)
+        # what is left out has a filling that is at least as good
+        assert all(any(sum(g) >= sum(f) for g in want) for f in every)
+
+
+def test_repeated_rows_without_an_id_are_spread(spark):
+    df = spark.createDataFrame([(None, None, "", "")] * 3000 + [(1, "word " * 30, "", "")], SCHEMA).repartition(4)
+    rows = packing.pack(df, PATH, size=64).collect()
+    assert len(rows) == 3001
+    by = defaultdict(list)
+    for r in rows:
+        by[r.sequence_id].append((r.offset, r.length))
+    assert all([o for o, _ in sorted(v)] == np.cumsum([0] + [k for _, k in sorted(v)])[:-1].tolist() for v in by.values())
+    assert len(by) == -(-sum(r.length for r in rows) // 64)
