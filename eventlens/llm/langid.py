@@ -16,12 +16,15 @@ across a cut are left out).
 
 from __future__ import annotations
 
+import math
 import unicodedata
+import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -29,8 +32,6 @@ from . import common
 DIMS = 4096
 SAMPLE = 600
 CENTROIDS = 4
-#: Languages that can be learned, the most frequent first.
-LANGUAGES = 1000
 SLICE = 1 << 20
 BATCH = 256
 UNKNOWN = "und"
@@ -118,50 +119,77 @@ def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 12) -
     return c
 
 
-def fit(counts: np.ndarray, langs: list[str], centroids: int = CENTROIDS, seed: int = 0) -> Model | None:
-    some = counts.any(axis=1)
-    counts, langs = counts[some], [x for x, s in zip(langs, some) if s]
-    if not langs:
-        return None
-    rng = np.random.default_rng(seed)
-    names = sorted(set(langs))
-    number = np.array([names.index(x) for x in langs])
-    idf = np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))).astype(np.float32) + 1
-    model = Model(names, idf, np.zeros((0, DIMS), np.float32), np.zeros(0, np.int64), np.zeros(len(names)))
-    x = model.vectors(counts)
-    parts = [_kmeans(x[number == j], centroids, rng) for j in range(len(names))]
-    model.centroids = np.concatenate(parts).astype(np.float32)
-    model.owner = np.repeat(np.arange(len(names)), [len(p) for p in parts])
-    for j, p in enumerate(parts):
-        model.least[j] = 0.8 * np.quantile((x[number == j] @ p.T).max(axis=1), 0.01)
-    return model
-
-
-def train(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model | None:
-    """Fit on about ``sample`` documents of each language, by hash of the id.
-
-    Documents are those with a language, a text and an id; n-grams are
-    counted on the executors and come to the driver as sparse counts of
-    that bounded sample."""
+def fit_language(counts: np.ndarray, idf: np.ndarray, lang: str, centroids: int) -> tuple[np.ndarray, float]:
+    """A language's centroids, and the smallest cosine its texts are expected to have."""
+    x = _unit(np.log1p(counts) * idf)
+    p = _kmeans(x, centroids, np.random.default_rng(zlib.crc32(lang.encode())))
+    return p.astype(np.float32), 0.8 * float(np.quantile((x @ p.T).max(axis=1), 0.01))
+
+
+def _sparse(b: pa.RecordBatch | pa.Table) -> np.ndarray:
+    """(rows, DIMS) counts from the packed columns ``at`` and ``n``."""
+    counts = np.zeros((b.num_rows, DIMS), np.float32)
+    for i, (at, n) in enumerate(zip(b.column("at").to_pylist(), b.column("n").to_pylist())):
+        counts[i, np.frombuffer(at, "<u2")] = np.frombuffer(n, "<f4")
+    return counts
+
+
+def _drawn(docs: DataFrame, sample: int, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    """At most ``sample`` rows of each language, by hash of id and text."""
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                     F.col(lang_col).cast("string").alias("lang")).where("doc_id is not null and lang is not null and text is not null")
-    # a bounded table, so the texts stay where they are: the most frequent languages
-    sizes = d.groupBy("lang").agg(F.count("*").alias("of")).orderBy(F.col("of").desc(), "lang").limit(LANGUAGES)
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1_000_000)) / F.lit(1_000_000.0)
-    d = d.join(F.broadcast(sizes), "lang").where(draw * F.col("of") < sample).select("doc_id", "text", "lang")
+    # a written table of one row a language: Spark sees its size and broadcasts it, or not
+    sizes = common.materialise(d.groupBy("lang").agg(F.count("*").alias("of")), "language-sizes")
+    h = F.xxhash64("doc_id", "text")
+    share = F.shiftrightunsigned(h, 1) / F.lit(float(1 << 63))
+    # somewhat more than asked for, so that the exact bound below rarely finds fewer
+    some = d.join(sizes, "lang").where(share * F.col("of") < sample + 5 * math.sqrt(sample) + 5)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(h, "doc_id"))
+    return some.withColumn("rank", rank).where(F.col("rank") <= sample).select("doc_id", "text", "lang")
+
+
+def train(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+          centroids: int = CENTROIDS) -> Model | None:
+    """Fit on at most ``sample`` documents of each language, by hash of id and text.
+
+    Documents are those with a language, a text with a letter and an id.
+    Each language is fitted in a task of its own, on its bounded sample; the
+    driver gets the weights of the columns and the centroids alone."""
+    spark = docs.sparkSession
 
     def batch(b: pa.RecordBatch) -> pa.RecordBatch:
         counts = ngram_counts(b.column("text").to_pylist())
+        some = counts.any(axis=1)
+        counts, b = counts[some], b.filter(pa.array(some))
         at = [np.flatnonzero(c) for c in counts]
         return pa.RecordBatch.from_arrays(
             [b.column("doc_id"), b.column("lang"), pa.array([a.astype("<u2").tobytes() for a in at], pa.binary()),
              pa.array([c[a].astype("<f4").tobytes() for c, a in zip(counts, at)], pa.binary())], ["doc_id", "lang", "at", "n"])
-    rows = d.mapInArrow(common.per_batch(batch), "doc_id long, lang string, at binary, n binary").collect()
-    rows.sort(key=lambda r: (r.lang, r.doc_id, bytes(r.at)))
-    counts = np.zeros((len(rows), DIMS), np.float32)
-    for i, r in enumerate(rows):
-        counts[i, np.frombuffer(r["at"], "<u2")] = np.frombuffer(r["n"], "<f4")
-    return fit(counts, [r.lang for r in rows])
+    rows = common.materialise(_drawn(docs, sample, id_col, text_col, lang_col).mapInArrow(
+        common.per_batch(batch), "doc_id long, lang string, at binary, n binary"), "language-sample")
+
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, texts = np.zeros(DIMS, np.int64), 0
+        for b in batches:
+            texts += b.num_rows
+            for at in b.column("at").to_pylist():
+                total[np.frombuffer(at, "<u2")] += 1
+        yield pa.RecordBatch.from_arrays([pa.array([*range(DIMS), -1], pa.int32()), pa.array([*total.tolist(), texts], pa.int64())], ["column", "n"])
+    found = {r["column"]: r.n for r in rows.select("at").mapInArrow(held, "column int, n long").groupBy("column").agg(F.sum("n").alias("n")).collect()}
+    if not found.get(-1):
+        return None
+    idf = np.log((1 + found[-1]) / (1 + np.array([found[i] for i in range(DIMS)]))).astype(np.float32) + 1
+    shared = spark.sparkContext.broadcast(idf)
+
+    def one(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("doc_id", "ascending"), ("at", "ascending")])
+        lang = table.column("lang")[0].as_py()
+        p, least = fit_language(_sparse(table), shared.value, lang, centroids)
+        return pa.table({"lang": [lang], "centroids": pa.array([p.astype("<f4").tobytes()], pa.binary()), "least": [least]})
+    got = sorted(rows.groupBy("lang").applyInArrow(one, "lang string, centroids binary, least double").collect(), key=lambda r: r.lang)
+    parts = [np.frombuffer(r["centroids"], "<f4").reshape(-1, DIMS) for r in got]
+    return Model([r.lang for r in got], idf, np.concatenate(parts), np.repeat(np.arange(len(parts)), [len(p) for p in parts]),
+                 np.array([r.least for r in got]))
 
 
 def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 from collections import Counter
@@ -80,3 +81,34 @@ def test_query_is_accurate_on_held_out_documents(spark):
     held = [i for i in docs if zlib.crc32(str(i).encode()) % 5 == 0]
     assert sorted(held) == sorted(i for i, r in got.items() if r.held_out) and set(got) == set(docs)
     assert sum(got[i].lang_pred == docs[i] for i in held if docs[i]) >= 0.95 * sum(docs[i] is not None for i in held)
+
+
+def test_prediction_equals_a_plain_loop(spark):
+    rows = [(i, t, lang, "", "") for i, t, lang in _docs(90)] + [(200, "12", None, None, None), (201, None, None, None, None)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    model = langid.train(df, sample=25, centroids=3)
+    weight = model.idf.tolist()
+    centroids = [(model.languages[o], c.tolist()) for o, c in zip(model.owner, model.centroids)]
+    for r in langid.identify(df, model).collect():
+        text = next(x[1] for x in rows if x[0] == r.doc_id)
+        v = {k: math.log1p(n) * weight[k] for k, n in enumerate(langid.ngram_counts([text])[0].tolist()) if n}
+        if not v:
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        cosines = [(sum(x * c[k] for k, x in v.items()) / norm, lang) for lang, c in centroids]
+        best = max(x for x, _ in cosines)
+        assert abs(r.score - min(1, best)) < 1e-4 and r.lang_pred in {lang for x, lang in cosines if x > best - 1e-4}
+
+
+def test_every_language_is_learned_and_the_sample_is_bounded(spark):
+    rows = [(i, f"{chr(0x4E00 + i % 1500) * 3} ab", f"l{i % 1500}", "", "") for i in range(3000)]
+    rows += [(7, f"hot text {chr(0x3041 + i % 60)} {i}", "hot", "", "") for i in range(400)] + [(8, "same text", "hot", "", "")] * 300
+    df = spark.createDataFrame(rows, SCHEMA)
+    drawn = Counter(r.lang for r in langid._drawn(df, 20, "doc_id", "text", "lang").collect())
+    assert len(drawn) == 1501 and max(drawn.values()) <= 20
+    model = langid.train(df, sample=20)
+    assert len(model.languages) == 1501
+    got = langid.identify(df.where("lang != 'hot'").limit(300), model).collect()
+    truth = {r[0]: r[2] for r in rows[:3000]}
+    assert sum(r.lang_pred == truth[r.doc_id] for r in got) > 0.6 * len(got)  # 1500 letters share 4096 columns
