@@ -112,3 +112,31 @@ def test_on_the_driver_tables(spark):
     n = duckdb.sql(f"SELECT count(*) FROM read_parquet('{sf}/documents.parquet')").fetchall()[0][0]
     ids = {r.doc_id for r in out}
     assert 0.5 * n < len(ids) < n
+
+
+def test_columns_of_any_name_and_type_pass_every_stage_unchanged(spark, tmp_path):
+    rng = random.Random(2)
+    body = lambda: " ".join(f"w{rng.randint(0, 9999)}é" for _ in range(40))
+    texts = [body() for _ in range(12)]
+    texts += [texts[0], texts[1] + " " + "0" * 5000 + ".1.1.1", body() + " a@bc.de", body() + " +1 415 555 0100 x"]
+    rows = [(None if i == 3 else i, t, "k1", "k2", 7, "dotted", {"m": i}, [i], b"x", "r", 0) for i, t in enumerate(texts)]
+    rows += [rows[3]] * 20 + [rows[5]] * 5
+    names = "doc_id long, text string, __h1 string, __id string, row long, `a.b` string, extra map<string,int>, h1 array<int>, none binary, id string, rank int"
+    df = spark.createDataFrame(rows, names)
+    d = str(tmp_path)
+    spark.createDataFrame([(1, "never " * 12)], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
+    spark.createDataFrame([(i, 1, 0) for i in range(8)], "doc_id long, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = corpus_pipeline.common.materialise(stage(spark, df, d), f"any-{name}")
+        assert out.schema.names == df.schema.names and [f.dataType for f in out.schema] == [f.dataType for f in df.schema]
+        got = out.collect()
+        assert len(got) >= 12
+        for r in got:
+            own = [x for x in rows if x[0] == r.doc_id]
+            assert any(tuple(r)[2:] == x[2:] for x in own), name
+        if name == "simhash_near_dedup":
+            assert sorted(r.doc_id is None for r in got).count(True) == 1 and len(got) <= len(texts)
+            again = stage(spark, df.repartition(5), d).collect()
+            assert sorted(map(repr, again)) == sorted(map(repr, got))
+    packed = dict(corpus_pipeline.STAGES)["best_fit_packing"](spark, df, d)
+    assert packed.select("doc_id", "start").count() >= len(rows)
