@@ -22,19 +22,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each SimHash component: the one with the smallest doc_id, a null id last.
-
-    Rows that share that doc_id are told apart by text: the first by text hash
-    stays.  Rows of other components stay, whatever their ids."""
-    # plain columns that a null id has too: the join and the grouping share one shuffle of the documents
-    key = {"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "__none": F.col("doc_id").isNull()}
-    chosen = simhash.representatives(docs, shingle=4, radius=4).select(
-        *(c.alias(k) for k, c in key.items()), F.col("h1").alias("__h1"), F.col("h2").alias("__h2"))
-    key |= {f"__{k}": c for k, c in simhash.text_hashes().items()}
-    kept = docs.withColumns(key).join(chosen, list(key), "left_semi")
-    # one of the rows that are equal in id and text
-    first = kept.groupBy(*key).agg(F.min(F.struct(*docs.columns)).alias("first"))
-    return first.select("first.*")
+    """Keep one document of each SimHash component: the one with the smallest doc_id, a null id last."""
+    return simhash.keep_first(docs, shingle=4, radius=4)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
