@@ -15,7 +15,12 @@ Two physical forms for a sliding window of ``size``/``slide``:
   Exact for count/sum/min/max; distinct counts de-duplicate per pane
   first and stay exact.
 
-``method="auto"`` picks panes when size/slide > 8 (SURVEY §4.3).
+* ``blocks`` -- pane aggregates again, but no expansion before a shuffle:
+  two rows per pane, whatever size/slide is (see ``overlaps``); windows are
+  written out at the very end.
+
+``method="auto"`` picks panes when size/slide > 8 (SURVEY §4.3) and blocks
+when it is above 64.
 """
 
 from __future__ import annotations
@@ -26,8 +31,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlens.functions.time import duration_us, floor_to, from_micros, to_micros
+from eventlens.operators import overlaps
 
 PANE_THRESHOLD = 8
+BLOCK_THRESHOLD = 64
 
 # aggregation kinds that can be merged across panes: kind -> (partial, merge)
 _MERGE = {
@@ -79,7 +86,7 @@ def choose_method(size, slide) -> str:
     if slide is None:
         return "tumbling"
     k = duration_us(size) / duration_us(slide)
-    return "panes" if k > PANE_THRESHOLD else "direct"
+    return "blocks" if k > BLOCK_THRESHOLD else "panes" if k > PANE_THRESHOLD else "direct"
 
 
 def window_agg(df: DataFrame, ts: str, size, slide=None, keys=(), aggs=None,
@@ -95,7 +102,7 @@ def window_agg(df: DataFrame, ts: str, size, slide=None, keys=(), aggs=None,
         slide = None
     if method == "auto":
         method = choose_method(size, slide)
-    if method == "panes" and any(k == "custom" for _, k, _ in specs):
+    if method in ("panes", "blocks") and any(k == "custom" for _, k, _ in specs):
         method = "direct"   # a custom aggregate cannot be merged across panes
     if slide is None or method == "tumbling":
         w = F.window(ts, f"{duration_us(size)} microseconds")
@@ -105,6 +112,10 @@ def window_agg(df: DataFrame, ts: str, size, slide=None, keys=(), aggs=None,
         return _agg_on_window(df, w, keys, specs)
     if method == "panes":
         return _pane_rollup(df, ts, size, slide, keys, specs)
+    if method == "blocks":
+        size_us, slide_us, dtype = duration_us(size), duration_us(slide), dict(df.dtypes)[ts]
+        panes, kinds = block_panes(df, ts, size_us, slide_us, keys, aggs)
+        return overlaps.expanded(overlaps.pane_stretches(panes, size_us, slide_us, keys, kinds, "_rows"), size_us, slide_us, dtype, keys, list(kinds))
     raise ValueError(method)
 
 
@@ -128,6 +139,15 @@ def _expand_panes(panes: DataFrame, size_us: int, slide_us: int, carry: list[str
     return panes.select(*carry, ends)
 
 
+def block_panes(df: DataFrame, ts: str, size_us: int, slide_us: int, keys: list[str], aggs) -> tuple[DataFrame, dict[str, str]]:
+    """Pane aggregates with their rows counted in ``_rows``, and the kind of each aggregate."""
+    specs = _norm_aggs(aggs)
+    pane = floor_to(to_micros(ts, dict(df.dtypes)[ts]), gcd(size_us, slide_us))
+    panes = df.where(F.col(ts).isNotNull()).groupBy(pane.alias("_p"), *keys).agg(
+        *(_MERGE[k][0](c).alias(n) for n, k, c in specs), F.count(F.lit(1)).alias("_rows"))
+    return panes, {n: k for n, k, _ in specs}
+
+
 def _finish(df: DataFrame, size_us: int, dtype: str, keys, names) -> DataFrame:
     return df.select(from_micros(F.col("_e") - F.lit(size_us), dtype).alias("window_start"),
                      from_micros("_e", dtype).alias("window_end"), *keys, *names)
@@ -173,7 +193,8 @@ def window_distinct(df: DataFrame, ts: str, size, slide=None, distinct_col: str
     Spark plans one distinct as a two-level aggregate (first by
     (window, key, value), then count), so no window is ever held as one
     set in one task.  With many overlaps the (pane, value) pairs are
-    de-duplicated before the expansion.  ``approx=True`` uses HLL++.
+    de-duplicated before the expansion; ``method="gaps"`` (auto above 64
+    overlaps) does not expand them at all.  ``approx=True`` uses HLL++.
     """
     keys = list(keys)
     if approx:
@@ -184,6 +205,8 @@ def window_distinct(df: DataFrame, ts: str, size, slide=None, distinct_col: str
         slide = None
     if method == "auto":
         method = choose_method(size, slide)
+    if approx and method in ("blocks", "gaps"):
+        method = "panes"
     if slide is None or method in ("tumbling", "direct"):
         w = (F.window(ts, f"{duration_us(size)} microseconds") if slide is None else
              F.window(ts, f"{duration_us(size)} microseconds", f"{duration_us(slide)} microseconds"))
@@ -191,6 +214,9 @@ def window_distinct(df: DataFrame, ts: str, size, slide=None, distinct_col: str
                   .select(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), *keys, name))
     size_us, slide_us = duration_us(size), duration_us(slide)
     dtype = dict(df.dtypes)[ts]
+    if method in ("gaps", "blocks"):
+        out = overlaps.value_stretches(df, ts, size_us, slide_us, keys, distinct_col, name)
+        return overlaps.expanded(out, size_us, slide_us, dtype, keys, [name])
     pane = floor_to(to_micros(ts, dtype), gcd(size_us, slide_us))
     panes = df.select(pane.alias("_p"), *keys, distinct_col).distinct()
     x = _expand_panes(panes, size_us, slide_us, keys + [distinct_col], dtype)
