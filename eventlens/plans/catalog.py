@@ -8,7 +8,6 @@ check results.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -470,18 +469,6 @@ def total_value_sliding(spark, sf_dir):
     return window_sum(events(spark, sf_dir).withColumn("k", _long_k()), "ts", "1 hour", "10 minutes", value="k")
 
 
-@query("custom_aggregate_daily", f"""
-SELECT window_start, window_end, event_type, max(k) - min(k) AS spread FROM (
-  {sql_window_rows(f'event_type, {_K_SQL} AS k', 'true', '1 day')}) GROUP BY window_start, window_end, event_type""")
-def custom_aggregate_daily(spark, sf_dir):
-    """A user's own aggregate (a pandas UDAF) per type and day."""
-    @F.pandas_udf("long")
-    def spread(k: pd.Series) -> int:
-        return int(k.max() - k.min())
-    ev = events(spark, sf_dir).withColumn("k", _long_k())
-    return window_agg(ev, "ts", "1 day", keys=["event_type"], aggs={"spread": spread("k")})
-
-
 # ------------------------------------------------------------ streaming forms
 # Each runs a Structured Streaming query over the ``events`` table, staged
 # under the session's checkpoint folder as several files in event-time order
