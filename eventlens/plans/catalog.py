@@ -494,9 +494,8 @@ def _event_stream(spark, sf_dir, disorder=DISORDER, late=None):
     key = (spark.sparkContext.applicationId, sf_dir, disorder, late is not None)
     if key not in _STAGED:   # once per session: the streams only read it
         path = scratch_path(spark, "events-staged")
-        stage(ev, "ts", path, _markers(spark, sf_dir), disorder=disorder, late=late)
-        _STAGED[key] = path
-    return staged_stream(spark, ev.schema, _STAGED[key])
+        _STAGED[key] = path, stage(ev, "ts", path, _markers(spark, sf_dir), disorder=disorder, late=late)
+    return staged_stream(spark, ev.schema, *_STAGED[key])
 
 
 def _run(stream: DataFrame, name: str) -> DataFrame:
@@ -697,8 +696,8 @@ def stream_restart(spark, sf_dir):
     ev = events(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
     root = scratch_path(spark, "stream_restart")
     for part in (range(1), range(1, 4)):
-        stage(ev, "ts", f"{root}/in", _markers(spark, sf_dir), disorder=DISORDER, only=part)
-        s = stream_consecutive_pairs(staged_stream(spark, ev.schema, f"{root}/in"), ["user_id"],
+        parts = stage(ev, "ts", f"{root}/in", _markers(spark, sf_dir), disorder=DISORDER, only=part)
+        s = stream_consecutive_pairs(staged_stream(spark, ev.schema, f"{root}/in", parts), ["user_id"],
                                      F.col("event_type") == "error", "1 day", delay=DISORDER)
         out = run_to_parquet(s, "stream_restart", f"{root}/out", f"{root}/checkpoint")
     return _to_ntz(out)

@@ -37,26 +37,25 @@ def parse_delimited(df: DataFrame, sep: str, fields: list[tuple[str, int, str]],
     """Split ``value_col`` on the regex ``sep``, trim, convert, validate."""
     if on_error not in ("fail", "drop"):
         raise ValueError("on_error must be 'fail' or 'drop'")
-    parts = F.split(F.col(value_col), sep, -1)
     width = max(p for _, p, _ in fields) + 1
-    vals, oks = [], [F.size(parts) >= width]
-    for name, pos, kind in fields:
-        raw = F.trim(F.try_element_at(parts, F.lit(pos + 1)))
-        v, ok = _convert(raw, kind, time_pattern)
-        vals.append((name, v))
-        oks.append(ok)
-    good = oks[0]
-    for o in oks[1:]:
-        good = good & o
+
+    def parsed(parts: Column) -> Column:
+        vals, good = [], F.size(parts) >= width
+        for name, pos, kind in fields:
+            v, ok = _convert(F.trim(F.get(parts, pos)), kind, time_pattern)
+            vals.append(v.alias(name))
+            good = good & ok
+        return F.struct(*vals, good.alias("_ok"))
+    # the fields of a line are bound once, however often they are looked at: a line is split once
+    one = F.transform(F.array(F.split(F.col(value_col), sep, -1)), parsed)
     kept = [c for c in keep if c in df.columns]
-    out = df.select(*kept, *[v.alias(n) for n, v in vals], good.alias("_ok"), F.col(value_col).alias("_line"))
+    out = df.select(*kept, F.col(value_col).alias("_line"), F.explode(one).alias("_f"))
+    ok = F.coalesce(F.col("_f._ok"), F.lit(False))
     if on_error == "drop":
-        out = out.filter("_ok")
+        out = out.filter(ok)
     else:
-        out = out.withColumn("_ok", F.when(F.col("_ok"), F.lit(True)).otherwise(
-            F.raise_error(F.concat(F.lit("malformed line: "), F.col("_line")))))
-        out = out.filter("_ok")
-    return out.select(*[n for n, _ in vals], *kept)
+        out = out.filter(F.when(ok, F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("malformed line: "), F.coalesce("_line", F.lit("null"))))))
+    return out.select(*(F.col("_f")[n].alias(n) for n, _, _ in fields), *kept)
 
 
 # R1 user behaviour: user_id, item_id, category_id, behavior, ts (epoch s)

@@ -2,12 +2,13 @@
 
 ``seq`` is a tiebreak for rows with equal event time: it follows line
 order inside a file split and is stable on re-execution because it is
-computed directly on the file scan.
+computed directly on the file scan.  ``read_numbered_lines`` gives true
+line numbers, the same for every split size.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -18,20 +19,36 @@ def read_lines(spark: SparkSession, path: str, with_seq: bool = True) -> DataFra
     return df
 
 
+def read_numbered_lines(spark: SparkSession, path) -> DataFrame:
+    """``value, file, line``: every line with its number in its file, from 0, whatever the split size.
+
+    Lines are counted per (file, block) first, one row each; the running sum
+    over a file's blocks says where each block begins, and a line's place
+    in its block is its place in the scan.  No file is read as one value."""
+    scan = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"),
+                                        F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_id"))
+    blocks = scan.groupBy("file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
+    before = F.sum("_n").over(Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
+    starts = blocks.select("file", "_block", (F.coalesce(before, F.lit(0)) - F.col("_first")).alias("_shift"))
+    return scan.join(starts, ["file", "_block"]).select("value", "file", (F.col("_id") + F.col("_shift")).alias("line"))
+
+
 def read_lines_stream(spark: SparkSession, path: str, max_files: int | None = None, numbered: bool = False) -> DataFrame:
     """Directory of text files as a stream of lines (``value``).
 
-    ``numbered`` adds ``seq``, the line's position in its file, so that
-    rows of one instant keep their order; each file is then read as one
-    value, so it suits files that fit in a task's memory."""
+    ``numbered`` adds ``seq``, which grows with the line's place in its file, so
+    that rows of one instant keep their order: the number of the line's block
+    in the high bits, its place in the scan below.  Blank lines are left out."""
     r = spark.readStream.format("text")
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     if not numbered:
         return r.load(path)
-    whole = r.option("wholetext", True).load(path)
-    lines = whole.select(F.posexplode(F.split("value", "\r?\n")).alias("seq", "value"))
-    return lines.filter("value <> ''").select("value", F.col("seq").cast("long").alias("seq"))
+    lines = r.load(path).select("value", F.col("_metadata.file_block_start").alias("_block"))
+    # blocks are 64 KB apart at least (spark.sql.files.maxPartitionBytes), files up to 64 TB
+    place = F.shiftleft(F.shiftright("_block", 16), 33)
+    low = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return lines.select("value", (place + low).alias("seq")).filter("value <> ''")
 
 
 def socket_stream(spark: SparkSession, host: str, port: int) -> DataFrame:

@@ -5,8 +5,8 @@ join state once the watermark passes it.  As in batch, the interval join
 adds an event-time bucket to the join key (left rows copied to the at
 most two buckets their interval touches), so a hot key is spread over
 state-store partitions.  Streaming reconciliation needs a tolerance (the
-state bound); duplicates pair as in SQL, because occurrence numbering
-needs the whole key's history.
+state bound) and runs on two connected streams (``connect``), which
+spread a hot key over time without repeating unmatched rows.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from eventlens.functions.time import _interval, duration_us
 from eventlens.operators.joins import _pairs, _signed_us
+from eventlens.streaming.connect import reconcile_stream
 from eventlens.streaming.windows import watermarked
 
 
@@ -42,15 +43,7 @@ def stream_interval_join(left: DataFrame, right: DataFrame, on, left_ts: str, ri
 def stream_reconcile(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
                      left_ts: str, right_ts: str, tolerance, left_delay="0 seconds",
                      right_delay="0 seconds", key_name: str = "key") -> DataFrame:
-    """matched / left_only / right_only; unmatched rows come out once the
-    watermark passes ts + tolerance."""
-    tol = duration_us(tolerance)
-    l = watermarked(left, left_ts, left_delay)
-    r = watermarked(right, right_ts, right_delay)
-    cond = ((l[left_key] == r[right_key]) & (F.col(right_ts) >= F.col(left_ts) - _interval(tol))
-            & (F.col(right_ts) <= F.col(left_ts) + _interval(tol)))
-    j = l.join(r, cond, "full_outer")
-    outcome = (F.when(F.col(left_key).isNull(), F.lit("right_only"))
-                .when(F.col(right_key).isNull(), F.lit("left_only")).otherwise(F.lit("matched")))
-    return j.select(outcome.alias("outcome"), F.coalesce(F.col(left_key), F.col(right_key)).alias(key_name),
-                    *left.columns, *right.columns)
+    """matched / left_only / right_only, as in batch; unmatched rows come out once the
+    watermark passes ts + tolerance, rows with a null key or time at once."""
+    return reconcile_stream(left, right, left_key, right_key, left_ts, right_ts, tolerance,
+                            max(duration_us(left_delay), duration_us(right_delay)), key_name)

@@ -35,6 +35,81 @@ class Machine:
         return not c
 
 
+class Timers(Machine):
+    """A keyed queue of named timers: ``register``, ``delete``, fired in order of time, then name.
+
+    Subclass it with ``on_row(c, r)`` and ``on_timer(c, name, at)``; the carry's
+    ``"t"`` holds the queue.  A timer fires after all rows up to its own instant
+    and before later ones, whenever the watermark comes, so a stream and a
+    batch replay agree.  A timer may register others, at its own time or later."""
+
+    def init(self):
+        return {"t": {}}
+
+    def register(self, c, name: str, at: int) -> None:
+        """Set a timer, or move it if the name has one."""
+        c["t"][name] = at
+
+    def delete(self, c, name: str) -> None:
+        c["t"].pop(name, None)
+
+    def on_row(self, c, r: dict) -> list:
+        return []
+
+    def on_timer(self, c, name: str, at: int) -> list:
+        return []
+
+    def _fire(self, c, before: int) -> list:
+        out = []
+        while c["t"]:
+            at, name = min((at, name) for name, at in c["t"].items())
+            if at >= before:
+                break
+            del c["t"][name]
+            out += self.on_timer(c, name, at)
+        return out
+
+    def step(self, c, r):
+        return self._fire(c, r["ts"]) + self.on_row(c, r)
+
+    def advance(self, c, wm):
+        return self._fire(c, wm)
+
+    def deadline(self, c):
+        return min(c["t"].values()) + 1 if c["t"] else None
+
+    def idle(self, c):
+        return not c["t"] and len(c) == 1
+
+
+class Reminders(Timers):
+    """Two timers a key: an open case is reminded of after ``remind`` and expires after ``expire``;
+    a closing row deletes both, a new opening row moves both."""
+
+    fields = ("opens", "closes")
+    out_fields = (("what", "string"), ("open_ts", "long"), ("at_ts", "long"))
+
+    def __init__(self, remind_us: int, expire_us: int):
+        self.after = {"remind": remind_us, "expire": expire_us}
+
+    def on_row(self, c, r):
+        if r["closes"] or r["opens"]:
+            for name in self.after:
+                self.delete(c, name)
+            c.pop("open", None)
+        if r["opens"]:
+            c["open"] = r["ts"]
+            for name, us in self.after.items():
+                self.register(c, name, r["ts"] + us)
+        return []
+
+    def on_timer(self, c, name, at):
+        out = [{"what": name, "open_ts": c["open"], "at_ts": at}]
+        if not c["t"]:
+            del c["open"]
+        return out
+
+
 class Pairs(Machine):
     """Matching row directly followed by a matching row < within later."""
     fields = ("m",)

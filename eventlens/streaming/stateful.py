@@ -35,8 +35,9 @@ _EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
 
 class OrderedReplay(StatefulProcessor):
-    def __init__(self, machine: M.Machine, key_names: list, payload_types: dict, event_time_field=None):
+    def __init__(self, machine: M.Machine, key_names: list, payload_types: dict, event_time_field=None, chained: bool = False):
         self.machine = machine
+        self.chained = chained  # rows come from a stateful operator, which releases them as the watermark passes them
         self.key_names = list(key_names)
         self.payload = list(machine.fields)
         self.payload_types = payload_types
@@ -106,7 +107,7 @@ class OrderedReplay(StatefulProcessor):
         fresh = []
         for r in rows:
             t = r["evl_ts_us"]
-            if wm_ms > 0 and t < wm_ms * 1000:
+            if wm_ms > 0 and t < wm_ms * 1000 and not self.chained:
                 continue  # late
             fresh.append((t, r["evl_seq"], *[r[f] for f in self.payload]))
         return self._drain(key, max(wm_ms, 0), fresh)
@@ -137,7 +138,9 @@ def replay(df: DataFrame, keys, ts: str, seq, delay, machine: M.Machine, payload
     prov = "spark.sql.streaming.stateStore.providerClass"
     if "RocksDB" not in (spark.conf.get(prov, "") or ""):
         spark.conf.set(prov, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    x = event_time(df, ts).withWatermark(ts, delay)
+    x = event_time(df, ts)
+    if delay is not None:  # None: the event time of a stateful operator before
+        x = x.withWatermark(ts, delay)
     if seq and seq not in df.columns:
         raise ValueError(f"no tiebreak column {seq}; pass seq=None if event times never tie")
     # a null tiebreak sorts first, as in batch
@@ -150,7 +153,7 @@ def replay(df: DataFrame, keys, ts: str, seq, delay, machine: M.Machine, payload
                                          types[n] if t is None else _DDL[t])
                              for n, t in machine.out_fields])
     # the Row interface: a pandas frame per call costs more where machines emit many rows
-    proc = OrderedReplay(machine, keys, {n: types[n] for n in machine.fields}, event_time_field)
+    proc = OrderedReplay(machine, keys, {n: types[n] for n in machine.fields}, event_time_field, delay is None)
     out = x.groupBy(*keys).transformWithState(proc, out_schema, "Append", "EventTime",
                                               eventTimeColumnName=event_time_field or "")
     for n, t in machine.out_fields:
@@ -185,14 +188,28 @@ def stream_match_outcomes(df, keys, is_create, is_pay, bound, grace=None, ts="ts
     return replay(kept, keys, ts, seq, delay, M.MatchOutcomes(duration_us(bound), g), {"cr": is_create})
 
 
-def stream_click_cap(df, keys, cap=100, ts="ts", seq="seq", delay="0 seconds", carry=()):
+def stream_click_cap(df, keys, cap=100, ts="ts", seq="seq", delay="0 seconds", carry=(), slices=None):
     """Streaming D1: tagged rows ``passed`` / ``warning`` per (keys, UTC day).
 
     Returns ``*keys, day, tag, ts, seq, *carry``; ``ts`` is the result's
     event time.  Split with :func:`eventlens.sources.sinks.split_by_tag` or
     a tagged sink.
+
+    ``slices`` deals the rows of each key by hash first: every (key, slice)
+    forwards its first cap + 1 rows of a day, and only those meet in the key.
+    A row beyond them is beyond cap + 1 of the key, too, so the result is the
+    same, and a hot key reaches no task whole.
     """
     x = event_time(df, ts)
+    if slices:
+        names = [c for c in df.columns if c not in keys and c not in (ts, seq)]
+        deal = F.pmod(F.xxhash64(F.col(ts), *([F.col(seq)] if seq else [F.lit(0)])), F.lit(int(slices))).cast("int")
+        day = F.unix_micros(F.date_trunc("day", F.col(ts)))
+        first = replay(x.withColumn("evl_slice", deal), [*keys, "evl_slice"], ts, seq, delay, M.Cap(cap + 1, names),
+                       {"day": day, **{c: F.col(c) for c in names}}, event_time_field="ts_out")
+        few = first.where(F.col("tag") == "passed").select(
+            *keys, F.col("ts_out").alias(ts), *([F.col("seq_out").alias(seq)] if seq else []), *names)
+        return stream_click_cap(few, keys, cap, ts, seq, None, carry)
     # keyed by ``keys`` only; the machine resets its count at each UTC day
     # (rows replay in time order), so state is one small value per key
     day = F.unix_micros(F.date_trunc("day", F.col(ts)))
