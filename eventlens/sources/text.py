@@ -8,6 +8,10 @@ line numbers, the same for every split size.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -44,11 +48,16 @@ def read_lines_stream(spark: SparkSession, path: str, max_files: int | None = No
         r = r.option("maxFilesPerTrigger", max_files)
     if not numbered:
         return r.load(path)
-    lines = r.load(path).select("value", F.col("_metadata.file_block_start").alias("_block"))
-    # blocks are 64 KB apart at least (spark.sql.files.maxPartitionBytes), files up to 64 TB
-    place = F.shiftleft(F.shiftright("_block", 16), 33)
-    low = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    return lines.select("value", (place + low).alias("seq")).filter("value <> ''")
+    lines = r.load(path).select("value", F.col("_metadata.file_block_start").alias("block"))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = 0  # a task reads a block's lines in order
+        for b in batches:
+            # blocks are 64 KB apart at least (spark.sql.files.maxPartitionBytes), files up to 64 TB
+            high = pc.shift_left(pc.shift_right(b.column("block"), 16), 33)
+            yield pa.RecordBatch.from_arrays([b.column("value"), pc.add(high, pa.array(range(at, at + b.num_rows), pa.int64()))], ["value", "seq"])
+            at += b.num_rows
+    return lines.mapInArrow(place, "value string, seq long").filter("value <> ''")
 
 
 def socket_stream(spark: SparkSession, host: str, port: int) -> DataFrame:

@@ -156,7 +156,8 @@ def start_refined_topn(counts: DataFrame, key: str, n: int, out_path: str, laten
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        new = batch.select("window_start", "window_end", key, cnt).persist()
+        # a window that closes and takes late rows in one micro-batch is ranked once
+        new = batch.groupBy("window_start", "window_end", key).agg(F.max(cnt).alias(cnt)).persist()
         try:
             earlier = [b for b in _batches(spark, f"{out_path}/open") if b < batch_id]
             windows = new.select("window_end").distinct()

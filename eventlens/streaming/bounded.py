@@ -54,7 +54,8 @@ def stage(df: DataFrame, ts: str, path: str, markers: list[dict], files: int = 3
     wait = duration_us(disorder)
     shift = F.pmod(F.xxhash64(tie), F.lit(wait)) if wait else F.lit(0)
     at = F.greatest(F.least(F.floor((us - F.lit(lo) + shift) / width), F.lit(files - 1)), F.lit(0))
-    at = F.coalesce(F.when(late, F.lit(files - 1)).otherwise(at) if late is not None else at, F.lit(0)).cast("int")
+    at = F.when(late, F.lit(files - 1)).otherwise(at) if late is not None else at
+    at = F.when(us.isNull(), F.lit(0)).otherwise(at).cast("int")
     parts = max(1, min(rows // (files * FILE_ROWS), 4 * spark.sparkContext.defaultParallelism))
     # each (folder, part) is one task and one file, so a micro-batch is known by its number of files
     slot = (F.col("_file") * parts + F.pmod(F.xxhash64(tie, F.lit(7)), F.lit(parts))).cast("int")

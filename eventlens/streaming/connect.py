@@ -37,6 +37,7 @@ class CoMachine:
     from its copies; the carry is any value that pickles.  Results are dicts of ``out`` names."""
 
     out: tuple = ()  # (name, DDL type); None: the type of the input column of that name
+    ordered = True  # False: rows are taken as they come, without waiting for the watermark
 
     def init(self):
         return {}
@@ -74,8 +75,8 @@ class CoProcess(StatefulProcessor):
         wm = wm_ms * 1000
         held += [r for r in fresh if not (wm_ms > 0 and r[0] < wm)]
         # one instant: left rows first, then in the order of the tie column
-        ready = sorted((r for r in held if r[0] < wm), key=lambda r: (r[0], r[1], r[2]))
-        held = [r for r in held if r[0] >= wm]
+        ready = sorted((r for r in held if r[0] < wm or not self.machine.ordered), key=lambda r: (r[0], r[1], r[2]))
+        held = [r for r in held if r[0] >= wm] if self.machine.ordered else []
         out = []
         for ts, side, _, home, values in ready:
             step = self.machine.on_left if side == LEFT else self.machine.on_right
@@ -159,7 +160,10 @@ def connect(left: DataFrame, right: DataFrame, left_keys, right_keys, left_ts: s
 
 
 class Pairing(CoMachine):
-    """Every left row with every right row within ``tolerance``; others alone."""
+    """Every left row with every right row within ``tolerance``, as soon as both are there; others
+    alone, once the watermark has passed all partners they could have had."""
+
+    ordered = False
 
     def __init__(self, tolerance_us: int, left: list[str], right: list[str]):
         self.us, self.left, self.right = tolerance_us, left, right
@@ -171,7 +175,7 @@ class Pairing(CoMachine):
     def _meet(self, c, row: dict, ts: int, home: bool, side: int) -> list:
         out, entry = [], [ts, row, home, False]
         for other in c[RIGHT if side == LEFT else LEFT]:
-            if other[0] >= ts - self.us:
+            if abs(other[0] - ts) <= self.us:
                 entry[3] = other[3] = True
                 if home if side == LEFT else other[2]:  # a pair comes out where its left row is at home
                     out.append({"outcome": "matched", **row, **other[1]})
