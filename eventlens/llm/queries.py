@@ -55,7 +55,7 @@ FROM w LEFT JOIN kept k ON w.doc_id = k.doc_id
 
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page's url by host rules and the weighted vocabulary."""
-    return url_filter.judge(common.table(spark, sf_dir, "pages"))
+    return url_filter.judge(common.table(spark, sf_dir, "pages")).drop("weight")
 
 
 def _terms(terms: list[str], weight: int) -> str:

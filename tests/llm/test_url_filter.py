@@ -40,3 +40,26 @@ def test_null_id_repeats_and_empty_table(spark):
     assert [r.verdict for r in url_filter.judge(df).collect()] == ["block", "block"]
     assert url_filter.judge(df.limit(0)).count() == 0
     assert url_filter.judge(df, rules=[], strict=[], soft=[]).first().verdict == "allow"
+
+
+def test_weighted_terms_of_a_table(spark):
+    rng = random.Random(8)
+    letters = "abcdefghij"
+    terms = {"".join(rng.choice(letters) for _ in range(rng.randint(1, 6))): rng.choice([0.25, 0.5, 1.0, 1.5, 2.0, 5.0]) for _ in range(5000)}
+    table = [(t.upper() if rng.random() < 0.2 else t, w) for t, w in terms.items()]
+    some = list(terms.items())[:40]
+    table += [(None, 2.0), ("", 2.0), ("zzz", None), ("yyy", -1.0), *((t, w / 2) for t, w in some)]
+    words = list(terms) + ["zzz", "yyy", "none"]
+    urls = ["http://a.de/" + rng.choice("-/._").join(rng.choice(words) for _ in range(rng.randint(0, 5))) + rng.choice(["", "q", "1"]) for _ in range(400)]
+    df = spark.createDataFrame([(i, u, "h", "p", "v") for i, u in enumerate(urls)], SCHEMA)
+    vocabulary = spark.createDataFrame(table, "term string, weight double")
+
+    def slow(url):
+        found = {w for w in re.split("[^a-z0-9]+", url.lower()) if w in terms}
+        weights = [terms[t] for t in found]
+        return sum(w >= 2 for w in weights), sum(w < 2 for w in weights), sum(weights), "block" if sum(weights) >= 2 else "allow"
+    for size in (1 << 20, 3000):  # one automaton, and several
+        got = {r.page_id: (r.n_strict, r.n_soft, r.weight, r.verdict) for r in url_filter.judge(df, terms=vocabulary, part_bytes=size).collect()}
+        assert got == {i: slow(u) for i, u in enumerate(urls)}
+    assert len(url_filter.parts(vocabulary, 3000)) > 3
+    assert {r.verdict for r in url_filter.judge(df, terms=vocabulary.limit(0)).collect()} == {"allow"}
