@@ -12,7 +12,10 @@ by one.
 
 The benchmark is taken in blocks of about ``block_bytes`` bytes, each
 sent to the tasks as one bounded index; documents pass the blocks one
-after the other, so its size is free.  Words are numbered by the block's
+after the other, so its size is free.  Every (item, text) is one row, a
+long text several that overlap by a window less one word, and the rows
+are dealt by hash, so neither copies of a text nor a long item make a
+block large.  Words are numbered by the block's
 vocabulary: a document word outside it is no candidate.
 
 Defined results: null or empty text has no words and no hits; repeated
@@ -33,6 +36,8 @@ from . import common
 
 BLOCK_BYTES = 8_000_000
 SHINGLE = 3
+#: Words of a benchmark text that stay in one row.
+PIECE_WORDS = 2000
 #: Bytes that end a word; A-Z is lower-cased first.
 _BREAK = bytes(range(0x30)) + bytes(range(0x3A, 0x61)) + bytes(range(0x7B, 0x80))
 _TO_SPACE = bytes.maketrans(_BREAK, b" " * len(_BREAK))
@@ -155,12 +160,24 @@ def _blocks(docs: DataFrame, benchmark: DataFrame, window: int, block_bytes: int
     that the earlier blocks left."""
     spark = docs.sparkSession
     common.small_batches(spark)
-    bench = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text"))
+    bench = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text")).distinct()
+
+    width = max(PIECE_WORDS, 2 * window)
+
+    def cut(b: pa.RecordBatch) -> pa.RecordBatch:
+        items, texts = [], []
+        for item, text in zip(b.column("item").to_pylist(), b.column("text").to_pylist()):
+            words = _words(text)
+            for s in range(0, max(len(words) - window + 1, 1), width - window + 1):
+                items.append(item)
+                texts.append(b" ".join(words[s:s + width]).decode())
+        return pa.RecordBatch.from_arrays([pa.array(items, pa.string()), pa.array(texts, pa.string())], ["item", "text"])
+    bench = common.materialise(bench.where("text is not null").mapInArrow(common.per_batch(cut), "item string, text string"), "benchmark-pieces")
     size = bench.select(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(size / block_bytes))
 
     def index(k: int, of: DataFrame):
-        part = bench if blocks == 1 else bench.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == k)
+        part = bench if blocks == 1 else bench.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k)
         ix = Index([(r["item"], r["text"]) for r in part.collect()], window)
         ix.order(_rarity(of, spark.sparkContext.broadcast(ix)))
         return spark.sparkContext.broadcast(ix)

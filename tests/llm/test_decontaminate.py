@@ -59,3 +59,18 @@ def test_empty_tables_and_long_text(spark):
     one = spark.createDataFrame([(4, "b a b a b a b a b a")], "item_id long, text string")
     r = decontaminate.contamination(docs, one).first()
     assert (r.n_words, r.n_hit, r["items"]) == (400_000, 399_998, ["4"])
+
+
+def test_long_items_and_copies_do_not_make_a_block_large(spark, monkeypatch):
+    rng = random.Random(5)
+    long = " ".join(f"w{rng.randint(0, 300)}" for _ in range(900))
+    items = [(1, long)] + [(i, "one text that many items of the benchmark share word by word") for i in range(2, 120)]
+    docs = [(i, " ".join(long.split()[s:s + rng.randint(4, 60)]) + " end") for i, s in enumerate(range(0, 880, 11))] + [(500, items[5][1] + " x"), (501, "other words")]
+    df = spark.createDataFrame([(i, t, "", "") for i, t in docs], SCHEMA)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    monkeypatch.setattr(decontaminate, "PIECE_WORDS", 50)
+    blocks = decontaminate._blocks(df.select("text"), bench, 7, 3000, "item_id", "text")
+    sizes = [len(index(df.select("text")).value.word) for _, index in blocks[:2]]
+    assert len(blocks) > 3 and max(sizes) < 330
+    got = sorted((repr(r.doc_id), r.n_words, r.n_hit, list(r["items"])) for r in decontaminate.contamination(df, bench, 7, 8000).collect())
+    assert got == brute(docs, items, 7)
