@@ -19,8 +19,8 @@ of all rows would stall that task, so hot keys are spread further:
 5. the summary is joined back on the columns the data is partitioned by.
 
 Whether any key is hot is looked up when the plan is built (a row count,
-and only above the limit a count per key); without one the plan is the
-plain window alone.  Results equal the single-window form exactly,
+and only above the limit a count per key, which is written and used
+again); without one the plan is the plain window alone.  Results equal the single-window form exactly,
 whatever the bucket width or limit.
 """
 
@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlens.functions.time import bucket_of
+from eventlens.session import scratch_path
 
 DEFAULT_BUCKET = "1 hour"
 DEFAULT_SPLIT_ROWS = 4_000_000   # a key, or a place of a hot key, above this is split
@@ -67,20 +68,26 @@ def _cut(x: DataFrame, kc: list, at: list, value: Column, name: str, split_rows:
     return j.withColumn(name, F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col("_v"))), F.lit(0))).drop("_v", "_cuts")
 
 
-def _any_hot(df: DataFrame, keys: list, split_rows: int) -> bool:
-    if df.count() <= split_rows:
-        return False
-    return not df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_hn")).where(F.col("_hn") > int(split_rows)).isEmpty()
+def _hot_keys(x: DataFrame, kc: list, split_rows: int) -> DataFrame | None:
+    """The keys above ``split_rows``, counted once and written, or None without any."""
+    if x.count() <= split_rows:
+        return None
+    counts = x.groupBy(*kc).agg(F.count(F.lit(1)).alias("_hn")).where(F.col("_hn") > int(split_rows))
+    path = scratch_path(x.sparkSession, "hot-keys")
+    counts.orderBy(F.col("_hn").desc(), *kc).limit(MAX_HOT).write.parquet(path)
+    hot = x.sparkSession.read.schema(counts.schema).parquet(path)
+    return None if hot.isEmpty() else hot
 
 
 def _placed(df: DataFrame, keys: list, ts: str, seqs: list, bucket, split_rows) -> tuple[DataFrame, list]:
     """Rows with their key columns, ``_hot`` and place."""
     x, kc = _key_columns(df, keys)
     one = {"_b": F.lit(0).cast("long"), "_s": F.lit(0), "_t": F.lit(0)}
-    if not split_rows or not _any_hot(df, keys, split_rows):
+    counted = _hot_keys(x, kc, split_rows) if split_rows else None
+    if counted is None:
         return x.withColumns({"_hot": F.lit(False), **one}), kc
-    hot = (x.groupBy(*kc).agg(F.count(F.lit(1)).alias("_hn")).where(F.col("_hn") > int(split_rows))
-           .orderBy(F.col("_hn").desc(), *kc).limit(MAX_HOT).select(*kc, F.lit(True).alias("_hot")))
+    # the limit is that of the written table, said again for the broadcast
+    hot = counted.limit(MAX_HOT).select(*kc, F.lit(True).alias("_hot"))
     x = x.join(F.broadcast(hot), kc, "left").withColumn("_hot", F.coalesce("_hot", F.lit(False)))
     x = x.withColumn("_b", F.when(F.col("_hot"), F.coalesce(bucket_of(ts, bucket), F.lit(-(1 << 62)))).otherwise(one["_b"]))
     us = F.unix_micros(F.col(ts).cast("timestamp"))
