@@ -65,7 +65,9 @@ _WORD = re.compile(r"[^\W\d_]+")
 _SHOUT = re.compile(r"\b[^\W\d_a-z]{2,}\b")
 _MARKS = re.compile(r"[!?]{2,}")
 _MIXED = re.compile(r"[^\W\d_]+(?:[0-9@$!|+*]+|[.\-_](?=[^\W\d_]))(?:[0-9@$!|+*.\-_]|[^\W\d_])*[^\W\d_]|[0-9@$!|+]+[^\W\d_][0-9@$!|+*]*[^\W\d_]+")
-_DRAWN = re.compile(r"[^\W\d_]*?([^\W\d_])\1\1[^\W\d_]*")
+#: What every mixed form holds: a digit or symbol before a letter.
+_INNER = re.compile(r"[0-9@$!|+*.\-_][^\W\d_]")
+_DRAWN = re.compile(r"(.)\1\1")
 _SAME = re.compile(r"(.)\1{2,}")
 _SPACED = re.compile(r"(?<![^\W_])[^\W\d_](?:[ .\-_*][^\W\d_]){3,}(?![^\W_])")
 _APART = re.compile(r"[ .\-_*]")
@@ -79,15 +81,15 @@ def entries(word: str) -> list[str]:
 @dataclass
 class Lexicon:
     weights: dict[str, float]
-    seen: dict[str, float] = field(default_factory=dict, repr=False)
+    seen: dict[str, tuple[float, bool]] = field(default_factory=dict, repr=False)
 
-    def weight(self, word: str) -> float:
-        """The largest weight of a word's entries; 0 for a word without any."""
+    def of(self, word: str) -> tuple[float, bool]:
+        """The largest weight of a word's entries (0 without any), and whether a letter is drawn out."""
         w = self.seen.get(word)
         if w is None:
             if len(self.seen) > 300_000:
                 self.seen.clear()
-            w = self.seen[word] = max((self.weights.get(e, 0.0) for e in entries(word)), default=0.0)
+            w = self.seen[word] = max((self.weights.get(e, 0.0) for e in entries(word)), default=0.0), bool(_DRAWN.search(word))
         return w
 
     def bad(self, word: str) -> bool:
@@ -99,12 +101,24 @@ class Lexicon:
         return any(len(x) == len(word) and fits(x) and self.bad(x) for x in (*INSULTS, *self.weights))
 
 
-def _revealed(low: str, lexicon: Lexicon) -> tuple[int, int, int, int]:
-    """(mixed, drawn, spaced, those of them that hide a bad word) of a lower-cased text."""
-    forms: Counter[str] = Counter()
-    mixed, drawn, spaced = _MIXED.findall(low), [m[0] for m in _DRAWN.finditer(low)], _SPACED.findall(low)
+def _mixed(low: str) -> list[str]:
+    """Words with digits or symbols among their letters; only what stands between blanks there is looked at."""
+    out, end = [], 0
+    for m in _INNER.finditer(low):
+        at = m.start()
+        if at >= end:
+            start = low.rfind(" ", end, at) + 1 or end
+            end = low.find(" ", at)
+            end = len(low) if end < 0 else end
+            out += _MIXED.findall(low, start, end)
+    return out
+
+
+def _revealed(low: str, drawn: dict[str, int], lexicon: Lexicon) -> tuple[int, int, int]:
+    """(mixed, spaced, those and the drawn ones that hide a bad word) of a lower-cased text."""
+    forms: Counter[str] = Counter(drawn)
+    mixed, spaced = _mixed(low), _SPACED.findall(low)
     forms.update(mixed)
-    forms.update(drawn)
     forms.update(spaced)
     hits, apart = 0, set(spaced)
     for form, n in forms.items():
@@ -116,7 +130,7 @@ def _revealed(low: str, lexicon: Lexicon) -> tuple[int, int, int, int]:
         if not found and "*" in form and sum(c.isalpha() for c in form) >= 2 and all(c.isalpha() or c == "*" for c in form):
             found = lexicon.starred(form)
         hits += n * found
-    return len(mixed), len(drawn), len(spaced), hits
+    return len(mixed), len(spaced), hits
 
 
 def features(text: str | None, lexicon: Lexicon) -> list[float]:
@@ -130,9 +144,11 @@ def features(text: str | None, lexicon: Lexicon) -> list[float]:
     counts = Counter(words)
     known = strong = mild = distinct = 0
     total = top = 0.0
-    hit = set()
+    hit, drawn = set(), {}
     for w, k in counts.items():
-        x = lexicon.weight(w)
+        x, long = lexicon.of(w)
+        if long:
+            drawn[w] = k
         if w in INSULTS:
             known += k
             hit.add(w)
@@ -155,11 +171,11 @@ def features(text: str | None, lexicon: Lexicon) -> list[float]:
                 near += k < len(at) and at[k] <= i + NEAR
     letters = sum(map(len, words))
     upper = sum(map(len, re.findall("[A-Z]+", text)))
-    mixed, drawn, spaced, revealed = _revealed(low, lexicon)
+    mixed, spaced, revealed = _revealed(low, drawn, lexicon)
     log = math.log1p
     return [known / n, log(known), strong / n, log(strong), mild / n, log(mild), total / n, top, log(distinct), near / n, log(near), second / n,
             upper / letters, len(_SHOUT.findall(text)) / n, text.count("!") / n, text.count("?") / n, len(_MARKS.findall(text)) / n,
-            sum(map(text.count, "#@$%&*")) / n, mixed / n, drawn / n, spaced / n, log(revealed), revealed / n,
+            sum(map(text.count, "#@$%&*")) / n, mixed / n, sum(drawn.values()) / n, spaced / n, log(revealed), revealed / n,
             log(n), letters / n, len(counts) / n]
 
 
