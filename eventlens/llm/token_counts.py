@@ -44,6 +44,9 @@ CHUNK = 256
 BLOCK_CHARS = 1 << 20
 MAX_CELLS = 32_000_000
 _NEVER = 1 << 60
+#: Lanes from which stepping all at once is worth it; fewer (long unbroken words) run one by one.
+FEW = 24
+
 
 class TokenTransducer:
     """Lazily compiled transducer over the bytes of words."""
@@ -95,15 +98,31 @@ class TokenTransducer:
             for b in t:
                 self.below[at].append(t)
                 at = self.child[at * 256 + b]
-        self.open: dict[tuple[int, bytes], bool] = {}
         self.reset()
 
     def reset(self) -> None:
         self.column = np.full(256, -1, np.int64)
         self.columns, self.width = 0, 64
+        self._forget(None)
+
+    def _forget(self, state: int | None) -> int:
+        """Drop all transitions; the columns stay.  Returns the new number of ``state``."""
+        kept = None if state is None else self.states[state]
         self.table = np.zeros(1024 * self.width, np.int32)
         self.states = [(), ((0, b"", 0),)]
         self.number = {self.states[1]: self.START}
+        self.open: dict[tuple[int, bytes], bool] = {}
+        return self.START if kept is None else self._number(kept)
+
+    def _number(self, state: tuple) -> int:
+        """The number of a state, a new one where it has none."""
+        number = self.number.get(state)
+        if number is None:
+            number = self.number[state] = len(self.states)
+            self.states.append(state)
+            if len(self.states) * self.width > len(self.table):
+                self.table = np.concatenate([self.table, np.zeros(len(self.table), np.int32)])
+        return number
 
     def _fits(self, left: bytes, token: bytes) -> bool:
         """Whether the two tokens are the encoding of their bytes: no part at
@@ -140,13 +159,7 @@ class TokenTransducer:
         t, change = last
         # only suffixes that some token continues matter
         new = ((0, t, 0), *((node, left, d - change) for node, left, d in grown))
-        number = self.number.get(new)
-        if number is None:
-            number = self.number[new] = len(self.states)
-            self.states.append(new)
-            if len(self.states) * self.width > len(self.table):
-                self.table = np.concatenate([self.table, np.zeros(len(self.table), np.int32)])
-        return number * 512 + change + 256
+        return self._number(new) * 512 + change + 256
 
     def _columns(self, data: np.ndarray) -> np.ndarray:
         """Dense column of each byte; the table widens for bytes not met before."""
@@ -179,6 +192,12 @@ class TokenTransducer:
         shorter = -length
         for t in range(int(length[0])):
             n = int(np.searchsorted(shorter, -t))
+            if n <= FEW:
+                # by what they hold: a lane may drop the table, and with it the numbers of the others
+                held = [self.states[s] for s in state[:n].tolist()]
+                for lo, size, s in zip(first[:n].tolist(), length[:n].tolist(), held):
+                    self._alone(columns[lo + t:lo + size], starts[lo + t:lo + size], self._number(s), byte_of, change[lo + t:lo + size])
+                break
             pos = first[:n] + t
             state = state[:n]
             state[starts[pos]] = self.START
@@ -193,6 +212,22 @@ class TokenTransducer:
             change[pos] = (value & 511) - 256
         return change
 
+    def _alone(self, columns: np.ndarray, starts: np.ndarray, state: int, byte_of: np.ndarray, change: np.ndarray) -> None:
+        """One lane, byte by byte, from a state."""
+        out = []
+        for lo in range(0, len(columns), 1 << 16):
+            if len(self.table) > MAX_CELLS:  # a word may meet new states all along
+                state = self._forget(state)
+            for c, start in zip(columns[lo:lo + (1 << 16)].tolist(), starts[lo:lo + (1 << 16)].tolist()):
+                cell = (self.START if start else state) * self.width + c
+                value = self.table.item(cell)
+                if not value:
+                    value = self.table[cell] = self._put(cell, byte_of)
+                state = value >> 9
+                out.append((value & 511) - 256)
+            change[lo:lo + len(out)] = out
+            out.clear()
+
     def _put(self, cell: int, byte_of: np.ndarray) -> int:
         return self._step(cell // self.width, int(byte_of[cell % self.width]))
 

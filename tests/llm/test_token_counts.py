@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -69,3 +70,19 @@ def test_table(spark, library):
     counts = library([r[1] for r in rows])
     assert got == sorted((repr(r[0]), len((r[1] or "").encode()), n, n > 50) for r, n in zip(rows, counts))
     assert token_counts.token_counts(df.limit(0), PATH).count() == 0
+
+
+def test_unbroken_words(library, monkeypatch):
+    rng = random.Random(11)
+    long = ["a" * 70_000, "".join(rng.choice("abcdefghij") for _ in range(300_000)), "é" * 40_000, "東京" * 20_000, "x" + "-=" * 30_000,
+            "ab" * 20_000 + " end of it", "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(30_000))]
+    want = library(long)
+    began = time.perf_counter()
+    assert token_counts.count_texts(PATH, long) == want
+    assert time.perf_counter() - began < 30  # a byte at a time through numpy took 20 µs each
+    monkeypatch.setattr(token_counts, "MAX_CELLS", 200_000)  # the table is dropped on the way
+    assert token_counts.count_texts(PATH, long) == want
+    for few in (0, 1, 1000):
+        monkeypatch.setattr(token_counts, "FEW", few)
+        assert token_counts.count_texts(PATH, [long[2], long[4][:5000], "some words " * 500, long[1][:3000]]) == library(
+            [long[2], long[4][:5000], "some words " * 500, long[1][:3000]])
