@@ -16,7 +16,7 @@ its own, and inside it every checkpoint starts an independent lane: all
 lanes step together through a lookup table of ``MAX_BITS`` bits.
 
 Defined results: null or empty text is the end id alone; rows of one
-doc_id are ordered by their ids' checksum, a null doc_id comes first;
+doc_id are ordered by the hash of their texts, a null doc_id comes first;
 an empty table gives files without blocks.
 """
 
