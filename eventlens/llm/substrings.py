@@ -12,9 +12,13 @@ its word sequence (smallest document, then start) marks its words.
    nominated again, by the hash of the whole window, and travel one by one.
 2. *Segments.*  Documents are dealt into blocks; a block that holds
    recurring anchors sends the words of their windows to the anchor's
-   shard, and recurring windows of hot anchors to the window's own shard.  Within a block only the first copy of a segment travels:
-   the later ones are repeats whatever the others hold.  A passage that
-   a third of all documents share is thus one small row per block.
+   shard, and recurring windows of hot anchors to the window's own shard.
+   Within a block only the first copy of a segment travels: the later
+   ones are repeats whatever the others hold.  A passage that a third of
+   all documents share is thus one small row per block.  Windows of hot
+   anchors are merged the same way over ``MERGE_BLOCKS`` blocks at a
+   time, level by level, so that what lies in every block does not fill
+   its shard.
 3. *Automata.*  A shard confirms the recurring passages (runs of windows
    that occur again) word by word, compiles them into one Aho-Corasick
    automaton (a word is one letter of the shard's own alphabet) whose
@@ -25,8 +29,9 @@ its word sequence (smallest document, then start) marks its words.
 Shards and blocks are sized by counts, so both grow in number, not in
 size, with the corpus: an anchor brings a shard at most as many segments
 as a shard is sized for (or a millionth of all, as the list of hot
-anchors is bounded), a window of a hot anchor one row a block.  Hashes only nominate candidates; what is removed
-was equal word for word.
+anchors is bounded), a window of a hot anchor at most ``MERGE_BLOCKS``
+rows.  Hashes only nominate candidates; what is removed was equal word
+for word.
 
 Defined results: null or empty text has no words, and keeps the empty
 text; rows of one doc_id and different text are ordered by a hash of the
@@ -55,6 +60,8 @@ SHARD_SEGMENTS = 20_000
 NO_ID = -(1 << 63)
 ONE_LETTER = 900_000
 HOT_ANCHORS = 1_000_000
+#: Blocks whose copies of a hot window are merged at a time.
+MERGE_BLOCKS = 512
 
 
 def _tie(text: bytes) -> int:
@@ -207,7 +214,7 @@ def _segments(docs: pa.Table, recurring: pa.Table, window: int, gram: int, shard
     rec = np.unique(recurring.column("anchor").to_numpy())
     block = docs.column("block")[0].as_py() if docs.num_rows else None
     sent: dict[bytes, None] = {}
-    out: dict[int, tuple[list, list]] = {}
+    out: dict[tuple, tuple[list, list]] = {}
     later: list[tuple] = []
     for (doc, tie), words in _documents(docs) if len(rec) else ():
         if len(words) < window:
@@ -218,8 +225,9 @@ def _segments(docs: pa.Table, recurring: pa.Table, window: int, gram: int, shard
         own, at = _hot_windows(h, window, lo[warm], hi[warm])
         found, again = _among(a, rec) & ~warm, _among(own, rec)
         own, at = own[again], at[again]
-        for anchor, s, e in zip(np.concatenate([a[found], own]).tolist(), np.concatenate([lo[found], at]).tolist(),
-                                np.concatenate([hi[found], at]).tolist()):
+        single = np.repeat([False, True], [int(found.sum()), len(own)])
+        for anchor, one, s, e in zip(np.concatenate([a[found], own]).tolist(), single.tolist(), np.concatenate([lo[found], at]).tolist(),
+                                     np.concatenate([hi[found], at]).tolist()):
             text = b" ".join(words[s:e + window])
             if text in sent:
                 if later and later[-1][:2] == (doc, tie) and later[-1][3] == s - 1:
@@ -228,14 +236,51 @@ def _segments(docs: pa.Table, recurring: pa.Table, window: int, gram: int, shard
                     later.append((doc, tie, s, e))
             else:
                 sent[text] = None
-                keys, texts = out.setdefault(anchor % shards, ([], []))
+                keys, texts = out.setdefault((anchor % shards, one), ([], []))
                 keys.append((doc, tie, s))
                 texts.append(text)
-    rows = [(s, block, False, _pack(*x)) for s, x in out.items()]
+    rows = [(s, block, one, False, _pack(*x)) for (s, one), x in out.items()]
     if later:
-        rows.append((block % shards, block, True, _pack(later)))
-    return pa.table({"shard": pa.array([r[0] for r in rows], pa.int32()), "block": pa.array([r[1] for r in rows], pa.int32()),
-                     "done": pa.array([r[2] for r in rows], pa.bool_()), "blob": pa.array([r[3] for r in rows], pa.binary())})
+        rows.append((block % shards, block, False, True, _pack(later)))
+    return _segment_rows(rows)
+
+
+def _segment_rows(rows: list[tuple]) -> pa.Table:
+    names, types = ("shard", "block", "hot", "done", "blob"), (pa.int32(), pa.int32(), pa.bool_(), pa.bool_(), pa.binary())
+    return pa.table({n: pa.array([r[i] for r in rows], t) for i, (n, t) in enumerate(zip(names, types))})
+
+
+def _merge(t: pa.Table) -> pa.Table:
+    """One shard's hot windows of a group of blocks: the earliest copy of each stays, the others are repeats."""
+    first: dict[bytes, tuple] = {}
+    later: dict[int, list] = {}
+    for block, blob in zip(t.column("block").to_pylist(), t.column("blob").to_pylist()):
+        keys, body = _unpack(blob)
+        for key, text in zip(keys.tolist(), body.split(b"\n")):
+            here = (*key, block)
+            was = first.setdefault(text, here)
+            if was is not here:
+                first[text], (doc, tie, start, at) = min(was, here), max(was, here)
+                later.setdefault(at, []).append((doc, tie, start, start))
+    shard = t.column("shard")[0].as_py()
+    left: dict[int, tuple[list, list]] = {}
+    for text, (doc, tie, start, block) in first.items():
+        keys, texts = left.setdefault(block, ([], []))
+        keys.append((doc, tie, start))
+        texts.append(text)
+    return _segment_rows([(shard, block, True, False, _pack(*x)) for block, x in left.items()]
+                         + [(shard, block, False, True, _pack(_joined(x))) for block, x in later.items()])
+
+
+def _joined(ranges: list[tuple]) -> list[tuple]:
+    """Ranges of one document that follow each other, as one."""
+    out: list[tuple] = []
+    for doc, tie, s, e in sorted(ranges):
+        if out and out[-1][:2] == (doc, tie) and s <= out[-1][3] + 1:
+            out[-1] = (*out[-1][:3], max(e, out[-1][3]))
+        else:
+            out.append((doc, tie, s, e))
+    return out
 
 
 def _locate(t: pa.Table, window: int) -> pa.Table:
@@ -359,8 +404,8 @@ def _digest(t: pa.Table) -> pa.Table:
     return t.drop_columns("kept").append_column("kept_sha256", pa.array([hashlib.sha256(k.encode()).hexdigest() for k in kept], pa.string()))
 
 
-def _sharded(docs: DataFrame, packed: DataFrame, window: int, gram: int, shard_segments: int) -> DataFrame:
-    """Segments by shard: (shard, block, done, blob)."""
+def _sharded(docs: DataFrame, packed: DataFrame, window: int, gram: int, shard_segments: int, blocks: int) -> DataFrame:
+    """Segments by shard: (shard, block, hot, done, blob)."""
     spark = docs.sparkSession
     recurring = _recurring(_anchor_rows(docs, window, gram), "repeat-anchors")
     rows, most = recurring.agg(F.count("*"), F.sum("d")).first()
@@ -371,8 +416,16 @@ def _sharded(docs: DataFrame, packed: DataFrame, window: int, gram: int, shard_s
         windows = _recurring(_anchor_rows(docs, window, gram, hot), "repeat-windows")
         recurring, keys = recurring.union(windows.select("block", "anchor")), rows + windows.count()
     shards = max(2 * spark.sparkContext.defaultParallelism, math.ceil(keys / shard_segments))
-    return (packed.groupBy("block").cogroup(recurring.groupBy("block"))
-            .applyInArrow(lambda a, b: _segments(a, b, window, gram, shards, hot), "shard int, block int, done boolean, blob binary"))
+    schema = "shard int, block int, hot boolean, done boolean, blob binary"
+    out = (packed.groupBy("block").cogroup(recurring.groupBy("block"))
+           .applyInArrow(lambda a, b: _segments(a, b, window, gram, shards, hot), schema))
+    span = MERGE_BLOCKS
+    while len(hot) and blocks > span:
+        out = common.materialise(out, "segments")
+        merged = (out.where("hot").groupBy("shard", F.floor(F.col("block") / span).alias("group"))
+                  .applyInArrow(_merge, schema))
+        out, span = out.where("not hot").union(merged), span * MERGE_BLOCKS
+    return out
 
 
 def remove_repeats(docs: DataFrame, window: int = 20, gram: int = GRAM, block_bytes: int = BLOCK_BYTES,
@@ -389,7 +442,7 @@ def remove_repeats(docs: DataFrame, window: int = 20, gram: int = GRAM, block_by
     blocks = max(2 * slots, math.ceil(size / block_bytes))
     docs = _with_block(docs, blocks)
     packed = _packed(docs)
-    segments = _sharded(docs, packed, window, gram, shard_segments)
+    segments = _sharded(docs, packed, window, gram, shard_segments, blocks)
     ranges = segments.groupBy("shard").applyInArrow(lambda t: _locate(t, window), "block int, ranges binary")
     last = "kept_sha256 string" if digest else "kept string"
     return packed.groupBy("block").cogroup(ranges.groupBy("block")).applyInArrow(

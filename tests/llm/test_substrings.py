@@ -54,13 +54,36 @@ def test_a_common_phrase_does_not_fill_a_shard(spark):
     df = spark.createDataFrame([(i, t, "x", "y") for i, t in rows], SCHEMA)
     docs = substrings._with_block(df, 8)
     sent = {}
-    for r in substrings._sharded(docs, substrings._packed(docs), 20, 6, 40).where("not done").collect():
+    for r in substrings._sharded(docs, substrings._packed(docs), 20, 6, 40, 8).where("not done").collect():
         sent[r.shard] = sent.get(r.shard, 0) + len(substrings._unpack(r.blob)[0])
     assert max(sent.values()) < 100  # of the 200 documents with the phrase
     got = {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in substrings.remove_repeats(df, shard_segments=40).collect()}
     assert got == brute(rows, 20)
 
 
+def test_a_window_of_every_block_does_not_fill_a_shard(spark, monkeypatch):
+    rng = random.Random(9)
+    notice = [f"n{i}" for i in range(24)]
+
+    def text(i):
+        own = [f"w{rng.randint(0, 10**6)}" for _ in range(30)]
+        return " ".join(own[:i % 30] + notice + own[i % 30:])
+    rows = [(7 * i % 1009, text(i)) for i in range(300)]
+    rows += [(2000, rows[4][1] + " " + rows[9][1]), (2001, rows[0][1])]
+    df = spark.createDataFrame([(i, t, "x", "y") for i, t in rows], SCHEMA)
+    monkeypatch.setattr(substrings, "MERGE_BLOCKS", 4)
+    docs = substrings._with_block(df, 64)
+    copies = {}
+    for r in substrings._sharded(docs, substrings._packed(docs), 20, 6, 40, 64).where("hot").collect():
+        for s in substrings._unpack(r.blob)[1].split(b"\n"):
+            copies[s] = copies.get(s, 0) + 1
+    whole = [" ".join(notice[k:k + 20]).encode() for k in range(5)]
+    assert all(1 <= copies[w] <= 4 for w in whole)  # of 64 blocks
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept)
+           for r in substrings.remove_repeats(df, block_bytes=600, shard_segments=40).collect()}
+    assert got == brute(rows, 20)
+
+
 def test_two_letter_alphabet_gives_the_same(monkeypatch):
     import pyarrow as pa
     words = [f"w{i % 50}" for i in range(400)]
