@@ -11,12 +11,19 @@ length bound those that run past it, and the words left are compared one
 by one.
 
 The benchmark is taken in blocks of about ``block_bytes`` bytes, each
-sent to the tasks as one bounded index; documents pass the blocks one
-after the other, so its size is free.  Every (item, text) is one row, a
-long text several that overlap by a window less one word, and the rows
-are dealt by hash, so neither copies of a text nor a long item make a
-block large.  Words are numbered by the block's
-vocabulary: a document word outside it is no candidate.
+sent to the tasks as one bounded index; documents pass up to
+``max_blocks`` of them one after the other.  Every (item, text) is one
+row, a long text several that overlap by a window less one word, and the
+rows are dealt by hash, so neither copies of a text nor a long item make
+a block large.  Words are numbered by the block's vocabulary: a document
+word outside it is no candidate.
+
+A larger benchmark is shuffled instead, and the documents are read three
+times whatever its size: once to count its shingles, once to send the
+words around each prefix shingle to the windows that own it, and once to
+take the hits.  A bit table of ``FILTER_BITS`` bits, the only thing sent
+to every task, keeps most other shingles at home.  Equal texts have
+equal hits, so they travel once, under the SHA-256 of the text.
 
 Defined results: null or empty text has no words and no hits; repeated
 items count once per item_id; an item with a null id can be hit but has
@@ -29,13 +36,19 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
 
 BLOCK_BYTES = 8_000_000
+MAX_BLOCKS = 4
 SHINGLE = 3
+#: Size of the bit table of shingles: a power of two.
+FILTER_BITS = 1 << 27
+#: Rows of a batch that a task makes.
+ROWS = 20_000
 #: Words of a benchmark text that stay in one row.
 PIECE_WORDS = 2000
 #: Bytes that end a word; A-Z is lower-cased first.
@@ -153,14 +166,10 @@ def _rarity(docs: DataFrame, index) -> np.ndarray:
     return counts
 
 
-def _blocks(docs: DataFrame, benchmark: DataFrame, window: int, block_bytes: int, item_col: str, text_col: str):
-    """Whether it is the last, and how to get the shared index, of each block.
-
-    The index is built when asked for: its order counts the documents
-    that the earlier blocks left."""
-    spark = docs.sparkSession
-    common.small_batches(spark)
-    bench = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text")).distinct()
+def _pieces(benchmark: DataFrame, window: int, block_bytes: int, item_col: str, text_col: str) -> tuple[DataFrame, int]:
+    """(item, text) in pieces of bounded size, and the number of blocks they fill."""
+    common.small_batches(benchmark.sparkSession)
+    bench = benchmark.select(F.col(f"`{item_col}`").cast("string").alias("item"), F.col(f"`{text_col}`").cast("string").alias("text")).distinct()
 
     width = max(PIECE_WORDS, 2 * window)
 
@@ -174,7 +183,15 @@ def _blocks(docs: DataFrame, benchmark: DataFrame, window: int, block_bytes: int
         return pa.RecordBatch.from_arrays([pa.array(items, pa.string()), pa.array(texts, pa.string())], ["item", "text"])
     bench = common.materialise(bench.where("text is not null").mapInArrow(common.per_batch(cut), "item string, text string"), "benchmark-pieces")
     size = bench.select(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, math.ceil(size / block_bytes))
+    return bench, max(1, math.ceil(size / block_bytes))
+
+
+def _blocks(bench: DataFrame, blocks: int, window: int):
+    """Whether it is the last, and how to get the shared index, of each block of pieces.
+
+    The index is built when asked for: its order counts the documents
+    that the earlier blocks left."""
+    spark = bench.sparkSession
 
     def index(k: int, of: DataFrame):
         part = bench if blocks == 1 else bench.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k)
@@ -184,14 +201,153 @@ def _blocks(docs: DataFrame, benchmark: DataFrame, window: int, block_bytes: int
     return [(k + 1 == blocks, lambda of, k=k: index(k, of)) for k in range(blocks)]
 
 
+def _word_hashes(words: list[bytes]) -> np.ndarray:
+    return np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
+
+
+def _shingle_keys(h: np.ndarray, k: int) -> np.ndarray:
+    """A hash of every run of ``k`` words, from the words' hashes."""
+    n = max(len(h) - k + 1, 0)
+    key = np.full(n, k, np.uint64)
+    for i in range(k):
+        key = (key ^ h[i:i + n]) * np.uint64(0x9E3779B97F4A7C15)
+        key ^= key >> np.uint64(31)
+    return key.view(np.int64)
+
+
+def _item_windows(bench: DataFrame, window: int) -> DataFrame:
+    """(phrase, item, n, keys): the windows of the pieces, each with its shingles."""
+    types = {"phrase": pa.string(), "item": pa.string(), "n": pa.int32(), "keys": pa.list_(pa.int64())}
+
+    def run(batches):
+        rows: list[tuple] = []
+
+        def flush():
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types.values())], list(types))
+        for b in batches:
+            for item, text in zip(b.column("item").to_pylist(), b.column("text").to_pylist()):
+                words = _words(text)
+                n = min(window, len(words))
+                k = min(SHINGLE, n)
+                keys = _shingle_keys(_word_hashes(words), k) if n else None
+                for s in range(len(words) - n + 1 if n else 0):
+                    rows.append((b" ".join(words[s:s + n]).decode(), item, n, keys[s:s + n - k + 1].tolist()))
+                if len(rows) >= ROWS:
+                    yield flush()
+                    rows.clear()
+        if rows:
+            yield flush()
+    return bench.mapInArrow(run, "phrase string, item string, n int, keys array<long>")
+
+
+def _members(keys: DataFrame):
+    """A shared bit table of the column ``key``: what is not in it is no member."""
+    spark = keys.sparkSession
+    place = F.col("key").bitwiseAND(F.lit(FILTER_BITS - 1))
+    words = (keys.select(F.shiftright(place, 6).alias("word"), place.bitwiseAND(F.lit(63)).cast("int").alias("bit"))
+             .groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")).toArrow())
+    table = np.zeros(FILTER_BITS // 64, np.int64)
+    table[words["word"].to_numpy()] = words["bits"].to_numpy()
+    return spark.sparkContext.broadcast(table.view(np.uint64))
+
+
+def _among(keys: np.ndarray, table: np.ndarray) -> np.ndarray:
+    place = keys.view(np.uint64) & np.uint64(64 * len(table) - 1)
+    return (table[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) > 0
+
+
+def _occurrences(texts: DataFrame, members, sizes: list[int]) -> DataFrame:
+    """(key, seen) over all documents, summed by batch first."""
+    def batch(b: pa.RecordBatch) -> pa.RecordBatch:
+        found = [np.empty(0, np.int64)]
+        for t in b.column("text"):
+            h = _word_hashes(_words(t.as_py()))
+            for k in sizes:
+                keys = _shingle_keys(h, k)
+                found.append(keys[_among(keys, members.value)])
+        keys, n = np.unique(np.concatenate(found), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64))], ["key", "n"])
+    return texts.select("text").mapInArrow(common.per_batch(batch), "key long, n long").groupBy("key").agg(F.sum("n").alias("seen"))
+
+
+def _candidates(texts: DataFrame, members, sizes: list[int], window: int) -> DataFrame:
+    """(sha, key, at, lo, around): the words around each shingle that may be a prefix."""
+    types = {"sha": pa.string(), "key": pa.int64(), "at": pa.int32(), "lo": pa.int32(), "around": pa.list_(pa.string())}
+
+    def run(batches):
+        rows: list[tuple] = []
+
+        def flush():
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types.values())], list(types))
+        for b in batches:
+            for sha, t in zip(b.column("sha").to_pylist(), b.column("text")):
+                words = _words(t.as_py())
+                h = _word_hashes(words)
+                for k in sizes:
+                    keys = _shingle_keys(h, k)
+                    for at in np.flatnonzero(_among(keys, members.value)).tolist():
+                        lo = max(0, at - window + 1)
+                        rows.append((sha, int(keys[at]), at, lo, [w.decode() for w in words[lo:at + window]]))
+                        if len(rows) >= ROWS:
+                            yield flush()
+                            rows.clear()
+        if rows:
+            yield flush()
+    return (texts.mapInArrow(run, "sha string, key long, at int, lo int, around array<string>")
+            .dropDuplicates(["sha", "key", "at"]))
+
+
+def _shuffled_hits(texts: DataFrame, bench: DataFrame, window: int) -> DataFrame:
+    """(sha, n_hit, items) of the texts with hits; ``bench`` holds the pieces."""
+    texts = texts.where("text is not null").select(F.sha2("text", 256).alias("sha"), "text")
+    windows = common.materialise(_item_windows(bench, window), "benchmark-windows")
+    phrases = windows.select("phrase", "n", "keys").dropDuplicates(["phrase"])
+    sizes = sorted(r[0] for r in windows.select(F.least("n", F.lit(SHINGLE))).distinct().collect())
+    shingles = phrases.select("phrase", "n", F.posexplode("keys").alias("offset", "key"))
+
+    seen = _occurrences(texts, _members(shingles.select("key")), sizes)
+    rarest = F.min(F.struct(F.coalesce("seen", F.lit(0)).alias("seen"), "key", "offset")).alias("p")
+    prefix = shingles.join(seen, "key", "left").groupBy("phrase", "n").agg(rarest)
+    # a shingle that no document has leads to no hit
+    prefix = common.materialise(prefix.where("p.seen > 0").select("p.key", "p.offset", "phrase", "n"), "benchmark-prefixes")
+
+    start = F.col("at") - F.col("offset")
+    there = F.slice("around", F.greatest(start - F.col("lo") + 1, F.lit(1)), F.col("n"))
+    hits = (_candidates(texts, _members(prefix.select("key")), sizes, window).join(prefix, "key")
+            .where((start >= 0) & (F.array_join(there, " ") == F.col("phrase")))
+            .select("sha", start.alias("start"), "n", "phrase"))
+    hits = common.materialise(hits, "benchmark-hits")
+
+    before = Window.partitionBy("sha").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    end = F.col("start") + F.col("n")
+    new = F.greatest(end - F.greatest("start", F.coalesce(F.max(end).over(before), "start")), F.lit(0))
+    n_hit = (hits.groupBy("sha", "start").agg(F.max("n").alias("n")).select("sha", new.alias("new"))
+             .groupBy("sha").agg(F.sum("new").alias("n_hit")))
+    names = windows.where("item is not null").select("phrase", "item").distinct()
+    items = (hits.select("sha", "phrase").distinct().join(names, "phrase")
+             .groupBy("sha").agg(F.sort_array(F.collect_set("item")).alias("items")))
+    return n_hit.join(items, "sha", "left")
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_bytes: int = BLOCK_BYTES,
-                  item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+                  item_col: str = "item_id", item_text_col: str = "text", max_blocks: int = MAX_BLOCKS) -> DataFrame:
     """(doc_id, n_words, n_hit, items): one row per input row.
 
     ``n_hit`` words lie inside an occurrence of a benchmark window;
-    ``items`` are the item ids with such windows, sorted as strings."""
-    state = common.id_text(docs).withColumns({"hits": F.lit(None).cast("binary"), "items": F.lit(None).cast("array<string>")})
-    for last, index in _blocks(docs, benchmark, window, block_bytes, item_col, item_text_col):
+    ``items`` are the item ids with such windows, sorted as strings.
+    A benchmark of more than ``max_blocks`` blocks is shuffled."""
+    state = common.id_text(docs)
+    bench, blocks = _pieces(benchmark, window, block_bytes, item_col, item_text_col)
+    if blocks > max_blocks:
+        def sizes(b: pa.RecordBatch) -> pa.RecordBatch:
+            n = pa.array([len(_words(t.as_py())) for t in b.column("text")], pa.int64())
+            return pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("sha"), n], ["doc_id", "sha", "n_words"])
+        counted = state.withColumn("sha", F.sha2("text", 256)).mapInArrow(common.per_batch(sizes), "doc_id long, sha string, n_words long")
+        return counted.join(_shuffled_hits(state, bench, window), "sha", "left").select(
+            "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
+            F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+    state = state.withColumns({"hits": F.lit(None).cast("binary"), "items": F.lit(None).cast("array<string>")})
+    for last, index in _blocks(bench, blocks, window):
         shared = index(state)
 
         def batch(b: pa.RecordBatch, shared=shared, last=last) -> pa.RecordBatch:
@@ -220,10 +376,19 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, block
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_bytes: int = BLOCK_BYTES,
-                  text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+                  text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
+                  max_blocks: int = MAX_BLOCKS) -> DataFrame:
     """The rows of ``docs``, all columns, that hold no benchmark window."""
     at = docs.columns.index(text_col)
-    for last, index in _blocks(docs, benchmark, window, block_bytes, item_col, item_text_col):
+    bench, blocks = _pieces(benchmark, window, block_bytes, item_col, item_text_col)
+    if blocks > max_blocks:
+        names = docs.columns
+        text = F.col(f"`{text_col}`").cast("string").alias("text")
+        hits = _shuffled_hits(docs.select(text), bench, window).select("sha")
+        numbered = docs.toDF(*(f"c{i}" for i in range(len(names))))
+        return (numbered.withColumn("sha", F.sha2(F.col(f"c{at}").cast("string"), 256)).join(hits, "sha", "left_anti")
+                .drop("sha").toDF(*names))
+    for last, index in _blocks(bench, blocks, window):
         shared = index(docs.select(F.col(f"`{text_col}`").cast("string").alias("text")))
 
         def batch(b: pa.RecordBatch, shared=shared) -> pa.RecordBatch:

@@ -32,8 +32,8 @@ def brute(docs, items, window):
     return sorted(out)
 
 
-@pytest.mark.parametrize("block_bytes", [1 << 20, 150])
-def test_matches_brute_force(spark, block_bytes):
+@pytest.mark.parametrize("block_bytes,max_blocks", [(1 << 20, 4), (150, 1000), (150, 1)])
+def test_matches_brute_force(spark, block_bytes, max_blocks):
     rng = random.Random(2)
     vocab = [f"wé{chr(97 + i)}" for i in range(14)]
     items = [(i, rng.choice([" ", ", ", "\n"]).join(rng.choice(vocab) for _ in range(rng.choice([1, 2, 3, 5, 8, 12])))) for i in range(20)]
@@ -43,10 +43,10 @@ def test_matches_brute_force(spark, block_bytes):
     df = spark.createDataFrame([(i, t, "h", "i") for i, t in docs], SCHEMA)
     bench = spark.createDataFrame(items, "item_id long, text string")
     got = sorted((repr(r.doc_id), r.n_words, r.n_hit, list(r["items"]))
-                 for r in decontaminate.contamination(df, bench, 5, block_bytes).collect())
+                 for r in decontaminate.contamination(df, bench, 5, block_bytes, max_blocks=max_blocks).collect())
     want = brute(docs, items, 5)
     assert got == want
-    kept = decontaminate.decontaminate(df, bench, 5, block_bytes)
+    kept = decontaminate.decontaminate(df, bench, 5, block_bytes, max_blocks=max_blocks)
     assert kept.columns == df.columns
     assert sorted(repr(r.doc_id) for r in kept.collect()) == sorted(i for i, _, n, _ in want if not n)
 
@@ -69,8 +69,31 @@ def test_long_items_and_copies_do_not_make_a_block_large(spark, monkeypatch):
     df = spark.createDataFrame([(i, t, "", "") for i, t in docs], SCHEMA)
     bench = spark.createDataFrame(items, "item_id long, text string")
     monkeypatch.setattr(decontaminate, "PIECE_WORDS", 50)
-    blocks = decontaminate._blocks(df.select("text"), bench, 7, 3000, "item_id", "text")
+    blocks = decontaminate._blocks(*decontaminate._pieces(bench, 7, 3000, "item_id", "text"), 7)
     sizes = [len(index(df.select("text")).value.word) for _, index in blocks[:2]]
     assert len(blocks) > 3 and max(sizes) < 330
     got = sorted((repr(r.doc_id), r.n_words, r.n_hit, list(r["items"])) for r in decontaminate.contamination(df, bench, 7, 8000).collect())
     assert got == brute(docs, items, 7)
+    got = sorted((repr(r.doc_id), r.n_words, r.n_hit, list(r["items"])) for r in decontaminate.contamination(df, bench, 7, 3000, max_blocks=1).collect())
+    assert got == brute(docs, items, 7)
+
+
+def test_a_shuffled_benchmark_with_copies_and_columns_of_any_name(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "FILTER_BITS", 1 << 8)   # nearly every shingle passes: words decide
+    rng = random.Random(6)
+    shared = "a notice that a third of the items hold and of the documents too"
+    items = [(i, (shared + " " if i % 3 == 0 else "") + " ".join(f"w{rng.randint(0, 40)}" for _ in range(rng.randint(1, 30)))) for i in range(90)]
+    docs = [(i, (shared.upper() + ". " if i % 3 == 0 else "") + " ".join(f"w{rng.randint(0, 40)}" for _ in range(rng.randint(0, 300)))) for i in range(40)]
+    docs += [(100 + i, docs[5][1]) for i in range(60)] + [(None, docs[3][1])] * 3 + [(8, None), (9, "")]
+    docs += [(200, "w1 w2 " * 3000 + items[4][1])]
+    df = spark.createDataFrame([(i, t, {"k": 1}, "s", 7) for i, t in docs], "doc_id long, text string, `a.b` map<string,int>, sha string, key long")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = sorted((repr(r.doc_id), r.n_words, r.n_hit, list(r["items"])) for r in decontaminate.contamination(df, bench, 5, 100, max_blocks=1).collect())
+    want = brute(docs, items, 5)
+    assert got == want
+    kept = decontaminate.decontaminate(df, bench, 5, 100, max_blocks=1)
+    assert kept.schema == df.schema
+    rows = kept.collect()
+    assert sorted(repr(r.doc_id) for r in rows) == sorted(i for i, _, n, _ in want if not n)
+    assert all((r["a.b"], r.sha, r.key) == ({"k": 1}, "s", 7) for r in rows)
+    assert decontaminate.contamination(df.limit(0), bench, 5, 100, max_blocks=1).count() == 0
