@@ -154,7 +154,7 @@ def stream_hot_paths_versions(spark, sf_dir):
     """The change log of the same run: each window's first ranking, and its refinement where late rows came."""
     from eventlens.streaming.aggregates import ranking_log
     log = ranking_log(spark, _refined(spark, sf_dir))
-    order = log.select("window_end", "batch").distinct().groupBy("window_end").agg(F.sort_array(F.collect_list("batch")).alias("all"))
+    order = log.select("window_end", "batch").distinct().groupBy("window_end").agg(F.sort_array(F.collect_list("batch")).alias("all")).hint("shuffle_merge")
     return _to_ntz(log.join(order, "window_end").withColumn("version", F.array_position("all", F.col("batch")).cast("int")).drop("batch", "all"))
 
 

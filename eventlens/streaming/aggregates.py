@@ -144,6 +144,18 @@ def _batches(spark, root: str) -> list[int]:
     return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in found)
 
 
+def rank_again(new: DataFrame, last: DataFrame, key: str, n: int, cnt: str) -> tuple[DataFrame, DataFrame]:
+    """(rankings of the windows that ``new`` touches, rows of ``last`` of all other windows).
+
+    Joins are by shuffle: counts and windows grow with the stream, and a broadcast would bring them to the driver."""
+    touched = new.select("window_end").distinct().hint("shuffle_merge")
+    last = last.select(*new.columns)
+    # counts only grow, so the newest of a key is its largest
+    cand = (new.unionByName(last.join(touched, "window_end", "left_semi").select(*new.columns))
+            .groupBy("window_start", "window_end", key).agg(F.max(cnt).alias(cnt)))
+    return top_n_per_window(cand, key, n, cnt), last.join(touched, "window_end", "left_anti").select(*new.columns)
+
+
 def start_refined_topn(counts: DataFrame, key: str, n: int, out_path: str, lateness, checkpoint: str | None = None,
                        trigger: dict | None = None, cnt: str = "cnt"):
     """N2 on counts that late rows refine: every micro-batch logs the new ranking of each window it touches.
@@ -160,14 +172,10 @@ def start_refined_topn(counts: DataFrame, key: str, n: int, out_path: str, laten
         new = batch.groupBy("window_start", "window_end", key).agg(F.max(cnt).alias(cnt)).persist()
         try:
             earlier = [b for b in _batches(spark, f"{out_path}/open") if b < batch_id]
-            windows = new.select("window_end").distinct()
-            cand, rest = new, None
             if earlier:
-                last = spark.read.parquet(f"{out_path}/open/batch={earlier[-1]}")
-                same = (last[key].eqNullSafe(new[key])) & (last["window_end"] == new["window_end"])
-                cand = new.unionByName(last.join(windows, "window_end", "left_semi").join(new, same, "left_anti").select(*new.columns))
-                rest = last.join(windows, "window_end", "left_anti").select(*new.columns)
-            ranked = top_n_per_window(cand, key, n, cnt)
+                ranked, rest = rank_again(new, spark.read.parquet(f"{out_path}/open/batch={earlier[-1]}"), key, n, cnt)
+            else:
+                ranked, rest = top_n_per_window(new, key, n, cnt), None
             ranked.write.mode("overwrite").parquet(f"{out_path}/log/batch={batch_id}")
             ranked = spark.read.parquet(f"{out_path}/log/batch={batch_id}").select(*new.columns)
             held = ranked if rest is None else ranked.unionByName(rest)
@@ -194,5 +202,5 @@ def ranking_log(spark, out_path: str) -> DataFrame:
 def newest_rankings(spark, out_path: str) -> DataFrame:
     """The ranking emitted last for each window."""
     log = ranking_log(spark, out_path)
-    last = log.groupBy("window_end").agg(F.max("batch").alias("batch"))
+    last = log.groupBy("window_end").agg(F.max("batch").alias("batch")).hint("shuffle_merge")
     return log.join(last, ["window_end", "batch"], "left_semi").drop("batch")
