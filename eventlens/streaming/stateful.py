@@ -28,6 +28,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType, Tim
 from eventlens.functions.time import duration_us, event_time
 from eventlens.session import ship_package
 from eventlens.streaming import machines as M
+from eventlens.streaming.groups import Logic, dealt, plain_keys, run_groups
 
 _DDL = {"long": LongType(), "string": StringType()}
 
@@ -119,6 +120,17 @@ class OrderedReplay(StatefulProcessor):
         pass
 
 
+class MachineRows(Logic):
+    """A machine's rows, packed by groups of keys."""
+
+    def __init__(self, machine: M.Machine):
+        super().__init__(machine)
+        self.names = ("ts", "seq", *machine.fields)
+
+    def step(self, c, row):
+        return self.machine.step(c, dict(zip(self.names, row)))
+
+
 def replay(df: DataFrame, keys, ts: str, seq, delay, machine: M.Machine, payload: dict,
             event_time_field: str | None = None) -> DataFrame:
     """Run ``machine`` per key over a watermarked stream; returns key columns +
@@ -139,7 +151,8 @@ def replay(df: DataFrame, keys, ts: str, seq, delay, machine: M.Machine, payload
     if "RocksDB" not in (spark.conf.get(prov, "") or ""):
         spark.conf.set(prov, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     x = event_time(df, ts)
-    if delay is not None:  # None: the event time of a stateful operator before
+    packed = delay is not None and plain_keys(x.schema, keys)
+    if delay is not None and not packed:  # None: the event time of a stateful operator before
         x = x.withWatermark(ts, delay)
     if seq and seq not in df.columns:
         raise ValueError(f"no tiebreak column {seq}; pass seq=None if event times never tie")
@@ -148,14 +161,16 @@ def replay(df: DataFrame, keys, ts: str, seq, delay, machine: M.Machine, payload
     x = x.select(*keys, F.col(ts), F.unix_micros(F.col(ts)).alias("evl_ts_us"), seq_col.alias("evl_seq"),
                  *[c.alias(n) for n, c in payload.items()])
     types = {f.name: f.dataType for f in x.schema.fields}
-    out_schema = StructType([StructField(k, types[k]) for k in keys] +
-                            [StructField(n, TimestampType() if n == event_time_field else
-                                         types[n] if t is None else _DDL[t])
-                             for n, t in machine.out_fields])
-    # the Row interface: a pandas frame per call costs more where machines emit many rows
-    proc = OrderedReplay(machine, keys, {n: types[n] for n in machine.fields}, event_time_field, delay is None)
-    out = x.groupBy(*keys).transformWithState(proc, out_schema, "Append", "EventTime",
-                                              eventTimeColumnName=event_time_field or "")
+    key_fields = [StructField(k, types[k]) for k in keys]
+    out_fields = [StructField(n, TimestampType() if n == event_time_field else types[n] if t is None else _DDL[t]) for n, t in machine.out_fields]
+    if packed:
+        rows = dealt(x.select(*keys, "evl_ts_us", "evl_seq", *machine.fields), len(keys), delay)
+        out = run_groups(rows, MachineRows(machine), key_fields, 2, out_fields, event_time_field)
+    else:
+        # the Row interface: a pandas frame per call costs more where machines emit many rows
+        proc = OrderedReplay(machine, keys, {n: types[n] for n in machine.fields}, event_time_field, delay is None)
+        out = x.groupBy(*keys).transformWithState(proc, StructType(key_fields + out_fields), "Append", "EventTime",
+                                                  eventTimeColumnName=event_time_field or "")
     for n, t in machine.out_fields:
         if n != event_time_field and t == "long" and (n.endswith("_ts") or n == "ts_out"):
             out = out.withColumn(n, F.timestamp_micros(n))
