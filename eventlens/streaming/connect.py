@@ -26,6 +26,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from eventlens.functions.time import duration_us, event_time
 from eventlens.session import ship_package
+from eventlens.streaming.groups import Logic, dealt, plain_keys, run_groups
 
 LEFT, RIGHT = 0, 1
 _STATE = "spark.sql.streaming.stateStore.providerClass"
@@ -116,17 +117,37 @@ class CoProcess(StatefulProcessor):
         pass
 
 
-def _tagged(df: DataFrame, side: int, keys: list, ts: str, tie: str | None, other: DataFrame, delay) -> DataFrame:
-    """Rows of one side with both sides' columns, under fixed names."""
+class CoRows(Logic):
+    """Both sides' rows, packed by groups of keys."""
+
+    def __init__(self, machine: CoMachine, sides: tuple[list[str], list[str]]):
+        super().__init__(machine)
+        self.ordered, self.sides = machine.ordered, sides
+
+    def step(self, c, row):
+        us, side, _, home, *values = row
+        n = len(self.sides[LEFT])
+        if side == LEFT:
+            return self.machine.on_left(c, dict(zip(self.sides[LEFT], values)), us, home)
+        return self.machine.on_right(c, dict(zip(self.sides[RIGHT], values[n:])), us, home)
+
+
+def _tagged(df: DataFrame, side: int, keys: list, ts: str, tie: str | None, other: DataFrame, spread) -> DataFrame:
+    """Rows of one side with both sides' columns, under fixed names, in the buckets they go to."""
     def numbered(d: DataFrame, mark: str, own: bool) -> list[Column]:
         return [(F.col(f"`{f.name}`") if own else F.lit(None).cast(f.dataType)).alias(f"{mark}{i}") for i, f in enumerate(d.schema.fields)]
     l, r = (df, other) if side == LEFT else (other, df)
     tie_col = F.coalesce(F.col(tie).cast("long"), F.lit(-(1 << 63))) if tie else F.lit(0).cast("long")
-    # each side has a watermark of its own: the query's is the smaller, so a slow side loses no rows
     x = event_time(df, ts)
     flat = x.select(*(F.col(k).alias(f"k{i}") for i, k in enumerate(keys)), F.lit(side).alias("side"), F.col(ts).alias("at"),
                     F.unix_micros(F.col(ts)).alias("us"), tie_col.alias("tie"), *numbered(l, "l", side == LEFT), *numbered(r, "r", side == RIGHT))
-    return flat.withWatermark("at", f"{duration_us(delay)} microseconds")
+    if spread is None:
+        return flat.withColumns({"bucket": F.lit(0).cast("long"), "home": F.lit(True)})
+    us = duration_us(spread)
+    width = max(2 * us, 1)
+    own = F.floor(F.col("us") / width).cast("long")
+    to = F.sequence(F.floor((F.col("us") - F.lit(us)) / width).cast("long"), F.floor((F.col("us") + F.lit(us)) / width).cast("long"))
+    return flat.withColumn("bucket", F.explode(to)).withColumn("home", F.col("bucket") == own)
 
 
 def connect(left: DataFrame, right: DataFrame, left_keys, right_keys, left_ts: str, right_ts: str, machine: CoMachine,
@@ -139,23 +160,23 @@ def connect(left: DataFrame, right: DataFrame, left_keys, right_keys, left_ts: s
     if "RocksDB" not in (spark.conf.get(_STATE, "") or ""):
         spark.conf.set(_STATE, _ROCKS)
     left_keys, right_keys = list(left_keys), list(right_keys)
-    l = _tagged(left, LEFT, left_keys, left_ts, left_tie, right, delay)
-    r = _tagged(right, RIGHT, right_keys, right_ts, right_tie, left, delay)
-    both = l.unionByName(r)
+    sides = [_tagged(left, LEFT, left_keys, left_ts, left_tie, right, spread), _tagged(right, RIGHT, right_keys, right_ts, right_tie, left, spread)]
+    schema = sides[0].unionByName(sides[1]).schema
     kn = [f"k{i}" for i in range(len(left_keys))]
-    if spread is None:
-        both = both.withColumns({"bucket": F.lit(0).cast("long"), "home": F.lit(True)})
-    else:
-        us = duration_us(spread)
-        width = max(2 * us, 1)
-        own = F.floor(F.col("us") / width).cast("long")
-        at = F.sequence(F.floor((F.col("us") - F.lit(us)) / width).cast("long"), F.floor((F.col("us") + F.lit(us)) / width).cast("long"))
-        both = both.withColumn("bucket", F.explode(at)).withColumn("home", F.col("bucket") == own)
     types = {f.name: f.dataType for f in [*left.schema.fields, *right.schema.fields]}
-    out = T.StructType([*(T.StructField(k, both.schema[k].dataType) for k in kn), T.StructField("bucket", T.LongType()),
-                        *(T.StructField(n, types[n] if t is None else T._parse_datatype_string(t)) for n, t in machine.out)])
-    proc = CoProcess(machine, [*kn, "bucket"], (left.columns, right.columns))
-    got = both.groupBy(*kn, "bucket").transformWithState(proc, out, "Append", "EventTime")
+    key_fields = [T.StructField(n, schema[n].dataType) for n in (*kn, "bucket")]
+    out_fields = [T.StructField(n, types[n] if t is None else T._parse_datatype_string(t)) for n, t in machine.out]
+    # each side has a watermark of its own: the query's is the smaller, so a slow side loses no rows
+    if plain_keys(schema, kn):
+        order = [*kn, "bucket", "us", "side", "tie", "home"]
+        cols = [F.col(n).cast(schema[n].dataType) for n in (*order, *(n for n in schema.names if n not in (*order, "at")))]
+        packed = [dealt(x.select(*cols), len(key_fields), delay) for x in sides]
+        got = run_groups(packed[0].unionByName(packed[1]), CoRows(machine, (left.columns, right.columns)), key_fields, 3, out_fields)
+    else:
+        marked = [x.withWatermark("at", f"{duration_us(delay)} microseconds") for x in sides]
+        proc = CoProcess(machine, [*kn, "bucket"], (left.columns, right.columns))
+        got = (marked[0].unionByName(marked[1]).groupBy(*kn, "bucket")
+               .transformWithState(proc, T.StructType(key_fields + out_fields), "Append", "EventTime"))
     return got.select(*(F.col(k).alias(n) for k, n in zip(kn, left_keys)), *(n for n, _ in machine.out))
 
 
