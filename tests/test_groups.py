@@ -27,6 +27,7 @@ FORMS = {
         s.where(_is("a")).select("k", F.col("ts").alias("l_ts")), s.where(_is("b")).select(F.col("k").alias("r"), F.col("ts").alias("r_ts")),
         "k", "r", "l_ts", "r_ts", "1 hour"),
     "cap_outputs": lambda s: stream_click_cap(s, ["k", "what"], cap=1, carry=[]),
+    "fail_bursts": lambda s: stream_fail_bursts(s, ["k"], _is("a"), "1 day", 2),
 }
 
 
