@@ -29,6 +29,7 @@ FORMS = {
     "cap_outputs": lambda s: stream_click_cap(s, ["k", "what"], cap=1, carry=[]),
     "fail_bursts": lambda s: stream_fail_bursts(s, ["k"], _is("a"), "1 day", 2),
     "followed_by": lambda s: stream_followed_by(s, ["k"], _is("a"), _is("b"), "1 day"),
+    "capped_counts": lambda s: stream_capped_window_counts(s, ["k"], ["what"], "1 hour", cap=1),
 }
 
 
