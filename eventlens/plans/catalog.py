@@ -602,9 +602,9 @@ def stream_capped_region_counts(spark, sf_dir):
 
 @query("stream_reconcile", RECONCILE_TOLERANCE_SQL)
 def stream_reconcile_events(spark, sf_dir):
-    """Streaming J2: clicks vs purchases per user within +-6 h, full outer
-    stream-stream join; an unmatched row comes out once the (min of both
-    sides') watermark passes its ts + 6 h."""
+    """Streaming J2: clicks vs purchases per user within +-6 h, on connected
+    streams; an unmatched row comes out once the (min of both sides')
+    watermark passes its ts + 6 h."""
     from eventlens.streaming.joins import stream_reconcile
     clicks, buys = _clicks_and_buys(_event_stream(spark, sf_dir))
     return _run(stream_reconcile(clicks, buys, "user_id", "p_user_id", "click_ts", "purchase_ts", "6 hours",
