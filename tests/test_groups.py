@@ -31,6 +31,7 @@ FORMS = {
     "followed_by": lambda s: stream_followed_by(s, ["k"], _is("a"), _is("b"), "1 day"),
     "capped_counts": lambda s: stream_capped_window_counts(s, ["k"], ["what"], "1 hour", cap=1),
     "pairs_2s": lambda s: stream_consecutive_pairs(s, ["k"], _is("a"), "1 day", delay="2 seconds"),
+    "pairs": lambda s: stream_consecutive_pairs(s, ["k"], _is("a"), "1 day", delay="1 hour"),
 }
 
 
