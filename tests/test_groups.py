@@ -32,6 +32,7 @@ FORMS = {
     "capped_counts": lambda s: stream_capped_window_counts(s, ["k"], ["what"], "1 hour", cap=1),
     "pairs_2s": lambda s: stream_consecutive_pairs(s, ["k"], _is("a"), "1 day", delay="2 seconds"),
     "pairs": lambda s: stream_consecutive_pairs(s, ["k"], _is("a"), "1 day", delay="1 hour"),
+    "click_cap_slices": lambda s: stream_click_cap(s, ["k"], cap=1, slices=4),
 }
 
 
