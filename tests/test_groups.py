@@ -33,6 +33,7 @@ FORMS = {
     "pairs_2s": lambda s: stream_consecutive_pairs(s, ["k"], _is("a"), "1 day", delay="2 seconds"),
     "pairs": lambda s: stream_consecutive_pairs(s, ["k"], _is("a"), "1 day", delay="1 hour"),
     "click_cap_slices": lambda s: stream_click_cap(s, ["k"], cap=1, slices=4),
+    "match_outcomes": lambda s: stream_match_outcomes(s, ["k"], _is("a"), _is("b"), "1 day", "1 day"),
 }
 
 
