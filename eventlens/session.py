@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -76,6 +77,26 @@ def scale_conf(input_bytes: int, executors: int, cores_per_executor: int,
     }
 
 
+STORES = 2  # state stores per slot and stateful operator at most
+
+
+@contextmanager
+def state_stores(spark: SparkSession):
+    """Queries started inside keep ``STORES`` state stores a task slot, or the session's shuffle partitions if they are fewer.
+
+    A store costs a task, a Python worker's turn and a commit per micro-batch, even
+    if it is empty, while shuffle partitions follow the input: without this
+    a bounded stream's time grows with them.  A query notes its number
+    in its checkpoint, so a restart on other slots finds its stores."""
+    key = "spark.sql.shuffle.partitions"
+    was = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(was), STORES * max(spark.sparkContext.defaultParallelism, 4))))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, was)
+
+
 def build_session(master: str = "local[*]", app: str = "eventlens",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:

@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventlens.session import state_stores
+
 
 def _path(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -46,7 +48,8 @@ def start_outputs(stream: DataFrame, outputs: dict[str, tuple[Column, list[Colum
     """Start the query: ``outputs`` maps a name to its condition and its columns."""
     w = (stream.writeStream.foreachBatch(lambda batch, i: write_outputs(batch, i, outputs, root)).outputMode(output_mode)
          .option("checkpointLocation", checkpoint or f"{root.rstrip('/')}-checkpoint"))
-    return w.trigger(**(trigger or {"availableNow": True})).start()
+    with state_stores(stream.sparkSession):
+        return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
 def read_output(spark: SparkSession, root: str, name: str, schema) -> DataFrame:
