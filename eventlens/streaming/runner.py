@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from eventlens.session import drop_path, scratch_path, stable_path
+from eventlens.session import drop_path, scratch_path, stable_path, state_stores
 
 
 def run_to_parquet(stream: DataFrame, name: str, out_path: str | None = None, checkpoint: str | None = None,
@@ -19,9 +19,10 @@ def run_to_parquet(stream: DataFrame, name: str, out_path: str | None = None, ch
     spark = stream.sparkSession
     out_path = out_path or stable_path(spark, f"{name}-out")
     checkpoint = checkpoint or stable_path(spark, f"{name}-ckpt")
-    q = (stream.writeStream.format("parquet").outputMode("append")
-         .option("path", out_path).option("checkpointLocation", checkpoint)
-         .trigger(**(trigger or {"availableNow": True})).queryName(name).start())
+    with state_stores(spark):
+        q = (stream.writeStream.format("parquet").outputMode("append")
+             .option("path", out_path).option("checkpointLocation", checkpoint)
+             .trigger(**(trigger or {"availableNow": True})).queryName(name).start())
     q.awaitTermination(timeout_s)
     if q.exception():
         raise q.exception()
