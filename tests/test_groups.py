@@ -76,6 +76,7 @@ def test_late_rows_null_and_float_keys(spark):
 STORED = {
     "cap_outputs": True,
     "fail_bursts": False,
+    "followed_by": True,
 }
 
 
