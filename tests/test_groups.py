@@ -77,6 +77,7 @@ STORED = {
     "cap_outputs": True,
     "fail_bursts": False,
     "followed_by": True,
+    "capped_counts": False,
 }
 
 
