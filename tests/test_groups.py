@@ -78,6 +78,7 @@ STORED = {
     "fail_bursts": False,
     "followed_by": True,
     "capped_counts": False,
+    "pairs_2s": False,
 }
 
 
