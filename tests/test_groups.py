@@ -79,6 +79,7 @@ STORED = {
     "followed_by": True,
     "capped_counts": False,
     "pairs_2s": False,
+    "pairs": False,
 }
 
 
