@@ -80,6 +80,7 @@ STORED = {
     "capped_counts": False,
     "pairs_2s": False,
     "pairs": False,
+    "click_cap_slices": False,
 }
 
 
