@@ -81,6 +81,7 @@ STORED = {
     "pairs_2s": False,
     "pairs": False,
     "click_cap_slices": False,
+    "match_outcomes": False,
 }
 
 
