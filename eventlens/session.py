@@ -77,7 +77,7 @@ def scale_conf(input_bytes: int, executors: int, cores_per_executor: int,
     }
 
 
-STORES = 2  # state stores per slot and stateful operator at most
+STORES = 1  # state stores per slot and stateful operator at most
 
 
 @contextmanager
@@ -87,14 +87,17 @@ def state_stores(spark: SparkSession):
     A store costs a task, a Python worker's turn and a commit per micro-batch, even
     if it is empty, while shuffle partitions follow the input: without this
     a bounded stream's time grows with them.  A query notes its number
-    in its checkpoint, so a restart on other slots finds its stores."""
-    key = "spark.sql.shuffle.partitions"
-    was = spark.conf.get(key)
+    in its checkpoint, so a restart on other slots finds its stores.  A commit writes
+    what the batch changed, not a snapshot of the store; snapshots follow in the background."""
+    key, log = "spark.sql.shuffle.partitions", "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+    was, logged = spark.conf.get(key), spark.conf.get(log, None)
     spark.conf.set(key, str(min(int(was), STORES * max(spark.sparkContext.defaultParallelism, 4))))
+    spark.conf.set(log, "true")
     try:
         yield
     finally:
         spark.conf.set(key, was)
+        spark.conf.unset(log) if logged is None else spark.conf.set(log, logged)
 
 
 def build_session(master: str = "local[*]", app: str = "eventlens",

@@ -7,7 +7,9 @@ handed to Python: :class:`KeyGroups` keeps a group's streams as they came
 until the watermark passes their rows, replays the ready rows in order,
 each with the carry of its own key, and holds one timer.  The number of
 engine calls follows the groups, not the keys or rows; a group's rows are a
-thousandth of a micro-batch unless one key has more.
+thousandth of a micro-batch unless one key has more.  Results leave as one
+frame per call, and machines that know how (``columns``) take a group's rows
+as columns instead of one by one.
 
 The engine's watermark lies a millisecond behind the stream's, so that it
 drops no packed row that is in time; late rows are dropped one by one here.
@@ -17,14 +19,15 @@ from __future__ import annotations
 
 import pickle
 from collections.abc import Iterator
-from datetime import datetime, timedelta, timezone
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from eventlens.functions.time import duration_us
@@ -34,7 +37,6 @@ GROUPS = 1024
 #: Rows that a task packs at a time, and rows of one packed stream at most.
 HELD, PACKED = 1 << 18, 1 << 12
 
-_EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 _PLAIN = {"tinyint", "smallint", "int", "bigint", "string", "boolean", "date", "binary"}
 _BLOB = T.StructType([T.StructField("blob", T.BinaryType())])
 
@@ -56,8 +58,10 @@ def _decode(blob) -> pa.Table:
     return pa.ipc.open_stream(bytes(blob)).read_all()
 
 
-def packer(us_at: int):
-    """A mapInArrow function: rows (columns, group) -> (group, newest time, rows), per task."""
+def packer(us_at: int, need_at: int | None = None):
+    """A mapInArrow function: rows (columns, group) -> (group, newest time, rows), per task.
+
+    Rows whose column ``need_at`` is not true stay behind, but their times count."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
@@ -65,18 +69,27 @@ def packer(us_at: int):
             t = pa.Table.from_batches(held)
             t = t.cast(pa.schema([pa.field(f.name, f.type) for f in t.schema]))  # the same fields for all sides of a union
             held.clear()
+            if t.column(us_at).null_count:
+                raise ValueError("a row has no event time")
+            newest = pc.max(t.column(us_at)).as_py()
             group = t.column(t.num_columns - 1).to_numpy()
             order = np.argsort(group, kind="stable")
+            rows = t.remove_column(t.num_columns - 1)
+            if need_at is not None:
+                need = pc.fill_null(rows.column(need_at), False).to_numpy()
+                order, rows = order[need[order]], rows.remove_column(need_at)
+                if not len(order):
+                    return pa.RecordBatch.from_arrays([pa.array(group[:1], pa.int32()), pa.array([newest], pa.int64()),
+                                                       pa.array([_encode(rows.slice(0, 0))], pa.binary())], ["evl_group", "us", "rows"])
             group = group[order]
-            rows = t.remove_column(t.num_columns - 1).take(pa.array(order)).combine_chunks()
-            if rows.column(us_at).null_count:
-                raise ValueError("a row has no event time")
+            rows = rows.take(pa.array(order)).combine_chunks()
             us = rows.column(us_at).to_numpy()
             starts = np.flatnonzero(np.diff(group, prepend=-1))
             cuts = [at for lo, hi in zip(starts, [*starts[1:], len(group)]) for at in range(lo, hi, PACKED)]
             spans = list(zip(cuts, [*cuts[1:], len(group)]))
+            times = [*(us[lo:hi].max() for lo, hi in spans[1:]), newest]
             return pa.RecordBatch.from_arrays(
-                [pa.array([group[lo] for lo, _ in spans], pa.int32()), pa.array([us[lo:hi].max() for lo, hi in spans], pa.int64()),
+                [pa.array([group[lo] for lo, _ in spans], pa.int32()), pa.array(times, pa.int64()),
                  pa.array([_encode(rows.slice(lo, hi - lo)) for lo, hi in spans], pa.binary())], ["evl_group", "us", "rows"])
         n = 0
         for b in batches:
@@ -91,16 +104,25 @@ def packer(us_at: int):
     return run
 
 
-def dealt(rows: DataFrame, n_keys: int, delay, groups: int = GROUPS) -> DataFrame:
-    """``evl_group, at, rows`` with a watermark on ``at``, from rows of (keys, epoch µs, others)."""
+def dealt(rows: DataFrame, n_keys: int, delay, groups: int = GROUPS, need: bool = False) -> DataFrame:
+    """``evl_group, at, rows`` with a watermark on ``at``, from rows of (keys, epoch µs, others).
+
+    With ``need``, the last column tells which rows go on; the others only move the watermark."""
     x = rows.toDF(*(f"c{i}" for i in range(len(rows.columns))))
     keys = [F.col(f"c{i}") for i in range(n_keys)]
     x = x.withColumn("evl_group", F.pmod(F.xxhash64(*keys), F.lit(groups)).cast("int") if keys else F.lit(0))
-    packed = x.mapInArrow(packer(n_keys), "evl_group int, us long, rows binary")
+    packed = x.mapInArrow(packer(n_keys, len(rows.columns) - 1 if need else None), "evl_group int, us long, rows binary")
     return (packed.select("evl_group", F.timestamp_micros("us").alias("at"), "rows")
             .withWatermark("at", f"{duration_us(delay) + 1000} microseconds"))
 
 
+def pylist(c: pa.ChunkedArray) -> list:
+    """As ``to_pylist``, which makes a scalar of each value."""
+    if c.null_count == 0 and (pa.types.is_integer(c.type) or pa.types.is_boolean(c.type)):
+        return c.to_numpy().tolist()
+    return c.to_pylist()
+
+
 class Logic:
     """What a group does with the rows of a key; the carry is any value that pickles."""
 
@@ -113,13 +135,40 @@ class Logic:
         """``row``: epoch µs and the columns after it."""
         raise NotImplementedError
 
+    def run(self, carries: dict, rows: pa.Table, n: int, n_order: int, schema: pa.Schema) -> pa.Table:
+        """Results of ``rows`` (``n`` keys, ``n_order`` columns of their order, others)."""
+        order = np.lexsort([rows.column(i).to_numpy() for i in reversed(range(n, n + n_order))])
+        outs: list[tuple] = []
+        for b in rows.take(pa.array(order)).to_batches(max_chunksize=1 << 16):
+            for row in zip(*(pylist(pa.chunked_array([c])) for c in b.columns)):
+                key = row[:n]
+                c = carries.get(key)
+                if c is None:
+                    c = carries[key] = self.machine.init()
+                for o in self.step(c, row[n:]):
+                    outs.append((key, o))
+        return as_table(outs, n, schema)
+
+
+def typed(values, kind: pa.DataType):
+    """Values as a column of a type; instants may be epoch µs."""
+    if isinstance(values, (pa.Array, pa.ChunkedArray)):
+        return values if values.type == kind else values.cast(kind)
+    if pa.types.is_timestamp(kind) and (isinstance(values, np.ndarray) or any(isinstance(v, int) for v in values)):
+        return pa.array(values, pa.int64()).cast(kind)
+    return pa.array(values, kind)
+
+
+def as_table(outs: list[tuple], n: int, schema: pa.Schema) -> pa.Table:
+    """Pairs of key and result as columns."""
+    return pa.table([typed([k[i] for k, _ in outs] if i < n else [o.get(f.name) for _, o in outs], f.type) for i, f in enumerate(schema)], schema=schema)
+
 
 class KeyGroups(StatefulProcessor):
     """``n_order``: the columns from the time on that give the order of rows (numbers, no nulls)."""
 
-    def __init__(self, logic: Logic, key_names: list[str], n_order: int, out_names: list[str], event_time_field: str | None = None):
-        self.logic, self.key_names, self.n_order = logic, list(key_names), n_order
-        self.out_names, self.event_time_field = list(out_names), event_time_field
+    def __init__(self, logic: Logic, key_names: list[str], n_order: int, schema: pa.Schema):
+        self.logic, self.key_names, self.n_order, self.schema = logic, list(key_names), n_order, schema
 
     def init(self, handle):
         self.handle = handle
@@ -147,14 +196,6 @@ class KeyGroups(StatefulProcessor):
             self.rows.clear()
         return [held.filter(over)], min((pc.min(self._us(t)).as_py() for t in fresh), default=None)
 
-    def _row(self, key: tuple, out: dict) -> Row:
-        vals = {n: out.get(n) for n in self.out_names}
-        et = self.event_time_field
-        if et is not None and vals[et] is not None:
-            # a zone-aware instant converts exactly, whatever the worker's zone
-            vals[et] = _EPOCH + timedelta(microseconds=vals[et])
-        return Row(**dict(zip(self.key_names, key)), **vals)
-
     def _drain(self, wm_ms: int, blobs=(), fired: bool = False):
         raw = self.keys.get()
         carries, timer, oldest = pickle.loads(bytes(raw[0])) if raw else ({}, None, None)
@@ -166,24 +207,15 @@ class KeyGroups(StatefulProcessor):
             fresh = [t.filter(pc.greater_equal(self._us(t), wm)) for t in fresh]
         ready, oldest = self._ready([t for t in fresh if t.num_rows], oldest, wm)
         logic, machine, n = self.logic, self.logic.machine, len(self.key_names)
-        outs: list[Row] = []
+        found = []
         if ready:
-            t = pa.concat_tables(ready)
-            order = np.lexsort([t.column(i).to_numpy() for i in reversed(range(n, n + self.n_order))])
-            for b in t.take(pa.array(order)).to_batches(max_chunksize=1 << 16):
-                for row in zip(*(c.to_pylist() for c in b.columns)):
-                    key = row[:n]
-                    c = carries.get(key)
-                    if c is None:
-                        c = carries[key] = machine.init()
-                    for o in logic.step(c, row[n:]):
-                        outs.append(self._row(key, o))
+            found.append(logic.run(carries, pa.concat_tables(ready), n, self.n_order, self.schema))
+        outs: list[tuple] = []
         want = [] if oldest is None else [oldest // 1000 + 1]
         live, due = {}, None
         for key, c in carries.items():
             if wm:
-                for o in machine.advance(c, wm):
-                    outs.append(self._row(key, o))
+                outs += [(key, o) for o in machine.advance(c, wm)]
             if machine.idle(c):
                 continue
             live[key] = c
@@ -202,10 +234,12 @@ class KeyGroups(StatefulProcessor):
             self.keys.update((pickle.dumps((live, at, oldest)),))
         elif raw:
             self.keys.clear()
-        return iter(outs)
+        if outs:
+            found.append(as_table(outs, n, self.schema))
+        return (t.to_pandas(types_mapper=pd.ArrowDtype) for t in found if t.num_rows)
 
     def handleInputRows(self, key, rows, timerValues):
-        return self._drain(max(timerValues.getCurrentWatermarkInMs(), 0), [r["rows"] for r in rows])
+        return self._drain(max(timerValues.getCurrentWatermarkInMs(), 0), [b for r in rows for b in r["rows"]])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         return self._drain(timerValues.getCurrentWatermarkInMs(), fired=True)
@@ -217,6 +251,7 @@ class KeyGroups(StatefulProcessor):
 def run_groups(packed: DataFrame, logic: Logic, key_fields: list[T.StructField], n_order: int, out_fields: list[T.StructField],
                event_time_field: str | None = None) -> DataFrame:
     """Key columns and outputs of ``logic`` over ``dealt`` rows."""
-    proc = KeyGroups(logic, [f.name for f in key_fields], n_order, [f.name for f in out_fields], event_time_field)
-    return packed.groupBy("evl_group").transformWithState(proc, T.StructType([*key_fields, *out_fields]), "Append", "EventTime",
-                                                          eventTimeColumnName=event_time_field or "")
+    out = T.StructType([*key_fields, *out_fields])
+    schema = pa.schema([pa.field(f.name, to_arrow_type(f.dataType)) for f in out.fields])
+    proc = KeyGroups(logic, [f.name for f in key_fields], n_order, schema)
+    return packed.groupBy("evl_group").transformWithStateInPandas(proc, out, "Append", "EventTime", eventTimeColumnName=event_time_field or "")

@@ -13,10 +13,40 @@ stream's closed results equal the batch result on the same rows.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+
+class Runs:
+    """Rows of several keys as Arrow columns, sorted by key, time and tiebreak: a run of rows per key, and its carry."""
+
+    def __init__(self, carries: list[dict], starts: np.ndarray, cols: dict):
+        self.carries, self.starts, self.cols = carries, starts, cols
+        self.ts = cols["ts"].to_numpy()
+        self.run = np.repeat(np.arange(len(starts)), np.diff(starts, append=len(self.ts)))
+
+    def flag(self, name: str) -> np.ndarray:
+        return pc.fill_null(self.cols[name], False).to_numpy()
+
+    def headed(self, runs: list[int], *cols) -> list[np.ndarray]:
+        """Run numbers and columns, with rows set before those of ``runs``; a column is (values, values of the set rows)."""
+        runs = np.array(runs, np.int64)
+        at = self.starts[runs]
+        return [np.insert(x, at, np.asarray(head, x.dtype)) for x, head in ((self.run, runs), *cols)]
+
+
+def of_step(machine: Machine, name: str):
+    """An attribute that tells about ``step``, unless a subclass has a ``step`` of its own."""
+    owner = next(k for k in type(machine).__mro__ if name in vars(k))
+    return getattr(machine, name) if type(machine).step is owner.step else None
+
 
 class Machine:
     fields: tuple = ()          # payload fields read from each row
     out_fields: tuple = ()      # (name, ddl type) of each output value
+    only: tuple = ()            # flags; ``step`` does nothing with a row that has none of them
+    columns = None              # ``step`` on all rows of Runs: (run, {name: value}) of each result, carries brought up to date
 
     def init(self) -> dict:
         return {}
@@ -181,6 +211,7 @@ class Bursts(Machine):
 class FollowedBy(Machine):
     """Each first takes the first later then; gap < within -> matched."""
     fields = ("a", "b")
+    only = ("a", "b")
     out_fields = (("first_ts", "long"), ("then_ts", "long"), ("outcome", "string"))
 
     def __init__(self, within_us: int):
@@ -199,6 +230,21 @@ class FollowedBy(Machine):
             opened.append(r["ts"])
         return out
 
+    def columns(self, r: Runs):
+        heads = [(i, t) for i, c in enumerate(r.carries) for t in c.get("open", ())]
+        run, ts, a, b = r.headed([i for i, _ in heads], (r.ts, [t for _, t in heads]), (r.flag("a"), [True] * len(heads)),
+                                 (r.flag("b"), [False] * len(heads)))
+        firsts, thens = np.flatnonzero(a), np.flatnonzero(b)
+        then = np.append(thens, -1)[np.searchsorted(thens, firsts, side="right")]  # -1: none
+        closed = (then >= 0) & (run[then] == run[firsts])
+        for c in r.carries:
+            c["open"] = []
+        for i, t in zip(run[firsts[~closed]].tolist(), ts[firsts[~closed]].tolist()):
+            r.carries[i]["open"].append(t)
+        firsts, then = firsts[closed], then[closed]
+        ok = ts[then] < ts[firsts] + self.within
+        return run[firsts], {"first_ts": ts[firsts], "then_ts": pa.array(ts[then], mask=~ok), "outcome": pa.array(np.where(ok, "matched", "timeout"))}
+
     def advance(self, c, wm):
         out, keep = [], []
         for t in c.get("open", []):

@@ -19,7 +19,11 @@ from __future__ import annotations
 
 import json
 from datetime import datetime, timedelta, timezone
+from functools import reduce
+from operator import or_
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
@@ -28,7 +32,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType, Tim
 from eventlens.functions.time import duration_us, event_time
 from eventlens.session import ship_package
 from eventlens.streaming import machines as M
-from eventlens.streaming.groups import Logic, dealt, plain_keys, run_groups
+from eventlens.streaming.groups import Logic, dealt, plain_keys, pylist, run_groups, typed
 
 _DDL = {"long": LongType(), "string": StringType()}
 
@@ -130,6 +134,28 @@ class MachineRows(Logic):
     def step(self, c, row):
         return self.machine.step(c, dict(zip(self.names, row)))
 
+    def run(self, carries, rows, n, n_order, schema):
+        columns = M.of_step(self.machine, "columns")
+        if columns is None:
+            return super().run(carries, rows, n, n_order, schema)
+        code = np.zeros(rows.num_rows, np.int64)
+        for i in range(n):
+            one = rows.column(i).combine_chunks().dictionary_encode(null_encoding="encode")
+            code = code * len(one.dictionary) + one.indices.to_numpy()
+            code = np.unique(code, return_inverse=True)[1] if i else code
+        order = np.lexsort([*(rows.column(i).to_numpy() for i in reversed(range(n, n + n_order))), code])
+        starts = np.flatnonzero(np.diff(code[order], prepend=-1))
+        rows = rows.take(pa.array(order))
+        keys = rows.select(range(n)).take(pa.array(starts))
+        own = []
+        for key in zip(*(pylist(c) for c in keys.columns)) if n else [()]:
+            if key not in carries:
+                carries[key] = self.machine.init()
+            own.append(carries[key])
+        at, got = columns(M.Runs(own, starts, dict(zip(self.names, rows.columns[n:]))))
+        keys = keys.take(pa.array(at))
+        return pa.table([typed(keys.column(i) if i < n else got[f.name], f.type) for i, f in enumerate(schema)], schema=schema)
+
 
 def replay(df: DataFrame, keys, ts: str, seq, delay, machine: M.Machine, payload: dict,
             event_time_field: str | None = None) -> DataFrame:
@@ -164,10 +190,12 @@ def replay(df: DataFrame, keys, ts: str, seq, delay, machine: M.Machine, payload
     key_fields = [StructField(k, types[k]) for k in keys]
     out_fields = [StructField(n, TimestampType() if n == event_time_field else types[n] if t is None else _DDL[t]) for n, t in machine.out_fields]
     if packed:
-        rows = dealt(x.select(*keys, "evl_ts_us", "evl_seq", *machine.fields), len(keys), delay)
+        only = M.of_step(machine, "only")
+        need = [reduce(or_, (F.col(f) for f in only))] if only else []
+        rows = dealt(x.select(*keys, "evl_ts_us", "evl_seq", *machine.fields, *need), len(keys), delay, need=bool(need))
         out = run_groups(rows, MachineRows(machine), key_fields, 2, out_fields, event_time_field)
     else:
-        # the Row interface: a pandas frame per call costs more where machines emit many rows
+        # the Row interface: a pandas frame per key costs more where machines emit many rows
         proc = OrderedReplay(machine, keys, {n: types[n] for n in machine.fields}, event_time_field, delay is None)
         out = x.groupBy(*keys).transformWithState(proc, StructType(key_fields + out_fields), "Append", "EventTime",
                                                   eventTimeColumnName=event_time_field or "")
