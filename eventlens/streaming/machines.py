@@ -336,6 +336,23 @@ class Cap(Machine):
         return [{"tag": tag, "ts_out": r["ts"], "seq_out": r["seq"], "day_out": r["day"],
                  **{k: r[k] for k in self.carry}}]
 
+    def columns(self, r: Runs):
+        day = r.cols["day"].to_numpy()
+        first = (np.diff(r.run, prepend=-1) != 0) | (np.diff(day, prepend=0) != 0)
+        starts = np.flatnonzero(first)  # of the days of a key
+        before = np.zeros(len(starts), np.int64)
+        for c, at, d in zip(r.carries, np.searchsorted(starts, r.starts).tolist(), day[r.starts].tolist()):
+            if c.get("day") == d:
+                before[at] = c["n"]
+        n = np.arange(1, len(day) + 1) + np.repeat(before - starts, np.diff(starts, append=len(day)))
+        last = np.flatnonzero(np.diff(r.run, append=-1))
+        for c, d, k in zip(r.carries, day[last].tolist(), n[last].tolist()):
+            c["day"], c["n"] = d, k
+        at = np.flatnonzero(n <= self.cap + 1)
+        pick = pa.array(at)
+        return r.run[at], {"tag": pa.array(np.where(n[at] <= self.cap, "passed", "warning")), "ts_out": r.ts[at], "seq_out": r.cols["seq"].take(pick),
+                           "day_out": day[at], **{k: r.cols[k].take(pick) for k in self.carry}}
+
     def advance(self, c, wm):
         if c.get("day") is not None and c["day"] + self.DAY <= wm:
             c.clear()
