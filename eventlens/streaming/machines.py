@@ -156,6 +156,16 @@ class Pairs(Machine):
         c.update(m=bool(r["m"]), ts=r["ts"])
         return out
 
+    def columns(self, r: Runs):
+        had = [i for i, c in enumerate(r.carries) if c]
+        run, ts, m = r.headed(had, (r.ts, [r.carries[i]["ts"] for i in had]), (r.flag("m"), [r.carries[i]["m"] for i in had]))
+        at = np.flatnonzero(m[1:] & m[:-1] & (run[1:] == run[:-1]) & (ts[1:] < ts[:-1] + self.within))
+        last = np.flatnonzero(np.diff(run, append=-1))
+        for c, m_last, ts_last in zip(r.carries, m[last].tolist(), ts[last].tolist()):
+            c.clear()
+            c.update(m=m_last, ts=ts_last)
+        return run[at], {"first_ts": ts[at], "last_ts": ts[at + 1]}
+
     def advance(self, c, wm):
         # No later row can pair with the last one any more: forget it.
         if c and c["ts"] + self.within <= wm:
