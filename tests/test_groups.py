@@ -128,6 +128,7 @@ COLUMNS = {
     "followed_by": (M.FollowedBy(15), _flags(2)),
     "capped_counts": (_short(M.Cap(2, ["v"])), _day),
     "pairs_2s": (M.Pairs(2), _flags(1)),
+    "pairs": (M.Pairs(15), _flags(1)),
 }
 
 
