@@ -129,6 +129,7 @@ COLUMNS = {
     "capped_counts": (_short(M.Cap(2, ["v"])), _day),
     "pairs_2s": (M.Pairs(2), _flags(1)),
     "pairs": (M.Pairs(15), _flags(1)),
+    "click_cap_slices": (_short(M.Cap(1, ["v"])), _day),
 }
 
 
