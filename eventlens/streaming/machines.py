@@ -304,6 +304,30 @@ class MatchOutcomes(Machine):
         c["open"] = None
         return out
 
+    def columns(self, r: Runs):
+        had = [i for i, c in enumerate(r.carries) if c.get("open") is not None]
+        run, ts, cr = r.headed(had, (r.ts, [r.carries[i]["open"] for i in had]), (r.flag("cr"), [True] * len(had)))
+        same = run[1:] == run[:-1]  # the next row is of the same key
+        paid = np.flatnonzero(cr[:-1] & same & ~cr[1:])  # a create directly before a pay
+        anew = np.flatnonzero(cr[:-1] & same & cr[1:])
+        alone = np.flatnonzero(~cr & ~np.append(False, cr[:-1] & same))
+        gap = ts[paid + 1] - ts[paid]
+        over = (gap >= self.bound + self.grace) & (gap >= self.bound) if self.grace is not None else np.zeros(len(paid), bool)
+        for c in r.carries:
+            c["open"] = None
+        last = np.flatnonzero(np.diff(run, append=-1))
+        last = last[cr[last]]
+        for i, t in zip(run[last].tolist(), ts[last].tolist()):
+            r.carries[i]["open"] = t
+        kept, out = paid[~over], paid[over]
+        gone, unpaid = np.concatenate([anew, out]), np.concatenate([alone, out + 1])
+        at = np.concatenate([kept, gone, unpaid])
+        pay = np.concatenate([kept + 1, gone, unpaid])
+        what = np.concatenate([np.where(gap[~over] < self.bound, "paid", "paid_late"), np.full(len(gone), "timeout"),
+                               np.full(len(unpaid), "pay_without_create")])
+        rank = np.repeat([0, 1, 2], [len(kept), len(gone), len(unpaid)])
+        return run[at], {"outcome": pa.array(what), "create_ts": pa.array(ts[at], mask=rank == 2), "pay_ts": pa.array(ts[pay], mask=rank == 1)}
+
     def advance(self, c, wm):
         o = c.get("open")
         if o is not None and self.grace is not None and self._limit(o) <= wm:

@@ -130,6 +130,9 @@ COLUMNS = {
     "pairs_2s": (M.Pairs(2), _flags(1)),
     "pairs": (M.Pairs(15), _flags(1)),
     "click_cap_slices": (_short(M.Cap(1, ["v"])), _day),
+    "match_outcomes": (M.MatchOutcomes(10, 8), _flags(1)),
+    "match_outcomes_no_grace": (M.MatchOutcomes(10, 0), _flags(1)),
+    "match_outcomes_open": (M.MatchOutcomes(10, None), _flags(1)),
 }
 
 
