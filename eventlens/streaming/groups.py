@@ -87,7 +87,7 @@ def packer(us_at: int, need_at: int | None = None):
             starts = np.flatnonzero(np.diff(group, prepend=-1))
             cuts = [at for lo, hi in zip(starts, [*starts[1:], len(group)]) for at in range(lo, hi, PACKED)]
             spans = list(zip(cuts, [*cuts[1:], len(group)]))
-            times = [*(us[lo:hi].max() for lo, hi in spans[1:]), newest]
+            times = [*(us[lo:hi].max() for lo, hi in spans[:-1]), newest]
             return pa.RecordBatch.from_arrays(
                 [pa.array([group[lo] for lo, _ in spans], pa.int32()), pa.array(times, pa.int64()),
                  pa.array([_encode(rows.slice(lo, hi - lo)) for lo, hi in spans], pa.binary())], ["evl_group", "us", "rows"])
