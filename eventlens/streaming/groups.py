@@ -9,7 +9,9 @@ each with the carry of its own key, and holds one timer.  The number of
 engine calls follows the groups, not the keys or rows; a group's rows are a
 thousandth of a micro-batch unless one key has more.  Results leave as one
 frame per call, and machines that know how (``columns``) take a group's rows
-as columns instead of one by one.
+as columns instead of one by one.  A second operator under fewer keys can
+take a first one's results the same way, packed by its own groups
+(:class:`Relay`).
 
 The engine's watermark lies a millisecond behind the stream's, so that it
 drops no packed row that is in time; late rows are dropped one by one here.
@@ -18,6 +20,7 @@ drops no packed row that is in time; late rows are dropped one by one here.
 from __future__ import annotations
 
 import pickle
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,6 +41,9 @@ GROUPS = 1024
 HELD, PACKED = 1 << 18, 1 << 12
 
 _PLAIN = {"tinyint", "smallint", "int", "bigint", "string", "boolean", "date", "binary"}
+#: A packed stream: its group, the newest time of its rows, the rows.
+PACKET = ["evl_group", "us", "rows"]
+_PACKET = T.StructType([T.StructField("evl_group", T.IntegerType()), T.StructField("at", T.TimestampType()), T.StructField("rows", T.BinaryType())])
 _BLOB = T.StructType([T.StructField("blob", T.BinaryType())])
 
 
@@ -58,6 +64,21 @@ def _decode(blob) -> pa.Table:
     return pa.ipc.open_stream(bytes(blob)).read_all()
 
 
+def by_group(rows: pa.Table, group: np.ndarray, us_at: int, newest: int) -> pa.RecordBatch:
+    """Rows packed by group: (group, newest time, rows), the last of them under the time ``newest``."""
+    order = np.argsort(group, kind="stable")
+    group = group[order]
+    rows = rows.take(pa.array(order)).combine_chunks()
+    us = rows.column(us_at).to_numpy()
+    starts = np.flatnonzero(np.diff(group, prepend=-1))
+    cuts = [at for lo, hi in zip(starts, [*starts[1:], len(group)]) for at in range(lo, hi, PACKED)]
+    spans = list(zip(cuts, [*cuts[1:], len(group)]))
+    times = [*(us[lo:hi].max() for lo, hi in spans[:-1]), newest]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([group[lo] for lo, _ in spans], pa.int32()), pa.array(times, pa.int64()),
+         pa.array([_encode(rows.slice(lo, hi - lo)) for lo, hi in spans], pa.binary())], PACKET)
+
+
 def packer(us_at: int, need_at: int | None = None):
     """A mapInArrow function: rows (columns, group) -> (group, newest time, rows), per task.
 
@@ -73,24 +94,15 @@ def packer(us_at: int, need_at: int | None = None):
                 raise ValueError("a row has no event time")
             newest = pc.max(t.column(us_at)).as_py()
             group = t.column(t.num_columns - 1).to_numpy()
-            order = np.argsort(group, kind="stable")
             rows = t.remove_column(t.num_columns - 1)
             if need_at is not None:
                 need = pc.fill_null(rows.column(need_at), False).to_numpy()
-                order, rows = order[need[order]], rows.remove_column(need_at)
-                if not len(order):
+                rows = rows.remove_column(need_at)
+                if not need.any():
                     return pa.RecordBatch.from_arrays([pa.array(group[:1], pa.int32()), pa.array([newest], pa.int64()),
-                                                       pa.array([_encode(rows.slice(0, 0))], pa.binary())], ["evl_group", "us", "rows"])
-            group = group[order]
-            rows = rows.take(pa.array(order)).combine_chunks()
-            us = rows.column(us_at).to_numpy()
-            starts = np.flatnonzero(np.diff(group, prepend=-1))
-            cuts = [at for lo, hi in zip(starts, [*starts[1:], len(group)]) for at in range(lo, hi, PACKED)]
-            spans = list(zip(cuts, [*cuts[1:], len(group)]))
-            times = [*(us[lo:hi].max() for lo, hi in spans[:-1]), newest]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([group[lo] for lo, _ in spans], pa.int32()), pa.array(times, pa.int64()),
-                 pa.array([_encode(rows.slice(lo, hi - lo)) for lo, hi in spans], pa.binary())], ["evl_group", "us", "rows"])
+                                                       pa.array([_encode(rows.slice(0, 0))], pa.binary())], PACKET)
+                group, rows = group[need], rows.filter(pa.array(need))
+            return by_group(rows, group, us_at, newest)
         n = 0
         for b in batches:
             if b.num_rows:
@@ -123,6 +135,16 @@ def pylist(c: pa.ChunkedArray) -> list:
     return c.to_pylist()
 
 
+def coded(t: pa.Table, n: int) -> np.ndarray:
+    """A number from 0 for each different value of the first ``n`` columns, row by row."""
+    code = np.zeros(t.num_rows, np.int64)
+    for i in range(n):
+        one = t.column(i).combine_chunks().dictionary_encode(null_encoding="encode")
+        code = code * len(one.dictionary) + one.indices.to_numpy()
+        code = np.unique(code, return_inverse=True)[1] if i else code
+    return code
+
+
 class Logic:
     """What a group does with the rows of a key; the carry is any value that pickles."""
 
@@ -164,11 +186,36 @@ def as_table(outs: list[tuple], n: int, schema: pa.Schema) -> pa.Table:
     return pa.table([typed([k[i] for k, _ in outs] if i < n else [o.get(f.name) for _, o in outs], f.type) for i, f in enumerate(schema)], schema=schema)
 
 
+class Relay:
+    """Packs results for an operator that follows under keys of its own: those whose column ``keep`` has ``value``.
+
+    ``columns``: places of what it takes, its keys, the time, others."""
+
+    def __init__(self, columns: list[int], n_keys: int, keep: int, value, groups: int = GROUPS):
+        self.columns, self.n_keys, self.keep, self.value, self.groups = columns, n_keys, keep, value, groups
+
+    def __call__(self, t: pa.Table) -> pa.Table:
+        n = self.n_keys
+        t = t.filter(pc.equal(t.column(self.keep), self.value)).select(self.columns)
+        if not t.num_rows:
+            return t
+        t = t.set_column(n, "us", t.column(n).cast(pa.int64()))
+        code = coded(t, n)
+        keys = t.select(range(n)).take(pa.array(np.unique(code, return_index=True)[1]))
+        # of the values themselves, so that all tasks agree
+        own = [zlib.crc32(repr(k).encode()) % self.groups for k in (zip(*(pylist(c) for c in keys.columns)) if n else [()])]
+        group, us, rows = by_group(t, np.array(own, np.int32)[code], n, pc.max(t.column(n)).as_py()).columns
+        return pa.table([group, us.cast(pa.timestamp("us", "UTC")), rows], names=_PACKET.names)
+
+
 class KeyGroups(StatefulProcessor):
-    """``n_order``: the columns from the time on that give the order of rows (numbers, no nulls)."""
+    """``n_order``: the columns from the time on that give the order of rows (numbers, no nulls).
 
-    def __init__(self, logic: Logic, key_names: list[str], n_order: int, schema: pa.Schema):
+    ``relay`` packs the results; ``chained``: rows come from a relay, as the watermark passes them."""
+
+    def __init__(self, logic: Logic, key_names: list[str], n_order: int, schema: pa.Schema, relay: Relay | None = None, chained: bool = False):
         self.logic, self.key_names, self.n_order, self.schema = logic, list(key_names), n_order, schema
+        self.relay, self.chained = relay, chained
 
     def init(self, handle):
         self.handle = handle
@@ -182,6 +229,8 @@ class KeyGroups(StatefulProcessor):
         """Rows to replay now, and the oldest time that stays buffered."""
         if not self.logic.ordered:
             return fresh, None
+        if self.chained:
+            return self._released(fresh, oldest, wm)
         if oldest is None or oldest >= wm:  # fresh rows are not older than the watermark either
             if fresh:
                 self.rows.appendList([(_encode(t),) for t in fresh])
@@ -196,6 +245,20 @@ class KeyGroups(StatefulProcessor):
             self.rows.clear()
         return [held.filter(over)], min((pc.min(self._us(t)).as_py() for t in fresh), default=None)
 
+    def _released(self, fresh: list[pa.Table], oldest: int | None, wm: int) -> tuple[list[pa.Table], int | None]:
+        """``_ready`` where fresh rows may be over already; none that come later are older than they."""
+        if not fresh and (oldest is None or oldest >= wm):
+            return [], oldest
+        rows = pa.concat_tables([*(_decode(r[0]) for r in (self.rows.get() if oldest is not None else ())), *fresh])
+        over = pc.less(self._us(rows), wm)
+        rest = rows.filter(pc.invert(over)).combine_chunks()
+        if rest.num_rows:
+            self.rows.put([(_encode(rest),)])
+        elif oldest is not None:
+            self.rows.clear()
+        ready = rows.filter(over)
+        return [ready] if ready.num_rows else [], pc.min(self._us(rest)).as_py()
+
     def _drain(self, wm_ms: int, blobs=(), fired: bool = False):
         raw = self.keys.get()
         carries, timer, oldest = pickle.loads(bytes(raw[0])) if raw else ({}, None, None)
@@ -203,7 +266,7 @@ class KeyGroups(StatefulProcessor):
         wm_ms = wm_ms + 1 if wm_ms > 0 else 0
         wm = wm_ms * 1000
         fresh = [_decode(b) for b in blobs]
-        if wm:
+        if wm and not self.chained:
             fresh = [t.filter(pc.greater_equal(self._us(t), wm)) for t in fresh]
         ready, oldest = self._ready([t for t in fresh if t.num_rows], oldest, wm)
         logic, machine, n = self.logic, self.logic.machine, len(self.key_names)
@@ -236,6 +299,8 @@ class KeyGroups(StatefulProcessor):
             self.keys.clear()
         if outs:
             found.append(as_table(outs, n, self.schema))
+        if self.relay is not None:
+            found = [self.relay(t) for t in found]
         return (t.to_pandas(types_mapper=pd.ArrowDtype) for t in found if t.num_rows)
 
     def handleInputRows(self, key, rows, timerValues):
@@ -249,9 +314,11 @@ class KeyGroups(StatefulProcessor):
 
 
 def run_groups(packed: DataFrame, logic: Logic, key_fields: list[T.StructField], n_order: int, out_fields: list[T.StructField],
-               event_time_field: str | None = None) -> DataFrame:
-    """Key columns and outputs of ``logic`` over ``dealt`` rows."""
+               event_time_field: str | None = None, relay: Relay | None = None, chained: bool = False) -> DataFrame:
+    """Key columns and outputs of ``logic`` over ``dealt`` rows, or (``chained``) over those of an operator with a ``relay``."""
     out = T.StructType([*key_fields, *out_fields])
     schema = pa.schema([pa.field(f.name, to_arrow_type(f.dataType)) for f in out.fields])
-    proc = KeyGroups(logic, [f.name for f in key_fields], n_order, schema)
+    proc = KeyGroups(logic, [f.name for f in key_fields], n_order, schema, relay, chained)
+    if relay is not None:
+        out, event_time_field = _PACKET, "at"
     return packed.groupBy("evl_group").transformWithStateInPandas(proc, out, "Append", "EventTime", eventTimeColumnName=event_time_field or "")

@@ -32,7 +32,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType, Tim
 from eventlens.functions.time import duration_us, event_time
 from eventlens.session import ship_package
 from eventlens.streaming import machines as M
-from eventlens.streaming.groups import Logic, dealt, plain_keys, pylist, run_groups, typed
+from eventlens.streaming.groups import Logic, Relay, coded, dealt, plain_keys, pylist, run_groups, typed
 
 _DDL = {"long": LongType(), "string": StringType()}
 
@@ -138,11 +138,7 @@ class MachineRows(Logic):
         columns = M.of_step(self.machine, "columns")
         if columns is None:
             return super().run(carries, rows, n, n_order, schema)
-        code = np.zeros(rows.num_rows, np.int64)
-        for i in range(n):
-            one = rows.column(i).combine_chunks().dictionary_encode(null_encoding="encode")
-            code = code * len(one.dictionary) + one.indices.to_numpy()
-            code = np.unique(code, return_inverse=True)[1] if i else code
+        code = coded(rows, n)
         order = np.lexsort([*(rows.column(i).to_numpy() for i in reversed(range(n, n + n_order))), code])
         starts = np.flatnonzero(np.diff(code[order], prepend=-1))
         rows = rows.take(pa.array(order))
@@ -158,7 +154,7 @@ class MachineRows(Logic):
 
 
 def replay(df: DataFrame, keys, ts: str, seq, delay, machine: M.Machine, payload: dict,
-            event_time_field: str | None = None) -> DataFrame:
+            event_time_field: str | None = None, then: tuple | None = None) -> DataFrame:
     """Run ``machine`` per key over a watermarked stream; returns key columns +
     the machine's outputs (``*_ts`` longs turned back into timestamps).
 
@@ -168,7 +164,11 @@ def replay(df: DataFrame, keys, ts: str, seq, delay, machine: M.Machine, payload
     timers) and pass the payload columns it reads.
 
     ``event_time_field`` names an output that becomes the event time of the
-    result (``eventTimeColumnName``), so a windowed aggregation can follow."""
+    result (``eventTimeColumnName``), so a windowed aggregation can follow.
+
+    ``then`` (a machine, the outputs it takes as time, tiebreak and payload, and the
+    output and value that tell which results go on) runs under the keys but the last
+    on the results of ``machine``; it needs plain keys and a delay."""
     keys = list(keys)
     spark = df.sparkSession
     ship_package(spark)
@@ -188,12 +188,25 @@ def replay(df: DataFrame, keys, ts: str, seq, delay, machine: M.Machine, payload
                  *[c.alias(n) for n, c in payload.items()])
     types = {f.name: f.dataType for f in x.schema.fields}
     key_fields = [StructField(k, types[k]) for k in keys]
-    out_fields = [StructField(n, TimestampType() if n == event_time_field else types[n] if t is None else _DDL[t]) for n, t in machine.out_fields]
+
+    def fields(m):
+        return [StructField(n, TimestampType() if n == event_time_field else types[n] if t is None else _DDL[t]) for n, t in m.out_fields]
+    out_fields = fields(machine)
+    if then and not packed:
+        raise ValueError("a second machine needs plain keys and a delay")
     if packed:
         only = M.of_step(machine, "only")
         need = [reduce(or_, (F.col(f) for f in only))] if only else []
         rows = dealt(x.select(*keys, "evl_ts_us", "evl_seq", *machine.fields, *need), len(keys), delay, need=bool(need))
-        out = run_groups(rows, MachineRows(machine), key_fields, 2, out_fields, event_time_field)
+        if then:
+            second, sent, (keep, value) = then
+            at = {f.name: len(keys) + i for i, f in enumerate(out_fields)}
+            relay = Relay([*range(len(keys) - 1), *(at[c] for c in sent)], len(keys) - 1, at[keep], value)
+            rows = run_groups(rows, MachineRows(machine), key_fields, 2, out_fields, event_time_field, relay)
+            out = run_groups(rows, MachineRows(second), key_fields[:-1], 2, fields(second), event_time_field, chained=True)
+            machine = second
+        else:
+            out = run_groups(rows, MachineRows(machine), key_fields, 2, out_fields, event_time_field)
     else:
         # the Row interface: a pandas frame per key costs more where machines emit many rows
         proc = OrderedReplay(machine, keys, {n: types[n] for n in machine.fields}, event_time_field, delay is None)
@@ -231,6 +244,10 @@ def stream_match_outcomes(df, keys, is_create, is_pay, bound, grace=None, ts="ts
     return replay(kept, keys, ts, seq, delay, M.MatchOutcomes(duration_us(bound), g), {"cr": is_create})
 
 
+def _deal(ts, seq, slices):
+    return F.pmod(F.xxhash64(F.col(ts), *([F.col(seq)] if seq else [F.lit(0)])), F.lit(int(slices))).cast("int")
+
+
 def stream_click_cap(df, keys, cap=100, ts="ts", seq="seq", delay="0 seconds", carry=(), slices=None):
     """Streaming D1: tagged rows ``passed`` / ``warning`` per (keys, UTC day).
 
@@ -241,14 +258,15 @@ def stream_click_cap(df, keys, cap=100, ts="ts", seq="seq", delay="0 seconds", c
     ``slices`` deals the rows of each key by hash first: every (key, slice)
     forwards its first cap + 1 rows of a day, and only those meet in the key.
     A row beyond them is beyond cap + 1 of the key, too, so the result is the
-    same, and a hot key reaches no task whole.
+    same, and a hot key reaches no task whole.  Forwarded rows go on packed by groups of keys,
+    and a key takes its rows as columns (keys of floating or nested types: row by row).
     """
     x = event_time(df, ts)
-    if slices:
+    sliced = delay is not None and plain_keys(x.schema, keys)
+    if slices and not sliced:
         names = [c for c in df.columns if c not in keys and c not in (ts, seq)]
-        deal = F.pmod(F.xxhash64(F.col(ts), *([F.col(seq)] if seq else [F.lit(0)])), F.lit(int(slices))).cast("int")
         day = F.unix_micros(F.date_trunc("day", F.col(ts)))
-        first = replay(x.withColumn("evl_slice", deal), [*keys, "evl_slice"], ts, seq, delay, M.Cap(cap + 1, names),
+        first = replay(x.withColumn("evl_slice", _deal(ts, seq, slices)), [*keys, "evl_slice"], ts, seq, delay, M.Cap(cap + 1, names),
                        {"day": day, **{c: F.col(c) for c in names}}, event_time_field="ts_out")
         few = first.where(F.col("tag") == "passed").select(
             *keys, F.col("ts_out").alias(ts), *([F.col("seq_out").alias(seq)] if seq else []), *names)
@@ -257,8 +275,12 @@ def stream_click_cap(df, keys, cap=100, ts="ts", seq="seq", delay="0 seconds", c
     # (rows replay in time order), so state is one small value per key
     day = F.unix_micros(F.date_trunc("day", F.col(ts)))
     carry = [c for c in carry if c not in keys]
-    out = replay(x, list(keys), ts, seq, delay, M.Cap(cap, carry),
-                  {"day": day, **{c: F.col(c) for c in carry}}, event_time_field="ts_out")
+    payload = {"day": day, **{c: F.col(c) for c in carry}}
+    if slices:
+        out = replay(x.withColumn("evl_slice", _deal(ts, seq, slices)), [*keys, "evl_slice"], ts, seq, delay, M.Cap(cap + 1, carry), payload,
+                     event_time_field="ts_out", then=(M.Cap(cap, carry), ("ts_out", "seq_out", "day_out", *carry), ("tag", "passed")))
+    else:
+        out = replay(x, list(keys), ts, seq, delay, M.Cap(cap, carry), payload, event_time_field="ts_out")
     return out.select(*keys, F.timestamp_micros("day_out").alias("day"), "tag",
                       F.col("ts_out").alias("ts"), F.col("seq_out").alias("seq"), *carry)
 

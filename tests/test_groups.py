@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import ts
+from eventlens.operators import click_cap
 from eventlens.session import STORES, scratch_path
 from eventlens.sources.outputs import start_outputs
 from eventlens.streaming import (
@@ -125,6 +126,37 @@ def test_state_stores_follow_slots_not_shuffle_partitions(spark, form):
     assert stores and set(stores) == {STORES * spark.sparkContext.defaultParallelism}
 
 
+def test_state_of_both_cap_operators_follows_groups(spark):
+    """The rows that slices forward meet in groups of keys, too."""
+    def at(s, k):
+        return spark.range(k).select(F.col("id").alias("k"), F.lit("a").alias("what"), F.timestamp_seconds(F.lit(s)).alias("ts"), F.col("id").alias("seq")).coalesce(1)
+    stream = FORMS["click_cap_slices"](_stream(spark, at(1000, KEYS), at(5000, 1), at(9000, 1)))
+    q = stream.writeStream.format("noop").option("checkpointLocation", scratch_path(spark, "groups-ckpt")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    for op in (0, 1):
+        held = [p["stateOperators"][op]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]]
+        assert 0 < max(held) <= 4 * GROUPS
+
+
+def test_cap_in_slices_equals_the_cap(spark):
+    """Over days and micro-batches, with null keys, ties of time, null carried values, and rows a fraction of a millisecond apart."""
+    rng = np.random.default_rng(3)
+    day = 86_400_000_000
+    us = np.sort(np.where(rng.random(900) < 0.5, rng.integers(0, 3 * day, 900), day + rng.integers(0, 5_000, 900)))
+    rows = [(None if x == 0 else f"k{x}", int(t), i, None if i % 7 == 0 else 2**60 + i) for i, (t, x) in enumerate(zip(us, rng.integers(0, 3, 900)))]
+    df = spark.createDataFrame(rows, "k string, us long, seq long, v long").select("k", F.timestamp_micros("us").alias("ts"), "seq", "v")
+    path = scratch_path(spark, "slices-in")
+    for lo in (0, 300, 600):
+        df.where(f"seq >= {lo} AND seq < {lo + 300}").coalesce(1).write.mode("append").parquet(path)
+    spark.createDataFrame([("end", 10 * day, -1, 0)], "k string, us long, seq long, v long").select("k", F.timestamp_micros("us").alias("ts"), "seq", "v").coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    got = run_once(stream_click_cap(stream, ["k"], cap=20, delay="1 hour", carry=["v"], slices=4), "slices").collect()
+    passed, warned = (x.collect() for x in click_cap(df, ["k"], cap=20))
+    assert sorted((r.seq, r.k, r.ts, r.v) for r in got if r.tag == "passed") == sorted((r.seq, r.k, r.ts, r.v) for r in passed)
+    assert len({r.k for r in got if r.tag == "warning"}) == len({r.k for r in warned}) == 3
+    assert len([r for r in got if r.tag == "warning"]) == len(warned)
+
+
 def _flags(n: int):
     """Columns of true, false and sometimes null."""
     return lambda rng, ts: [pa.array([None if x > 0.95 else bool(x < 0.45) for x in rng.random(len(ts))], pa.bool_()) for _ in range(n)]
